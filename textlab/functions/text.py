@@ -79,9 +79,13 @@ def whitespace_class_body() -> str:
 
 
 WS = whitespace_class_body()
+# Regex forms (used by the SQL oracle, which applies them to the raw text).
 URL_PATTERN = f"http[^{WS}]+"
 NON_LETTER_PATTERN = f"[^a-z{WS}]"
 WS_RUN_PATTERN = f"[{WS}]+"
+# Spark side: every whitespace code point is first mapped to a plain space with
+# ``translate`` (a per-character table lookup), so the regexes only need ' '.
+WS_CHARS = "".join(chr(cp) for lo, hi in _whitespace_ranges() for cp in range(lo, hi + 1))
 
 
 def _col(c) -> Column:
@@ -93,17 +97,28 @@ def combine_text(first, second) -> Column:
     return F.concat(F.coalesce(_col(first), F.lit("")), F.lit(" "), F.coalesce(_col(second), F.lit("")))
 
 
+def spaces(text) -> Column:
+    """Null -> '' and every whitespace character -> ' ' (token boundaries unchanged)."""
+    return F.translate(F.coalesce(_col(text), F.lit("")), WS_CHARS, " " * len(WS_CHARS))
+
+
 def normalize_text(text) -> Column:
-    """Null-safe lowercase, URLs deleted, non-letters deleted (whitespace kept)."""
+    """Null-safe lowercase, URLs deleted, non-letters deleted; whitespace kept as it was."""
     t = F.lower(F.coalesce(_col(text), F.lit("")))
     t = F.regexp_replace(t, URL_PATTERN, "")
     return F.regexp_replace(t, NON_LETTER_PATTERN, "")
 
 
+def _normalize_spaced(text) -> Column:
+    """P4-P6 for tokenising: as :func:`normalize_text` with every whitespace character turned into ' '."""
+    t = F.lower(spaces(text))
+    t = F.regexp_replace(t, "http[^ ]+", "")
+    return F.regexp_replace(t, "[^a-z ]", "")
+
+
 def whitespace_tokens(text) -> Column:
     """Python ``str.split()``: split on runs of whitespace, no empty tokens; null -> []."""
-    parts = F.split(F.coalesce(_col(text), F.lit("")), WS_RUN_PATTERN)
-    return F.filter(parts, lambda w: w != F.lit(""))
+    return F.filter(F.split(spaces(text), " "), lambda w: w != F.lit(""))
 
 
 def split_contractions(tokens) -> Column:
@@ -130,7 +145,7 @@ def drop_stop_words(tokens, stop_words=STOP_WORDS_EN, min_length: int = MIN_TOKE
 
 def clean_tokens(text, stop_words=STOP_WORDS_EN) -> Column:
     """P4-P8 (X1): the cleaned token array of a raw text column."""
-    return drop_stop_words(split_contractions(whitespace_tokens(normalize_text(text))), stop_words)
+    return drop_stop_words(split_contractions(whitespace_tokens(_normalize_spaced(text))), stop_words)
 
 
 def clean_text(text, stop_words=STOP_WORDS_EN) -> Column:

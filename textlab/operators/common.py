@@ -22,6 +22,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise an expensive intermediate once and cut its lineage.
+
+    Written as parquet into a fresh folder under the shared
+    ``spark.checkpoint.dir`` (see :func:`textlab.session.scratch_dir`) and
+    read back: one job computes it, later jobs read only the columns they
+    need, and a lost executor never forces a replay of the text work.
+    """
+    from ..session import scratch_dir
+
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     conds = [left[c].eqNullSafe(right[c]) for c in cols]
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)

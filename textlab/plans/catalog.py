@@ -10,8 +10,187 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import report, vectorize
-from .corpus import split_corpus, train_part
+from ..functions import text as tx
+from ..operators import report, sampling, vectorize
+from ..operators.common import r6
+from ..sources.tables import read_table
+from .corpus import CLASS_COLUMN, cleaned_corpus, split_corpus, train_part
+
+# The corpus' expected class set for the input checks.
+EXPECTED_CLASSES = ("de", "en", "es", "fr")
+# The reference's ten topic names, index = label.
+LABEL_NAMES = (
+    "Society & Culture",
+    "Science & Mathematics",
+    "Health",
+    "Education & Reference",
+    "Computers & Internet",
+    "Sports",
+    "Business & Finance",
+    "Entertainment & Music",
+    "Family & Relationships",
+    "Politics & Government",
+)
+SAMPLE_PER_CLASS = 50
+UNIFORM_SAMPLE = 2000
+
+
+def scan_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus with its (partial) quality labels."""
+    docs = read_table(spark, sf_dir, "documents", spread=False)
+    labels = read_table(spark, sf_dir, "labels")
+    return docs.join(labels, "doc_id", "left").select(
+        "doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
+
+
+def input_checks(spark: SparkSession, sf_dir: str, label_col: str = CLASS_COLUMN,
+                 expected=EXPECTED_CLASSES) -> DataFrame:
+    """Required column present, class count, expected classes that have no rows."""
+    docs = read_table(spark, sf_dir, "documents", spread=False)
+    has_col = label_col in docs.columns
+    present = docs.where(F.col(label_col).isNotNull()).select(F.col(label_col).alias("c")).distinct()
+    exp = spark.createDataFrame([(c,) for c in expected], "c string")
+    missing = exp.join(present, "c", "left_anti")
+    n_rows = docs.select(F.count(F.lit(1))).scalar()
+    n_classes = docs.select(F.countDistinct(label_col)).scalar()
+    n_missing = missing.select(F.count(F.lit(1))).scalar()
+    return spark.range(1).select(
+        F.lit(has_col).alias("has_label_column"), n_rows.alias("n_rows"), n_classes.alias("n_classes"),
+        F.lit(len(expected)).cast("long").alias("n_expected"), n_missing.alias("n_missing"),
+        (F.lit(has_col) & (n_classes == len(expected)) & (n_missing == 0)).alias("ok"))
+
+
+def combine_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turn t joined with turn t+1 of the same conversation, texts combined null-safely."""
+    conv = read_table(spark, sf_dir, "conversations", spread=False)
+    a = conv.select("conv_id", "turn", F.col("text").alias("a"))
+    b = conv.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("b"))
+    return a.join(b, ["conv_id", "turn"], "left").select("conv_id", "turn", tx.combine_text("a", "b").alias("text"))
+
+
+def label_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label -> class name through a 10-row dimension (broadcast); unmapped -> null."""
+    dim = spark.createDataFrame(list(enumerate(LABEL_NAMES)), "label int, label_name string")
+    vecs = read_table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return vecs.join(F.broadcast(dim), "label", "left").select("vec_id", "label", "label_name")
+
+
+def clean_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned text and its token count."""
+    c = cleaned_corpus(spark, sf_dir)
+    return c.select("doc_id", F.array_join("tokens", " ").alias("clean_text"),
+                    F.size("tokens").cast("long").alias("n_tokens"))
+
+
+def strip_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4-P6 on text that holds URLs: the page URL in a sentence, and the page HTML."""
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id",
+                        tx.normalize_text(F.concat(F.lit("see "), F.col("url"), F.lit(" end"))).alias("url_text"),
+                        tx.normalize_text("html").alias("html_text"))
+
+
+def bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: contiguous bigrams of the cleaned token stream."""
+    c = cleaned_corpus(spark, sf_dir)
+    g = tx.ngrams("tokens", 2)
+    return c.select("doc_id", F.size(g).cast("long").alias("n_bigrams"), F.array_join(g, "|").alias("bigrams"))
+
+
+def text_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitespace token counts of the raw and the cleaned text."""
+    docs = read_table(spark, sf_dir, "documents")
+    return report.length_table(docs.select("doc_id", "text", tx.clean_tokens("text").alias("tokens"))).select(
+        "doc_id", F.col("raw_len").cast("long"), F.col("clean_len").cast("long"))
+
+
+def token_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """128-slot window with special tokens and padding, and its mask."""
+    c = cleaned_corpus(spark, sf_dir).select("doc_id", tx.token_window("tokens").alias("w"))
+    return c.select("doc_id", F.aggregate("w.mask", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("mask_sum"),
+                    F.array_join("w.window", " ").alias("window_text"),
+                    F.array_join("w.mask", "").alias("mask_text"))
+
+
+def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/O2: documents per class."""
+    docs = read_table(spark, sf_dir, "documents", spread=False)
+    return report.class_counts(docs.select(F.col(CLASS_COLUMN).alias("lang")), "lang")
+
+
+def sample_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: the first three rows in id order."""
+    docs = read_table(spark, sf_dir, "documents", spread=False)
+    return docs.orderBy("doc_id").limit(3).select("doc_id", "lang", "text")
+
+
+def stratified_sample(spark: SparkSession, sf_dir: str, n: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """Exactly min(n, class size) documents per class, seeded."""
+    docs = read_table(spark, sf_dir, "documents", spread=False).select("doc_id", "lang")
+    return sampling.stratified_sample(docs, "lang", "doc_id", n)
+
+
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact stratified 80/20 split."""
+    docs = read_table(spark, sf_dir, "documents", spread=False).select("doc_id", "lang")
+    return sampling.stratified_split(docs, "lang", "doc_id")
+
+
+def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tf and df on the train split, pruned by document frequency."""
+    train = train_part(split_corpus(spark, sf_dir))
+    n_docs = train.select(F.count(F.lit(1))).scalar()
+    return vectorize.prune_terms(vectorize.term_statistics(train, n=1), n_docs)
+
+
+def vocabulary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capped unigram vocabulary with alphabetical column ids."""
+    train = train_part(split_corpus(spark, sf_dir))
+    return vectorize.fit_vocabulary(train, n=1).select("term", "term_id", "tf", "df")
+
+
+def bow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram counts of train and test documents over the train vocabulary."""
+    split = split_corpus(spark, sf_dir)
+    vocab = vectorize.fit_vocabulary(train_part(split), n=1)
+    return vectorize.bag_of_words(split, vocab, n=1, keep=("split",)).select(
+        "doc_id", "split", "term_id", "count")
+
+
+def tfidf_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5/P10: L2-normalised sublinear bigram TF-IDF of train and test over the train vocabulary."""
+    split = split_corpus(spark, sf_dir)
+    vocab = vectorize.fit_vocabulary(train_part(split), n=2)
+    return vectorize.tfidf(split, vocab, n=2, keep=("split",)).select(
+        "doc_id", "split", "term_id", r6("weight").alias("weight"))
+
+
+def uniform_sample(spark: SparkSession, sf_dir: str, n: int = UNIFORM_SAMPLE) -> DataFrame:
+    """min(n, rows) documents without replacement, seeded."""
+    docs = read_table(spark, sf_dir, "documents", spread=False).select("doc_id", "lang")
+    return sampling.uniform_sample(docs, "doc_id", n)
+
+
+def _lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return report.length_table(docs.select("doc_id", "text", tx.clean_tokens("text").alias("tokens")))
+
+
+def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """50-bin histograms of raw and cleaned lengths over all documents."""
+    return report.length_histogram(_lengths(spark, sf_dir))
+
+
+def length_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact medians of raw and cleaned lengths."""
+    return report.length_median(_lengths(spark, sf_dir))
+
+
+def top_words_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 80 most frequent cleaned words per class."""
+    c = cleaned_corpus(spark, sf_dir)
+    return report.top_words_by_class(c, "label").select(
+        F.col("label").alias("lang"), "rank", "word", F.col("n").cast("long"))
 
 
 def top_terms_by_class(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
@@ -25,4 +204,25 @@ def top_terms_by_class(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFra
 
 QUERIES = {
     "top_terms_by_class": top_terms_by_class,
+    "scan_corpus": scan_corpus,
+    "input_checks": input_checks,
+    "combine_text": combine_text,
+    "label_names": label_names,
+    "clean_text": clean_text_query,
+    "strip_urls": strip_urls,
+    "bigrams": bigrams,
+    "text_lengths": text_lengths,
+    "token_window": token_window,
+    "class_counts": class_counts,
+    "sample_peek": sample_peek,
+    "stratified_sample": stratified_sample,
+    "stratified_split": stratified_split,
+    "term_stats": term_stats,
+    "vocabulary_topk": vocabulary_topk,
+    "bow": bow,
+    "tfidf_bigrams": tfidf_bigrams,
+    "uniform_sample": uniform_sample,
+    "length_histogram": length_histogram,
+    "length_median": length_median,
+    "top_words_by_class": top_words_by_class,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_tokens
+from ..operators.common import stage
 from ..operators.sampling import stratified_split
 from ..sources.tables import read_table
 
@@ -19,8 +20,15 @@ def cleaned_corpus(spark: SparkSession, sf_dir: str, label_col: str = CLASS_COLU
 
 
 def split_corpus(spark: SparkSession, sf_dir: str, label_col: str = CLASS_COLUMN) -> DataFrame:
-    """``doc_id, label, tokens, split``: W2 over the cleaned corpus."""
-    return stratified_split(cleaned_corpus(spark, sf_dir, label_col), "label", "doc_id")
+    """``doc_id, label, split, tokens``: W2 split, cleaned once and checkpointed.
+
+    The split's histogram jobs read only ``doc_id`` and the class column
+    (pruned scan); the text is cleaned in a single pass afterwards and the
+    result is staged, so vocabulary fitting and vectorising reuse it.
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col(label_col).alias("label"), "text")
+    marked = stratified_split(docs, "label", "doc_id")
+    return stage(marked.select("doc_id", "label", "split", clean_tokens("text").alias("tokens")), "split_corpus")
 
 
 def train_part(split_df: DataFrame) -> DataFrame:

@@ -119,7 +119,162 @@ SELECT label AS lang, CAST(rn AS INTEGER) AS rank, term, round(s, 6) AS weight F
 """
 
 
+LABEL_DIM = ("(VALUES (0, 'Society & Culture'), (1, 'Science & Mathematics'), (2, 'Health'), "
+             "(3, 'Education & Reference'), (4, 'Computers & Internet'), (5, 'Sports'), (6, 'Business & Finance'), "
+             "(7, 'Entertainment & Music'), (8, 'Family & Relationships'), (9, 'Politics & Government')) "
+             "AS dim(label, label_name)")
+
+SCAN_CORPUS = """
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+INPUT_CHECKS = """
+WITH e(c) AS (VALUES ('de'), ('en'), ('es'), ('fr')),
+s AS (
+  SELECT (SELECT count(*) FROM documents) AS n_rows,
+         (SELECT count(DISTINCT lang) FROM documents) AS n_classes,
+         (SELECT count(*) FROM e WHERE c NOT IN (SELECT lang FROM documents WHERE lang IS NOT NULL)) AS n_missing
+)
+SELECT TRUE AS has_label_column, n_rows, n_classes, CAST(4 AS BIGINT) AS n_expected, n_missing,
+       (n_classes = 4 AND n_missing = 0) AS ok
+FROM s
+"""
+
+COMBINE_TEXT = """
+SELECT a.conv_id, a.turn, coalesce(a.text, '') || ' ' || coalesce(b.text, '') AS text
+FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
+"""
+
+LABEL_NAMES = f"""
+SELECT e.vec_id, e.label, dim.label_name FROM embeddings e LEFT JOIN {LABEL_DIM} ON e.label = dim.label
+"""
+
+CLEAN_TEXT = with_ctes(CORPUS_CTE) + """
+SELECT doc_id, array_to_string(tokens, ' ') AS clean_text, CAST(len(tokens) AS BIGINT) AS n_tokens FROM corpus
+"""
+
+STRIP_URLS = f"""
+SELECT page_id, {normalize_sql("'see ' || url || ' end'")} AS url_text, {normalize_sql('html')} AS html_text FROM pages
+"""
+
+BIGRAMS = with_ctes(CORPUS_CTE) + f"""
+SELECT doc_id, CAST(len({ngrams_sql('tokens', 2)}) AS BIGINT) AS n_bigrams,
+       array_to_string({ngrams_sql('tokens', 2)}, '|') AS bigrams
+FROM corpus
+"""
+
+LENGTHS_CTE = f"""lengths AS (
+  SELECT doc_id, CAST(len({ws_tokens_sql('text')}) AS BIGINT) AS raw_len,
+         CAST(len({clean_tokens_sql('text')}) AS BIGINT) AS clean_len
+  FROM documents
+)"""
+
+TEXT_LENGTHS = with_ctes(LENGTHS_CTE) + "SELECT doc_id, raw_len, clean_len FROM lengths"
+
+_CONTENT = f"tokens[1:{WINDOW_LENGTH - 2}]"
+TOKEN_WINDOW = with_ctes(CORPUS_CTE) + f"""
+, w AS (
+  SELECT doc_id, len({_CONTENT}) AS n,
+         ['{CLS_TOKEN}'] || {_CONTENT} || ['{SEP_TOKEN}']
+           || list_transform(range({WINDOW_LENGTH - 2} - len({_CONTENT})), lambda i: '{PAD_TOKEN}') AS win
+  FROM corpus
+)
+SELECT doc_id, CAST(n + 2 AS BIGINT) AS mask_sum, array_to_string(win, ' ') AS window_text,
+       repeat('1', n + 2) || repeat('0', {WINDOW_LENGTH - 2} - n) AS mask_text
+FROM w
+"""
+
+CLASS_COUNTS = "SELECT lang, count(*) AS n FROM documents GROUP BY lang"
+
+SAMPLE_PEEK = "SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT 3"
+
+STRATIFIED_SAMPLE = f"""
+SELECT doc_id, lang FROM (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {key_sql('doc_id')}, doc_id) AS rn
+  FROM documents
+) WHERE rn <= 50
+"""
+
+_SPLIT_ONLY = with_ctes("corpus AS (SELECT doc_id, lang AS label, [] AS tokens FROM documents)", SPLIT_CTE)
+STRATIFIED_SPLIT = _SPLIT_ONLY + "SELECT doc_id, label AS lang, split FROM split"
+
+TERM_STATS = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
+SELECT s.term, CAST(s.tf AS BIGINT) AS tf, CAST(s.df AS BIGINT) AS df
+FROM voc_st s, voc_ntrain t WHERE s.df >= 2 AND s.df <= 0.95 * t.n
+"""
+
+VOCABULARY_TOPK = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + "SELECT term, term_id, tf, df FROM voc"
+
+BOW = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
+SELECT g.doc_id, g.split, v.term_id, count(*) AS count
+FROM (SELECT doc_id, split, unnest(tokens) AS term FROM split) g JOIN voc v ON g.term = v.term
+GROUP BY g.doc_id, g.split, v.term_id
+"""
+
+TFIDF_BIGRAMS = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 2), tfidf_cte("tw", "voc", 2)) + """
+SELECT doc_id, split, term_id, round(weight, 6) AS weight FROM tw
+"""
+
+UNIFORM_SAMPLE = f"""
+SELECT doc_id, lang FROM documents ORDER BY {key_sql('doc_id')}, doc_id LIMIT 2000
+"""
+
+_LONG_LENGTHS = """long AS (
+  SELECT 'raw_len' AS kind, CAST(raw_len AS DOUBLE) AS x FROM lengths
+  UNION ALL SELECT 'clean_len', CAST(clean_len AS DOUBLE) FROM lengths
+)"""
+
+LENGTH_HISTOGRAM = with_ctes(LENGTHS_CTE, _LONG_LENGTHS) + """
+, rng AS (
+  SELECT kind, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+               CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi
+  FROM long GROUP BY kind
+), binned AS (
+  SELECT l.kind, least(CAST(floor((l.x - r.lo) * (50.0 / (r.hi - r.lo))) AS INTEGER), 49) AS bin, count(*) AS c
+  FROM long l JOIN rng r USING (kind) GROUP BY ALL
+), grid AS (
+  SELECT kind, lo, hi, CAST(b.range AS INTEGER) AS bin FROM rng, range(50) b
+)
+SELECT g.kind, g.bin, round(g.lo + g.bin * ((g.hi - g.lo) / 50.0), 6) AS lo,
+       round(g.lo + (g.bin + 1) * ((g.hi - g.lo) / 50.0), 6) AS hi, CAST(coalesce(b.c, 0) AS BIGINT) AS n
+FROM grid g LEFT JOIN binned b ON g.kind = b.kind AND g.bin = b.bin
+"""
+
+LENGTH_MEDIAN = with_ctes(LENGTHS_CTE, _LONG_LENGTHS) + "SELECT kind, median(x) AS median FROM long GROUP BY kind"
+
+TOP_WORDS_BY_CLASS = with_ctes(CORPUS_CTE) + """
+, c AS (
+  SELECT label, word, count(*) AS n FROM (SELECT label, unnest(tokens) AS word FROM corpus) GROUP BY label, word
+)
+SELECT label AS lang, CAST(rn AS INTEGER) AS rank, word, CAST(n AS BIGINT) AS n FROM (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, word ASC) AS rn FROM c
+) WHERE rn <= 80
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "top_terms_by_class": TOP_TERMS_BY_CLASS,
+        "scan_corpus": SCAN_CORPUS,
+        "input_checks": INPUT_CHECKS,
+        "combine_text": COMBINE_TEXT,
+        "label_names": LABEL_NAMES,
+        "clean_text": CLEAN_TEXT,
+        "strip_urls": STRIP_URLS,
+        "bigrams": BIGRAMS,
+        "text_lengths": TEXT_LENGTHS,
+        "token_window": TOKEN_WINDOW,
+        "class_counts": CLASS_COUNTS,
+        "sample_peek": SAMPLE_PEEK,
+        "stratified_sample": STRATIFIED_SAMPLE,
+        "stratified_split": STRATIFIED_SPLIT,
+        "term_stats": TERM_STATS,
+        "vocabulary_topk": VOCABULARY_TOPK,
+        "bow": BOW,
+        "tfidf_bigrams": TFIDF_BIGRAMS,
+        "uniform_sample": UNIFORM_SAMPLE,
+        "length_histogram": LENGTH_HISTOGRAM,
+        "length_median": LENGTH_MEDIAN,
+        "top_words_by_class": TOP_WORDS_BY_CLASS,
     }

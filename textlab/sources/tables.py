@@ -50,11 +50,33 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Text tables whose per-row work (regex cleaning, tokenising) is CPU heavy, with their key.
+TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    return reader.parquet(table_path(sf_dir, name))
+    df = reader.parquet(table_path(sf_dir, name))
+    if spread and name in TEXT_TABLE_KEYS:
+        df = spread_scan(df, TEXT_TABLE_KEYS[name])
+    return df
+
+
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute a scan by its key when it has fewer partitions than the cluster has cores.
+
+    A file written as one row group is read by one task; the text work after
+    it would then use one core.  On large inputs the scan already has more
+    partitions than cores and this is a no-op (no shuffle is added).  When
+    it does apply, the rows end up hash-partitioned by the key, so later
+    per-document aggregations and windows reuse that partitioning.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(max(cores, 1), key)
+    return df
 
 
 def corpus(spark: SparkSession, sf_dir: str, label_col: str = "lang") -> DataFrame:
