@@ -33,8 +33,8 @@ def duck_connect(sf_dir: str):
 
 
 def _norm(v):
-    if isinstance(v, float) and math.isnan(v):
-        return "nan"
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else repr(v)
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     return v

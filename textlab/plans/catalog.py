@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import report, sampling, vectorize
-from ..operators.common import r6
+from ..operators import embed, metrics, models, neighbors, reduce, report, sampling, vectorize
+from ..operators.common import r6, stage
 from ..sources.tables import read_table
-from .corpus import CLASS_COLUMN, cleaned_corpus, split_corpus, train_part
+from .corpus import (CLASS_COLUMN, cleaned_corpus, fixture_word_vectors, split_corpus, train_part,
+                     vector_split)
 
 # The corpus' expected class set for the input checks.
 EXPECTED_CLASSES = ("de", "en", "es", "fr")
@@ -202,6 +203,108 @@ def top_terms_by_class(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFra
     return report.top_terms_by_weight(weights, vocab, "label", k).withColumnRenamed("label", "lang")
 
 
+def word_vector_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean word vector of each document's cleaned tokens; zeros without a known word."""
+    docs = cleaned_corpus(spark, sf_dir)
+    wv = fixture_word_vectors(spark, sf_dir)
+    return embed.long_vectors(embed.mean_word_vectors(docs, wv), "doc_id", "vec")
+
+
+def _pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = cleaned_corpus(spark, sf_dir)
+    wv = fixture_word_vectors(spark, sf_dir)
+    states, masks = embed.window_token_states(docs, wv)
+    return embed.pool_token_states(states, masks, embed.vector_width(wv))
+
+
+def masked_mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked mean over the 128-slot token states."""
+    return embed.long_vectors(_pooled(spark, sf_dir), "doc_id", "mean")
+
+
+def first_token_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of the first slot (the [CLS] token)."""
+    return embed.long_vectors(_pooled(spark, sf_dir), "doc_id", "first")
+
+
+def encode_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch encoder over the cleaned corpus (64 texts per batch), both poolings.
+
+    The default encoder reads the word-vector table from shared storage,
+    once per Python worker, the way model weights would be loaded.
+    """
+    docs = cleaned_corpus(spark, sf_dir)
+    wv = stage(fixture_word_vectors(spark, sf_dir).select("word", "vec").coalesce(1), "word_vectors")
+    path = wv.inputFiles()[0].rsplit("/", 1)[0]
+    out = embed.encode_documents(docs, lambda: embed.WordVectorEncoder(path))
+    z = out.select("doc_id", F.posexplode(F.arrays_zip("first", "mean")).alias("dim", "_z"))
+    return z.select("doc_id", "dim", F.round("_z.first", 6).alias("first_value"),
+                    F.round("_z.mean", 6).alias("mean_value"))
+
+
+def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = vector_split(spark, sf_dir)
+    return neighbors.knn(v.where("split = 'train'"), v.where("split = 'test'"))
+
+
+def knn_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 most cosine-similar train vectors of each test vector."""
+    return _knn(spark, sf_dir).select("query_id", "rank", "train_id", "train_label", r6("sim").alias("sim"))
+
+
+def _knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = vector_split(spark, sf_dir)
+    pred = neighbors.vote(_knn(spark, sf_dir))
+    truth = v.where("split = 'test'").select(F.col("vec_id").alias("query_id"), F.col("label").alias("true_label"))
+    return pred.join(truth, "query_id").select("query_id", "true_label", "pred_label")
+
+
+def knn_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5-NN majority vote (ties -> smallest label)."""
+    return _knn_predictions(spark, sf_dir)
+
+
+def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: confusion cells of the k-NN predictions (zero cells kept)."""
+    return metrics.confusion(_knn_predictions(spark, sf_dir), [])
+
+
+def metric_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy, weighted precision/recall/F1, macro F1 of the k-NN predictions."""
+    return metrics.metric_bundle(_knn_predictions(spark, sf_dir), [])
+
+
+def class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-class report with accuracy, macro and weighted rows."""
+    return metrics.class_report(_knn_predictions(spark, sf_dir), [])
+
+
+def _assigned(spark: SparkSession, sf_dir: str):
+    v = vector_split(spark, sf_dir)
+    # one centre per label: a k x d table collected to build a literal (bounded by k)
+    centers = [r["center"] for r in models.label_means(v.where("split = 'train'")).orderBy("label").collect()]
+    a = v.select("vec_id", "label", "split",
+                 models.nearest_centroid(F.transform("embedding", lambda x: x.cast("double")),
+                                         models.centroid_literal(centers)).alias("cluster"))
+    return a, len(centers)
+
+
+def cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest centroid (centroids = train mean per label) for every vector."""
+    return _assigned(spark, sf_dir)[0].select("vec_id", "split", "cluster")
+
+
+def cluster_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Majority train label per cluster; ties -> smallest label; empty cluster -> 0."""
+    a, k = _assigned(spark, sf_dir)
+    return models.cluster_majority(a.where("split = 'train'"), k)
+
+
+def variance_ratio_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explained-variance ratios with the coordinate axes as components, cumulative, k95."""
+    return reduce.axis_variance_ratios(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "top_terms_by_class": top_terms_by_class,
     "scan_corpus": scan_corpus,
@@ -225,4 +328,16 @@ QUERIES = {
     "length_histogram": length_histogram,
     "length_median": length_median,
     "top_words_by_class": top_words_by_class,
+    "word_vector_mean": word_vector_mean,
+    "masked_mean_pool": masked_mean_pool,
+    "first_token_pool": first_token_pool,
+    "encode_batches": encode_batches,
+    "knn_neighbors": knn_neighbors,
+    "knn_predict": knn_predict,
+    "confusion_matrix": confusion_matrix,
+    "metric_bundle": metric_bundle,
+    "class_report": class_report,
+    "cluster_assign": cluster_assign,
+    "cluster_majority": cluster_majority,
+    "variance_ratio_axes": variance_ratio_axes,
 }

@@ -33,3 +33,19 @@ def split_corpus(spark: SparkSession, sf_dir: str, label_col: str = CLASS_COLUMN
 
 def train_part(split_df: DataFrame) -> DataFrame:
     return split_df.where(F.col("split") == "train")
+
+
+TEST_EVERY = 5
+
+
+def vector_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vec_id, label, embedding, split``: the dense vector table with a fixed split (test = vec_id % 5 = 0)."""
+    v = read_table(spark, sf_dir, "embeddings")
+    return v.withColumn("split", F.when(F.col("vec_id") % TEST_EVERY == 0, "test").otherwise("train"))
+
+
+def fixture_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(word, vec array<float>)``: the i-th most frequent cleaned term gets ``embeddings.vec_id = i``."""
+    from ..operators.embed import rank_terms_to_vectors
+
+    return rank_terms_to_vectors(cleaned_corpus(spark, sf_dir), read_table(spark, sf_dir, "embeddings"))

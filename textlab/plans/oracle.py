@@ -253,6 +253,155 @@ SELECT label AS lang, CAST(rn AS INTEGER) AS rank, word, CAST(n AS BIGINT) AS n
 """
 
 
+WV_CTE = """wv_tf AS (
+  SELECT word, count(*) AS tf FROM (SELECT unnest(tokens) AS word FROM corpus) GROUP BY word
+), wv AS (
+  SELECT r.word, e.embedding AS vec
+  FROM (SELECT word, row_number() OVER (ORDER BY tf DESC, word ASC) - 1 AS rk FROM wv_tf) r
+  JOIN embeddings e ON e.vec_id = r.rk
+), dims AS (
+  SELECT DISTINCT CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim FROM embeddings
+)"""
+
+WORD_VECTOR_MEAN = with_ctes(CORPUS_CTE, WV_CTE) + """
+, hv AS (SELECT o.doc_id, w.vec FROM (SELECT doc_id, unnest(tokens) AS word FROM corpus) o JOIN wv w ON o.word = w.word)
+, el AS (SELECT doc_id, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS dim, CAST(unnest(vec) AS DOUBLE) AS v FROM hv)
+, m AS (SELECT doc_id, dim, avg(v) AS mv FROM el GROUP BY doc_id, dim)
+SELECT c.doc_id, d.dim, round(coalesce(m.mv, 0.0), 6) + 0.0 AS value
+FROM corpus c CROSS JOIN dims d LEFT JOIN m ON m.doc_id = c.doc_id AND m.dim = d.dim
+"""
+
+_POOL = with_ctes(CORPUS_CTE, WV_CTE) + f"""
+, win AS (SELECT doc_id, tokens[1:{WINDOW_LENGTH - 2}] AS content FROM corpus)
+, hv AS (SELECT o.doc_id, w.vec FROM (SELECT doc_id, unnest(content) AS word FROM win) o JOIN wv w ON o.word = w.word)
+, el AS (SELECT doc_id, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS dim, CAST(unnest(vec) AS DOUBLE) AS v FROM hv)
+, sm AS (SELECT doc_id, dim, sum(v) AS sv FROM el GROUP BY doc_id, dim)
+, pooled AS (
+  SELECT w.doc_id, d.dim, CAST(0.0 AS DOUBLE) AS first_value,
+         round(coalesce(sm.sv, 0.0) / (len(w.content) + 2), 6) + 0.0 AS mean_value
+  FROM win w CROSS JOIN dims d LEFT JOIN sm ON sm.doc_id = w.doc_id AND sm.dim = d.dim
+)
+"""
+
+MASKED_MEAN_POOL = _POOL + "SELECT doc_id, dim, mean_value AS value FROM pooled"
+FIRST_TOKEN_POOL = _POOL + "SELECT doc_id, dim, first_value AS value FROM pooled"
+ENCODE_BATCHES = _POOL + "SELECT doc_id, dim, first_value, mean_value FROM pooled"
+
+V_CTE = """v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, CASE WHEN vec_id % 5 = 0 THEN 'test' ELSE 'train' END AS split
+  FROM embeddings
+), tr AS (SELECT * FROM v WHERE split = 'train'), te AS (SELECT * FROM v WHERE split = 'test')"""
+
+KNN_CTE = """pairs AS (
+  SELECT te.vec_id AS query_id, tr.vec_id AS train_id, tr.label AS train_label,
+         CASE WHEN list_dot_product(te.e, te.e) = 0 OR list_dot_product(tr.e, tr.e) = 0 THEN 0.0
+              ELSE list_dot_product(te.e, tr.e) / (sqrt(list_dot_product(te.e, te.e)) * sqrt(list_dot_product(tr.e, tr.e)))
+         END AS sim
+  FROM te, tr
+), nn AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 9) DESC, train_id) AS rank FROM pairs
+  ) WHERE rank <= 5
+), votes AS (
+  SELECT query_id, train_label, count(*) AS n FROM nn GROUP BY query_id, train_label
+), pred AS (
+  SELECT p.query_id, te.label AS true_label, p.train_label AS pred_label FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, train_label) AS r FROM votes
+  ) p JOIN te ON te.vec_id = p.query_id WHERE p.r = 1
+), per_class AS (
+  SELECT label, CAST(sum(t) AS BIGINT) AS support, CAST(sum(p) AS BIGINT) AS predicted, CAST(sum(tp) AS BIGINT) AS tp
+  FROM (SELECT true_label AS label, 1 AS t, 0 AS p, CAST(true_label = pred_label AS INTEGER) AS tp FROM pred
+        UNION ALL SELECT pred_label, 0, 1, 0 FROM pred)
+  GROUP BY label
+), pcm AS (
+  SELECT label, support, predicted, tp,
+         CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+         CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
+         CASE WHEN support + predicted > 0 THEN 2.0 * tp / (support + predicted) ELSE 0.0 END AS f1
+  FROM per_class
+)"""
+
+_KNN = with_ctes(V_CTE, KNN_CTE)
+
+KNN_NEIGHBORS = _KNN + """
+SELECT query_id, CAST(rank AS INTEGER) AS rank, train_id, train_label, round(sim, 6) + 0.0 AS sim FROM nn
+"""
+
+KNN_PREDICT = _KNN + "SELECT query_id, true_label, pred_label FROM pred"
+
+CONFUSION_MATRIX = _KNN + """
+, labels AS (SELECT DISTINCT label FROM per_class)
+, cnt AS (SELECT true_label, pred_label, count(*) AS n FROM pred GROUP BY ALL)
+SELECT a.label AS true_label, b.label AS pred_label, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n
+FROM labels a CROSS JOIN labels b LEFT JOIN cnt ON cnt.true_label = a.label AND cnt.pred_label = b.label
+"""
+
+METRIC_BUNDLE = _KNN + """
+SELECT round(sum(tp) / sum(support), 6) AS accuracy,
+       round(sum(support * precision) / sum(support), 6) AS precision,
+       round(sum(support * recall) / sum(support), 6) AS recall,
+       round(sum(support * f1) / sum(support), 6) AS f1,
+       round(avg(f1), 6) AS f1_macro
+FROM pcm
+"""
+
+CLASS_REPORT = _KNN + """
+SELECT CAST(label AS VARCHAR) AS row, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, support FROM pcm
+UNION ALL
+SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pcm
+UNION ALL
+SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT)
+FROM pcm
+UNION ALL
+SELECT 'weighted avg', round(sum(support * precision) / sum(support), 6), round(sum(support * recall) / sum(support), 6),
+       round(sum(support * f1) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pcm
+"""
+
+CLUSTER_CTE = """cm AS (
+  SELECT label, dim, avg(x) AS mu FROM (
+    SELECT label, generate_subscripts(e, 1) - 1 AS dim, unnest(e) AS x FROM tr
+  ) GROUP BY label, dim
+), cl AS (
+  SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster, center FROM (
+    SELECT label, list(mu ORDER BY dim) AS center FROM cm GROUP BY label
+  )
+), dist AS (
+  SELECT v.vec_id, v.label, v.split, cl.cluster,
+         round(list_sum(list_transform(list_zip(v.e, cl.center), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 9) AS d
+  FROM v, cl
+), assigned AS (
+  SELECT vec_id, label, split, cluster FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) AS r FROM dist
+  ) WHERE r = 1
+)"""
+
+CLUSTER_ASSIGN = with_ctes(V_CTE, CLUSTER_CTE) + "SELECT vec_id, split, cluster FROM assigned"
+
+CLUSTER_MAJORITY = with_ctes(V_CTE, CLUSTER_CTE) + """
+, c AS (SELECT cluster, label, count(*) AS n FROM assigned WHERE split = 'train' GROUP BY cluster, label)
+, top AS (SELECT cluster, label, n FROM (
+    SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, label) AS r FROM c) WHERE r = 1)
+SELECT cl.cluster, CAST(coalesce(top.label, 0) AS INTEGER) AS label, CAST(coalesce(top.n, 0) AS BIGINT) AS n
+FROM cl LEFT JOIN top ON top.cluster = cl.cluster
+"""
+
+VARIANCE_RATIO_AXES = """
+WITH el AS (
+  SELECT generate_subscripts(embedding, 1) - 1 AS axis, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
+), va AS (SELECT axis, var_samp(x) AS var FROM el GROUP BY axis
+), r AS (SELECT axis, var / sum(var) OVER () AS ratio FROM va
+), k AS (SELECT *, row_number() OVER (ORDER BY round(ratio, 9) DESC, axis) AS component FROM r
+), c AS (SELECT *, sum(ratio) OVER (ORDER BY component ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative
+         FROM k)
+SELECT CAST(component AS INTEGER) AS component, CAST(axis AS INTEGER) AS axis, round(ratio, 6) AS ratio,
+       round(cumulative, 6) AS cumulative,
+       CAST(least(coalesce(min(CASE WHEN cumulative >= 0.95 THEN component END) OVER (), max(component) OVER () + 1),
+                  max(component) OVER ()) AS INTEGER) AS k95
+FROM c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "top_terms_by_class": TOP_TERMS_BY_CLASS,
@@ -277,4 +426,16 @@ def oracle_sql() -> dict[str, str]:
         "length_histogram": LENGTH_HISTOGRAM,
         "length_median": LENGTH_MEDIAN,
         "top_words_by_class": TOP_WORDS_BY_CLASS,
+        "word_vector_mean": WORD_VECTOR_MEAN,
+        "masked_mean_pool": MASKED_MEAN_POOL,
+        "first_token_pool": FIRST_TOKEN_POOL,
+        "encode_batches": ENCODE_BATCHES,
+        "knn_neighbors": KNN_NEIGHBORS,
+        "knn_predict": KNN_PREDICT,
+        "confusion_matrix": CONFUSION_MATRIX,
+        "metric_bundle": METRIC_BUNDLE,
+        "class_report": CLASS_REPORT,
+        "cluster_assign": CLUSTER_ASSIGN,
+        "cluster_majority": CLUSTER_MAJORITY,
+        "variance_ratio_axes": VARIANCE_RATIO_AXES,
     }
