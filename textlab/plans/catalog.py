@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import embed, metrics, models, neighbors, reduce, report, sampling, vectorize
 from ..operators.common import r6, stage
-from ..sources.tables import read_table
+from ..session import scratch_dir
+from ..sources import files
+from ..sources.tables import SCHEMAS, read_table
 from .corpus import (CLASS_COLUMN, cleaned_corpus, fixture_word_vectors, split_corpus, train_part,
                      vector_split)
 
@@ -305,6 +307,84 @@ def variance_ratio_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce.axis_variance_ratios(read_table(spark, sf_dir, "embeddings"))
 
 
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: documents through CSV (quotes, newlines, header) and back with a declared schema."""
+    docs = read_table(spark, sf_dir, "documents", spread=False).select("doc_id", "text", "lang")
+    path = scratch_dir(spark, "csv")
+    files.write_csv(docs, path)
+    schema = SCHEMAS["documents"]
+    return files.read_csv(spark, path, type(schema)([schema["doc_id"], schema["text"], schema["lang"]]))
+
+
+def word_vector_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word vectors written as a text file and parsed back (whitespace split, float32, last line wins)."""
+    wv = fixture_word_vectors(spark, sf_dir)
+    path = scratch_dir(spark, "word_vectors_txt")
+    files.write_word_vectors(wv, path)
+    back = files.read_word_vectors(spark, path)
+    return back.select("word", F.posexplode("vec").alias("dim", "_v")).select(
+        "word", "dim", F.col("_v").cast("double").alias("value"))
+
+
+def feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features (partitioned by split) and labels stored apart, reused, re-joined on the id."""
+    v = vector_split(spark, sf_dir)
+    root = scratch_dir(spark, "feature_store")
+    feats = files.reuse_or_compute(spark, f"{root}/features", lambda: v.select(
+        "vec_id", "split", F.transform("embedding", lambda x: x.cast("double")).alias("features")), ("split",))
+    labels = files.reuse_or_compute(spark, f"{root}/labels", lambda: v.select("vec_id", "label"))
+    # second call finds the completed stage and reads it instead of recomputing
+    feats = files.reuse_or_compute(spark, f"{root}/features", lambda: None, ("split",))
+    joined = feats.join(labels, "vec_id")
+    return joined.select("vec_id", "split", "label", F.posexplode("features").alias("dim", "value"))
+
+
+def vectorizer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted unigram vocabulary (with idf) persisted as a table and as an ML model, reloaded."""
+    train = train_part(split_corpus(spark, sf_dir))
+    vocab = vectorize.fit_vocabulary(train, n=1)
+    root = scratch_dir(spark, "vectorizer")
+    files.write_table(vocab, f"{root}/vocabulary")
+    back = files.read_table_at(spark, f"{root}/vocabulary")
+    files.save_count_vectorizer(back, f"{root}/count_vectorizer")
+    return back.select("term", "term_id", "tf", "df", r6("idf").alias("idf"))
+
+
+def _centroid_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 on exact centroids: nearest label-mean centroid, then the cluster's majority train label."""
+    a, k = _assigned(spark, sf_dir)
+    majority = models.cluster_majority(a.where("split = 'train'"), k).select(
+        "cluster", F.col("label").alias("pred_label"))
+    test = a.where("split = 'test'").select(F.col("vec_id").alias("query_id"),
+                                            F.col("label").alias("true_label"), "cluster")
+    return test.join(F.broadcast(majority), "cluster").select("query_id", "true_label", "pred_label")
+
+
+METRIC_NAMES = ("accuracy", "precision", "recall", "f1", "f1_macro")
+
+
+def _exact_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    knn = _knn_predictions(spark, sf_dir).withColumn("model", F.lit("KNN"))
+    cen = _centroid_predictions(spark, sf_dir).withColumn("model", F.lit("NearestCentroid"))
+    return knn.unionByName(cen).withColumn("feature_set", F.lit("VECTORS"))
+
+
+def tidy_metrics(pred: DataFrame, group_cols: list[str]) -> DataFrame:
+    m = metrics.metric_bundle(pred, group_cols)
+    return m.select(*group_cols, F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))
+                                                      for c in METRIC_NAMES])).alias("_m")).select(
+        *group_cols, "_m.metric", "_m.value")
+
+
+def results_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and confusion matrices exported as nested JSON, reloaded as a tidy table."""
+    pred = _exact_predictions(spark, sf_dir)
+    g = ["feature_set", "model"]
+    path = scratch_dir(spark, "results_json")
+    files.export_results(tidy_metrics(pred, g), metrics.confusion(pred, g), path)
+    return files.read_results(spark, path)
+
+
 QUERIES = {
     "top_terms_by_class": top_terms_by_class,
     "scan_corpus": scan_corpus,
@@ -340,4 +420,9 @@ QUERIES = {
     "cluster_assign": cluster_assign,
     "cluster_majority": cluster_majority,
     "variance_ratio_axes": variance_ratio_axes,
+    "csv_roundtrip": csv_roundtrip,
+    "word_vector_file": word_vector_file,
+    "feature_store_roundtrip": feature_store_roundtrip,
+    "vectorizer_roundtrip": vectorizer_roundtrip,
+    "results_export": results_export,
 }

@@ -402,6 +402,55 @@ FROM c
 """
 
 
+CSV_ROUNDTRIP = "SELECT doc_id, text, lang FROM documents"
+
+WORD_VECTOR_FILE = with_ctes(CORPUS_CTE, WV_CTE) + """
+SELECT word, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS dim, CAST(unnest(vec) AS DOUBLE) AS value FROM wv
+"""
+
+FEATURE_STORE_ROUNDTRIP = """
+SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN 'test' ELSE 'train' END AS split, label,
+       CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim, CAST(unnest(embedding) AS DOUBLE) AS value
+FROM embeddings
+"""
+
+VECTORIZER_ROUNDTRIP = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
+SELECT term, term_id, tf, df, round(idf, 6) AS idf FROM voc
+"""
+
+RESULTS_EXPORT = with_ctes(V_CTE, KNN_CTE, CLUSTER_CTE) + """
+, cmaj AS (
+  SELECT cluster, label FROM (
+    SELECT cluster, label, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, label) AS r FROM (
+      SELECT cluster, label, count(*) AS n FROM assigned WHERE split = 'train' GROUP BY cluster, label)
+  ) WHERE r = 1
+), cmap AS (SELECT cl.cluster, coalesce(cmaj.label, 0) AS label FROM cl LEFT JOIN cmaj USING (cluster)
+), allpred AS (
+  SELECT 'KNN' AS model, true_label, pred_label FROM pred
+  UNION ALL
+  SELECT 'NearestCentroid', a.label, m.label FROM assigned a JOIN cmap m USING (cluster) WHERE a.split = 'test'
+), pc AS (
+  SELECT model, label, sum(t) AS support, sum(p) AS predicted, sum(tp) AS tp FROM (
+    SELECT model, true_label AS label, 1 AS t, 0 AS p, CAST(true_label = pred_label AS INTEGER) AS tp FROM allpred
+    UNION ALL SELECT model, pred_label, 0, 1, 0 FROM allpred) GROUP BY model, label
+), pcm2 AS (
+  SELECT model, support, tp,
+         CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+         CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
+         CASE WHEN support + predicted > 0 THEN 2.0 * tp / (support + predicted) ELSE 0.0 END AS f1
+  FROM pc
+), m AS (
+  SELECT model, round(sum(tp) / sum(support), 6) AS accuracy,
+         round(sum(support * precision) / sum(support), 6) AS precision,
+         round(sum(support * recall) / sum(support), 6) AS recall,
+         round(sum(support * f1) / sum(support), 6) AS f1, round(avg(f1), 6) AS f1_macro
+  FROM pcm2 GROUP BY model
+)
+SELECT 'VECTORS' AS feature_set, model, metric, value FROM m
+UNPIVOT (value FOR metric IN (accuracy, precision, recall, f1, f1_macro))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "top_terms_by_class": TOP_TERMS_BY_CLASS,
@@ -438,4 +487,9 @@ def oracle_sql() -> dict[str, str]:
         "cluster_assign": CLUSTER_ASSIGN,
         "cluster_majority": CLUSTER_MAJORITY,
         "variance_ratio_axes": VARIANCE_RATIO_AXES,
+        "csv_roundtrip": CSV_ROUNDTRIP,
+        "word_vector_file": WORD_VECTOR_FILE,
+        "feature_store_roundtrip": FEATURE_STORE_ROUNDTRIP,
+        "vectorizer_roundtrip": VECTORIZER_ROUNDTRIP,
+        "results_export": RESULTS_EXPORT,
     }
