@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -87,3 +88,146 @@ def pca_fit_project(train: DataFrame, others: list[DataFrame], k: int, vec_col:
         return p.withColumn(vec_col, F.zip_with(arr, sgn, lambda a, b: a * b)).drop("_v", "_c", "_p")
 
     return project(train), [project(o) for o in others], ratios
+
+
+# ---------------------------------------------------------------------------
+# Truncated SVD of a sparse matrix (uncentred), randomized subspace iteration
+#
+# A is n x d in packed rows (doc_id, indices, values); d <= the vocabulary cap.
+# Each pass computes Z = A^T (A W) for a broadcast d x l block W: every task
+# folds its rows into a dense d x l partial with numpy, emits it as row
+# blocks, and the partials are summed per block by a JVM ``Summarizer``
+# aggregate.  Only d x l numbers reach the driver (QR there), never rows of A.
+
+SVD_OVERSAMPLES = 10
+SVD_POWER_ITERATIONS = 5
+SVD_SEED = 42
+_BLOCK_TERMS = 64
+_CHUNK_NNZ = 1 << 15
+
+
+def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
+    """Z = A^T A W for the packed sparse rows; W is d x l (broadcast)."""
+    spark = packed.sparkSession
+    d, l = W.shape
+    bw = spark.sparkContext.broadcast(W)
+    n_blocks = math.ceil(d / _BLOCK_TERMS)
+
+    def fold(batches):
+        Wl = bw.value
+        Z = np.zeros((d, l))
+        touched = False
+        for pdf in batches:
+            idx_lists, val_lists = pdf["indices"].tolist(), pdf["values"].tolist()
+            start = 0
+            while start < len(idx_lists):
+                stop, nnz = start, 0
+                while stop < len(idx_lists) and (nnz == 0 or nnz + len(idx_lists[stop]) <= _CHUNK_NNZ):
+                    nnz += len(idx_lists[stop])
+                    stop += 1
+                lens = np.array([len(x) for x in idx_lists[start:stop]])
+                if lens.sum() > 0:
+                    idx = np.concatenate([np.asarray(x, dtype=np.int64) for x in idx_lists[start:stop]])
+                    val = np.concatenate([np.asarray(x, dtype=np.float64) for x in val_lists[start:stop]])
+                    rows = np.repeat(np.arange(len(lens)), lens)
+                    nz = np.nonzero(lens)[0]
+                    offs = (np.cumsum(lens) - lens)[nz]
+                    Y = np.zeros((len(lens), l))
+                    Y[nz] = np.add.reduceat(val[:, None] * Wl[idx], offs, axis=0)   # rows of A W
+                    order = np.argsort(idx, kind="stable")
+                    uniq, starts = np.unique(idx[order], return_index=True)
+                    back = (val[:, None] * Y[rows])[order]
+                    Z[uniq] += np.add.reduceat(back, starts, axis=0)                 # A^T (A W)
+                    touched = True
+                start = stop
+        if touched:
+            for b in range(n_blocks):
+                blk = Z[b * _BLOCK_TERMS:(b + 1) * _BLOCK_TERMS]
+                yield pd.DataFrame({"block": [b], "z": [blk.ravel()]})
+
+    parts = packed.select("indices", "values").mapInPandas(fold, "block int, z array<double>")
+    summed = (parts.groupBy("block").agg(Summarizer.sum(array_to_vector("z")).alias("s"))
+              .select("block", vector_to_array("s").alias("s")).collect())
+    bw.unpersist()
+    Z = np.zeros((d, l))
+    for r in summed:
+        b = r["block"]
+        rows = min(_BLOCK_TERMS, d - b * _BLOCK_TERMS)
+        Z[b * _BLOCK_TERMS: b * _BLOCK_TERMS + rows] = np.asarray(r["s"]).reshape(rows, l)
+    return Z
+
+
+def _fix_signs(V: np.ndarray) -> np.ndarray:
+    signs = np.sign(V[np.abs(V).argmax(axis=0), np.arange(V.shape[1])])
+    signs[signs == 0] = 1.0
+    return V * signs
+
+
+def truncated_svd(packed: DataFrame, d: int, k: int, n_rows: int, col_stats: tuple | None = None,
+                  oversamples: int = SVD_OVERSAMPLES, power_iterations: int = SVD_POWER_ITERATIONS,
+                  seed: int = SVD_SEED) -> dict:
+    """Top-k right singular vectors of the sparse n x d matrix (uncentred, like TruncatedSVD).
+
+    Returns ``{"components": d x k, "singular_values": k, "ratios": k}``; the
+    explained-variance ratios use column means/squares ``col_stats = (sum,
+    sum_sq)`` (length-d arrays) and ``n_rows`` (documents, empty ones included).
+    """
+    packed = packed.persist()
+    k = max(1, min(k, d, n_rows))
+    l = min(d, k + oversamples)
+    rng = np.random.default_rng(seed)
+    W = np.linalg.qr(rng.standard_normal((d, l)))[0]
+    for _ in range(power_iterations):
+        W = np.linalg.qr(_gram_pass(packed, W))[0]
+    Z = _gram_pass(packed, W)
+    G = W.T @ Z
+    G = (G + G.T) / 2
+    lam, S = np.linalg.eigh(G)
+    order = np.argsort(lam)[::-1][:k]
+    lam = np.clip(lam[order], 0.0, None)
+    V = _fix_signs(W @ S[:, order])
+    out = {"components": V, "singular_values": np.sqrt(lam)}
+    if col_stats is not None:
+        s1, s2 = (np.asarray(x, dtype=np.float64) for x in col_stats)
+        mu = s1 / n_rows
+        total = float((s2 / n_rows - mu * mu).sum())
+        proj_var = lam / n_rows - (mu @ V) ** 2
+        out["ratios"] = proj_var / total if total > 0 else np.zeros_like(proj_var)
+    packed.unpersist()
+    return out
+
+
+def column_stats(long_df: DataFrame, d: int, value_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Per-column sum and sum of squares of a long sparse matrix (d rows reach the driver)."""
+    rows = long_df.groupBy("term_id").agg(F.sum(value_col).alias("s1"),
+                                          F.sum(F.col(value_col) * F.col(value_col)).alias("s2")).collect()
+    s1, s2 = np.zeros(d), np.zeros(d)
+    for r in rows:
+        s1[r["term_id"]], s2[r["term_id"]] = r["s1"], r["s2"]
+    return s1, s2
+
+
+def project_sparse(packed: DataFrame, components: np.ndarray, id_cols: list[str]) -> DataFrame:
+    """X V for packed sparse rows -> ``(*id_cols, features array<double>)``; rows without entries -> zeros."""
+    spark = packed.sparkSession
+    bv = spark.sparkContext.broadcast(np.ascontiguousarray(components))
+    k = components.shape[1]
+
+    def proj(batches):
+        import pandas as pd
+
+        V = bv.value
+        for pdf in batches:
+            feats = []
+            for idx, val in zip(pdf["indices"].tolist(), pdf["values"].tolist()):
+                if idx is None or len(idx) == 0:
+                    feats.append(np.zeros(k))
+                else:
+                    feats.append(np.asarray(val, dtype=np.float64) @ V[np.asarray(idx, dtype=np.int64)])
+            out = pdf[id_cols].copy()
+            out["features"] = feats
+            yield out
+
+    schema = ", ".join(f"{c} {packed.schema[c].dataType.simpleString()}" for c in id_cols) + \
+        ", features array<double>"
+    return packed.select(*id_cols, "indices", "values").mapInPandas(proj, schema)

@@ -385,6 +385,94 @@ def results_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_results(spark, path)
 
 
+def _vector_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = vector_split(spark, sf_dir)
+    return v.select(F.col("vec_id").alias("doc_id"), "split", "label",
+                    F.transform("embedding", lambda x: x.cast("double")).alias("features"))
+
+
+def svd_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram counts reduced by truncated SVD fitted on train (k by the 95% rule, cap 300)."""
+    from .features import feature_set
+
+    f = feature_set(spark, sf_dir, "BOW_SVD")
+    return f.select("doc_id", "split", "label", F.size("features").alias("n_components"), "features")
+
+
+def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dense vectors, centred PCA fitted on train (k by the 95% rule, cap 100)."""
+    from .features import dense_pca
+
+    out, _ = dense_pca(_vector_features(spark, sf_dir))
+    return out.select(F.col("doc_id").alias("vec_id"), "split", "label",
+                      F.size("features").alias("n_components"), "features")
+
+
+def variance_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative explained variance on the 20-point grid, from one fit per feature set."""
+    from .features import dense_pca, feature_info
+
+    rows = []
+    infos = {"BOW_SVD": feature_info(spark, sf_dir, "BOW_SVD"),
+             "TFIDF_SVD": feature_info(spark, sf_dir, "TFIDF_SVD"),
+             "VECTORS_PCA": dense_pca(_vector_features(spark, sf_dir))[1]}
+    for name, info in infos.items():
+        cum = info["cumulative"]
+        for n in reduce.sweep_grid(info["max_k"]):
+            rows.append((name, int(n), float(round(cum[min(n, len(cum)) - 1], 6)), int(info["k"])))
+    return spark.createDataFrame(rows, "feature_set string, n_components int, cumulative double, k int")
+
+
+def projection_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seeded sample of min(2000, n) train vectors in 2-D (centred PCA, k = 2)."""
+    f = _vector_features(spark, sf_dir).where("split = 'train'")
+    sample = sampling.uniform_sample(f, "doc_id", UNIFORM_SAMPLE)
+    proj, _, _ = reduce.pca_fit_project(sample, [], 2, "features")
+    return proj.select(F.col("doc_id").alias("vec_id"), "label", F.col("features")[0].alias("x"),
+                       F.col("features")[1].alias("y"))
+
+
+def _model_query(model_name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from .experiments import classify
+        from .features import feature_set
+
+        pred, _ = classify(model_name, feature_set(spark, sf_dir, "BOW_SVD"))
+        return pred
+    run.__doc__ = f"M7: {model_name} on unigram counts + SVD; test predictions (doc_id, true_label, pred_label)."
+    return run
+
+
+def experiment_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: 5 feature sets x 4 models, metrics and train times as a tidy table."""
+    from .experiments import grid_results
+
+    return grid_results(spark, sf_dir)
+
+
+def metric_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature set x model grid of accuracy and macro F1 (missing experiment -> 0)."""
+    from .experiments import MODELS, grid_results
+
+    res = grid_results(spark, sf_dir).where(F.col("metric").isin("accuracy", "f1_macro"))
+    return (res.groupBy("feature_set", "metric").pivot("model", list(MODELS)).agg(F.first("value"))
+            .fillna(0.0))
+
+
+def best_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best experiment by accuracy; ties -> first in run order."""
+    from .experiments import grid_results
+
+    return report.best_combination(grid_results(spark, sf_dir))
+
+
+def train_time_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: all experiments by training time, longest first."""
+    from .experiments import grid_results
+
+    return report.train_time_ranking(grid_results(spark, sf_dir))
+
+
 QUERIES = {
     "top_terms_by_class": top_terms_by_class,
     "scan_corpus": scan_corpus,
@@ -425,4 +513,15 @@ QUERIES = {
     "feature_store_roundtrip": feature_store_roundtrip,
     "vectorizer_roundtrip": vectorizer_roundtrip,
     "results_export": results_export,
+    "svd_project": svd_project,
+    "pca_project": pca_project,
+    "variance_sweep": variance_sweep,
+    "projection_2d": projection_2d,
+    "logreg_predict": _model_query("LogisticRegression"),
+    "linear_svm_predict": _model_query("LinearSVC"),
+    "kmeans_classify": _model_query("KMeans"),
+    "experiment_grid": experiment_grid,
+    "metric_matrix": metric_matrix,
+    "best_combination": best_combination,
+    "train_time_ranking": train_time_ranking,
 }

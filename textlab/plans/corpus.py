@@ -31,6 +31,15 @@ def split_corpus(spark: SparkSession, sf_dir: str, label_col: str = CLASS_COLUMN
     return stage(marked.select("doc_id", "label", "split", clean_tokens("text").alias("tokens")), "split_corpus")
 
 
+def reused_split_corpus(spark: SparkSession, sf_dir: str, label_col: str = CLASS_COLUMN) -> DataFrame:
+    """:func:`split_corpus` written once per input folder and class column, then read back."""
+    from ..sources.files import reuse_or_compute
+    from .features import stage_path
+
+    path = stage_path(spark, sf_dir, f"split_corpus_{label_col}")
+    return reuse_or_compute(spark, path, lambda: split_corpus(spark, sf_dir, label_col))
+
+
 def train_part(split_df: DataFrame) -> DataFrame:
     return split_df.where(F.col("split") == "train")
 
