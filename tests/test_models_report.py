@@ -34,3 +34,27 @@ def test_metric_matrix_missing_is_zero(spark):
     res = spark.createDataFrame([("A", "m1", "accuracy", 0.5)], "feature_set string, model string, metric string, value double")
     row = report.metric_matrix(res, "accuracy", ["m1", "m2"]).first()
     assert row["m1"] == 0.5 and row["m2"] == 0.0
+
+
+def test_squared_hinge_svm_reaches_optimum(spark):
+    import numpy as np
+
+    from textlab.operators import svm
+
+    rng = np.random.default_rng(5)
+    X = rng.standard_normal((90, 4))
+    y = (X[:, 0] + 0.5 * X[:, 1] > 0).astype(int) + (X[:, 2] > 1).astype(int)
+    df = spark.createDataFrame([(i, [float(v) for v in x], int(t)) for i, (x, t) in enumerate(zip(X, y))],
+                               "id long, features array<double>, label int").repartition(3)
+    m = svm.fit_squared_hinge(df, c=1.0, tol=1e-8, max_iter=50)
+    Xa = np.hstack([X, np.ones((90, 1))])
+    for k, cls in enumerate(m["classes"]):
+        Y = np.where(y == cls, 1.0, -1.0)
+        w = m["weights"][k]
+        z = Xa @ w
+        act = 1 - Y * z > 0
+        grad = w + 2 * ((z - Y) * act) @ Xa
+        assert np.linalg.norm(grad) < 1e-6
+    pred = df.select("id", svm.decision_label(F.col("features"), m).alias("p")).orderBy("id").collect()
+    scores = Xa @ m["weights"].T
+    assert [r["p"] for r in pred] == list(m["classes"][scores.argmax(axis=1)])

@@ -49,7 +49,10 @@ def logistic_regression(n_train: int, max_iter: int = LOGREG_MAX_ITER, c: float
 
 
 def linear_svm(n_train: int, max_iter: int = SVM_MAX_ITER, c: float = C_PENALTY) -> OneVsRest:
-    """M2 (v1): one-vs-rest linear SVM, ``regParam = 1/(C*n)``, no standardisation (hinge loss)."""
+    """M2 (v1, kept for comparison): Spark's one-vs-rest ``LinearSVC`` (plain hinge loss, unpenalised intercept).
+
+    The registered queries use :mod:`textlab.operators.svm` (squared hinge, the reference's loss).
+    """
     svc = LinearSVC(featuresCol="_fv", labelCol="_y", maxIter=max_iter, regParam=1.0 / (c * n_train),
                     standardization=False, tol=1e-4)
     return OneVsRest(classifier=svc, featuresCol="_fv", labelCol="_y", parallelism=4)
