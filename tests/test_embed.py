@@ -26,3 +26,21 @@ def test_pooling_first_and_masked_mean(spark):
     states, masks = embed.window_token_states(docs, wv)
     p = embed.pool_token_states(states, masks, 2).first()
     assert p["first"] == [0.0, 0.0] and p["mean"] == [0.5, 0.5]  # (2,2) over 4 real slots
+
+
+def test_stream_term_counts_match_batch(spark):
+    import tempfile
+
+    from textlab.operators import vectorize
+    from textlab.streaming import documents as st
+
+    from conftest import SF_SMALL
+
+    root = tempfile.mkdtemp(prefix="stream-")
+    cleaned = st.clean_stream(st.document_stream(spark, f"{SF_SMALL}/documents*.parquet"))
+    batch = st.clean_stream(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    vocab = vectorize.fit_vocabulary(batch, n=1)
+    st.run_term_counts(cleaned, vocab, f"{root}/out", f"{root}/ckpt")
+    got = {(r["doc_id"], r["term_id"], r["count"]) for r in spark.read.parquet(f"{root}/out").collect()}
+    want = {(r["doc_id"], r["term_id"], r["count"]) for r in vectorize.bag_of_words(batch, vocab).collect()}
+    assert got == want

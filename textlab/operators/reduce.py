@@ -20,6 +20,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .linalg import sum_partials
+
 VARIANCE_THRESHOLD = 0.95
 MAX_SPARSE_COMPONENTS = 300
 MAX_DENSE_COMPONENTS = 100
@@ -95,14 +97,13 @@ def pca_fit_project(train: DataFrame, others: list[DataFrame], k: int, vec_col:
 #
 # A is n x d in packed rows (doc_id, indices, values); d <= the vocabulary cap.
 # Each pass computes Z = A^T (A W) for a broadcast d x l block W: every task
-# folds its rows into a dense d x l partial with numpy, emits it as row
-# blocks, and the partials are summed per block by a JVM ``Summarizer``
-# aggregate.  Only d x l numbers reach the driver (QR there), never rows of A.
+# folds its rows into a dense d x l partial with numpy and the partials are
+# added in a tree across executors.  Only d x l numbers reach the driver
+# (QR there), never rows of A.
 
 SVD_OVERSAMPLES = 10
 SVD_POWER_ITERATIONS = 5
 SVD_SEED = 42
-_BLOCK_TERMS = 64
 _CHUNK_NNZ = 1 << 15
 
 
@@ -111,7 +112,6 @@ def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
     spark = packed.sparkSession
     d, l = W.shape
     bw = spark.sparkContext.broadcast(W)
-    n_blocks = math.ceil(d / _BLOCK_TERMS)
 
     def fold(batches):
         Wl = bw.value
@@ -140,21 +140,11 @@ def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
                     Z[uniq] += np.add.reduceat(back, starts, axis=0)                 # A^T (A W)
                     touched = True
                 start = stop
-        if touched:
-            for b in range(n_blocks):
-                blk = Z[b * _BLOCK_TERMS:(b + 1) * _BLOCK_TERMS]
-                yield pd.DataFrame({"block": [b], "z": [blk.ravel()]})
-
-    parts = packed.select("indices", "values").mapInPandas(fold, "block int, z array<double>")
-    summed = (parts.groupBy("block").agg(Summarizer.sum(array_to_vector("z")).alias("s"))
-              .select("block", vector_to_array("s").alias("s")).collect())
+        return Z.ravel() if touched else None
+
+    Z = sum_partials(packed, fold, d * l, ["indices", "values"])
     bw.unpersist()
-    Z = np.zeros((d, l))
-    for r in summed:
-        b = r["block"]
-        rows = min(_BLOCK_TERMS, d - b * _BLOCK_TERMS)
-        Z[b * _BLOCK_TERMS: b * _BLOCK_TERMS + rows] = np.asarray(r["s"]).reshape(rows, l)
-    return Z
+    return Z.reshape(d, l)
 
 
 def _fix_signs(V: np.ndarray) -> np.ndarray:

@@ -473,6 +473,17 @@ def train_time_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.train_time_ranking(grid_results(spark, sf_dir))
 
 
+def stream_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 on Structured Streaming: the documents file read as a stream, cleaned, sunk to parquet, read back."""
+    from ..streaming import documents as st
+
+    root = scratch_dir(spark, "stream_clean")
+    src = f"{sf_dir.rstrip('/')}/documents*.parquet"
+    st.run_to_table(st.clean_stream(st.document_stream(spark, src)), f"{root}/out", f"{root}/checkpoint")
+    out = spark.read.parquet(f"{root}/out")
+    return out.select("doc_id", "clean_text", F.size("tokens").cast("long").alias("n_tokens"))
+
+
 QUERIES = {
     "top_terms_by_class": top_terms_by_class,
     "scan_corpus": scan_corpus,
@@ -524,4 +535,5 @@ QUERIES = {
     "metric_matrix": metric_matrix,
     "best_combination": best_combination,
     "train_time_ranking": train_time_ranking,
+    "stream_clean_text": stream_clean_text,
 }

@@ -459,6 +459,7 @@ def oracle_sql() -> dict[str, str]:
         "combine_text": COMBINE_TEXT,
         "label_names": LABEL_NAMES,
         "clean_text": CLEAN_TEXT,
+        "stream_clean_text": CLEAN_TEXT,
         "strip_urls": STRIP_URLS,
         "bigrams": BIGRAMS,
         "text_lengths": TEXT_LENGTHS,
