@@ -17,9 +17,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Dat
     Above the bound the table is returned as is and the join falls back to a
     shuffle join (AQE can still demote/promote it at run time).
     """
-    df = df.persist()
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    cached = df.persist()
+    n = cached.count()
+    return F.broadcast(cached) if n <= max_rows else df
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -24,9 +24,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CLS_TOKEN, PAD_TOKEN, SEP_TOKEN, WINDOW_LENGTH, token_window
+from .common import bounded_broadcast
 
 ENCODE_BATCH = 64
 MASK_FLOOR = 1e-9
+# Word-vector tables up to this many rows are broadcast (checked by a count).
+WORD_TABLE_BROADCAST_ROWS = 500_000
+
+
+def _join_words(occ: DataFrame, word_vectors: DataFrame) -> DataFrame:
+    """Join token occurrences with the word table without ever broadcasting the occurrence side.
+
+    The token stream is the large side but its size is invisible to the
+    optimizer after ``explode``; the word table is counted and broadcast only
+    under a row bound, otherwise both sides are shuffled (sort-merge join).
+    """
+    words = bounded_broadcast(word_vectors, WORD_TABLE_BROADCAST_ROWS)
+    if words is word_vectors:
+        return occ.hint("merge").join(word_vectors, "word")
+    return occ.join(words, "word")
 
 
 def rank_terms_to_vectors(tokens_df: DataFrame, vectors: DataFrame, tokens_col: str = "tokens",
@@ -53,7 +69,8 @@ def mean_word_vectors(docs: DataFrame, word_vectors: DataFrame, tokens_col: str
                       id_col: str = "doc_id") -> DataFrame:
     """``(doc_id, vec array<double>)`` = mean of the vectors of known tokens, else zeros."""
     occ = docs.select(id_col, F.explode(tokens_col).alias("word"))
-    hits = occ.join(word_vectors.select("word", array_to_vector("vec").alias("v")), "word")
+    hits = _join_words(occ, word_vectors.select("word", "vec")).select(
+        id_col, array_to_vector("vec").alias("v"))
     means = hits.groupBy(id_col).agg(Summarizer.mean(F.col("v")).alias("m"))
     zero = F.array_repeat(F.lit(0.0), vector_width(word_vectors).cast("int"))
     return (docs.select(id_col).join(means, id_col, "left")
@@ -72,7 +89,7 @@ def window_token_states(docs: DataFrame, word_vectors: DataFrame, tokens_col: st
     masks = win.select(id_col, F.aggregate("w.mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
     occ = win.select(id_col, F.posexplode("w.window").alias("pos", "word"), F.col("w.mask").alias("_m"))
     occ = occ.select(id_col, "pos", "word", F.element_at("_m", F.col("pos") + 1).alias("mask"))
-    states = occ.join(word_vectors.select("word", "vec"), "word").select(
+    states = _join_words(occ, word_vectors.select("word", "vec")).select(
         id_col, "pos", "mask", F.transform("vec", lambda x: x.cast("double")).alias("vec"))
     return states, masks
 

@@ -28,10 +28,23 @@ KMEANS_TOL = 1e-4
 SEED = 42
 
 
+# Iterative fits run one job per iteration; partitions are sized by bytes so a
+# reduced train set (n x <=300 doubles) is not spread over more tasks than its
+# size warrants, while large train sets keep their parallelism.
+FIT_PARTITION_BYTES = 32 << 20
+
+
 def _vectors(df: DataFrame, features: str = "features") -> DataFrame:
     return df.withColumn("_fv", array_to_vector(features))
 
 
+def compact_for_fit(df: DataFrame, n_rows: int, row_bytes: int, target: int = FIT_PARTITION_BYTES) -> DataFrame:
+    """Coalesce (no shuffle) to ``ceil(n_rows*row_bytes / target)`` partitions, never more than it has."""
+    want = max(1, -(-n_rows * row_bytes // target))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if want < have else df
+
+
 def fit_timed(estimator, train: DataFrame):
     """M7: fit on a persisted train set; the clock covers the fit only."""
     train = train.persist()
@@ -63,6 +76,8 @@ def train_and_predict(kind: str, train: DataFrame, test: DataFrame, features: st
     """Fit ``kind`` in {'logreg', 'svm'} on train, predict test -> ``(id, true_label, pred_label)``, seconds."""
     tr = _vectors(train, features).withColumn("_y", F.col(label).cast("double")).select(id_col, "_fv", "_y")
     n = tr.count()
+    width = len(train.select(features).first()[0])
+    tr = compact_for_fit(tr, n, 8 * (width + 2))
     est = logistic_regression(n) if kind == "logreg" else linear_svm(n)
     model, secs = fit_timed(est, tr)
     pred = model.transform(_vectors(test, features).select(id_col, "_fv", F.col(label).alias("true_label")))
@@ -73,7 +88,9 @@ def train_and_predict(kind: str, train: DataFrame, test: DataFrame, features: st
 def kmeans_best(train: DataFrame, k: int, features: str = "features", restarts: int = KMEANS_RESTARTS,
                 seed: int = SEED):
     """M4: k-means|| for ``restarts`` seeds on a persisted set; keep the lowest cost.  Returns (model, seconds)."""
-    tr = _vectors(train, features).select("_fv").persist()
+    n = train.count()
+    width = len(train.select(features).first()[0])
+    tr = compact_for_fit(_vectors(train, features).select("_fv"), n, 8 * (width + 1)).persist()
     tr.count()
     t0 = time.time()
     best = None

@@ -45,9 +45,21 @@ def doc_term_counts(docs: DataFrame, tokens_col: str = "tokens", n: int = 1, id_
 
 def term_statistics(train_docs: DataFrame, tokens_col: str = "tokens", n: int = 1,
                     id_col: str = "doc_id") -> DataFrame:
-    """A3: per term, total count ``tf`` and document frequency ``df`` over the given (train) docs."""
-    return (doc_term_counts(train_docs, tokens_col, n, id_col)
-            .groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")))
+    """A3: per term, total count ``tf`` and document frequency ``df`` over the given (train) docs.
+
+    One aggregation by term: each document emits every gram with weight
+    (tf=1, df=0) and each of its distinct grams with (tf=0, df=1)
+    (``array_distinct`` is a per-row hash set).  Partial aggregation then
+    combines hot terms map-side and only per-task term totals are shuffled;
+    no (doc, term) shuffle is needed.
+    """
+    grams = F.col(tokens_col) if n == 1 else ngrams(tokens_col, n)
+    both = F.concat(
+        F.transform(grams, lambda t: F.struct(t.alias("term"), F.lit(1).alias("c"), F.lit(0).alias("d"))),
+        F.transform(F.array_distinct(grams),
+                    lambda t: F.struct(t.alias("term"), F.lit(0).alias("c"), F.lit(1).alias("d"))))
+    return (train_docs.select(F.explode(both).alias("_e")).select("_e.*")
+            .groupBy("term").agg(F.sum("c").cast("long").alias("tf"), F.sum("d").cast("long").alias("df")))
 
 
 def prune_terms(stats: DataFrame, n_docs, min_df: int = MIN_DF, max_df: str = MAX_DF) -> DataFrame:
