@@ -484,6 +484,61 @@ def stream_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "clean_text", F.size("tokens").cast("long").alias("n_tokens"))
 
 
+def _nearest_centroid_predictions(df: DataFrame) -> DataFrame:
+    """M5 -> A9 -> M6 with label-mean centroids over ``(id, label, split, e)``: exact, no iteration."""
+    centers = [r["center"] for r in models.label_means(df.where("split = 'train'"), "e").orderBy("label").collect()]
+    a = df.select("id", "label", "split",
+                  models.nearest_centroid(F.col("e"), models.centroid_literal(centers)).alias("cluster"))
+    majority = models.cluster_majority(a.where("split = 'train'"), len(centers)).select(
+        "cluster", F.col("label").alias("pred_label"))
+    return (a.where("split = 'test'").join(F.broadcast(majority), "cluster")
+            .select(F.col("id").alias("query_id"), F.col("label").alias("true_label"), "pred_label"))
+
+
+def _knn_model_predictions(df: DataFrame) -> DataFrame:
+    nn = neighbors.knn(df.where("split = 'train'"), df.where("split = 'test'"), train_id="id", query_id="id",
+                       vec_col="e", label_col="label")
+    truth = df.where("split = 'test'").select(F.col("id").alias("query_id"), F.col("label").alias("true_label"))
+    return neighbors.vote(nn).join(truth, "query_id").select("query_id", "true_label", "pred_label")
+
+
+def _exact_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of the exactly reproducible experiments: {VECTORS, WORDVEC} x {KNN, NearestCentroid}."""
+    from .features import labelled_split
+
+    v = vector_split(spark, sf_dir).select(F.col("vec_id").alias("id"), "label", "split",
+                                           F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    split = labelled_split(spark, sf_dir)
+    wv = fixture_word_vectors(spark, sf_dir)
+    docs = embed.mean_word_vectors(split.select("doc_id", "tokens"), wv)
+    d = split.select(F.col("doc_id").alias("id"), "label", "split").join(
+        docs.select(F.col("doc_id").alias("id"), F.col("vec").alias("e")), "id")
+    parts, order = [], 0
+    for fs, df in (("VECTORS", v), ("WORDVEC", d)):
+        df = df.persist()
+        for model, fn in (("KNN", _knn_model_predictions), ("NearestCentroid", _nearest_centroid_predictions)):
+            parts.append(fn(df).select(F.lit(fs).alias("feature_set"), F.lit(model).alias("model"),
+                                       F.lit(order).alias("run_order"), "true_label", "pred_label"))
+            order += 1
+    allpred = parts[0]
+    for p in parts[1:]:
+        allpred = allpred.unionByName(p)
+    g = ["feature_set", "model", "run_order"]
+    return tidy_metrics(allpred, g)
+
+
+def metric_matrix_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A19 over exactly reproducible experiments: feature set x model grid of accuracy and macro F1."""
+    res = _exact_experiments(spark, sf_dir).where(F.col("metric").isin("accuracy", "f1_macro"))
+    return (res.groupBy("feature_set", "metric").pivot("model", ["KNN", "NearestCentroid"])
+            .agg(F.first("value")).fillna(0.0))
+
+
+def best_combination_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A20 over exactly reproducible experiments: best accuracy, ties -> first in run order."""
+    return report.best_combination(_exact_experiments(spark, sf_dir))
+
+
 QUERIES = {
     "top_terms_by_class": top_terms_by_class,
     "scan_corpus": scan_corpus,
@@ -536,4 +591,6 @@ QUERIES = {
     "best_combination": best_combination,
     "train_time_ranking": train_time_ranking,
     "stream_clean_text": stream_clean_text,
+    "metric_matrix_exact": metric_matrix_exact,
+    "best_combination_exact": best_combination_exact,
 }

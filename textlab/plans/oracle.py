@@ -451,6 +451,101 @@ UNPIVOT (value FOR metric IN (accuracy, precision, recall, f1, f1_macro))
 """
 
 
+def _exact_models_ctes(p: str) -> str:
+    """k-NN and nearest-centroid predictions over ``{p}v(vec_id, label, split, e DOUBLE[])``."""
+    return f"""{p}tr AS (SELECT * FROM {p}v WHERE split = 'train'
+), {p}te AS (SELECT * FROM {p}v WHERE split = 'test'
+), {p}pairs AS (
+  SELECT te.vec_id AS query_id, tr.vec_id AS train_id, tr.label AS train_label,
+         CASE WHEN list_dot_product(te.e, te.e) = 0 OR list_dot_product(tr.e, tr.e) = 0 THEN 0.0
+              ELSE list_dot_product(te.e, tr.e) / (sqrt(list_dot_product(te.e, te.e)) * sqrt(list_dot_product(tr.e, tr.e)))
+         END AS sim
+  FROM {p}te te, {p}tr tr
+), {p}nn AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 9) DESC, train_id) AS rank
+                 FROM {p}pairs) WHERE rank <= 5
+), {p}votes AS (SELECT query_id, train_label, count(*) AS n FROM {p}nn GROUP BY query_id, train_label
+), {p}knn AS (
+  SELECT p.query_id, te.label AS true_label, p.train_label AS pred_label FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, train_label) AS r FROM {p}votes
+  ) p JOIN {p}te te ON te.vec_id = p.query_id WHERE p.r = 1
+), {p}cm AS (
+  SELECT label, dim, avg(x) AS mu FROM (
+    SELECT label, generate_subscripts(e, 1) - 1 AS dim, unnest(e) AS x FROM {p}tr) GROUP BY label, dim
+), {p}cl AS (
+  SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster, center FROM (
+    SELECT label, list(mu ORDER BY dim) AS center FROM {p}cm GROUP BY label)
+), {p}dist AS (
+  SELECT v.vec_id, v.label, v.split, cl.cluster,
+         round(list_sum(list_transform(list_zip(v.e, cl.center), lambda q: (q[1] - q[2]) * (q[1] - q[2]))), 9) AS d
+  FROM {p}v v, {p}cl cl
+), {p}asg AS (
+  SELECT vec_id, label, split, cluster FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) AS r FROM {p}dist) WHERE r = 1
+), {p}cmaj AS (
+  SELECT cluster, label FROM (
+    SELECT cluster, label, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, label) AS r FROM (
+      SELECT cluster, label, count(*) AS n FROM {p}asg WHERE split = 'train' GROUP BY cluster, label)
+  ) WHERE r = 1
+), {p}cmap AS (SELECT c.cluster, coalesce(m.label, 0) AS label FROM {p}cl c LEFT JOIN {p}cmaj m USING (cluster)
+), {p}cen AS (
+  SELECT a.vec_id AS query_id, a.label AS true_label, m.label AS pred_label
+  FROM {p}asg a JOIN {p}cmap m USING (cluster) WHERE a.split = 'test'
+)"""
+
+
+EXACT_SOURCES = """ve_v AS (
+  SELECT vec_id, label, CASE WHEN vec_id % 5 = 0 THEN 'test' ELSE 'train' END AS split,
+         CAST(embedding AS DOUBLE[]) AS e
+  FROM embeddings
+), dw_hv AS (
+  SELECT o.doc_id, w.vec FROM (SELECT doc_id, unnest(tokens) AS word FROM split) o JOIN wv w ON o.word = w.word
+), dw_el AS (
+  SELECT doc_id, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS dim, CAST(unnest(vec) AS DOUBLE) AS x FROM dw_hv
+), dw_m AS (SELECT doc_id, dim, avg(x) AS mv FROM dw_el GROUP BY doc_id, dim
+), dw_cls AS (
+  SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS y FROM (SELECT DISTINCT label FROM split)
+), dw_v AS (
+  SELECT s.doc_id AS vec_id, c.y AS label, s.split, list(coalesce(m.mv, 0.0) ORDER BY d.dim) AS e
+  FROM split s JOIN dw_cls c ON s.label = c.label CROSS JOIN dims d
+  LEFT JOIN dw_m m ON m.doc_id = s.doc_id AND m.dim = d.dim
+  GROUP BY s.doc_id, c.y, s.split
+)"""
+
+EXACT_METRICS_CTE = """allpred AS (
+  SELECT 'VECTORS' AS feature_set, 'KNN' AS model, 0 AS run_order, true_label, pred_label FROM ve_knn
+  UNION ALL SELECT 'VECTORS', 'NearestCentroid', 1, true_label, pred_label FROM ve_cen
+  UNION ALL SELECT 'WORDVEC', 'KNN', 2, true_label, pred_label FROM dw_knn
+  UNION ALL SELECT 'WORDVEC', 'NearestCentroid', 3, true_label, pred_label FROM dw_cen
+), pcx AS (
+  SELECT feature_set, model, run_order, label, sum(t) AS support, sum(p) AS predicted, sum(tp) AS tp FROM (
+    SELECT feature_set, model, run_order, true_label AS label, 1 AS t, 0 AS p,
+           CAST(true_label = pred_label AS INTEGER) AS tp FROM allpred
+    UNION ALL SELECT feature_set, model, run_order, pred_label, 0, 1, 0 FROM allpred)
+  GROUP BY feature_set, model, run_order, label
+), mx AS (
+  SELECT feature_set, model, run_order, round(sum(tp) / sum(support), 6) AS accuracy,
+         round(avg(CASE WHEN support + predicted > 0 THEN 2.0 * tp / (support + predicted) ELSE 0.0 END), 6) AS f1_macro
+  FROM pcx GROUP BY feature_set, model, run_order
+)"""
+
+_EXACT = with_ctes(CORPUS_CTE, SPLIT_CTE, WV_CTE, EXACT_SOURCES, _exact_models_ctes("ve_"),
+                   _exact_models_ctes("dw_"), EXACT_METRICS_CTE)
+
+METRIC_MATRIX_EXACT = _EXACT + """
+SELECT feature_set, metric,
+       coalesce(max(CASE WHEN model = 'KNN' THEN value END), 0.0) AS KNN,
+       coalesce(max(CASE WHEN model = 'NearestCentroid' THEN value END), 0.0) AS NearestCentroid
+FROM (SELECT feature_set, model, 'accuracy' AS metric, accuracy AS value FROM mx
+      UNION ALL SELECT feature_set, model, 'f1_macro', f1_macro FROM mx)
+GROUP BY feature_set, metric
+"""
+
+BEST_COMBINATION_EXACT = _EXACT + """
+SELECT feature_set, model, accuracy FROM mx ORDER BY accuracy DESC, run_order ASC LIMIT 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "top_terms_by_class": TOP_TERMS_BY_CLASS,
@@ -493,4 +588,6 @@ def oracle_sql() -> dict[str, str]:
         "feature_store_roundtrip": FEATURE_STORE_ROUNDTRIP,
         "vectorizer_roundtrip": VECTORIZER_ROUNDTRIP,
         "results_export": RESULTS_EXPORT,
+        "metric_matrix_exact": METRIC_MATRIX_EXACT,
+        "best_combination_exact": BEST_COMBINATION_EXACT,
     }
