@@ -16,7 +16,7 @@ from ..operators.common import r6, stage
 from ..session import scratch_dir
 from ..sources import files
 from ..sources.tables import SCHEMAS, read_table
-from .corpus import (CLASS_COLUMN, cleaned_corpus, fixture_word_vectors, split_corpus, train_part,
+from .corpus import (CLASS_COLUMN, cleaned_corpus, fixture_word_vectors, reused_split_corpus, tokens_once, train_part,
                      vector_split)
 
 # The corpus' expected class set for the input checks.
@@ -141,20 +141,20 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram tf and df on the train split, pruned by document frequency."""
-    train = train_part(split_corpus(spark, sf_dir))
+    train = train_part(reused_split_corpus(spark, sf_dir))
     n_docs = train.select(F.count(F.lit(1))).scalar()
     return vectorize.prune_terms(vectorize.term_statistics(train, n=1), n_docs)
 
 
 def vocabulary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The capped unigram vocabulary with alphabetical column ids."""
-    train = train_part(split_corpus(spark, sf_dir))
+    train = train_part(reused_split_corpus(spark, sf_dir))
     return vectorize.fit_vocabulary(train, n=1).select("term", "term_id", "tf", "df")
 
 
 def bow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram counts of train and test documents over the train vocabulary."""
-    split = split_corpus(spark, sf_dir)
+    split = reused_split_corpus(spark, sf_dir)
     vocab = vectorize.fit_vocabulary(train_part(split), n=1)
     return vectorize.bag_of_words(split, vocab, n=1, keep=("split",)).select(
         "doc_id", "split", "term_id", "count")
@@ -162,7 +162,7 @@ def bow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tfidf_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5/P10: L2-normalised sublinear bigram TF-IDF of train and test over the train vocabulary."""
-    split = split_corpus(spark, sf_dir)
+    split = reused_split_corpus(spark, sf_dir)
     vocab = vectorize.fit_vocabulary(train_part(split), n=2)
     return vectorize.tfidf(split, vocab, n=2, keep=("split",)).select(
         "doc_id", "split", "term_id", r6("weight").alias("weight"))
@@ -198,7 +198,7 @@ def top_words_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_terms_by_class(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
     """Flagship: clean -> exact split -> train-only bigram vocabulary -> TF-IDF -> per-class top k."""
-    split = split_corpus(spark, sf_dir)
+    split = reused_split_corpus(spark, sf_dir)
     train = train_part(split)
     vocab = vectorize.fit_vocabulary(train, n=2)
     weights = vectorize.tfidf(train, vocab, n=2, keep=("label",))
@@ -207,14 +207,14 @@ def top_terms_by_class(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFra
 
 def word_vector_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean word vector of each document's cleaned tokens; zeros without a known word."""
-    docs = cleaned_corpus(spark, sf_dir)
-    wv = fixture_word_vectors(spark, sf_dir)
+    docs = tokens_once(spark, sf_dir)
+    wv = fixture_word_vectors(spark, sf_dir, docs)
     return embed.long_vectors(embed.mean_word_vectors(docs, wv), "doc_id", "vec")
 
 
 def _pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = cleaned_corpus(spark, sf_dir)
-    wv = fixture_word_vectors(spark, sf_dir)
+    docs = tokens_once(spark, sf_dir)
+    wv = fixture_word_vectors(spark, sf_dir, docs)
     states, masks = embed.window_token_states(docs, wv)
     return embed.pool_token_states(states, masks, embed.vector_width(wv))
 
@@ -235,8 +235,8 @@ def encode_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     The default encoder reads the word-vector table from shared storage,
     once per Python worker, the way model weights would be loaded.
     """
-    docs = cleaned_corpus(spark, sf_dir)
-    wv = stage(fixture_word_vectors(spark, sf_dir).select("word", "vec").coalesce(1), "word_vectors")
+    docs = tokens_once(spark, sf_dir)
+    wv = stage(fixture_word_vectors(spark, sf_dir, docs).select("word", "vec").coalesce(1), "word_vectors")
     path = wv.inputFiles()[0].rsplit("/", 1)[0]
     out = embed.encode_documents(docs, lambda: embed.WordVectorEncoder(path))
     z = out.select("doc_id", F.posexplode(F.arrays_zip("first", "mean")).alias("dim", "_z"))
@@ -318,7 +318,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_vector_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word vectors written as a text file and parsed back (whitespace split, float32, last line wins)."""
-    wv = fixture_word_vectors(spark, sf_dir)
+    wv = fixture_word_vectors(spark, sf_dir, tokens_once(spark, sf_dir))
     path = scratch_dir(spark, "word_vectors_txt")
     files.write_word_vectors(wv, path)
     back = files.read_word_vectors(spark, path)
@@ -341,7 +341,7 @@ def feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vectorizer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fitted unigram vocabulary (with idf) persisted as a table and as an ML model, reloaded."""
-    train = train_part(split_corpus(spark, sf_dir))
+    train = train_part(reused_split_corpus(spark, sf_dir))
     vocab = vectorize.fit_vocabulary(train, n=1)
     root = scratch_dir(spark, "vectorizer")
     files.write_table(vocab, f"{root}/vocabulary")
@@ -509,7 +509,7 @@ def _exact_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = vector_split(spark, sf_dir).select(F.col("vec_id").alias("id"), "label", "split",
                                            F.transform("embedding", lambda x: x.cast("double")).alias("e"))
     split = labelled_split(spark, sf_dir)
-    wv = fixture_word_vectors(spark, sf_dir)
+    wv = fixture_word_vectors(spark, sf_dir, split)
     docs = embed.mean_word_vectors(split.select("doc_id", "tokens"), wv)
     d = split.select(F.col("doc_id").alias("id"), "label", "split").join(
         docs.select(F.col("doc_id").alias("id"), F.col("vec").alias("e")), "id")

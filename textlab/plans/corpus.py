@@ -53,8 +53,17 @@ def vector_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.withColumn("split", F.when(F.col("vec_id") % TEST_EVERY == 0, "test").otherwise("train"))
 
 
-def fixture_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(word, vec array<float>)``: the i-th most frequent cleaned term gets ``embeddings.vec_id = i``."""
+def fixture_word_vectors(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    """``(word, vec array<float>)``: the i-th most frequent cleaned term gets ``embeddings.vec_id = i``.
+
+    ``docs`` (with ``tokens``) can be an already cleaned corpus to avoid cleaning twice.
+    """
     from ..operators.embed import rank_terms_to_vectors
 
-    return rank_terms_to_vectors(cleaned_corpus(spark, sf_dir), read_table(spark, sf_dir, "embeddings"))
+    docs = cleaned_corpus(spark, sf_dir) if docs is None else docs
+    return rank_terms_to_vectors(docs, read_table(spark, sf_dir, "embeddings"))
+
+
+def tokens_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, label, tokens`` read from the staged split corpus (cleaned once per input folder)."""
+    return reused_split_corpus(spark, sf_dir).select("doc_id", "label", "tokens")

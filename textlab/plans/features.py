@@ -8,6 +8,7 @@ grid reuse it instead of refitting.
 from __future__ import annotations
 
 import hashlib
+from pathlib import Path
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector
@@ -23,9 +24,24 @@ from .corpus import fixture_word_vectors, reused_split_corpus, train_part
 FEATURE_SETS = ("BOW_SVD", "TFIDF_SVD", "FIRST_PCA", "MEAN_PCA", "WORDVEC_PCA")
 
 
+_CODE_KEY: list = []
+
+
+def _code_key() -> str:
+    """Fingerprint of the library source, so a stage written by other code is never reused."""
+    if not _CODE_KEY:
+        root = Path(__file__).resolve().parents[1]
+        h = hashlib.md5()
+        for f in sorted(root.rglob("*.py")):
+            h.update(f.read_bytes())
+        _CODE_KEY.append(h.hexdigest()[:12])
+    return _CODE_KEY[0]
+
+
 def stage_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Stage folder keyed by input folder and library code, under the shared checkpoint root."""
     key = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return f"{checkpoint_root(spark).rstrip('/')}/textlab/stages/{key}/{name}"
+    return f"{checkpoint_root(spark).rstrip('/')}/textlab/stages/{_code_key()}/{key}/{name}"
 
 
 def labelled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +99,7 @@ def dense_pca(vectors: DataFrame) -> tuple[DataFrame, dict]:
 def _dense_inputs(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     split = labelled_split(spark, sf_dir)
     docs = split.select("doc_id", "tokens")
-    wv = fixture_word_vectors(spark, sf_dir)
+    wv = fixture_word_vectors(spark, sf_dir, docs)
     if which == "WORDVEC":
         vec = embed.mean_word_vectors(docs, wv)
     else:
