@@ -22,6 +22,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read back with a declared schema.  An empty text reads back as null (as with the
+    reference's CSV stages); text consumers coalesce nulls to ''."""
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 

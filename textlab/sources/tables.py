@@ -88,3 +88,23 @@ def corpus(spark: SparkSession, sf_dir: str, label_col: str = "lang") -> DataFra
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense vectors ``vec_id, embedding array<float>, label``."""
     return read_table(spark, sf_dir, "embeddings")
+
+
+def check_input(df: DataFrame, label_col: str, expected_classes) -> dict:
+    """Raise unless the class column exists, has exactly the expected number of distinct
+    classes, and every expected class has at least one row.
+
+    One aggregation (distinct non-null classes, at most the class count reaches the driver).
+    """
+    if label_col not in df.columns:
+        raise KeyError(f"'{label_col}' column not found")
+    from pyspark.sql import functions as F
+
+    present = {r[0] for r in df.where(F.col(label_col).isNotNull()).select(label_col).distinct().collect()}
+    expected = set(expected_classes)
+    if len(present) != len(expected):
+        raise ValueError(f"dataset does not contain {len(expected)} classes (found {len(present)})")
+    missing = sorted(expected - present)
+    if missing:
+        raise ValueError(f"no data for classes {missing}")
+    return {"classes": sorted(present)}
