@@ -131,10 +131,15 @@ class WordVectorEncoder:
 
     def _table(self):
         if self.path not in WordVectorEncoder._cache:
+            import pyarrow.fs as pafs
             import pyarrow.parquet as pq
 
-            local = self.path[len("file:"):] if self.path.startswith("file:") else self.path
-            t = pq.read_table(local, columns=["word", "vec"]).to_pandas()
+            if "://" in self.path or self.path.startswith("file:"):
+                uri = self.path if "://" in self.path else "file://" + self.path[len("file:"):]
+                fs, where = pafs.FileSystem.from_uri(uri)        # hdfs://, s3://, file:// ...
+            else:
+                fs, where = None, self.path
+            t = pq.read_table(where, columns=["word", "vec"], filesystem=fs).to_pandas()
             vecs = {w: np.asarray(v, dtype=np.float64) for w, v in zip(t["word"], t["vec"])}
             dim = len(next(iter(vecs.values()))) if vecs else 0
             WordVectorEncoder._cache[self.path] = (vecs, dim)

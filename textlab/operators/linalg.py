@@ -17,7 +17,8 @@ TREE_DEPTH = 2
 ROWS_PER_BATCH = 4096
 
 
-def sum_partials(df: DataFrame, fold, size: int, cols: list[str], depth: int = TREE_DEPTH) -> np.ndarray:
+def sum_partials(df: DataFrame, fold, size: int, cols: list[str], depth: int = TREE_DEPTH,
+                 dtype=np.float64) -> np.ndarray:
     """``sum over tasks of fold(batches)``.
 
     ``fold`` receives an iterator of pandas DataFrames (columns ``cols``, at
@@ -37,10 +38,10 @@ def sum_partials(df: DataFrame, fold, size: int, cols: list[str], depth: int = T
                 yield pd.DataFrame.from_records(buf, columns=cols)
 
         part = fold(batches())
-        return [] if part is None else [np.asarray(part, dtype=np.float64)]
+        return [] if part is None else [np.asarray(part, dtype=dtype)]
 
     partials = df.select(*cols).rdd.mapPartitions(run)
     try:
         return partials.treeReduce(np.add, depth=depth)
     except ValueError:  # every partition was empty
-        return np.zeros(size)
+        return np.zeros(size, dtype=dtype)

@@ -108,14 +108,15 @@ _CHUNK_NNZ = 1 << 15
 
 
 def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
-    """Z = A^T A W for the packed sparse rows; W is d x l (broadcast)."""
+    """Z = A^T A W for the packed sparse rows; W is d x l (broadcast), computed in W's precision."""
     spark = packed.sparkSession
     d, l = W.shape
+    dt = W.dtype
     bw = spark.sparkContext.broadcast(W)
 
     def fold(batches):
         Wl = bw.value
-        Z = np.zeros((d, l))
+        Z = np.zeros((d, l), dtype=dt)
         touched = False
         for pdf in batches:
             idx_lists, val_lists = pdf["indices"].tolist(), pdf["values"].tolist()
@@ -128,11 +129,11 @@ def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
                 lens = np.array([len(x) for x in idx_lists[start:stop]])
                 if lens.sum() > 0:
                     idx = np.concatenate([np.asarray(x, dtype=np.int64) for x in idx_lists[start:stop]])
-                    val = np.concatenate([np.asarray(x, dtype=np.float64) for x in val_lists[start:stop]])
+                    val = np.concatenate([np.asarray(x, dtype=dt) for x in val_lists[start:stop]])
                     rows = np.repeat(np.arange(len(lens)), lens)
                     nz = np.nonzero(lens)[0]
                     offs = (np.cumsum(lens) - lens)[nz]
-                    Y = np.zeros((len(lens), l))
+                    Y = np.zeros((len(lens), l), dtype=dt)
                     Y[nz] = np.add.reduceat(val[:, None] * Wl[idx], offs, axis=0)   # rows of A W
                     order = np.argsort(idx, kind="stable")
                     uniq, starts = np.unique(idx[order], return_index=True)
@@ -142,9 +143,9 @@ def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
                 start = stop
         return Z.ravel() if touched else None
 
-    Z = sum_partials(packed, fold, d * l, ["indices", "values"])
+    Z = sum_partials(packed, fold, d * l, ["indices", "values"], dtype=dt)
     bw.unpersist()
-    return Z.reshape(d, l)
+    return Z.reshape(d, l).astype(np.float64)
 
 
 def _fix_signs(V: np.ndarray) -> np.ndarray:
@@ -167,8 +168,10 @@ def truncated_svd(packed: DataFrame, d: int, k: int, n_rows: int, col_stats: tup
     l = min(d, k + oversamples)
     rng = np.random.default_rng(seed)
     W = np.linalg.qr(rng.standard_normal((d, l)))[0]
+    # power iterations only shape the subspace: float32 halves their traffic;
+    # the Rayleigh-Ritz pass that yields values and vectors runs in float64
     for _ in range(power_iterations):
-        W = np.linalg.qr(_gram_pass(packed, W))[0]
+        W = np.linalg.qr(_gram_pass(packed, W.astype(np.float32)))[0]
     Z = _gram_pass(packed, W)
     G = W.T @ Z
     G = (G + G.T) / 2
