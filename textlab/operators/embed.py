@@ -28,8 +28,9 @@ from .common import bounded_broadcast
 
 ENCODE_BATCH = 64
 MASK_FLOOR = 1e-9
-# Word-vector tables up to this many rows are broadcast (checked by a count).
-WORD_TABLE_BROADCAST_ROWS = 500_000
+# Word-vector tables up to about this many bytes are broadcast (rows checked by a count,
+# bytes estimated from the vector width).
+WORD_TABLE_BROADCAST_BYTES = 1 << 30
 
 
 def _join_words(occ: DataFrame, word_vectors: DataFrame) -> DataFrame:
@@ -37,9 +38,12 @@ def _join_words(occ: DataFrame, word_vectors: DataFrame) -> DataFrame:
 
     The token stream is the large side but its size is invisible to the
     optimizer after ``explode``; the word table is counted and broadcast only
-    under a row bound, otherwise both sides are shuffled (sort-merge join).
+    under a byte bound (rows x estimated row width), otherwise both sides are
+    shuffled (sort-merge join).
     """
-    words = bounded_broadcast(word_vectors, WORD_TABLE_BROADCAST_ROWS)
+    first = word_vectors.select(F.size("vec").alias("w")).first()
+    row_bytes = 64 + 4 * (first["w"] if first and first["w"] else 0)
+    words = bounded_broadcast(word_vectors, max(1, WORD_TABLE_BROADCAST_BYTES // row_bytes))
     if words is word_vectors:
         return occ.hint("merge").join(word_vectors, "word")
     return occ.join(words, "word")
