@@ -45,7 +45,7 @@ def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 def join_on_groups(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on group columns that may hold nulls; keeps the left copy of the keys."""
     if not cols:
-        return left.join(right, how=how) if how != "inner" else left.join(right)
+        raise ValueError("join_on_groups needs at least one key column (no cross joins)")
     r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
                      *[c for c in right.columns if c not in cols])
     cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(r[f"__r_{c}"]) for c in cols])
