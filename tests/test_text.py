@@ -57,3 +57,14 @@ def test_token_count(spark):
 def test_stop_words_list_shape():
     letters_only = [w for w in tx.STOP_WORDS_EN if w.isalpha()]
     assert len(tx.STOP_WORDS_EN) == 179 and len(letters_only) == 153
+
+
+def test_term_counts_run_length(spark):
+    from collections import Counter
+
+    cases = [[], ["x"], ["b", "a", "b"], ["z", "z", "z"], ["c", "a", "b", "a", "c", "c"]]
+    for toks in cases:
+        df = spark.createDataFrame([(toks,)], "x array<string>")
+        got = tx.term_counts(df, "x", [], "r").first()["r"]
+        assert [(r["term"], r["tf"]) for r in got] == sorted(Counter(toks).items())
+    assert tx.term_counts(spark.createDataFrame([(None,)], "x array<string>"), "x", [], "r").first()["r"] == []

@@ -160,6 +160,33 @@ def ngrams(tokens, n: int) -> Column:
     return F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
+def term_runs(sorted_tokens) -> Column:
+    """Run-length encoding of an already sorted token array: ``array<struct<term, tf bigint>>``.
+
+    A run starts where a term differs from the one before it.  The lambdas
+    read the sorted array by position, so ``sorted_tokens`` must be a
+    column (projected once, e.g. ``sort_array(tokens)``), not an expression
+    that would be re-evaluated per element.
+    """
+    s = _col(sorted_tokens)
+    n = F.size(s)
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~F.get(s, i).eqNullSafe(F.get(s, i - 1)))
+    ends = F.concat(F.slice(starts, 2, n), F.array(n))
+    runs = F.zip_with(starts, ends, lambda a, b: F.struct(F.get(s, a).alias("term"), (b - a).cast("long").alias("tf")))
+    return F.when(n > 0, runs).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
+
+
+def term_counts(df, tokens, keep: list, out: str = "_t"):
+    """Distinct terms of each row's token (or n-gram) array with their counts, counted in the row.
+
+    Returns ``df`` projected to ``keep + [out array<struct<term, tf>>]``.
+    A document is one row, so its term frequencies need no shuffle: the
+    array is sorted once (own projection) and run-length encoded.
+    """
+    sorted_df = df.select(*keep, F.sort_array(_col(tokens)).alias("_sorted"))
+    return sorted_df.select(*keep, term_runs("_sorted").alias(out))
+
+
 def token_count(text) -> Column:
     """Whitespace token count; null or blank -> 0."""
     return F.size(whitespace_tokens(text))

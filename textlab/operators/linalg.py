@@ -1,47 +1,51 @@
 """Distributed sums of fixed-size numpy partials (the treeAggregate pattern of Spark ML).
 
-Each task folds its rows into one fixed-length float64 partial with numpy;
-the partials are added pairwise in a tree across executors
-(``treeReduce``), so the driver receives a single vector and never any
-input rows.  The partials stay Python objects end to end (no JVM
-round-trip per partial), which is what makes dense d x l partials cheap.
+Each task reads its rows as Arrow record batches (``mapInArrow``: columnar,
+no per-row Python objects), folds them into one fixed-length partial with
+numpy and emits it as a single binary cell.  The partials are added
+pairwise in a tree across executors (``treeReduce``), so the driver
+receives a single vector and never any input rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 TREE_DEPTH = 2
-ROWS_PER_BATCH = 4096
+
+
+def list_column(batch: pa.RecordBatch, name: str, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """A list column of an Arrow batch as ``(lengths, flat values)`` numpy arrays (null lists -> length 0)."""
+    arr = batch.column(batch.schema.get_field_index(name))
+    lens = arr.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = arr.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False)
+    return lens, flat
 
 
 def sum_partials(df: DataFrame, fold, size: int, cols: list[str], depth: int = TREE_DEPTH,
-                 dtype=np.float64) -> np.ndarray:
+                 dtype=np.float64, arrow: bool = False) -> np.ndarray:
     """``sum over tasks of fold(batches)``.
 
-    ``fold`` receives an iterator of pandas DataFrames (columns ``cols``, at
-    most 4,096 rows each) and returns a float64 vector of ``size`` numbers,
-    or None for an empty partition.
+    ``fold`` receives an iterator of batches holding columns ``cols`` --
+    pandas DataFrames, or ``pyarrow.RecordBatch`` when ``arrow`` is set --
+    and returns a vector of ``size`` numbers, or None for an empty partition.
     """
+    out_dtype = np.dtype(dtype)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        src = batches if arrow else (b.to_pandas() for b in batches if b.num_rows)
+        part = fold(src)
+        if part is not None:
+            cell = np.ascontiguousarray(part, dtype=out_dtype).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([cell], pa.binary())], ["part"])
 
-    def run(rows):
-        def batches():
-            buf = []
-            for r in rows:
-                buf.append(tuple(r))
-                if len(buf) == ROWS_PER_BATCH:
-                    yield pd.DataFrame.from_records(buf, columns=cols)
-                    buf = []
-            if buf:
-                yield pd.DataFrame.from_records(buf, columns=cols)
-
-        part = fold(batches())
-        return [] if part is None else [np.asarray(part, dtype=dtype)]
-
-    partials = df.select(*cols).rdd.mapPartitions(run)
+    partials = (df.select(*cols).mapInArrow(run, "part binary").rdd
+                .map(lambda r: np.frombuffer(r[0], dtype=out_dtype).copy()))
     try:
         return partials.treeReduce(np.add, depth=depth)
     except ValueError:  # every partition was empty
-        return np.zeros(size, dtype=dtype)
+        return np.zeros(size, dtype=out_dtype)

@@ -20,7 +20,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .linalg import sum_partials
+from .linalg import list_column, sum_partials
 
 VARIANCE_THRESHOLD = 0.95
 MAX_SPARSE_COMPONENTS = 300
@@ -104,11 +104,41 @@ def pca_fit_project(train: DataFrame, others: list[DataFrame], k: int, vec_col:
 SVD_OVERSAMPLES = 10
 SVD_POWER_ITERATIONS = 5
 SVD_SEED = 42
-_CHUNK_NNZ = 1 << 15
+# Row blocks of the fold: at most this many rows and (unless one row has more) entries.
+_BLOCK_ROWS = 16
+_BLOCK_NNZ = 4096
+
+
+def _row_blocks(lens: np.ndarray, max_rows: int = _BLOCK_ROWS, max_nnz: int = _BLOCK_NNZ):
+    """Consecutive row ranges ``(r0, r1, o0, o1)`` of at most ``max_rows`` rows and ``max_nnz`` entries."""
+    ends = np.cumsum(lens)
+    starts = ends - lens
+    r, n = 0, len(lens)
+    while r < n:
+        s = int(np.searchsorted(ends, starts[r] + max_nnz, side="right"))
+        s = min(max(r + 1, s), r + max_rows, n)
+        yield r, s, int(starts[r]), int(ends[s - 1])
+        r = s
+
+
+def _dense_block(lens: np.ndarray, idx: np.ndarray, val: np.ndarray, r0: int, r1: int, o0: int, o1: int, dt):
+    """Rows r0..r1 as a dense block over only the columns they touch: ``(columns, block)``.
+
+    Column indices are unique within a packed row, so a plain scatter fills it.
+    """
+    cols, inv = np.unique(idx[o0:o1], return_inverse=True)
+    block = np.zeros((r1 - r0, len(cols)), dtype=dt)
+    block[np.repeat(np.arange(r1 - r0), lens[r0:r1]), inv] = val[o0:o1]
+    return cols, block
 
 
 def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
-    """Z = A^T A W for the packed sparse rows; W is d x l (broadcast), computed in W's precision."""
+    """Z = A^T A W for the packed sparse rows; W is d x l (broadcast), computed in W's precision.
+
+    Each task cuts its rows into small blocks; a block is dense over the
+    columns it touches (a few thousand), so both products are BLAS GEMMs:
+    ``Y = B W[cols]`` and ``Z[cols] += B^T Y``.
+    """
     spark = packed.sparkSession
     d, l = W.shape
     dt = W.dtype
@@ -118,32 +148,18 @@ def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
         Wl = bw.value
         Z = np.zeros((d, l), dtype=dt)
         touched = False
-        for pdf in batches:
-            idx_lists, val_lists = pdf["indices"].tolist(), pdf["values"].tolist()
-            start = 0
-            while start < len(idx_lists):
-                stop, nnz = start, 0
-                while stop < len(idx_lists) and (nnz == 0 or nnz + len(idx_lists[stop]) <= _CHUNK_NNZ):
-                    nnz += len(idx_lists[stop])
-                    stop += 1
-                lens = np.array([len(x) for x in idx_lists[start:stop]])
-                if lens.sum() > 0:
-                    idx = np.concatenate([np.asarray(x, dtype=np.int64) for x in idx_lists[start:stop]])
-                    val = np.concatenate([np.asarray(x, dtype=dt) for x in val_lists[start:stop]])
-                    rows = np.repeat(np.arange(len(lens)), lens)
-                    nz = np.nonzero(lens)[0]
-                    offs = (np.cumsum(lens) - lens)[nz]
-                    Y = np.zeros((len(lens), l), dtype=dt)
-                    Y[nz] = np.add.reduceat(val[:, None] * Wl[idx], offs, axis=0)   # rows of A W
-                    order = np.argsort(idx, kind="stable")
-                    uniq, starts = np.unique(idx[order], return_index=True)
-                    back = (val[:, None] * Y[rows])[order]
-                    Z[uniq] += np.add.reduceat(back, starts, axis=0)                 # A^T (A W)
-                    touched = True
-                start = stop
+        for b in batches:
+            lens, idx = list_column(b, "indices", np.int64)
+            _, val = list_column(b, "values", dt)
+            for r0, r1, o0, o1 in _row_blocks(lens):
+                if o1 == o0:
+                    continue
+                cols, B = _dense_block(lens, idx, val, r0, r1, o0, o1, dt)
+                Z[cols] += B.T @ (B @ Wl[cols])
+                touched = True
         return Z.ravel() if touched else None
 
-    Z = sum_partials(packed, fold, d * l, ["indices", "values"], dtype=dt)
+    Z = sum_partials(packed, fold, d * l, ["indices", "values"], dtype=dt, arrow=True)
     bw.unpersist()
     return Z.reshape(d, l).astype(np.float64)
 
@@ -202,25 +218,27 @@ def column_stats(long_df: DataFrame, d: int, value_col: str) -> tuple[np.ndarray
 
 def project_sparse(packed: DataFrame, components: np.ndarray, id_cols: list[str]) -> DataFrame:
     """X V for packed sparse rows -> ``(*id_cols, features array<double>)``; rows without entries -> zeros."""
+    import pyarrow as pa
+
     spark = packed.sparkSession
-    bv = spark.sparkContext.broadcast(np.ascontiguousarray(components))
+    bv = spark.sparkContext.broadcast(np.ascontiguousarray(components, dtype=np.float64))
     k = components.shape[1]
 
     def proj(batches):
-        import pandas as pd
-
         V = bv.value
-        for pdf in batches:
-            feats = []
-            for idx, val in zip(pdf["indices"].tolist(), pdf["values"].tolist()):
-                if idx is None or len(idx) == 0:
-                    feats.append(np.zeros(k))
-                else:
-                    feats.append(np.asarray(val, dtype=np.float64) @ V[np.asarray(idx, dtype=np.int64)])
-            out = pdf[id_cols].copy()
-            out["features"] = feats
-            yield out
+        for b in batches:
+            lens, idx = list_column(b, "indices", np.int64)
+            _, val = list_column(b, "values", np.float64)
+            out = np.zeros((b.num_rows, k))
+            for r0, r1, o0, o1 in _row_blocks(lens):
+                if o1 > o0:
+                    cols, B = _dense_block(lens, idx, val, r0, r1, o0, o1, np.float64)
+                    out[r0:r1] = B @ V[cols]
+            feats = pa.ListArray.from_arrays(pa.array(np.arange(0, b.num_rows * k + 1, k, dtype=np.int32)),
+                                             pa.array(out.ravel()))
+            cols = [b.column(b.schema.get_field_index(c)) for c in id_cols]
+            yield pa.RecordBatch.from_arrays(cols + [feats], id_cols + ["features"])
 
     schema = ", ".join(f"{c} {packed.schema[c].dataType.simpleString()}" for c in id_cols) + \
         ", features array<double>"
-    return packed.select(*id_cols, "indices", "values").mapInPandas(proj, schema)
+    return packed.select(*id_cols, "indices", "values").mapInArrow(proj, schema)

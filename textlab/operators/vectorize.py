@@ -4,13 +4,17 @@ Long form ``(doc_id, term_id, value)`` is the queryable sparse matrix;
 :func:`pack` turns it into one row per document (``indices``, ``values``)
 for linear algebra.
 
-Plan shape (checked with ``explain``): tokens are exploded next to the
-scan, filtered against the vocabulary by a broadcast hash join (the
-vocabulary is capped at ``max_features`` rows, a proven bound), then
-aggregated per (doc, term) with map-side partial aggregation, so only
-distinct in-vocabulary pairs cross the shuffle.  Term statistics aggregate
-per (doc, term) first and per term second, so hot terms are combined
-map-side and ``count(distinct doc)`` never materialises a per-term set.
+Plan shape (checked with ``explain``): a document is one row, so its
+term frequencies are counted inside the row (:func:`term_counts`: sort and
+run-length encode the grams) and only distinct ``(doc, term, tf)`` rows are
+exploded.  They are filtered against the vocabulary by a broadcast hash
+join (the vocabulary is capped at ``max_features`` rows, a proven bound).
+Bag-of-words therefore needs no shuffle at all; TF-IDF shuffles once, by
+document, for the L2 norm.  Term statistics aggregate by term only, with
+map-side partial aggregation, so a term found in every document is
+combined per task and ``count(distinct doc)`` never materialises a
+per-term set.  ``doc_id`` is a key of the document table (one row per
+document).
 """
 
 from __future__ import annotations
@@ -20,46 +24,48 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ngrams
+from ..functions.text import ngrams, term_counts
 
 MAX_FEATURES = 20000
 MIN_DF = 2
 MAX_DF = "0.95"
 
 
+def _grams(tokens_col: str, n: int):
+    return F.col(tokens_col) if n == 1 else ngrams(tokens_col, n)
+
+
 def doc_terms(docs: DataFrame, tokens_col: str = "tokens", n: int = 1, id_col: str = "doc_id",
               keep: tuple = ()) -> DataFrame:
-    """Explode n-grams of the token array: one row per occurrence ``(doc_id, *keep, term)``.
+    """Explode n-grams of the token array: one row per occurrence ``(doc_id, *keep, term)``."""
+    return docs.select(id_col, *keep, F.explode(_grams(tokens_col, n)).alias("term"))
+
+
+def doc_term_counts(docs: DataFrame, tokens_col: str = "tokens", n: int = 1, id_col: str = "doc_id",
+                    keep: tuple = ()) -> DataFrame:
+    """A4 (before the vocabulary): ``(doc_id, *keep, term, tf)``, counted in-row (no shuffle).
 
     ``keep`` are per-document columns (e.g. the label) carried along so no
     join back to the documents is needed later.
     """
-    grams = F.col(tokens_col) if n == 1 else ngrams(tokens_col, n)
-    return docs.select(id_col, *keep, F.explode(grams).alias("term"))
-
-
-def doc_term_counts(docs: DataFrame, tokens_col: str = "tokens", n: int = 1, id_col: str = "doc_id") -> DataFrame:
-    """A4 (before the vocabulary): ``(doc_id, term, tf)``."""
-    return doc_terms(docs, tokens_col, n, id_col).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    runs = term_counts(docs, _grams(tokens_col, n), [id_col, *keep], "_runs")
+    # explode_outer + filter: a plain explode lets the optimizer infer size(_runs) > 0 and push it
+    # below the projections, inlining the sort into the per-element lambdas (quadratic per row)
+    return (runs.select(id_col, *keep, F.explode_outer("_runs").alias("_t")).where(F.col("_t").isNotNull())
+            .select(id_col, *keep, F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")))
 
 
 def term_statistics(train_docs: DataFrame, tokens_col: str = "tokens", n: int = 1,
                     id_col: str = "doc_id") -> DataFrame:
     """A3: per term, total count ``tf`` and document frequency ``df`` over the given (train) docs.
 
-    One aggregation by term: each document emits every gram with weight
-    (tf=1, df=0) and each of its distinct grams with (tf=0, df=1)
-    (``array_distinct`` is a per-row hash set).  Partial aggregation then
-    combines hot terms map-side and only per-task term totals are shuffled;
-    no (doc, term) shuffle is needed.
+    Each document emits each distinct gram once with its in-row count, so
+    ``tf = sum(tf)`` and ``df = count(*)`` in one aggregation by term.
+    Partial aggregation combines hot terms map-side; only per-task term
+    totals are shuffled, with no (doc, term) shuffle.
     """
-    grams = F.col(tokens_col) if n == 1 else ngrams(tokens_col, n)
-    both = F.concat(
-        F.transform(grams, lambda t: F.struct(t.alias("term"), F.lit(1).alias("c"), F.lit(0).alias("d"))),
-        F.transform(F.array_distinct(grams),
-                    lambda t: F.struct(t.alias("term"), F.lit(0).alias("c"), F.lit(1).alias("d"))))
-    return (train_docs.select(F.explode(both).alias("_e")).select("_e.*")
-            .groupBy("term").agg(F.sum("c").cast("long").alias("tf"), F.sum("d").cast("long").alias("df")))
+    return (doc_term_counts(train_docs, tokens_col, n, id_col)
+            .groupBy("term").agg(F.sum("tf").cast("long").alias("tf"), F.count(F.lit(1)).cast("long").alias("df")))
 
 
 def prune_terms(stats: DataFrame, n_docs, min_df: int = MIN_DF, max_df: str = MAX_DF) -> DataFrame:
@@ -93,23 +99,27 @@ def fit_vocabulary(train_docs: DataFrame, tokens_col: str = "tokens", n: int = 1
 
 def _vocab_hits(docs: DataFrame, vocab: DataFrame, tokens_col: str, n: int, id_col: str,
                 keep: tuple = ()) -> DataFrame:
-    terms = doc_terms(docs, tokens_col, n, id_col, keep)
+    """``(doc_id, *keep, term_id, idf, tf)`` for the in-vocabulary terms of each document."""
+    terms = doc_term_counts(docs, tokens_col, n, id_col, keep)
     # The vocabulary is capped (<= max_features rows): a proven broadcast bound.
-    return terms.join(F.broadcast(vocab.select("term", "term_id", "idf")), "term")
+    return (terms.join(F.broadcast(vocab.select("term", "term_id", "idf")), "term")
+            .select(id_col, *keep, "term_id", "idf", "tf"))
 
 
 def bag_of_words(docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", n: int = 1,
                  id_col: str = "doc_id", keep: tuple = ()) -> DataFrame:
-    """A4: ``(doc_id, *keep, term_id, count)`` for in-vocabulary terms."""
+    """A4: ``(doc_id, *keep, term_id, count)`` for in-vocabulary terms; no shuffle."""
     return (_vocab_hits(docs, vocab, tokens_col, n, id_col, keep)
-            .groupBy(id_col, *keep, "term_id").agg(F.count(F.lit(1)).alias("count")))
+            .select(id_col, *keep, "term_id", F.col("tf").alias("count")))
 
 
 def tfidf(docs: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", n: int = 2,
           id_col: str = "doc_id", keep: tuple = ()) -> DataFrame:
-    """A5: ``weight = (1 + ln tf) * idf``, L2-normalised per document -> ``(doc_id, *keep, term_id, weight)``."""
-    counts = (_vocab_hits(docs, vocab, tokens_col, n, id_col, keep)
-              .groupBy(id_col, *keep, "term_id", "idf").agg(F.count(F.lit(1)).alias("tf")))
+    """A5: ``weight = (1 + ln tf) * idf``, L2-normalised per document -> ``(doc_id, *keep, term_id, weight)``.
+
+    One shuffle, by document, for the norm.
+    """
+    counts = _vocab_hits(docs, vocab, tokens_col, n, id_col, keep)
     w = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf")
     norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(id_col)))
     return counts.select(id_col, *keep, "term_id", (w / norm).alias("weight"))
