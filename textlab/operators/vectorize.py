@@ -45,14 +45,17 @@ def doc_term_counts(docs: DataFrame, tokens_col: str = "tokens", n: int = 1, id_
                     keep: tuple = ()) -> DataFrame:
     """A4 (before the vocabulary): ``(doc_id, *keep, term, tf)``, counted in-row (no shuffle).
 
+    ``id_col=None`` leaves the document id out.
+
     ``keep`` are per-document columns (e.g. the label) carried along so no
     join back to the documents is needed later.
     """
-    runs = term_counts(docs, _grams(tokens_col, n), [id_col, *keep], "_runs")
+    cols = [c for c in (id_col, *keep) if c]
+    runs = term_counts(docs, _grams(tokens_col, n), cols, "_runs")
     # explode_outer + filter: a plain explode lets the optimizer infer size(_runs) > 0 and push it
     # below the projections, inlining the sort into the per-element lambdas (quadratic per row)
-    return (runs.select(id_col, *keep, F.explode_outer("_runs").alias("_t")).where(F.col("_t").isNotNull())
-            .select(id_col, *keep, F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")))
+    return (runs.select(*cols, F.explode_outer("_runs").alias("_t")).where(F.col("_t").isNotNull())
+            .select(*cols, F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")))
 
 
 def term_statistics(train_docs: DataFrame, tokens_col: str = "tokens", n: int = 1,
