@@ -44,3 +44,17 @@ def test_stream_term_counts_match_batch(spark):
     got = {(r["doc_id"], r["term_id"], r["count"]) for r in spark.read.parquet(f"{root}/out").collect()}
     want = {(r["doc_id"], r["term_id"], r["count"]) for r in vectorize.bag_of_words(batch, vocab).collect()}
     assert got == want
+
+
+def test_rank_terms_global_path_matches_topk(spark):
+    """The distributed global rank gives the same word -> vector mapping as the bounded top-k."""
+    from textlab.operators import embed
+    from textlab.plans.corpus import cleaned_corpus
+    from textlab.sources.tables import read_table
+
+    sf = "/root/testdata/sf0.001"
+    docs = cleaned_corpus(spark, sf).repartition(3)
+    vecs = read_table(spark, sf, "embeddings")
+    small = {r["word"]: list(r["vec"]) for r in embed.rank_terms_to_vectors(docs, vecs).collect()}
+    big = {r["word"]: list(r["vec"]) for r in embed.rank_terms_to_vectors(docs, vecs, topk_limit=0).collect()}
+    assert small and small == big

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest derived lookup table (rows) we broadcast after counting it.
@@ -55,3 +55,27 @@ def join_on_groups(left: DataFrame, right: DataFrame, cols: list[str], how: str
 def r6(c) -> Column:
     """Round a double to 6 places (the convention shared with the SQL oracle)."""
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+# Positions inside a partition take the low 33 bits of monotonically_increasing_id.
+_POSITION_BITS = 33
+
+
+def global_row_number(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
+    """0-based position of every row in a total order, without a single-partition window.
+
+    The rows are sorted globally (range partitioned), numbered inside each
+    sorted partition (``monotonically_increasing_id`` keeps the partition in
+    its upper bits and the position in the lower 33), and staged so the
+    numbering is fixed.  Each partition's offset is a running sum over one
+    row per partition (broadcast; bounded by the partition count).
+    ``order`` must be a total order (break ties with a key).
+    """
+    numbered = stage(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()), "global_rank")
+    numbered = numbered.select(*df.columns, F.shiftright("_mid", _POSITION_BITS).alias("_pid"),
+                               F.col("_mid").bitwiseAND((1 << _POSITION_BITS) - 1).alias("_pos"))
+    sizes = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (numbered.join(F.broadcast(offsets), "_pid")
+            .select(*df.columns, (F.col("_off") + F.col("_pos")).cast("long").alias(name)))

@@ -24,13 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CLS_TOKEN, PAD_TOKEN, SEP_TOKEN, WINDOW_LENGTH, token_window
-from .common import bounded_broadcast
+from .common import bounded_broadcast, global_row_number
 
 ENCODE_BATCH = 64
 MASK_FLOOR = 1e-9
 # Word-vector tables up to about this many bytes are broadcast (rows checked by a count,
 # bytes estimated from the vector width).
 WORD_TABLE_BROADCAST_BYTES = 1 << 30
+# Largest k ranked by a single top-k; larger k uses the distributed global rank.
+RANK_TOPK_LIMIT = 100_000
 
 
 def _join_words(occ: DataFrame, word_vectors: DataFrame) -> DataFrame:
@@ -50,17 +52,23 @@ def _join_words(occ: DataFrame, word_vectors: DataFrame) -> DataFrame:
 
 
 def rank_terms_to_vectors(tokens_df: DataFrame, vectors: DataFrame, tokens_col: str = "tokens",
-                          id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+                          id_col: str = "vec_id", vec_col: str = "embedding",
+                          topk_limit: int = RANK_TOPK_LIMIT) -> DataFrame:
     """Fixture word vectors: the i-th most frequent term (tf desc, term asc; from 0) gets vector ``id = i``.
 
-    ``(word, vec array<float>)``.  A top-k with k = the number of vectors,
-    then a rank over those k rows only.
+    ``(word, vec array<float>)``.  k = the number of vectors grows with the
+    data: up to ``topk_limit`` a bounded top-k and a rank over those k rows;
+    above it a distributed global rank (:func:`global_row_number`), so no
+    single task ever holds k rows.
     """
     k = vectors.count()
     tf = tokens_df.select(F.explode(tokens_col).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("tf"))
-    top = tf.orderBy(F.col("tf").desc(), F.col("word").asc()).limit(k)
-    ranked = top.withColumn(id_col, (F.row_number().over(Window.orderBy(F.col("tf").desc(), F.col("word").asc()))
-                                     - 1).cast("long"))
+    order = [F.col("tf").desc(), F.col("word").asc()]
+    if k <= topk_limit:
+        top = tf.orderBy(*order).limit(k)
+        ranked = top.withColumn(id_col, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
+    else:
+        ranked = global_row_number(tf, order, id_col).where(F.col(id_col) < k)
     return ranked.join(vectors.select(id_col, F.col(vec_col).alias("vec")), id_col).select("word", "vec")
 
 
