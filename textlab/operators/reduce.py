@@ -164,6 +164,23 @@ def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
     return Z.reshape(d, l).astype(np.float64)
 
 
+# A task should read at least this fraction of its partial's bytes; fewer, larger
+# tasks below that (the d x l partial per task is the fixed cost of a pass).
+PARTIAL_BYTES_FRACTION = 0.25
+_ENTRY_BYTES = 12  # int index + double value
+
+
+def _size_for_partials(packed: DataFrame, partial_bytes: int) -> DataFrame:
+    """Coalesce (no shuffle) so each task holds about ``PARTIAL_BYTES_FRACTION`` x its partial in entries.
+
+    Every task of a pass emits one dense d x l partial however few rows it
+    read, so small inputs get few tasks; large inputs keep their partitions.
+    """
+    nnz = packed.select(F.sum(F.size("indices"))).first()[0] or 0
+    want = max(1, math.ceil(nnz * _ENTRY_BYTES / (PARTIAL_BYTES_FRACTION * partial_bytes)))
+    return packed.coalesce(want) if want < packed.rdd.getNumPartitions() else packed
+
+
 def _fix_signs(V: np.ndarray) -> np.ndarray:
     signs = np.sign(V[np.abs(V).argmax(axis=0), np.arange(V.shape[1])])
     signs[signs == 0] = 1.0
@@ -179,9 +196,9 @@ def truncated_svd(packed: DataFrame, d: int, k: int, n_rows: int, col_stats: tup
     explained-variance ratios use column means/squares ``col_stats = (sum,
     sum_sq)`` (length-d arrays) and ``n_rows`` (documents, empty ones included).
     """
-    packed = packed.persist()
     k = max(1, min(k, d, n_rows))
     l = min(d, k + oversamples)
+    packed = _size_for_partials(packed, d * l * 4).persist()
     rng = np.random.default_rng(seed)
     W = np.linalg.qr(rng.standard_normal((d, l)))[0]
     # power iterations only shape the subspace: float32 halves their traffic;
