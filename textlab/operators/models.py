@@ -87,16 +87,31 @@ def train_and_predict(kind: str, train: DataFrame, test: DataFrame, features: st
 
 def kmeans_best(train: DataFrame, k: int, features: str = "features", restarts: int = KMEANS_RESTARTS,
                 seed: int = SEED):
-    """M4: k-means|| for ``restarts`` seeds on a persisted set; keep the lowest cost.  Returns (model, seconds)."""
+    """M4: k-means|| for ``restarts`` seeds on a persisted set; keep the lowest cost.  Returns (model, seconds).
+
+    Restarts are independent fits.  When the train set has fewer partitions
+    than the cluster has cores, several restarts run at once (driver
+    threads submitting jobs) to fill the idle cores; a large train set
+    runs them one after another.  Ties keep the earliest seed.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     n = train.count()
     width = len(train.select(features).first()[0])
     tr = compact_for_fit(_vectors(train, features).select("_fv"), n, 8 * (width + 1)).persist()
     tr.count()
+    cores = tr.sparkSession.sparkContext.defaultParallelism
+    concurrent = max(1, min(restarts, cores // max(1, tr.rdd.getNumPartitions())))
+
+    def fit(s):
+        return KMeans(featuresCol="_fv", k=k, seed=s, maxIter=KMEANS_MAX_ITER, tol=KMEANS_TOL,
+                      initMode="k-means||").fit(tr)
+
     t0 = time.time()
+    with ThreadPoolExecutor(max_workers=concurrent) as pool:
+        fitted = list(pool.map(fit, range(seed, seed + restarts)))
     best = None
-    for s in range(seed, seed + restarts):
-        m = KMeans(featuresCol="_fv", k=k, seed=s, maxIter=KMEANS_MAX_ITER, tol=KMEANS_TOL,
-                   initMode="k-means||").fit(tr)
+    for m in fitted:
         if best is None or m.summary.trainingCost < best.summary.trainingCost:
             best = m
     return best, time.time() - t0
