@@ -66,8 +66,10 @@ def _sparse_svd(spark: SparkSession, sf_dir: str, n: int, weighted: bool) -> tup
                            F.coalesce("values", F.array().cast("array<double>")).alias("values"))
     packed = packed.persist()
     n_train = packed.where("split = 'train'").count()
-    train_ids = packed.where("split = 'train'").select("doc_id")
-    stats = reduce.column_stats(long.join(train_ids, "doc_id"), d, "weight")
+    # column sums from the cached packed train rows (no second pass over the tokens)
+    entries = packed.where("split = 'train'").select(F.explode(F.arrays_zip("indices", "values")).alias("_e"))
+    stats = reduce.column_stats(entries.select(F.col("_e.indices").alias("term_id"), F.col("_e.values").alias("weight")),
+                                d, "weight")
     max_k = min(reduce.MAX_SPARSE_COMPONENTS, d, n_train)
     svd = reduce.truncated_svd(packed.where("split = 'train'"), d, max_k, n_train, stats)
     cum = np.cumsum(svd["ratios"]).tolist()
