@@ -236,7 +236,8 @@ def encode_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     once per Python worker, the way model weights would be loaded.
     """
     docs = tokens_once(spark, sf_dir)
-    wv = stage(fixture_word_vectors(spark, sf_dir, docs).select("word", "vec").coalesce(1), "word_vectors")
+    # written with the table's own partitioning; the encoder reads the whole folder
+    wv = stage(fixture_word_vectors(spark, sf_dir, docs).select("word", "vec"), "word_vectors")
     path = wv.inputFiles()[0].rsplit("/", 1)[0]
     out = embed.encode_documents(docs, lambda: embed.WordVectorEncoder(path))
     z = out.select("doc_id", F.posexplode(F.arrays_zip("first", "mean")).alias("dim", "_z"))
