@@ -66,3 +66,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     elif path.startswith("/"):
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def workers_can_import(spark: SparkSession) -> None:
+    """Let Python workers import ``textlab`` whatever the driver's working folder.
+
+    Fold, pooling and encoder functions reach the workers by module name.
+    On a local master the package's parent folder is added to the worker
+    ``PYTHONPATH`` (sent with every Python function).  On a cluster, ship the
+    package with ``--py-files`` or install it on the executors.
+    """
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    parts = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        sc.environment["PYTHONPATH"] = os.pathsep.join([root, *parts])
