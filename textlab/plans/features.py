@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import embed, reduce, vectorize
+from ..operators.common import bounded_broadcast
 from ..session import checkpoint_root
 from ..sources import files
 from .corpus import fixture_word_vectors, reused_split_corpus, train_part
@@ -49,7 +50,8 @@ def labelled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = reused_split_corpus(spark, sf_dir)
     classes = split.select("label").distinct().withColumn(
         "y", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int"))
-    return split.join(F.broadcast(classes), "label").select("doc_id", "split", "tokens", F.col("y").alias("label"))
+    # one row per class, counted before it is broadcast
+    return split.join(bounded_broadcast(classes), "label").select("doc_id", "split", "tokens", F.col("y").alias("label"))
 
 
 def _sparse_svd(spark: SparkSession, sf_dir: str, n: int, weighted: bool) -> tuple[DataFrame, dict]:
