@@ -47,3 +47,18 @@ def test_uniform_sample_size(spark):
     df = spark.range(50).withColumnRenamed("id", "doc_id")
     assert sampling.uniform_sample(df, "doc_id", 2000).count() == 50
     assert sampling.uniform_sample(df, "doc_id", 20).count() == 20
+
+
+def test_global_row_number_equals_window(spark):
+    """Distributed rank over several (some empty) partitions equals a single-window row_number."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from textlab.operators.common import global_row_number
+
+    rows = [(i, (i * 7919) % 13) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, g long").repartition(7).where("id % 3 <> 0 OR id < 50")
+    order = [F.col("g").desc(), F.col("id").asc()]
+    got = {r["id"]: r["rank"] for r in global_row_number(df, order).collect()}
+    want = {r["id"]: r["rank"] - 1 for r in df.withColumn("rank", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert got == want and sorted(got.values()) == list(range(len(want)))
