@@ -58,3 +58,13 @@ def test_rank_terms_global_path_matches_topk(spark):
     small = {r["word"]: list(r["vec"]) for r in embed.rank_terms_to_vectors(docs, vecs).collect()}
     big = {r["word"]: list(r["vec"]) for r in embed.rank_terms_to_vectors(docs, vecs, topk_limit=0).collect()}
     assert small and small == big
+
+
+def test_pool_window_equals_states_then_pool(spark):
+    wv = spark.createDataFrame([("a", [2.0, 2.0]), ("c", [1.0, -1.0])], "word string, vec array<float>")
+    docs = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, ["zz"]), (4, ["c"] * 200 + ["a"])],
+                                 "doc_id long, tokens array<string>")
+    states, masks = embed.window_token_states(docs, wv)
+    want = {r["doc_id"]: (r["first"], r["mean"]) for r in embed.pool_token_states(states, masks, 2).collect()}
+    got = {r["doc_id"]: (r["first"], r["mean"]) for r in embed.pool_window(docs, wv, 2).collect()}
+    assert got == want and len(got) == 4

@@ -35,7 +35,7 @@ WORD_TABLE_BROADCAST_BYTES = 1 << 30
 RANK_TOPK_LIMIT = 100_000
 
 
-def _join_words(occ: DataFrame, word_vectors: DataFrame) -> DataFrame:
+def _join_words(occ: DataFrame, word_vectors: DataFrame, how: str = "inner") -> DataFrame:
     """Join token occurrences with the word table without ever broadcasting the occurrence side.
 
     The token stream is the large side but its size is invisible to the
@@ -47,8 +47,8 @@ def _join_words(occ: DataFrame, word_vectors: DataFrame) -> DataFrame:
     row_bytes = 64 + 4 * (first["w"] if first and first["w"] else 0)
     words = bounded_broadcast(word_vectors, max(1, WORD_TABLE_BROADCAST_BYTES // row_bytes))
     if words is word_vectors:
-        return occ.hint("merge").join(word_vectors, "word")
-    return occ.join(words, "word")
+        return occ.hint("merge").join(word_vectors, "word", how)
+    return occ.join(words, "word", how)
 
 
 def rank_terms_to_vectors(tokens_df: DataFrame, vectors: DataFrame, tokens_col: str = "tokens",
@@ -120,6 +120,35 @@ def pool_token_states(states: DataFrame, masks: DataFrame, dim, id_col: str = "d
                                zero).alias("mean")))
 
 
+def pool_window(docs: DataFrame, word_vectors: DataFrame, dim, tokens_col: str = "tokens", id_col: str = "doc_id",
+                length: int = WINDOW_LENGTH) -> DataFrame:
+    """E2/A7/A8 for the default static encoder in one aggregation: ``(doc_id, first, mean)``.
+
+    Same result as :func:`window_token_states` + :func:`pool_token_states`,
+    with one shuffle instead of three: every slot row carries its
+    document's mask sum, and slot 0 is kept even when its word is unknown
+    (zero state), so every document reaches the single ``groupBy`` and no
+    join back to the documents is needed.  The ``Summarizer`` partial is one
+    vector per document per task (a document's slots come from one row).
+    """
+    zero = F.array_repeat(F.lit(0.0), dim.cast("int") if not isinstance(dim, int) else F.lit(dim))
+    win = docs.select(id_col, token_window(tokens_col, length).alias("w")).select(
+        id_col, "w", F.aggregate("w.mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
+    slots = win.select(id_col, "mask_sum", F.posexplode("w.window").alias("pos", "word"), F.col("w.mask").alias("_m"))
+    slots = slots.select(id_col, "mask_sum", "pos", "word", F.element_at("_m", F.col("pos") + 1).alias("mask"))
+    hit = _join_words(slots, word_vectors.select("word", "vec"), "left")
+    kept = hit.where(F.col("vec").isNotNull() | (F.col("pos") == 0)).select(
+        id_col, "mask_sum", "pos", "mask",
+        F.coalesce(F.transform("vec", lambda x: x.cast("double")), zero).alias("state"))
+    rows = kept.select(id_col, "mask_sum",
+                       array_to_vector(F.transform("state", lambda x: x * F.col("mask"))).alias("v"),
+                       F.when(F.col("pos") == 0, F.col("state")).alias("f"))
+    agg = rows.groupBy(id_col).agg(Summarizer.sum(F.col("v")).alias("s"), F.first("f", ignorenulls=True).alias("first"),
+                                   F.max("mask_sum").alias("mask_sum"))
+    denom = F.greatest(F.col("mask_sum").cast("double"), F.lit(MASK_FLOOR))
+    return agg.select(id_col, "first", F.transform(vector_to_array("s"), lambda x: x / denom).alias("mean"))
+
+
 def long_vectors(df: DataFrame, id_col: str, vec_col: str, value_col: str = "value") -> DataFrame:
     """``(id, dim, value)`` rows of an array column, value rounded to 6 places."""
     return df.select(id_col, F.posexplode(vec_col).alias("dim", "_v")).select(

@@ -215,8 +215,7 @@ def word_vector_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tokens_once(spark, sf_dir)
     wv = fixture_word_vectors(spark, sf_dir, docs)
-    states, masks = embed.window_token_states(docs, wv)
-    return embed.pool_token_states(states, masks, embed.vector_width(wv))
+    return embed.pool_window(docs, wv, embed.vector_width(wv))
 
 
 def masked_mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:

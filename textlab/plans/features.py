@@ -107,8 +107,7 @@ def _dense_inputs(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     if which == "WORDVEC":
         vec = embed.mean_word_vectors(docs, wv)
     else:
-        states, masks = embed.window_token_states(docs, wv)
-        pooled = embed.pool_token_states(states, masks, embed.vector_width(wv))
+        pooled = embed.pool_window(docs, wv, embed.vector_width(wv))
         vec = pooled.select("doc_id", F.col("first" if which == "FIRST" else "mean").alias("vec"))
     return split.select("doc_id", "split", "label").join(vec, "doc_id").select(
         "doc_id", "split", "label", F.col("vec").alias("features"))
