@@ -79,14 +79,24 @@ def vector_width(word_vectors: DataFrame, vec_col: str = "vec"):
 
 def mean_word_vectors(docs: DataFrame, word_vectors: DataFrame, tokens_col: str = "tokens",
                       id_col: str = "doc_id") -> DataFrame:
-    """``(doc_id, vec array<double>)`` = mean of the vectors of known tokens, else zeros."""
-    occ = docs.select(id_col, F.explode(tokens_col).alias("word"))
-    hits = _join_words(occ, word_vectors.select("word", "vec")).select(
-        id_col, array_to_vector("vec").alias("v"))
-    means = hits.groupBy(id_col).agg(Summarizer.mean(F.col("v")).alias("m"))
+    """``(doc_id, vec array<double>)`` = mean of the vectors of known tokens, else zeros.
+
+    Every token occurrence probes the word table (left broadcast join;
+    repeats weigh more).  A sentinel slot at position 0 keeps one row per
+    document, so a single ``groupBy(doc)`` summing vectors and hits
+    (map-side partials, one per document per task) covers documents
+    without a known word too.  No join back to the documents.
+    """
     zero = F.array_repeat(F.lit(0.0), vector_width(word_vectors).cast("int"))
-    return (docs.select(id_col).join(means, id_col, "left")
-            .select(id_col, F.coalesce(F.when(F.col("m").isNotNull(), vector_to_array("m")), zero).alias("vec")))
+    slots = F.concat(F.array(F.lit(None).cast("string")), F.col(tokens_col))
+    occ = docs.select(id_col, F.posexplode(slots).alias("pos", "word"))
+    hit = _join_words(occ, word_vectors.select("word", "vec"), "left")
+    kept = hit.where(F.col("vec").isNotNull() | (F.col("pos") == 0)).select(
+        id_col, F.col("vec").isNotNull().cast("long").alias("n"),
+        array_to_vector(F.coalesce(F.transform("vec", lambda x: x.cast("double")), zero)).alias("v"))
+    agg = kept.groupBy(id_col).agg(Summarizer.sum(F.col("v")).alias("s"), F.sum("n").alias("n"))
+    return agg.select(id_col, F.when(F.col("n") > 0, F.transform(vector_to_array("s"), lambda x: x / F.col("n")))
+                      .otherwise(zero).alias("vec"))
 
 
 def window_token_states(docs: DataFrame, word_vectors: DataFrame, tokens_col: str = "tokens",
