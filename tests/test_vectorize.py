@@ -37,3 +37,22 @@ def test_bag_of_words_counts(spark):
     v = vectorize.fit_vocabulary(d, n=1, max_df="1.0")
     got = {(r["doc_id"], r["term_id"]): r["count"] for r in vectorize.bag_of_words(d, v).collect()}
     assert got == {(0, 0): 2, (0, 1): 1, (1, 0): 1, (1, 1): 1}
+
+
+def test_plan_shapes_bow_no_shuffle_tfidf_one(spark):
+    """BoW counts inside rows (no hash exchange); TF-IDF shuffles once, by document, for the norm."""
+    from textlab.functions.text import clean_tokens
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        "doc_id", clean_tokens("text").alias("tokens"))
+    fitted = vectorize.fit_vocabulary(docs, n=1)
+    vocab = spark.createDataFrame(fitted.collect(), fitted.schema)  # a literal table: its own plan adds nothing
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    bow_plan = plan(vectorize.bag_of_words(docs, vocab))
+    assert "Exchange hashpartitioning" not in bow_plan
+    tfidf_plan = plan(vectorize.tfidf(docs, vocab, n=1))
+    assert tfidf_plan.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning(doc_id" in tfidf_plan
