@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from textlab.operators import embed
 from textlab.sources import files
 
@@ -68,3 +70,17 @@ def test_pool_window_equals_states_then_pool(spark):
     want = {r["doc_id"]: (r["first"], r["mean"]) for r in embed.pool_token_states(states, masks, 2).collect()}
     got = {r["doc_id"]: (r["first"], r["mean"]) for r in embed.pool_window(docs, wv, 2).collect()}
     assert got == want and len(got) == 4
+
+
+def test_plan_shapes_pooling_and_mean_one_shuffle(spark):
+    """Word-vector mean and window pooling each shuffle once, by document (no join back to the documents)."""
+    wv = spark.createDataFrame([("a", [2.0, 2.0]), ("c", [1.0, -1.0])], "word string, vec array<float>")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        "doc_id", F.split("text", " ").alias("tokens"))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    for df in (embed.mean_word_vectors(docs, wv), embed.pool_window(docs, wv, 2)):
+        p = plan(df)
+        assert p.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(doc_id" in p
