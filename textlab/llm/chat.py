@@ -115,7 +115,7 @@ def format_chats(rows: DataFrame, template: Template = INST, id_col: str = "conv
     spans = F.aggregate("segments", F.struct(F.lit(0).alias("at"), F.array().cast(spot).alias("out")), place, lambda s: s["out"])
     return chats.select("id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments",
                         spans.alias("loss_spans"), F.when(F.col("walked.state") == "wrong", F.col("walked.n")).alias("first_wrong"),
-                        ~F.col("walked.state").isin(*template.accept).alias("ends_open"))
+                        (~F.col("walked.state").isin(*template.accept)).alias("ends_open"))
 
 
 def parse_chat(formatted: Column, template: Template = INST) -> Column:

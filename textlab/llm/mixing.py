@@ -174,9 +174,8 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, source_col: str = "so
     wide = wide.join(F.broadcast(table), ["i", "b"], "left").join(F.broadcast(edge), ["i", "b"], "left")
     inside = F.coalesce(F.col("key") <= F.col("upto"), F.lit(False)) | F.array_contains("extras", F.col("key"))
     taken = F.filter("dealt", lambda d: F.col("border").isNull() | (d["epoch"] != F.col("border")) | inside)
-    wide = wide.select("row.*", F.col("size").alias(names["size"]), F.col("source_size").alias(names["source_size"]),
-                       F.col("target").alias(names["target"]),
-                       F.coalesce(taken, F.array().cast(DRAWS)).alias(names["draws"]))
+    wide = wide.select("row", "size", "source_size", "target", F.coalesce(taken, F.array().cast(DRAWS)).alias("draws"))
+    wide = wide.select(*[F.col(k).alias(name) for k, name in names.items()], "row.*").select(*docs.columns, *names.values())
     return Mix(wide, names, round(sum(goal)), shards, seed)
 
 

@@ -39,7 +39,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
-    return pc.list_flatten(column).to_numpy(zero_copy_only=False).reshape(-1, width)
+    return pc.list_flatten(column).to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
 def scores(queries: np.ndarray, tile: np.ndarray) -> np.ndarray:
