@@ -109,7 +109,8 @@ def _collect(block, k: int):
 def search_block(rows: DataFrame, qid: np.ndarray, qvec: np.ndarray, k: int, longest: float) -> DataFrame:
     """Top k of every query of one block (at most ``BLOCK`` queries are broadcast)."""
     sc = rows.sparkSession.sparkContext
-    reach = np.floor(np.sqrt((qvec * qvec).sum(axis=1)) * longest).astype(np.int64) + 1  # no score is larger
+    reach = np.sqrt((qvec * qvec).sum(axis=1)) * longest + 1  # no score is larger
+    reach = np.minimum(reach, 2.0 ** 61).astype(np.int64)
     low, high = -reach, reach
     while True:
         width = np.maximum(1, -(-(high - low + 1) // BINS))
@@ -142,7 +143,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vec_
     ``is_query`` is a condition on ``id``.  Null ids, null vectors and vectors with null or non-finite
     components take no part; a query meets the vectors of its own width.  Every query
     row is answered; rows that carry its id are its own, and rows that repeat another id
-    each count.  A query without candidates has no rows.  Other columns are not read.
+    each count.  Scores must lie within 2**61.  A query without candidates has no rows.  Other columns are not read.
     """
     rows = stage(usable(vectors, id_col, vec_col), "topk_vectors")
     width, norm = F.size("vec").alias("width"), F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
