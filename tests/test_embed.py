@@ -27,7 +27,8 @@ def test_pooling_first_and_masked_mean(spark):
     docs = spark.createDataFrame([(1, ["a", "b"])], "doc_id long, tokens array<string>")
     states, masks = embed.window_token_states(docs, wv)
     p = embed.pool_token_states(states, masks, 2).first()
-    assert p["first"] == [0.0, 0.0] and p["mean"] == [0.5, 0.5]  # (2,2) over 4 real slots
+    # the leading special token takes the first content token's state: (2,2) twice over 4 real slots
+    assert p["first"] == [2.0, 2.0] and p["mean"] == [1.0, 1.0]
 
 
 def test_stream_term_counts_match_batch(spark):
@@ -84,3 +85,11 @@ def test_plan_shapes_pooling_and_mean_one_shuffle(spark):
     for df in (embed.mean_word_vectors(docs, wv), embed.pool_window(docs, wv, 2)):
         p = plan(df)
         assert p.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(doc_id" in p
+
+
+def test_first_token_features_vary(spark):
+    from textlab.plans import catalog
+    from conftest import SF_SMALL
+
+    values = {r["value"] for r in catalog.first_token_pool(spark, SF_SMALL).where("dim = 0").collect()}
+    assert len(values) > 10

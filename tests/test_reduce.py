@@ -44,3 +44,27 @@ def test_pca_centred_and_train_only(spark):
     _, s, vt = np.linalg.svd(Xc, full_matrices=False)
     assert np.allclose(np.abs(P), np.abs(Xc @ vt[:3].T), atol=1e-8)
     assert np.allclose(ratios, (s ** 2 / (s ** 2).sum())[:3], atol=1e-10)
+
+
+def test_partial_sums_over_many_partitions(spark):
+    from textlab.operators.linalg import sum_partials
+
+    df = spark.range(4000).repartition(200)
+    got = sum_partials(df, lambda bs: sum(np.bincount(b["id"].to_numpy() % 20_000, minlength=20_000) for b in bs if len(b)), 20_000, ["id"])
+    assert got[:4000].tolist() == [1.0] * 4000 and got[4000:].sum() == 0
+    assert sum_partials(df.limit(0), lambda bs: None, 7, ["id"]).tolist() == [0.0] * 7
+
+
+def test_svd_accuracy_at_300_components(spark):
+    """The leading values are exact; the tail of a flat spectrum is known to a few percent (randomised solver)."""
+    rng = np.random.default_rng(4)
+    n, d, k = 500, 1500, 300
+    rows, A = [], np.zeros((n, d))
+    for i in range(n):
+        idx = np.sort(rng.choice(d, 60, replace=False, p=(w := 1 / np.arange(1, d + 1)) / w.sum()))
+        A[i, idx] = rng.integers(1, 5, 60)
+        rows.append((i, idx.tolist(), A[i, idx].tolist()))
+    df = spark.createDataFrame(rows, "doc_id long, indices array<int>, values array<double>")
+    got = reduce.truncated_svd(df, d, k, n)["singular_values"]
+    err = np.abs(got / np.linalg.svd(A, compute_uv=False)[:k] - 1)
+    assert err[50] < 1e-3 and err[200] < 2e-2 and err.max() < 6e-2, (err[50], err[200], err.max())

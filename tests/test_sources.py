@@ -1,6 +1,7 @@
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from textlab.operators import metrics
 from textlab.sources import files, tables
@@ -22,6 +23,50 @@ def test_csv_roundtrip_quotes_newlines_empty(spark):
     assert got[1] == rows[0][1] and got[2] is None and got[3] is None
 
 
+def test_csv_keeps_blanks_line_breaks_and_backslashes(spark):
+    rows = [(1, " lead trail ", " "), (2, "a\\nb\\\\", "\t"), (3, "x\n\n y", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    path = tempfile.mkdtemp() + "/csv"
+    files.write_csv(df, path)
+    s = SCHEMAS["documents"]
+    back = files.read_csv(spark, path, type(s)([s["doc_id"], s["text"], s["lang"]]))
+    assert sorted(tuple(r) for r in back.collect()) == rows
+
+
+def test_changed_input_is_never_answered_from_an_old_stage(spark):
+    import __spark_entry__ as entry
+
+    root = tempfile.mkdtemp()
+    for t in ("documents", "embeddings", "labels"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").coalesce(1).write.parquet(f"{root}/{t}.parquet")
+    q = entry.queries()
+    docs = {n: q[n](spark, root).select("doc_id").distinct().count() for n in ("bow", "clean_text")}
+    more = spark.read.parquet(f"{SF_SMALL}/documents.parquet").withColumn("doc_id", F.col("doc_id") + 1_000_000)
+    more.coalesce(1).write.mode("append").parquet(f"{root}/documents.parquet")
+    again = {n: q[n](spark, root).select("doc_id").distinct().count() for n in docs}
+    assert all(again[n] >= 1.9 * docs[n] for n in docs), (docs, again)
+
+
+def test_published_stage_has_one_folder(spark):
+    import os
+
+    root = tempfile.mkdtemp()
+    files.reuse_or_compute(spark, f"{root}/a/stage", lambda: spark.range(3))
+    assert os.listdir(f"{root}/a") == ["stage"]
+
+
+def test_rows_of_a_null_class_stay(spark):
+    from textlab.plans.features import labelled_split
+
+    root = tempfile.mkdtemp()
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang"))).withColumn("lang", F.col("lang"))
+    docs.coalesce(1).write.parquet(f"{root}/documents.parquet")
+    got = labelled_split(spark, root)
+    assert got.count() == docs.count()
+    assert got.where(F.col("label") == got.agg(F.max("label")).first()[0]).count() == docs.where("lang IS NULL").count()
+
+
 def test_results_json_roundtrip(spark):
     pred = spark.createDataFrame([("F", "M", 0, 0), ("F", "M", 1, 0), ("F", "M", 1, 1)],
                                  "feature_set string, model string, true_label int, pred_label int")

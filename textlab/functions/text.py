@@ -2,8 +2,7 @@
 
 Every function takes and returns a :class:`~pyspark.sql.Column`, so the
 cleaning runs inside the JVM next to the parquet scan and can be used in
-``select``, ``withColumn``, or (through :func:`register_sql_functions`)
-in SQL text.
+``select`` or ``withColumn``.
 
 Semantics follow the reference's cleaner: lowercase, delete ``http\\S+``,
 delete every character that is not ``a-z`` or whitespace (deleted, not

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest derived lookup table (rows) we broadcast after counting it.
@@ -37,17 +37,11 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    conds = [left[c].eqNullSafe(right[c]) for c in cols]
-    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
-
-
 def join_on_groups(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on group columns that may hold nulls; keeps the left copy of the keys."""
     if not cols:
         raise ValueError("join_on_groups needs at least one key column (no cross joins)")
-    r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
-                     *[c for c in right.columns if c not in cols])
+    r = right.withColumnsRenamed({c: f"__r_{c}" for c in cols})
     cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(r[f"__r_{c}"]) for c in cols])
     return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
 

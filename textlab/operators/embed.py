@@ -20,17 +20,17 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import CLS_TOKEN, PAD_TOKEN, SEP_TOKEN, WINDOW_LENGTH, token_window
+from ..functions.text import PAD_TOKEN, SEP_TOKEN, WINDOW_LENGTH, token_window
 from .common import bounded_broadcast, global_row_number
 
 ENCODE_BATCH = 64
 MASK_FLOOR = 1e-9
 # Word-vector tables up to about this many bytes are broadcast (rows checked by a count,
 # bytes estimated from the vector width).
-WORD_TABLE_BROADCAST_BYTES = 1 << 30
+WORD_TABLE_BROADCAST_BYTES = 128 << 20
 # Largest k ranked by a single top-k; larger k uses the distributed global rank.
 RANK_TOPK_LIMIT = 100_000
 
@@ -99,17 +99,24 @@ def mean_word_vectors(docs: DataFrame, word_vectors: DataFrame, tokens_col: str
                       .otherwise(zero).alias("vec"))
 
 
+def _looked_up(window) -> Column:
+    """The word whose vector each slot takes: the leading special token takes the first content token's state
+    (the static encoder's rule, so that the first-token vector says something about the text)."""
+    return F.concat(F.slice(window, 2, 1), F.slice(window, 2, F.size(window) - 1))
+
+
 def window_token_states(docs: DataFrame, word_vectors: DataFrame, tokens_col: str = "tokens",
                         id_col: str = "doc_id", length: int = WINDOW_LENGTH) -> tuple[DataFrame, DataFrame]:
     """Default static encoder: token states of the P13 window from a word-vector table.
 
     Returns ``(states, masks)``: ``states(doc_id, pos, mask, vec)`` holds the
-    non-zero states only (known words inside the window); special tokens,
+    non-zero states only (known words inside the window); the leading special
+    token has the state of the first content token, the other special tokens,
     padding and unknown words have zero states.  ``masks(doc_id, mask_sum)``.
     """
     win = docs.select(id_col, token_window(tokens_col, length).alias("w"))
     masks = win.select(id_col, F.aggregate("w.mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
-    occ = win.select(id_col, F.posexplode("w.window").alias("pos", "word"), F.col("w.mask").alias("_m"))
+    occ = win.select(id_col, F.posexplode(_looked_up(F.col("w.window"))).alias("pos", "word"), F.col("w.mask").alias("_m"))
     occ = occ.select(id_col, "pos", "word", F.element_at("_m", F.col("pos") + 1).alias("mask"))
     states = _join_words(occ, word_vectors.select("word", "vec")).select(
         id_col, "pos", "mask", F.transform("vec", lambda x: x.cast("double")).alias("vec"))
@@ -144,7 +151,8 @@ def pool_window(docs: DataFrame, word_vectors: DataFrame, dim, tokens_col: str =
     zero = F.array_repeat(F.lit(0.0), dim.cast("int") if not isinstance(dim, int) else F.lit(dim))
     win = docs.select(id_col, token_window(tokens_col, length).alias("w")).select(
         id_col, "w", F.aggregate("w.mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
-    slots = win.select(id_col, "mask_sum", F.posexplode("w.window").alias("pos", "word"), F.col("w.mask").alias("_m"))
+    slots = win.select(id_col, "mask_sum", F.posexplode(_looked_up(F.col("w.window"))).alias("pos", "word"),
+                       F.col("w.mask").alias("_m"))
     slots = slots.select(id_col, "mask_sum", "pos", "word", F.element_at("_m", F.col("pos") + 1).alias("mask"))
     hit = _join_words(slots, word_vectors.select("word", "vec"), "left")
     kept = hit.where(F.col("vec").isNotNull() | (F.col("pos") == 0)).select(
@@ -161,7 +169,8 @@ def pool_window(docs: DataFrame, word_vectors: DataFrame, dim, tokens_col: str =
 
 def long_vectors(df: DataFrame, id_col: str, vec_col: str, value_col: str = "value") -> DataFrame:
     """``(id, dim, value)`` rows of an array column, value rounded to 6 places."""
-    return df.select(id_col, F.posexplode(vec_col).alias("dim", "_v")).select(
+    # the outer form plus a filter: a plain explode evaluates the array a second time for an inferred size filter
+    return df.select(id_col, F.posexplode_outer(vec_col).alias("dim", "_v")).where(F.col("dim").isNotNull()).select(
         id_col, "dim", F.round("_v", 6).alias(value_col))
 
 
@@ -204,7 +213,7 @@ class WordVectorEncoder:
         mask = np.zeros((b, L))
         for i, toks in enumerate(token_lists):
             content = list(toks[: L - 2])
-            window = [CLS_TOKEN] + content + [SEP_TOKEN] + [PAD_TOKEN] * (L - 2 - len(content))
+            window = (content[:1] or [SEP_TOKEN]) + content + [SEP_TOKEN] + [PAD_TOKEN] * (L - 2 - len(content))
             mask[i, : len(content) + 2] = 1.0
             for p, w in enumerate(window):
                 v = vecs.get(w)

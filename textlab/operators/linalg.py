@@ -2,9 +2,9 @@
 
 Each task reads its rows as Arrow record batches (``mapInArrow``: columnar,
 no per-row Python objects), folds them into one fixed-length partial with
-numpy and emits it as a single binary cell.  The partials are added
-pairwise in a tree across executors (``treeReduce``), so the driver
-receives a single vector and never any input rows.
+numpy and emits it in blocks.  Each block is summed by its own reducer
+(``reduceByKey`` on the block number), so the driver receives every number
+of the sum once, however many partitions there were, and never input rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-TREE_DEPTH = 2
+# A vector is cut into at most this many blocks, of at least MIN_BLOCK numbers.
+BLOCKS, MIN_BLOCK = 256, 4096
 
 
 def list_column(batch: pa.RecordBatch, name: str, dtype) -> tuple[np.ndarray, np.ndarray]:
@@ -26,7 +27,7 @@ def list_column(batch: pa.RecordBatch, name: str, dtype) -> tuple[np.ndarray, np
     return lens, flat
 
 
-def sum_partials(df: DataFrame, fold, size: int, cols: list[str], depth: int = TREE_DEPTH,
+def sum_partials(df: DataFrame, fold, size: int, cols: list[str],
                  dtype=np.float64, arrow: bool = False) -> np.ndarray:
     """``sum over tasks of fold(batches)``.
 
@@ -40,12 +41,19 @@ def sum_partials(df: DataFrame, fold, size: int, cols: list[str], depth: int = T
         src = batches if arrow else (b.to_pandas() for b in batches if b.num_rows)
         part = fold(src)
         if part is not None:
-            cell = np.ascontiguousarray(part, dtype=out_dtype).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([cell], pa.binary())], ["part"])
-
-    partials = (df.select(*cols).mapInArrow(run, "part binary").rdd
-                .map(lambda r: np.frombuffer(r[0], dtype=out_dtype).copy()))
-    try:
-        return partials.treeReduce(np.add, depth=depth)
-    except ValueError:  # every partition was empty
-        return np.zeros(size, dtype=out_dtype)
+            part = np.ascontiguousarray(part, dtype=out_dtype)
+            cells = [part[a:a + block].tobytes() for a in range(0, size, block)]
+            for i in range(0, len(cells), 16):
+                yield pa.RecordBatch.from_arrays([pa.array(range(i, i + len(cells[i:i + 16])), pa.int32()),
+                                                  pa.array(cells[i:i + 16], pa.binary())], ["block", "part"])
+
+    block = max(MIN_BLOCK, -(-size // BLOCKS))
+    n_blocks = -(-size // block)
+    reducers = min(n_blocks, max(1, df.sparkSession.sparkContext.defaultParallelism))
+    sums = (df.select(*cols).mapInArrow(run, "block int, part binary").rdd
+            .map(lambda r: (r[0], np.frombuffer(r[1], dtype=out_dtype)))
+            .reduceByKey(np.add, reducers).collect())
+    out = np.zeros(size, dtype=out_dtype)
+    for i, part in sums:
+        out[i * block:i * block + len(part)] = part
+    return out

@@ -4,12 +4,12 @@ Exact cosine k-NN is brute force by nature (every query meets every train
 row), so the work is cut into blocks instead of row pairs:
 
 * train and query rows are hashed into ``T`` and ``Q`` blocks of about
-  ``block_rows`` rows each (sizes from two counts);
+  ``BLOCK_BYTES`` each (sizes from two counts and the vector width);
 * each (query block, train block) pair is one ``cogroup`` group: query rows
   are replicated once per train block and train rows once per query block,
   so a group holds at most two blocks, never a whole side;
-* in a group numpy does one matrix product and keeps the top k per query
-  row, so only ``k`` candidates per query and train block leave the task;
+* in a group numpy multiplies tiles of query rows with the train block, finds
+  each row's k-th similarity by partial selection and sorts only the survivors, so only ``k`` candidates per query and train block leave the task;
 * a final ``row_number() <= k`` per query merges at most ``k*T`` candidates.
 
 Similarities are rounded to 9 places before ranking and ties go to the
@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 K_NEIGHBOURS = 5
-BLOCK_ROWS = 4096
+BLOCK_BYTES = 16 << 20  # of doubles; about 32,000 rows at 64 dimensions
+TILE_ROWS = 256
 
 
 def _unit_rows(m: np.ndarray) -> np.ndarray:
@@ -36,11 +37,14 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
     return m / safe[:, None]
 
 
-def knn(train: DataFrame, queries: DataFrame, k: int = K_NEIGHBOURS, block_rows: int = BLOCK_ROWS,
+def knn(train: DataFrame, queries: DataFrame, k: int = K_NEIGHBOURS, block_rows: int | None = None,
         train_id: str = "vec_id", query_id: str = "vec_id", vec_col: str = "embedding",
         label_col: str = "label") -> DataFrame:
     """``(query_id, rank, train_id, train_label, sim)`` for the k most cosine-similar train rows."""
     n_t, n_q = train.count(), queries.count()
+    if block_rows is None:
+        width = train.select(F.max(F.size(vec_col))).first()[0] or 1
+        block_rows = max(1, BLOCK_BYTES // (8 * max(1, width)))
     T, Q = max(1, math.ceil(n_t / block_rows)), max(1, math.ceil(n_q / block_rows))
     tr = train.select(F.col(train_id).alias("tid"), F.col(label_col).cast("int").alias("tlabel"),
                       F.col(vec_col).alias("tvec"))
@@ -55,16 +59,24 @@ def knn(train: DataFrame, queries: DataFrame, k: int = K_NEIGHBOURS, block_rows:
             return pd.DataFrame({"qid": [], "tid": [], "tlabel": [], "sim": []})
         qm = _unit_rows(np.stack(q["qvec"].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
         tm = _unit_rows(np.stack(t["tvec"].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
-        sims = qm @ tm.T
-        keyed = np.round(sims, 9)
         tids = t["tid"].to_numpy()
         kk = min(k, len(t))
-        # order by (similarity desc, train id asc) within each query row
-        order = np.lexsort((np.broadcast_to(tids, keyed.shape), -keyed), axis=1)[:, :kk]
-        rows = np.repeat(np.arange(len(q)), kk)
-        cols = order.ravel()
+        rows, cols, best = [], [], []
+        for a in range(0, len(q), TILE_ROWS):
+            sims = qm[a:a + TILE_ROWS] @ tm.T
+            keyed = np.round(sims, 9)
+            kth = np.partition(keyed, len(t) - kk, axis=1)[:, len(t) - kk]
+            r, c = np.nonzero(keyed >= kth[:, None])  # at least kk a row, ties included
+            order = np.lexsort((tids[c], -keyed[r, c], r))  # by (similarity desc, train id asc) within each query row
+            r, c = r[order], c[order]
+            nth = np.arange(len(r)) - np.searchsorted(r, r)
+            r, c = r[nth < kk], c[nth < kk]
+            rows.append(r + a)
+            cols.append(c)
+            best.append(sims[r, c])
+        rows, cols, best = (np.concatenate(x) for x in (rows, cols, best))
         return pd.DataFrame({"qid": q["qid"].to_numpy()[rows], "tid": tids[cols],
-                             "tlabel": t["tlabel"].to_numpy()[cols], "sim": sims[rows, cols]})
+                             "tlabel": t["tlabel"].to_numpy()[cols], "sim": best})
 
     cand = (qu.groupBy("qb", "tb").cogroup(tr.groupBy("qb", "tb"))
             .applyInPandas(block_topk, "qid long, tid long, tlabel int, sim double"))

@@ -98,7 +98,7 @@ def pca_fit_project(train: DataFrame, others: list[DataFrame], k: int, vec_col:
 # A is n x d in packed rows (doc_id, indices, values); d <= the vocabulary cap.
 # Each pass computes Z = A^T (A W) for a broadcast d x l block W: every task
 # folds its rows into a dense d x l partial with numpy and the partials are
-# added in a tree across executors.  Only d x l numbers reach the driver
+# added block by block on the executors.  Only d x l numbers reach the driver
 # (QR there), never rows of A.
 
 SVD_OVERSAMPLES = 10

@@ -7,6 +7,7 @@ the matching SQL in :mod:`textlab.plans.oracle`.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,6 +169,14 @@ def tfidf_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "split", "term_id", r6("weight").alias("weight"))
 
 
+UNIFORM_SAMPLE_SMALL = 150
+
+
+def uniform_sample_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W8 with fewer rows asked for than there are."""
+    return uniform_sample(spark, sf_dir, UNIFORM_SAMPLE_SMALL)
+
+
 def uniform_sample(spark: SparkSession, sf_dir: str, n: int = UNIFORM_SAMPLE) -> DataFrame:
     """min(n, rows) documents without replacement, seeded."""
     docs = read_table(spark, sf_dir, "documents", spread=False).select("doc_id", "lang")
@@ -200,7 +209,7 @@ def top_terms_by_class(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFra
     """Flagship: clean -> exact split -> train-only bigram vocabulary -> TF-IDF -> per-class top k."""
     split = reused_split_corpus(spark, sf_dir)
     train = train_part(split)
-    vocab = vectorize.fit_vocabulary(train, n=2)
+    vocab = stage(vectorize.fit_vocabulary(train, n=2), "vocabulary")  # at most 20,000 rows, joined twice
     weights = vectorize.tfidf(train, vocab, n=2, keep=("label",))
     return report.top_terms_by_weight(weights, vocab, "label", k).withColumnRenamed("label", "lang")
 
@@ -258,7 +267,8 @@ def _knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = vector_split(spark, sf_dir)
     pred = neighbors.vote(_knn(spark, sf_dir))
     truth = v.where("split = 'test'").select(F.col("vec_id").alias("query_id"), F.col("label").alias("true_label"))
-    return pred.join(truth, "query_id").select("query_id", "true_label", "pred_label")
+    # one row a query, staged: metrics that read it several times do not search again
+    return stage(pred.join(truth, "query_id").select("query_id", "true_label", "pred_label"), "knn_predictions")
 
 
 def knn_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,13 +386,22 @@ def tidy_metrics(pred: DataFrame, group_cols: list[str]) -> DataFrame:
         *group_cols, "_m.metric", "_m.value")
 
 
-def results_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics and confusion matrices exported as nested JSON, reloaded as a tidy table."""
+def _exported(spark: SparkSession, sf_dir: str) -> str:
     pred = _exact_predictions(spark, sf_dir)
     g = ["feature_set", "model"]
     path = scratch_dir(spark, "results_json")
     files.export_results(tidy_metrics(pred, g), metrics.confusion(pred, g), path)
-    return files.read_results(spark, path)
+    return path
+
+
+def results_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and confusion matrices exported as nested JSON, the metrics reloaded as a tidy table."""
+    return files.read_results(spark, _exported(spark, sf_dir))
+
+
+def results_export_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same export, its confusion matrices reloaded cell by cell."""
+    return files.read_result_cells(spark, _exported(spark, sf_dir))
 
 
 def _vector_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,6 +427,45 @@ def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("features").alias("n_components"), "features")
 
 
+def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 checked exactly: at full width a row's squared norm is its squared distance to the train mean."""
+    f = _vector_features(spark, sf_dir)
+    width = f.select(F.max(F.size("features"))).first()[0] or 1
+    _, (proj,), _ = reduce.pca_fit_project(f.where("split = 'train'"), [f], width, "features")
+    squares = F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)
+    return proj.select(F.col("doc_id").alias("vec_id"), "split", F.round(squares, 4).alias("squared_norm"))
+
+
+SVD_CHECK_TERMS = 40
+
+
+def svd_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 checked exactly: at full rank, over the 40 most frequent terms, projecting keeps each row's norm."""
+    split = reused_split_corpus(spark, sf_dir)
+    vocab = stage(vectorize.fit_vocabulary(train_part(split), n=1, max_features=SVD_CHECK_TERMS), "vocabulary")
+    d = vocab.count()
+    counts = vectorize.bag_of_words(split, vocab, n=1, keep=("split",))
+    packed = stage(counts.groupBy("doc_id", "split").agg(F.array_sort(F.collect_list(F.struct(
+        "term_id", F.col("count").cast("double").alias("v")))).alias("e")).select(
+        "doc_id", "split", F.col("e.term_id").alias("indices"), F.col("e.v").alias("values")), "packed")
+    train = train_part(packed)
+    svd = reduce.truncated_svd(train, d, d, max(d, train.count()))
+    proj = reduce.project_sparse(packed, svd["components"], ["doc_id", "split"])
+    squares = F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)
+    return proj.select("doc_id", "split", F.round(squares, 4).alias("squared_norm"))
+
+
+def logreg_expected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 checked by optimality: with an unpenalised intercept the train probabilities of a class sum to its rows."""
+    train = _vector_features(spark, sf_dir).where("split = 'train'").select(
+        array_to_vector("features").alias("_fv"), F.col("label").cast("double").alias("_y")).persist()
+    model = models.logistic_regression(train.count()).fit(train)
+    p = model.transform(train).select(F.posexplode(vector_to_array("probability")).alias("label", "p"))
+    out = stage(p.groupBy("label").agg(F.round(F.sum("p")).cast("long").alias("expected_rows")), "expected_rows")
+    train.unpersist()
+    return out.where(F.col("expected_rows") > 0)
+
+
 def variance_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative explained variance on the 20-point grid, from one fit per feature set."""
     from .features import dense_pca, feature_info
@@ -559,6 +617,7 @@ QUERIES = {
     "bow": bow,
     "tfidf_bigrams": tfidf_bigrams,
     "uniform_sample": uniform_sample,
+    "uniform_sample_cut": uniform_sample_cut,
     "length_histogram": length_histogram,
     "length_median": length_median,
     "top_words_by_class": top_words_by_class,
@@ -579,8 +638,12 @@ QUERIES = {
     "feature_store_roundtrip": feature_store_roundtrip,
     "vectorizer_roundtrip": vectorizer_roundtrip,
     "results_export": results_export,
+    "results_export_cells": results_export_cells,
     "svd_project": svd_project,
     "pca_project": pca_project,
+    "pca_norms": pca_norms,
+    "svd_norms": svd_norms,
+    "logreg_expected_rows": logreg_expected_rows,
     "variance_sweep": variance_sweep,
     "projection_2d": projection_2d,
     "logreg_predict": _model_query("LogisticRegression"),

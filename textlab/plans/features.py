@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import embed, reduce, vectorize
-from ..operators.common import bounded_broadcast
+from ..operators.common import bounded_broadcast, join_on_groups
 from ..session import checkpoint_root
 from ..sources import files
 from .corpus import fixture_word_vectors, reused_split_corpus, train_part
@@ -40,22 +40,22 @@ def _code_key() -> str:
 
 
 def stage_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Stage folder keyed by input folder and library code, under the shared checkpoint root."""
-    key = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    """Stage folder keyed by the input files and the library code, under the shared checkpoint root."""
+    key = files.input_fingerprint(spark, sf_dir)
     return f"{checkpoint_root(spark).rstrip('/')}/textlab/stages/{_code_key()}/{key}/{name}"
 
 
 def labelled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The split corpus with the class as an int (classes in sorted order; a class-sized lookup)."""
+    """The split corpus with the class as an int (classes in sorted order, null last; a class-sized lookup)."""
     split = reused_split_corpus(spark, sf_dir)
     classes = split.select("label").distinct().withColumn(
-        "y", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int"))
+        "y", (F.dense_rank().over(Window.orderBy(F.col("label").asc_nulls_last())) - 1).cast("int"))
     # one row per class, counted before it is broadcast
-    return split.join(bounded_broadcast(classes), "label").select("doc_id", "split", "tokens", F.col("y").alias("label"))
+    return join_on_groups(split, bounded_broadcast(classes), ["label"]).select("doc_id", "split", "tokens", F.col("y").alias("label"))
 
 
 def _sparse_svd(spark: SparkSession, sf_dir: str, n: int, weighted: bool) -> tuple[DataFrame, dict]:
-    split = labelled_split(spark, sf_dir).persist()
+    split = labelled_split(spark, sf_dir)
     train = train_part(split)
     vocab = vectorize.fit_vocabulary(train, n=n).persist()
     d = vocab.count()
@@ -90,9 +90,7 @@ def dense_pca(vectors: DataFrame) -> tuple[DataFrame, dict]:
     max_k = min(reduce.MAX_DENSE_COMPONENTS, d, n_train)
     var = train.select(Summarizer.variance(array_to_vector("features")).alias("v")).first()["v"]
     if var is None or float(np.sum(var.toArray())) <= 0.0:
-        # constant input: no variance to explain; one zero component keeps the table shape
-        out = vectors.select("doc_id", "split", "label", F.array(F.lit(0.0)).alias("features"))
-        return out, {"max_k": max_k, "k": 1, "cumulative": [0.0] * max_k}
+        raise ValueError("the train vectors are constant: there is no variance to explain")
     _, (proj,), ratios = reduce.pca_fit_project(train, [vectors], max_k, "features")
     cum = np.cumsum(ratios).tolist()
     k = reduce.choose_k(cum, max_k)

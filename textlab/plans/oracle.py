@@ -220,6 +220,8 @@ UNIFORM_SAMPLE = f"""
 SELECT doc_id, lang FROM documents ORDER BY {key_sql('doc_id')}, doc_id LIMIT 2000
 """
 
+UNIFORM_SAMPLE_CUT = UNIFORM_SAMPLE.replace("LIMIT 2000", "LIMIT 150")
+
 _LONG_LENGTHS = """long AS (
   SELECT 'raw_len' AS kind, CAST(raw_len AS DOUBLE) AS x FROM lengths
   UNION ALL SELECT 'clean_len', CAST(clean_len AS DOUBLE) FROM lengths
@@ -277,9 +279,9 @@ _POOL = with_ctes(CORPUS_CTE, WV_CTE) + f"""
 , el AS (SELECT doc_id, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS dim, CAST(unnest(vec) AS DOUBLE) AS v FROM hv)
 , sm AS (SELECT doc_id, dim, sum(v) AS sv FROM el GROUP BY doc_id, dim)
 , pooled AS (
-  SELECT w.doc_id, d.dim, CAST(0.0 AS DOUBLE) AS first_value,
-         round(coalesce(sm.sv, 0.0) / (len(w.content) + 2), 6) + 0.0 AS mean_value
-  FROM win w CROSS JOIN dims d LEFT JOIN sm ON sm.doc_id = w.doc_id AND sm.dim = d.dim
+  SELECT w.doc_id, d.dim, round(coalesce(CAST(f.vec[d.dim + 1] AS DOUBLE), 0.0), 6) + 0.0 AS first_value,
+         round((coalesce(sm.sv, 0.0) + coalesce(CAST(f.vec[d.dim + 1] AS DOUBLE), 0.0)) / (len(w.content) + 2), 6) + 0.0 AS mean_value
+  FROM win w CROSS JOIN dims d LEFT JOIN sm ON sm.doc_id = w.doc_id AND sm.dim = d.dim LEFT JOIN wv f ON f.word = w.content[1]
 )
 """
 
@@ -418,7 +420,7 @@ VECTORIZER_ROUNDTRIP = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + "
 SELECT term, term_id, tf, df, round(idf, 6) AS idf FROM voc
 """
 
-RESULTS_EXPORT = with_ctes(V_CTE, KNN_CTE, CLUSTER_CTE) + """
+_EXPORTED = with_ctes(V_CTE, KNN_CTE, CLUSTER_CTE) + """
 , cmaj AS (
   SELECT cluster, label FROM (
     SELECT cluster, label, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, label) AS r FROM (
@@ -429,7 +431,9 @@ RESULTS_EXPORT = with_ctes(V_CTE, KNN_CTE, CLUSTER_CTE) + """
   SELECT 'KNN' AS model, true_label, pred_label FROM pred
   UNION ALL
   SELECT 'NearestCentroid', a.label, m.label FROM assigned a JOIN cmap m USING (cluster) WHERE a.split = 'test'
-), pc AS (
+)"""
+
+RESULTS_EXPORT = _EXPORTED + """, pc AS (
   SELECT model, label, sum(t) AS support, sum(p) AS predicted, sum(tp) AS tp FROM (
     SELECT model, true_label AS label, 1 AS t, 0 AS p, CAST(true_label = pred_label AS INTEGER) AS tp FROM allpred
     UNION ALL SELECT model, pred_label, 0, 1, 0 FROM allpred) GROUP BY model, label
@@ -450,6 +454,30 @@ SELECT 'VECTORS' AS feature_set, model, metric, value FROM m
 UNPIVOT (value FOR metric IN (accuracy, precision, recall, f1, f1_macro))
 """
 
+RESULTS_EXPORT_CELLS = _EXPORTED + """, lab AS (
+  SELECT model, label, dense_rank() OVER (PARTITION BY model ORDER BY label) - 1 AS i
+  FROM (SELECT DISTINCT model, unnest([true_label, pred_label]) AS label FROM allpred)
+), cnt AS (SELECT model, true_label, pred_label, count(*) AS n FROM allpred GROUP BY ALL)
+SELECT 'VECTORS' AS feature_set, a.model, CAST(a.i AS INTEGER) AS row, CAST(b.i AS INTEGER) AS col, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n
+FROM lab a JOIN lab b ON a.model = b.model
+LEFT JOIN cnt ON cnt.model = a.model AND cnt.true_label = a.label AND cnt.pred_label = b.label
+"""
+
+PCA_NORMS = with_ctes(V_CTE) + """
+, el AS (SELECT vec_id, split, generate_subscripts(e, 1) AS dim, unnest(e) AS x FROM v)
+, mu AS (SELECT dim, avg(x) AS m FROM el WHERE split = 'train' GROUP BY dim)
+SELECT vec_id, split, round(sum((x - m) * (x - m)), 4) AS squared_norm FROM el JOIN mu USING (dim) GROUP BY vec_id, split
+"""
+
+SVD_NORMS = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1, 40)) + """
+SELECT doc_id, split, round(CAST(sum(n * n) AS DOUBLE), 4) AS squared_norm FROM (
+  SELECT g.doc_id, g.split, v.term_id, count(*) AS n
+  FROM (SELECT doc_id, split, unnest(tokens) AS term FROM split) g JOIN voc v ON g.term = v.term GROUP BY ALL)
+GROUP BY doc_id, split
+"""
+
+LOGREG_EXPECTED_ROWS = with_ctes(V_CTE) + "SELECT label, count(*) AS expected_rows FROM tr GROUP BY label"
+
 
 def _exact_models_ctes(p: str) -> str:
     """k-NN and nearest-centroid predictions over ``{p}v(vec_id, label, split, e DOUBLE[])``."""
@@ -568,6 +596,7 @@ def oracle_sql() -> dict[str, str]:
         "bow": BOW,
         "tfidf_bigrams": TFIDF_BIGRAMS,
         "uniform_sample": UNIFORM_SAMPLE,
+        "uniform_sample_cut": UNIFORM_SAMPLE_CUT,
         "length_histogram": LENGTH_HISTOGRAM,
         "length_median": LENGTH_MEDIAN,
         "top_words_by_class": TOP_WORDS_BY_CLASS,
@@ -588,6 +617,10 @@ def oracle_sql() -> dict[str, str]:
         "feature_store_roundtrip": FEATURE_STORE_ROUNDTRIP,
         "vectorizer_roundtrip": VECTORIZER_ROUNDTRIP,
         "results_export": RESULTS_EXPORT,
+        "results_export_cells": RESULTS_EXPORT_CELLS,
+        "pca_norms": PCA_NORMS,
+        "svd_norms": SVD_NORMS,
+        "logreg_expected_rows": LOGREG_EXPECTED_ROWS,
         "metric_matrix_exact": METRIC_MATRIX_EXACT,
         "best_combination_exact": BEST_COMBINATION_EXACT,
     }

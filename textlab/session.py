@@ -60,12 +60,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root (never reused, never cleared)."""
     root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/textlab/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root.rstrip('/')}/textlab/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def workers_can_import(spark: SparkSession) -> None:

@@ -6,19 +6,25 @@ Every writer targets a folder in shared storage (normally under
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import whitespace_tokens
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# A multi-line CSV file cannot be split, so a file (one read task) is bounded when written.
+CSV_RECORDS_PER_FILE = 100_000
 
 
 # S3 -------------------------------------------------------------------------
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header, RFC-4180 quoting (quotes doubled), text may hold newlines."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS, maxRecordsPerFile=CSV_RECORDS_PER_FILE).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -110,6 +116,15 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return per_model.select("feature_set", "model", F.explode("result.metrics").alias("metric", "value"))
 
 
+def read_result_cells(spark: SparkSession, path: str) -> DataFrame:
+    """Reload the confusion matrices of nested results as ``(feature_set, model, row, col, n)``; row and col are
+    positions in the sorted labels of the experiment."""
+    j = spark.read.schema(RESULTS_JSON_SCHEMA).json(path)
+    per_model = j.select("feature_set", F.explode("models").alias("model", "result"))
+    rows = per_model.select("feature_set", "model", F.posexplode("result.confusion_matrix").alias("row", "cells"))
+    return rows.select("feature_set", "model", "row", F.posexplode("cells").alias("col", "n"))
+
+
 # S8 -------------------------------------------------------------------------
 def stage_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a completely written output (``_SUCCESS``), on any Hadoop file system."""
@@ -119,7 +134,31 @@ def stage_exists(spark: SparkSession, path: str) -> bool:
 
 
 def reuse_or_compute(spark: SparkSession, path: str, compute, partition_by: tuple = ()) -> DataFrame:
-    """Read the stage at ``path`` when it was written completely before, else compute, write, read."""
+    """Read the stage at ``path`` when it was written completely before, else compute, write, read.
+
+    The table is written to a folder of its own and published with one rename, so of
+    two drivers that compute the same stage each reads a whole one.
+    """
     if not stage_exists(spark, path):
-        write_table(compute(), path, partition_by)
+        own = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+        write_table(compute(), own, partition_by)
+        jvm = spark.sparkContext._jvm
+        source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (own, path))
+        fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(target.getParent())
+        if fs.exists(target) or not fs.rename(source, target) or not stage_exists(spark, path):
+            path = own  # another driver was faster: its stage is as good, ours is already whole
     return spark.read.parquet(path)
+
+
+def input_fingerprint(spark: SparkSession, folder: str) -> str:
+    """Digest of (path, length, modification time) of all Parquet files under a folder, on any Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        if ".parquet" in (name := f.getPath().toString()):
+            found.append((name, f.getLen(), f.getModificationTime()))
+    return hashlib.md5(repr(sorted(found)).encode()).hexdigest()[:12]

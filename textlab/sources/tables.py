@@ -79,17 +79,6 @@ def spread_scan(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def corpus(spark: SparkSession, sf_dir: str, label_col: str = "lang") -> DataFrame:
-    """The labelled corpus: ``doc_id, text, label`` (class column chosen by the caller)."""
-    docs = read_table(spark, sf_dir, "documents")
-    return docs.select("doc_id", "text", docs[label_col].alias("label"))
-
-
-def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense vectors ``vec_id, embedding array<float>, label``."""
-    return read_table(spark, sf_dir, "embeddings")
-
-
 def check_input(df: DataFrame, label_col: str, expected_classes) -> dict:
     """Raise unless the class column exists, has exactly the expected number of distinct
     classes, and every expected class has at least one row.
