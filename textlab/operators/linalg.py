@@ -2,8 +2,8 @@
 
 Each task reads its rows as Arrow record batches (``mapInArrow``: columnar,
 no per-row Python objects), folds them into one fixed-length partial with
-numpy and emits it in blocks.  Each block is summed by its own reducer
-(``reduceByKey`` on the block number), so the driver receives every number
+numpy and emits it in blocks.  The blocks are shuffled by their number and
+summed as they stream in (a reducer holds its blocks once), so the driver receives every number
 of the sum once, however many partitions there were, and never input rows.
 """
 
@@ -47,13 +47,24 @@ def sum_partials(df: DataFrame, fold, size: int, cols: list[str],
                 yield pa.RecordBatch.from_arrays([pa.array(range(i, i + len(cells[i:i + 16])), pa.int32()),
                                                   pa.array(cells[i:i + 16], pa.binary())], ["block", "part"])
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, cell in zip(b.column(0).to_pylist(), b.column(1)):
+                part = np.frombuffer(cell.as_buffer(), dtype=out_dtype)
+                if i in sums:
+                    sums[i] += part
+                else:
+                    sums[i] = part.copy()
+        for i, part in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                                             ["block", "part"])
+
     block = max(MIN_BLOCK, -(-size // BLOCKS))
-    n_blocks = -(-size // block)
-    reducers = min(n_blocks, max(1, df.sparkSession.sparkContext.defaultParallelism))
-    sums = (df.select(*cols).mapInArrow(run, "block int, part binary").rdd
-            .map(lambda r: (r[0], np.frombuffer(r[1], dtype=out_dtype)))
-            .reduceByKey(np.add, reducers).collect())
+    reducers = min(-(-size // block), max(1, df.sparkSession.sparkContext.defaultParallelism))
+    schema = "block int, part binary"
+    sums = df.select(*cols).mapInArrow(run, schema).repartition(reducers, "block").mapInArrow(add, schema).toArrow()
     out = np.zeros(size, dtype=out_dtype)
-    for i, part in sums:
-        out[i * block:i * block + len(part)] = part
+    for i, cell in zip(sums.column(0).to_pylist(), sums.column(1).to_pylist()):
+        out[i * block:i * block + len(cell) // out_dtype.itemsize] = np.frombuffer(cell, dtype=out_dtype)
     return out

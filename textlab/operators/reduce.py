@@ -166,7 +166,7 @@ def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
 
 # A task should read at least this fraction of its partial's bytes; fewer, larger
 # tasks below that (the d x l partial per task is the fixed cost of a pass).
-PARTIAL_BYTES_FRACTION = 0.25
+PARTIAL_BYTES_FRACTION = 0.08
 _ENTRY_BYTES = 12  # int index + double value
 
 
@@ -178,7 +178,10 @@ def _size_for_partials(packed: DataFrame, partial_bytes: int) -> DataFrame:
     """
     nnz = packed.select(F.sum(F.size("indices"))).first()[0] or 0
     want = max(1, math.ceil(nnz * _ENTRY_BYTES / (PARTIAL_BYTES_FRACTION * partial_bytes)))
-    return packed.coalesce(want) if want < packed.rdd.getNumPartitions() else packed
+    have, cores = packed.rdd.getNumPartitions(), packed.sparkSession.sparkContext.defaultParallelism
+    if have < min(want, cores):  # small shuffle partitions were merged below the number of cores
+        return packed.repartition(min(want, cores))
+    return packed.coalesce(want) if want < have else packed
 
 
 def _fix_signs(V: np.ndarray) -> np.ndarray:
