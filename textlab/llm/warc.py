@@ -50,16 +50,18 @@ def resolve(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_b
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     binary = F.col("payload").cast("binary")
-    rows = rows.withColumns({"digest": base32_sha1(binary), "bytes": F.octet_length(binary).cast("long")})
-    heads = stage(rows.where(F.col("bytes") >= min_bytes).select("page_id", "url", "digest"), "warc_headers")
+    # page: the id as text, never null, so that the join's partitioning serves the window over the same keys
+    rows = rows.withColumns({"digest": base32_sha1(binary), "bytes": F.octet_length(binary).cast("long"),
+                             "page": F.coalesce(F.col("page_id").cast("string"), F.lit("-"))})
+    heads = stage(rows.where(F.col("bytes") >= min_bytes).select("page_id", "page", "url", "digest"), "warc_headers")
     groups = heads.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", "url")).alias("first"))
-    copies = (heads.select("digest", "page_id").distinct().join(groups.where("n > 1"), "digest")
-              .select(F.col("digest").alias("g_digest"), F.col("page_id").alias("g_page"),
+    copies = (heads.select("digest", "page").distinct().join(groups.where("n > 1"), "digest")
+              .select(F.col("digest").alias("g_digest"), F.col("page").alias("g_page"),
                       F.col("first.page_id").alias("original"), F.col("first.url").alias("original_url"), F.lit(True).alias("grouped")))
-    same = (F.col("digest") == F.col("g_digest")) & F.col("page_id").eqNullSafe(F.col("g_page"))
+    same = (F.col("digest") == F.col("g_digest")) & (F.col("page") == F.col("g_page"))
     out = rows.join(stage(copies, "warc_copies").hint("merge"), same, "left").drop("g_digest", "g_page")
     # rows that repeat a page and its payload: the largest url first
-    nth = F.row_number().over(Window.partitionBy("digest", "page_id").orderBy(F.col("url").desc_nulls_last()))
+    nth = F.row_number().over(Window.partitionBy("digest", "page").orderBy(F.col("url").desc_nulls_last()))
     out = out.withColumn("nth", nth)
     first = F.col("page_id").eqNullSafe(F.col("original")) & (F.col("nth") == 1)
     return out.withColumn("is_revisit", F.coalesce("grouped", F.lit(False)) & ~first).drop("grouped")
