@@ -34,6 +34,22 @@ def test_grid_has_all_experiments(outputs):
     assert sorted(r["position"] for r in outputs["train_time_ranking"]) == list(range(1, 21))
 
 
+def test_grid_keeps_confusions_and_exports(outputs):
+    runs = {(r["feature_set"], r["model"]) for r in outputs["experiment_grid"]}
+    totals = {}
+    for r in outputs["grid_confusion"]:
+        totals[r["feature_set"], r["model"]] = totals.get((r["feature_set"], r["model"]), 0) + r["n"]
+    assert set(totals) == runs and set(totals.values()) == {40}
+    assert {(r["feature_set"], r["model"]) for r in outputs["grid_class_report"]} == runs
+    cells = outputs["grid_export"]
+    assert sorted(r["n"] for r in cells) == sorted(r["n"] for r in outputs["grid_confusion"])
+    assert all(r["train_time"] >= 0 for r in cells)
+
+
+def test_sweep_and_projection_of_all_feature_sets(outputs):
+    assert len(outputs["variance_sweep"]) == 100 and len({r["feature_set"] for r in outputs["projection_2d"]}) == 5
+
+
 def test_projections_have_chosen_width(outputs):
     widths = {r["n_components"] for r in outputs["pca_project"]}
     assert len(widths) == 1 and 1 <= widths.pop() <= 64

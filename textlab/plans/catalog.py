@@ -357,7 +357,9 @@ def vectorizer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_table(vocab, f"{root}/vocabulary")
     back = files.read_table_at(spark, f"{root}/vocabulary")
     files.save_count_vectorizer(back, f"{root}/count_vectorizer")
-    return back.select("term", "term_id", "tf", "df", r6("idf").alias("idf"))
+    # the reloaded model's terms (at most 20,000) must be the table's, id by id: others would lose their row here
+    terms = spark.createDataFrame(list(enumerate(files.load_count_vectorizer(f"{root}/count_vectorizer"))), "term_id int, term string")
+    return back.join(terms, ["term", "term_id"]).select("term", "term_id", "tf", "df", r6("idf").alias("idf"))
 
 
 def _centroid_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,9 +372,6 @@ def _centroid_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return test.join(F.broadcast(majority), "cluster").select("query_id", "true_label", "pred_label")
 
 
-METRIC_NAMES = ("accuracy", "precision", "recall", "f1", "f1_macro")
-
-
 def _exact_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     knn = _knn_predictions(spark, sf_dir).withColumn("model", F.lit("KNN"))
     cen = _centroid_predictions(spark, sf_dir).withColumn("model", F.lit("NearestCentroid"))
@@ -382,7 +381,7 @@ def _exact_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tidy_metrics(pred: DataFrame, group_cols: list[str]) -> DataFrame:
     m = metrics.metric_bundle(pred, group_cols)
     return m.select(*group_cols, F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))
-                                                      for c in METRIC_NAMES])).alias("_m")).select(
+                                                      for c in metrics.METRIC_NAMES])).alias("_m")).select(
         *group_cols, "_m.metric", "_m.value")
 
 
@@ -468,13 +467,11 @@ def logreg_expected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def variance_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative explained variance on the 20-point grid, from one fit per feature set."""
-    from .features import dense_pca, feature_info
+    from .features import FEATURE_SETS, feature_info
 
     rows = []
-    infos = {"BOW_SVD": feature_info(spark, sf_dir, "BOW_SVD"),
-             "TFIDF_SVD": feature_info(spark, sf_dir, "TFIDF_SVD"),
-             "VECTORS_PCA": dense_pca(_vector_features(spark, sf_dir))[1]}
-    for name, info in infos.items():
+    for name in FEATURE_SETS:
+        info = feature_info(spark, sf_dir, name)
         cum = info["cumulative"]
         for n in reduce.sweep_grid(info["max_k"]):
             rows.append((name, int(n), float(round(cum[min(n, len(cum)) - 1], 6)), int(info["k"])))
@@ -482,12 +479,18 @@ def variance_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def projection_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A seeded sample of min(2000, n) train vectors in 2-D (centred PCA, k = 2)."""
-    f = _vector_features(spark, sf_dir).where("split = 'train'")
-    sample = sampling.uniform_sample(f, "doc_id", UNIFORM_SAMPLE)
-    proj, _, _ = reduce.pca_fit_project(sample, [], 2, "features")
-    return proj.select(F.col("doc_id").alias("vec_id"), "label", F.col("features")[0].alias("x"),
-                       F.col("features")[1].alias("y"))
+    """Per feature set, a seeded sample of min(2000, n) train rows in 2-D (centred PCA, k = 2)."""
+    from .features import FEATURE_SETS, feature_set
+
+    out = None
+    for name in FEATURE_SETS:
+        f = feature_set(spark, sf_dir, name).where("split = 'train'")
+        sample = stage(sampling.uniform_sample(f, "doc_id", UNIFORM_SAMPLE), "projection_sample")
+        proj, _, _ = reduce.pca_fit_project(sample, [], min(2, len(sample.first()["features"])), "features")
+        xy = proj.select(F.lit(name).alias("feature_set"), "doc_id", "label", F.get("features", F.lit(0)).alias("x"),
+                         F.coalesce(F.get("features", F.lit(1)), F.lit(0.0)).alias("y"))
+        out = xy if out is None else out.unionByName(xy)
+    return out
 
 
 def _model_query(model_name: str):
@@ -508,6 +511,30 @@ def experiment_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_results(spark, sf_dir)
 
 
+def grid_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 for all 20 experiments, from the staged predictions."""
+    from .experiments import GROUP, grid_predictions
+
+    return metrics.confusion(grid_predictions(spark, sf_dir), GROUP)
+
+
+def grid_class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 for all 20 experiments."""
+    from .experiments import GROUP, grid_predictions
+
+    return metrics.class_report(grid_predictions(spark, sf_dir), GROUP)
+
+
+def grid_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 for all 20 experiments: nested JSON of metrics, train time and confusion matrix; the cells read back with the time."""
+    from .experiments import GROUP, grid_predictions, grid_results
+
+    path = scratch_dir(spark, "grid_json")
+    files.export_results(grid_results(spark, sf_dir), metrics.confusion(grid_predictions(spark, sf_dir), GROUP), path)
+    times = files.read_results(spark, path).where("metric = 'train_time'").select(*GROUP, F.col("value").alias("train_time"))
+    return files.read_result_cells(spark, path).join(times, GROUP)
+
+
 def metric_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature set x model grid of accuracy and macro F1 (missing experiment -> 0)."""
     from .experiments import MODELS, grid_results
@@ -650,6 +677,9 @@ QUERIES = {
     "linear_svm_predict": _model_query("LinearSVC"),
     "kmeans_classify": _model_query("KMeans"),
     "experiment_grid": experiment_grid,
+    "grid_confusion": grid_confusion,
+    "grid_class_report": grid_class_report,
+    "grid_export": grid_export,
     "metric_matrix": metric_matrix,
     "best_combination": best_combination,
     "train_time_ranking": train_time_ranking,

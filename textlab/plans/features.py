@@ -119,23 +119,19 @@ def build_feature_set(spark: SparkSession, sf_dir: str, name: str) -> tuple[Data
     return dense_pca(_dense_inputs(spark, sf_dir, name.split("_")[0]))
 
 
-_INFO: dict = {}
-
-
 def feature_set(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The staged feature table for ``name`` (computed and written on first use)."""
-    path = stage_path(spark, sf_dir, f"features_{name}")
-
+    """The staged feature table for ``name`` (computed and written on first use, its variance curve beside it)."""
     def compute():
         df, info = build_feature_set(spark, sf_dir, name)
-        _INFO[path] = info
+        curve = spark.createDataFrame([(int(info["max_k"]), int(info["k"]), [float(c) for c in info["cumulative"]])],
+                                      "max_k int, k int, cumulative array<double>")
+        files.reuse_or_compute(spark, stage_path(spark, sf_dir, f"curve_{name}"), lambda: curve)
         return df
 
-    return files.reuse_or_compute(spark, path, compute)
+    return files.reuse_or_compute(spark, stage_path(spark, sf_dir, f"features_{name}"), compute)
 
 
 def feature_info(spark: SparkSession, sf_dir: str, name: str) -> dict:
-    path = stage_path(spark, sf_dir, f"features_{name}")
-    if path not in _INFO:
-        _INFO[path] = build_feature_set(spark, sf_dir, name)[1]
-    return _INFO[path]
+    """The variance curve staged with the features: ``max_k``, ``k`` and the cumulative ratios (one row)."""
+    feature_set(spark, sf_dir, name)
+    return spark.read.parquet(stage_path(spark, sf_dir, f"curve_{name}")).first().asDict()

@@ -78,6 +78,13 @@ def save_count_vectorizer(vocab: DataFrame, path: str) -> None:
     CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="counts").write().overwrite().save(path)
 
 
+def load_count_vectorizer(path: str) -> list[str]:
+    """The terms of a saved ``CountVectorizerModel`` in id order."""
+    from pyspark.ml.feature import CountVectorizerModel
+
+    return CountVectorizerModel.load(path).vocabulary
+
+
 # S7 -------------------------------------------------------------------------
 def export_results(results: DataFrame, confusion: DataFrame, path: str) -> None:
     """Nested results: one JSON object per feature set, ``{feature_set, models: {model: {metric: value,
