@@ -2,9 +2,10 @@
 
 Every source is cut into blocks by a hash of its rows; the block's place in
 the source's hash order is a random permutation.  The source's target fixes
-its quota: whole passes over all its blocks, then blocks of one more pass in
-another permuted order, the last of which is taken in part (document by
-document, whatever still fits).  The quotas are exact, and a tree splits them
+its quota: whole passes over all its blocks, then what fits of one more pass in
+another permuted order, then a part of the smallest block left (document by
+document, whatever still fits).  Where long documents leave a gap, one more
+pass fills it, within the limit of repeats.  The quotas are exact, and a tree splits them
 among the output shards: at each node the left half of the shards gets a
 multivariate-hypergeometric draw from the node's blocks.  At a leaf a shard
 knows how many blocks of each source it holds; the sources' block sequences
@@ -32,6 +33,7 @@ MOST_REPEATS = 3.0
 BLOCKS, SHARDS, SEED = 8192, 16, 20240229
 SLICE_WORDS = 16_000_000  # about 100 MB of text
 EXTRAS = 64
+NEAR = 0.002  # share of a target that may be missing before a source is gone through once more
 
 
 def word_count(text_col: str):
@@ -148,15 +150,20 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, source_col: str = "so
     for i, w in enumerate(words):
         epochs = int(goal[i] // sizes[i]) if sizes[i] else 0
         sequence = [(e, b) for e in range(epochs) for b in rng.permutation(len(w)).tolist()]
-        left = goal[i] - epochs * sizes[i]
-        for b in rng.permutation(len(w)).tolist():
-            if left < 0.5:
-                break
-            sequence.append((epochs, b))
-            if w[b] > left:
-                borders.append((i, b, epochs, float(left)))
-                break
-            left -= int(w[b])
+        left, skipped = goal[i] - epochs * sizes[i], []
+        while sizes[i] and left >= max(0.5, NEAR * goal[i]) and epochs < most:
+            skipped = []
+            for b in rng.permutation(len(w)).tolist():  # what still fits, in permuted order
+                if 0 < w[b] <= left:
+                    sequence.append((epochs, b))
+                    left -= int(w[b])
+                elif w[b]:
+                    skipped.append(b)
+            epochs += 1
+        if skipped and left >= 0.5:  # the smallest block left is cut
+            b = min(skipped, key=lambda x: (w[x], x))
+            sequence.append((epochs - 1, b))
+            borders.append((i, b, epochs - 1, float(left)))
         sequences.append(sequence)
     dealt = split_tree(np.array([len(s) for s in sequences], np.int64), shards, rng)
     draws: dict[tuple[int, int], list] = {}
