@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.common import stage  # noqa: F401  (re-exported)
 
 
+BATCH_ROWS = 1000
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table.  Whole texts go to Python in Arrow batches, so the session's batch is held to ``BATCH_ROWS`` rows."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

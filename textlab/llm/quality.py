@@ -113,9 +113,11 @@ class Model:
         if not len(y) or y.min() == y.max():
             self.prior = float(np.mean(y)) if len(y) else 0.5
             return self
-        every = np.concatenate(bags)
-        self.prior, self.mean = None, every.mean(axis=0)
-        self.scale = (1 / (every.std(axis=0) + 1e-2)).astype(np.float32)
+        n = sum(map(len, bags))
+        mean = sum(b.sum(axis=0, dtype=np.float64) for b in bags) / n
+        squares = sum(np.einsum("ij,ij->j", b, b, dtype=np.float64) for b in bags) / n
+        self.prior, self.mean = None, mean.astype(np.float32)
+        self.scale = (1 / (np.sqrt(np.maximum(squares - mean * mean, 0)) + 1e-2)).astype(np.float32)
         rng, step = np.random.default_rng(seed), 0
         m, v = ({k: np.zeros_like(w) for k, w in self.p.items()} for _ in range(2))
         for epoch in range(EPOCHS):
@@ -164,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     got = (texts.join(F.broadcast(chosen), "id").select("id", "y", "text")
            .mapInArrow(features, "id long, y double, bag binary")
            .orderBy(F.xxhash64("id", F.lit(11)), "id", "bag").limit(rows).toArrow())
-    bags = [np.frombuffer(x, np.float32).reshape(-1, FEATURES) for x in got.column("bag").to_pylist()]
+    bags = [np.frombuffer(x.as_buffer(), np.float32).reshape(-1, FEATURES) for x in got.column("bag")]  # views, no copies
     return Model().fit(bags, np.array(got.column("y").to_pylist(), np.float32))
 
 
