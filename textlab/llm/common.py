@@ -96,9 +96,19 @@ def split_words(buf: np.ndarray, doc_offs: np.ndarray, is_word: np.ndarray):
     return start, end, np.searchsorted(doc_offs, start, "right") - 1
 
 
-def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of every ``buf[start:end]``: a polynomial over the bytes from prefix sums, then mixed."""
-    up, down = powers(len(buf) + 1)
-    sums = np.zeros(len(buf) + 1, _U)
-    np.cumsum((buf.astype(_U) + _U(1)) * up[:len(buf)], dtype=_U, out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start])
+def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, most_bytes: int = 1 << 20) -> np.ndarray:
+    """64-bit hash of every ``buf[start:end]``: a polynomial over the bytes from prefix sums, then mixed.
+
+    The sums go over stretches of about ``most_bytes``, so that a very long text needs no table of its length.
+    """
+    out, a = np.empty(len(start), _U), 0
+    while a < len(start):
+        low = start[a]
+        b = max(a + 1, int(np.searchsorted(end, low + most_bytes, "right")))
+        part = buf[low:end[b - 1]]
+        up, down = powers(len(part) + 1)
+        sums = np.zeros(len(part) + 1, _U)
+        np.cumsum((part.astype(_U) + _U(1)) * up[:len(part)], dtype=_U, out=sums[1:])
+        out[a:b] = mix((sums[end[a:b] - low] - sums[start[a:b] - low]) * down[start[a:b] - low])
+        a = b
+    return out

@@ -52,8 +52,13 @@ def passages(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     begin[first[:-1]] = offs[:-1]
     length = np.diff(np.append(begin, offs[-1]))
     x = np.empty((n, FEATURES), np.float32)
-    cell = np.repeat(np.arange(n, dtype=np.int64) * 256, length) + buf
-    x[:, :256] = np.sqrt(np.bincount(cell, minlength=n * 256).reshape(n, 256) / np.maximum(length, 1)[:, None])
+    edges, at = np.append(begin, offs[-1]), 0
+    while at < n:  # the bytes of about a megabyte of passages at a time
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + (1 << 20), "right")) - 1)
+        cell = np.repeat(np.arange(to - at, dtype=np.int64) * 256, length[at:to]) + buf[edges[at]:edges[to]]
+        counts = np.bincount(cell, minlength=(to - at) * 256).reshape(-1, 256)
+        x[at:to, :256] = np.sqrt(counts / np.maximum(length[at:to], 1)[:, None])
+        at = to
     n_words = np.bincount(of_word, minlength=n)
     chars = np.bincount(of_word, weights=end - start, minlength=n)
     x[:, 256] = chars / np.maximum(n_words, 1) / 10

@@ -17,6 +17,7 @@ alternating large-star and small-star steps, staged in shared storage.
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 import numpy as np
@@ -30,22 +31,25 @@ from .common import read, stage, text_bytes
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 BLOCKS, GROUPS, BUCKET = 6, 8, 4096
+BLANKS = re.compile(rb"[\x20\x09-\x0D]+")
 
 
-def fingerprint(text: bytes, words: int = SHINGLE) -> int:
-    """Bit i is set if it is set in over half the shingles' hashes; A-Z lower-cased; no words: zero."""
-    parts = text.lower().split()  # on bytes: ASCII only, as the definition asks
-    if not parts:
+def fingerprint(text: bytes, words: int = SHINGLE, stretch: int = 1 << 16) -> int:
+    """Bit i is set if it is set in over half the shingles' hashes; A-Z lower-cased; no words: zero.
+
+    Shingles are hashed ``stretch`` at a time, so a very long text takes no list of its words.
+    """
+    line = BLANKS.sub(b" ", text.lower()).strip(b" ")  # on bytes: ASCII only, as the definition asks
+    if not line:
         return 0
-    line = b" ".join(parts)
-    ends = np.cumsum([len(p) + 1 for p in parts]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    k = min(words, len(parts))
-    hashes = b"".join([xxhash.xxh64_digest(line[s:e], SEED)
-                       for s, e in zip(starts[:len(parts) - k + 1].tolist(), ends[k - 1:].tolist())])
-    n, total = len(hashes) // 8, np.zeros(64, np.int64)
-    for a in range(0, len(hashes), 8 << 16):  # bits of 65,536 shingles at a time
-        total += np.unpackbits(np.frombuffer(hashes[a:a + (8 << 16)], np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20)
+    starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(line)]])
+    k = min(words, len(starts))
+    n, total = len(starts) - k + 1, np.zeros(64, np.int64)
+    for a in range(0, n, stretch):
+        b = min(n, a + stretch)
+        hashes = b"".join([xxhash.xxh64_digest(line[s:e], SEED) for s, e in zip(starts[a:b].tolist(), ends[a + k - 1:b + k - 1].tolist())])
+        total += np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
 
 
