@@ -34,7 +34,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # no job to infer the schema
 
 
 def join_on_groups(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
