@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import brute
 from edge_fixtures import edge_docs, empty_docs, tools  # noqa: F401
 from textlab.llm import chat, decontam, license_scan, linededup, mixing, quality, secrets, simhash, topk, warc
+from textlab.llm.common import split_words, word_hashes
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +37,33 @@ def test_decontamination_of_empty_tables(spark, edge_docs, empty_docs):
     assert decontam.decontaminate(empty_docs, bench)[0].count() == 0
 
 
+def test_windows_of_equal_hashes_are_told_apart(monkeypatch):
+    rng, few = np.random.default_rng(5), np.uint64(7)  # seven hashes for all windows
+    hashes, at = decontam.gram_hashes, decontam.grams_at
+    monkeypatch.setattr(decontam, "gram_hashes", lambda h, k: hashes(h, k) % few)
+    monkeypatch.setattr(decontam, "grams_at", lambda h, s, k: at(h, s, k) % few)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3, n)) for n in rng.integers(0, 40, 40)]
+    items = [(str(i), t) for i, t in enumerate(texts[:12] + texts[:2] + ["w1", "w2 w2"])]
+    part = decontam.Part([(i, t.encode()) for i, t in items])
+    data = "".join(texts).encode()
+    n_words, found = part.scan(np.frombuffer(data, np.uint8), np.cumsum([0, *[len(t) for t in texts]]))
+    want = brute.decontaminate(list(enumerate(texts)), items)
+    assert n_words.tolist() == [w[1] for w in want]
+    for d, _, n_hit, n_items, digest, _ in want:
+        spans, ids = found.get(d, ([], set()))
+        assert sum(e - s for s, e in decontam.merged(spans)) == n_hit and len(ids) == n_items
+        assert brute.sha(",".join(sorted(ids))) == digest
+
+
+def test_stretches_of_long_texts_change_nothing():
+    text = " ".join(f"word{i * i % 977}" for i in range(5000)).encode()
+    buf = np.frombuffer(text, np.uint8)
+    start, end, _ = split_words(buf, np.array([0, len(buf)]), quality.NOT_BLANK)
+    assert np.array_equal(word_hashes(buf, start, end), word_hashes(buf, start, end, most_bytes=64))
+    assert simhash.fingerprint(text) == simhash.fingerprint(text, stretch=7)
+    assert simhash.fingerprint(b" \t\x0b\r\n") == 0 and simhash.fingerprint(b"\x0cA  b\n") == simhash.fingerprint(b"a b")
+
+
 def test_winnowing_keeps_a_gram_of_every_shared_window():
     rng = np.random.default_rng(3)
     for n in (10, 11, 25, 60):

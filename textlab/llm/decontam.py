@@ -10,10 +10,10 @@ it, and these are compared word for word, so hash collisions change nothing.
 An item shorter than a window is one window of its own length; its texts are
 found by the gram hash of that length at every position.
 
-The documents are never shuffled.  The benchmark joins them in parts of at
-most ``PART_WORDS`` words, each of which is broadcast (that bounds a part
-whatever the benchmark's size); a larger benchmark takes more passes, which
-add to the spans and items of each row.
+The documents are never shuffled.  The benchmark joins them in parts of about
+``PART_WORDS`` words, each of which is broadcast as sorted arrays of some 50
+bytes a word (that bounds a part whatever the benchmark's size); a larger
+benchmark takes more passes, which add to the spans and items of each row.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import free_name, mix, pieces, split_words, text_buffer, word_hashes
 
 WINDOW, GRAM = 10, 5  # so 6 grams a window
-PART_WORDS = 200_000
+PART_WORDS = 1_000_000
 
 # Words: A-Z (lower-cased), a-z, digits and every byte of a non-ASCII character.
 IS_WORD = np.zeros(256, bool)
@@ -50,6 +50,14 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mix(g)
 
 
+def grams_at(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """The hashes of :func:`gram_hashes` at the given positions."""
+    g = np.full(len(at), k, _U)
+    for j in range(k):
+        g = g * _U(0x100000001B3) + h[at + j]
+    return mix(g)
+
+
 def winnow(g: np.ndarray, doc: np.ndarray, k: int, w: int) -> np.ndarray:
     """Positions of the grams kept: the rightmost smallest of every w grams that lie in one text."""
     n = len(g) - w + 1
@@ -67,29 +75,63 @@ def winnow(g: np.ndarray, doc: np.ndarray, k: int, w: int) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
+def spelled(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All words, a space after each, and where each begins (and the last one ends)."""
+    size = end - start + 1
+    offs = np.concatenate([[0], np.cumsum(size)])
+    out = np.full(offs[-1], 0x20, np.uint8)
+    inside = np.ones(len(out), bool)
+    inside[offs[1:] - 1] = False
+    out[inside] = buf[np.repeat(start - offs[:-1], size - 1) + np.flatnonzero(inside)]
+    return out, offs
+
+
+class Windows:
+    """The benchmark's windows of ``k`` words: distinct hashes in order, a place of each, and the items that hold it."""
+
+    def __init__(self, k: int, hashes: np.ndarray, place: np.ndarray, item: np.ndarray, words: tuple[np.ndarray, np.ndarray]):
+        order = np.lexsort((place, hashes))
+        hashes, place, item = hashes[order], place[order], item[order]
+        text, offs = words
+        self.k, self.clash = k, {}  # windows of another text than the first one with their hash: text -> items
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        model = np.repeat(place[first], np.diff(np.append(first, len(hashes))))
+        for i in np.flatnonzero(place != model).tolist():
+            own = text[offs[place[i]]:offs[place[i] + k] - 1].tobytes()
+            if own != text[offs[model[i]]:offs[model[i] + k] - 1].tobytes():
+                self.clash.setdefault(own, set()).add(int(item[i]))
+                item[i] = -1
+        hashes, place, item = (x[item >= 0] for x in (hashes, place, item))
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        self.hashes, self.place, self.item = hashes[first], place[first], item.astype(np.int32)
+        self.edges = np.append(first, len(hashes))
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Index of each hash, or -1."""
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, at, -1)
+
+
 class Part:
     """A bounded part of the benchmark: fingerprints and exact windows with the items that hold them."""
 
     def __init__(self, rows: list[tuple[str, bytes]], window: int = WINDOW, gram: int = GRAM):
         self.window, self.gram, self.grams = window, gram, window - gram + 1
-        self.items: dict[bytes, set[str]] = {}
-        prints, short = [], {}
-        for item_id, text in rows:
-            buf = LOWER[np.frombuffer(text, np.uint8)]
-            start, end, doc = split_words(buf, np.array([0, len(buf)]), IS_WORD)
-            words, n = [bytes(buf[s:e]) for s, e in zip(start, end)], len(start)
-            if not n:
-                continue
-            h, size = word_hashes(buf, start, end), min(n, window)
-            for i in range(n - size + 1):
-                self.items.setdefault(b" ".join(words[i:i + size]), set()).add(item_id)
-            if n < window:
-                short.setdefault(n, []).append(gram_hashes(h, n))
-            else:
-                g = gram_hashes(h, gram)
-                prints.append(g[winnow(g, doc, gram, self.grams)])
-        self.prints = np.unique(np.concatenate(prints)) if prints else np.empty(0, _U)
-        self.short = {n: np.unique(np.concatenate(x)) for n, x in short.items()}
+        self.ids = [item_id for item_id, _ in rows]
+        buf = LOWER[np.frombuffer(b"".join(text for _, text in rows), np.uint8)]
+        offs = np.concatenate([[0], np.cumsum([len(text) for _, text in rows])]).astype(np.int64)
+        start, end, item = split_words(buf, offs, IS_WORD)
+        size = np.bincount(item, minlength=len(rows))
+        h, self.words = word_hashes(buf, start, end), spelled(buf, start, end)
+        long, self.prints, self.windows = size[item] >= window, np.empty(0, _U), []
+        if len(g := gram_hashes(h, gram)):
+            at = winnow(g, item, gram, self.grams)
+            self.prints = np.unique(g[at])
+        for k in np.unique(np.minimum(size[size > 0], window)).tolist():
+            here = np.flatnonzero(long if k == window else (size[item] == k))
+            here = here[here + k <= len(item)]
+            here = here[item[here] == item[here + k - 1]]
+            self.windows.append(Windows(k, gram_hashes(h, k)[here], here, item[here], self.words))
 
     @staticmethod
     def joined(g: np.ndarray, prints: np.ndarray) -> np.ndarray:
@@ -104,28 +146,34 @@ class Part:
         n, found = len(start), {}
         n_words = np.bincount(doc, minlength=len(offs) - 1)
         first_word = np.concatenate([[0], np.cumsum(n_words)])
-        h = word_hashes(buf, start, end)
-        tried = []  # (first word, length) of candidate windows
-        if len(self.prints) and n >= self.window:
-            g = gram_hashes(h, self.gram)
-            at = winnow(g, doc, self.gram, self.grams)
-            at = at[self.joined(g[at], self.prints)]
-            s = np.unique((at[:, None] - np.arange(self.grams)).ravel())  # extend: all windows over the gram
-            s = s[(s >= 0) & (s + self.window <= n)]
-            tried += [(i, self.window) for i in s[doc[s] == doc[s + self.window - 1]].tolist()]
-        for k, prints in self.short.items():
-            g = gram_hashes(h, k)
-            if len(g):
-                s = np.flatnonzero(self.joined(g, prints))
-                tried += [(i, k) for i in s[doc[s] == doc[s + k - 1]].tolist()]
-        for i, k in tried:
-            text = b" ".join([buf[a:b].tobytes() for a, b in zip(start[i:i + k].tolist(), end[i:i + k].tolist())])
-            if text in self.items:
-                d = int(doc[i])
-                spans, items = found.setdefault(d, ([], set()))
-                spans.append((i - int(first_word[d]), i - int(first_word[d]) + k))
-                items |= self.items[text]
-        return n_words, found
+        h, (words, spots) = word_hashes(buf, start, end), self.words
+        for w in self.windows:
+            k = w.k
+            if n < k:
+                continue
+            if k == self.window:
+                prints = gram_hashes(h, self.gram)
+                at = winnow(prints, doc, self.gram, self.grams)
+                at = at[self.joined(prints[at], self.prints)] if len(self.prints) else at[:0]
+                s = np.unique((at[:, None] - np.arange(self.grams)).ravel())  # extend: all windows over the gram
+                s = s[(s >= 0) & (s + k <= n)]
+                at = w.find(grams_at(h, s, k))
+            else:
+                s = np.arange(n - k + 1)
+                at = w.find(gram_hashes(h, k))
+            s, at = s[at >= 0], at[at >= 0]
+            same = doc[s] == doc[s + k - 1]
+            for i, j in zip(s[same].tolist(), at[same].tolist()):
+                text = b" ".join([buf[a:b].tobytes() for a, b in zip(start[i:i + k].tolist(), end[i:i + k].tolist())])
+                p = w.place[j]
+                same_text = words[spots[p]:spots[p + k] - 1].tobytes() == text
+                own = w.item[w.edges[j]:w.edges[j + 1]].tolist() if same_text else w.clash.get(text)
+                if own:
+                    d = int(doc[i])
+                    spans, items = found.setdefault(d, ([], set()))
+                    spans.append((i - int(first_word[d]), i - int(first_word[d]) + k))
+                    items.update(own)
+        return n_words, {d: (spans, {self.ids[x] for x in items}) for d, (spans, items) in found.items()}
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
