@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from .common import read, stage
 
-RECORDS_PER_FILE = 20_000
+RECORDS_PER_FILE = 4000  # an archive is read back by one task: some 80 MB of gzip for pages of 100 KB
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
