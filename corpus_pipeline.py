@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlab.llm.common import free_name, read, stage
+from textlab.llm.common import free_name, read, stage, text_key
 from textlab.llm.decontam import decontaminate, hit_words
 from textlab.llm.linededup import LAST, dedup_lines
 from textlab.llm.mixing import mix_sources, write_order
 from textlab.llm.quality import THRESHOLD, score, train
-from textlab.llm.simhash import simhash_components, text_key
+from textlab.llm.simhash import simhash_components
 from textlab.session import workers_can_import
 
 ORACLE_SQL = None

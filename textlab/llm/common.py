@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.common import stage  # noqa: F401  (re-exported)
 
@@ -29,6 +30,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def text_key(text_col: str):
+    """Tells rows that repeat an id with another text apart; null is empty."""
+    return F.xxhash64(F.lit(7), F.coalesce(F.col(text_col), F.lit("")))
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The values of a string column as UTF-8 bytes; null is empty."""
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()

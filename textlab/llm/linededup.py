@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import free_name, read, stage, text_bytes
+from .common import free_name, read, stage, text_bytes, text_key
 
 MIN_CHARS, BATCHES, FANOUT = 10, 4, 2
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -42,22 +42,23 @@ def line_digest(line: bytes, min_chars: int) -> bytes | None:
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``(id, h1, h2)``, distinct within a row."""
+    """``(id, text_key, h1, h2)``, distinct within a row."""
     def run(batches):
         for b in batches:
             ids, hashes = b.column(0).to_numpy(zero_copy_only=False), []
             counts = np.zeros(b.num_rows, np.int64)
-            for i, text in enumerate(text_bytes(b.column(1))):
+            for i, text in enumerate(text_bytes(b.column(2))):
                 own = {h for line in text.split(b"\n") if (h := line_digest(line, min_chars))}
                 counts[i] = len(own)
                 hashes.extend(own)
             h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, counts), pa.int64()), pa.array(h[:, 0].copy()),
-                                              pa.array(h[:, 1].copy())], names=["id", "h1", "h2"])
+            keys = b.column(1).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, counts), pa.int64()), pa.array(np.repeat(keys, counts), pa.int64()),
+                                              pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], names=["id", "text_key", "h1", "h2"])
 
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"),
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), text_key(text_col).alias("text_key"),
                        F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, h1 long, h2 long")
+    return rows.mapInArrow(run, "id long, text_key long, h1 long, h2 long")
 
 
 @dataclass
@@ -106,7 +107,10 @@ class LineRuns:
 
 
 def dropped_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, batches: int, fanout: int) -> DataFrame:
-    """``(id, drop)``: the hashes that each document loses, as one array a document that loses any."""
+    """``(id, text_key, drop)``: the hashes that each text loses, as one array a text that loses any.
+
+    Lists go by id and text, so rows that share an id (or have none) are not gathered in one list.
+    """
     spark = docs.sparkSession
     cuts = docs.agg(F.percentile_approx(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)),
                                         [i / batches for i in range(1, batches)] or [1.0], 10_000)).first()[0] or []
@@ -117,8 +121,8 @@ def dropped_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, b
     for i in range(len(set(cuts)) + 1):
         own = lines.where(F.col("batch") == i).drop("batch")
         new = runs.add(own).select("h1", "h2", F.col("first").alias("id"))
-        lost = own.distinct().join(new, ["h1", "h2", "id"], "left_anti")
-        drops.append(stage(lost.groupBy("id").agg(F.collect_list(F.struct("h1", "h2")).alias("drop")), "line_drops"))
+        lost = own.join(new, ["h1", "h2", "id"], "left_anti")
+        drops.append(stage(lost.groupBy("id", "text_key").agg(F.collect_set(F.struct("h1", "h2")).alias("drop")), "line_drops"))
         runs.compact()
     runs.forget()
     out = drops[0]
@@ -135,15 +139,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     line without blanks at both ends, A-Z lower-cased; keys of ``min_chars``
     code points found in more documents stay only in the smallest id's rows, with
     all repeats there.  Null and empty texts are one empty line (kept text: empty).
-    Rows that repeat an id are one document.  Null ids are one document, larger
-    than all others.  An empty table gives no rows; other columns pass through.
+    Rows that repeat an id are one document, each with its own drop list.  Null ids are one
+    document, larger than all others.  An empty table gives no rows; other columns pass through.
     """
     names = {k: free_name(docs, k) for k in ("n_lines", "n_dropped")}
     lost = dropped_lines(docs, id_col, text_col, min_chars, batches, fanout)
-    key, drop, mine = (free_name(docs, k) for k in ("lost_id", "drop", "lost_key"))
-    wide = docs.withColumn(mine, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)))
-    lost = lost.select(F.col("id").alias(key), F.col("drop").alias(drop))
-    wide = wide.join(lost.hint("merge"), F.col(mine) == F.col(key), "left").drop(key, mine)
+    lost_id, lost_key, drop, my_id, my_key = (free_name(docs, k) for k in ("lost_id", "lost_key", "drop", "my_id", "my_key"))
+    wide = docs.withColumns({my_id: F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), my_key: text_key(text_col)})
+    lost = lost.select(F.col("id").alias(lost_id), F.col("text_key").alias(lost_key), F.col("drop").alias(drop))
+    same = (F.col(my_id) == F.col(lost_id)) & (F.col(my_key) == F.col(lost_key))
+    wide = wide.join(lost.hint("merge"), same, "left").drop(lost_id, lost_key, my_id, my_key)
     wide = wide.withColumns({n: F.lit(0).cast("long") for n in names.values()})
 
     def run(parts):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.common import bounded_broadcast
-from .common import read, stage, text_bytes
+from .common import read, stage, text_bytes, text_key
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 BLOCKS, GROUPS, BUCKET = 6, 8, 4096
@@ -66,10 +66,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "id long, text_key long, fp long")
 
 
-def text_key(text_col: str):
-    return F.xxhash64(F.lit(7), F.coalesce(F.col(text_col), F.lit("")))
-
-
 def _masks(positions: list[int], groups: int, shared: int) -> list[int]:
     """The masks of every choice of ``shared`` out of ``groups`` even cuts of the bit positions."""
     cuts = [sum(1 << int(p) for p in part) for part in np.array_split(positions, groups)]
