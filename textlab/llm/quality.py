@@ -10,7 +10,7 @@ layers are learned together from document labels alone.
 
 The fit uses at most ``TRAIN_ROWS`` labelled documents (those with the
 smallest hash of the id, a documented bound); only their passage features
-reach the driver, at most 128 vectors a document.  Scoring is one pass over
+reach the driver, at most 128 vectors of 522 bytes a document (200 MB in all).  Scoring is one pass over
 the documents without a shuffle.
 """
 
@@ -129,7 +129,7 @@ class Model:
             order = rng.permutation(len(y))
             for i in range(0, len(y), BATCH):
                 rows = order[i:i + BATCH]
-                x = np.concatenate([bags[r] for r in rows])
+                x = np.concatenate([bags[r] for r in rows]).astype(np.float32)
                 first = np.concatenate([[0], np.cumsum([len(bags[r]) for r in rows])])
                 step += 1
                 for k, g in self.gradient(x, first, y[rows]).items():
@@ -165,13 +165,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
             bags = []
             for i, j in pieces(offs):
                 x, first = passages(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-                bags += [x[s:e].tobytes() for s, e in zip(first[:-1], first[1:])]
+                bags += [x[s:e].astype(np.float16).tobytes() for s, e in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bags, pa.binary())], names=["id", "y", "bag"])
 
     got = (texts.join(F.broadcast(chosen), "id").select("id", "y", "text")
            .mapInArrow(features, "id long, y double, bag binary")
            .orderBy(F.xxhash64("id", F.lit(11)), "id", "bag").limit(rows).toArrow())
-    bags = [np.frombuffer(x.as_buffer(), np.float32).reshape(-1, FEATURES) for x in got.column("bag")]  # views, no copies
+    bags = [np.frombuffer(x.as_buffer(), np.float16).reshape(-1, FEATURES) for x in got.column("bag")]  # views, no copies
     return Model().fit(bags, np.array(got.column("y").to_pylist(), np.float32))
 
 
