@@ -314,6 +314,33 @@ def test_license_blocks(spark):
     assert text[best[1]["start"]:best[1]["end"]] == mit[1].rstrip(":")
 
 
+def test_license_wordings_broken_over_lines(spark):
+    def broken(wording, mark):
+        cut = wording.split(" ")
+        return "\n".join(mark + " ".join(cut[i:i + 9]) for i in range(0, len(cut), 9))
+
+    wordings = {(name, i): w for name, ws in license_scan.TEMPLATES.items() for i, w in enumerate(ws) if len(w.split()) > 25}
+    rows = [(n, "def f(): pass\n" + broken(w, mark) + "\n\nmore of it " * 40) for n, (w, mark) in
+            enumerate((w, mark) for w in wordings.values() for mark in ("# ", " * "))]
+    rows.append((100, "a license\nto speak\n" * 200))
+    out = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((r["id"], r["license"]) for r in out if r["confirmed"])
+    assert found == sorted((2 * n + m, name) for n, (name, _) in enumerate(wordings) for m in (0, 1))
+    texts, whole = dict(rows), [r for r in out if r["confirmed"] and (r["license"], r["template"]) in wordings]
+    assert len(whole) >= 2 * len(wordings) - 2  # the first line of Apache's long wording is its short one
+    for r in whole:
+        assert license_scan.words(texts[r["id"]][r["start"]:r["end"]].replace("*", "").replace("#", "")) == license_scan.words(wordings[r["license"], r["template"]])
+
+
+def test_line_dedup_gathers_no_list_over_rows_without_an_id(spark):
+    rows = [(None, f"shared line number {i % 3}\nown line number {i}") for i in range(60)] + [(1, "shared line number 0"), (1, "own line number 7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lost = linededup.dropped_lines(docs, "doc_id", "text", linededup.MIN_CHARS, 4, 2).collect()
+    assert len(lost) == 21 and max(len(r["drop"]) for r in lost) == 1
+    out, c = linededup.dedup_lines(docs)
+    assert out.agg(F.sum(c["n_dropped"])).first()[0] == 21
+
+
 def test_license_ranking_agrees_with_an_alignment_of_all_templates(spark):
     scanner = license_scan.Scanner()
     for name, wordings in license_scan.TEMPLATES.items():

@@ -1,6 +1,7 @@
 """License scans by conditional compression.
 
-Blocks of a text that hold a license cue word are compressed with zstandard
+Blocks of a text that hold a license cue word (lines, or, where a notice is
+broken over lines, the words from a line on) are compressed with zstandard
 twice: plainly, and with each license template as a raw-content dictionary.
 The templates are ranked by the size reduction; the best ones are then
 aligned word by word, and the first whose wording is there but for a few
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import re
 from difflib import SequenceMatcher
+from itertools import islice
 
 import pyarrow as pa
 import zstandard
@@ -65,7 +67,11 @@ RESULT = ("id long, block int, start int, end int, license string, template int,
 
 def words(text: str) -> list[str]:
     """Lower-cased words; a number is #."""
-    return ["#" if w.isdigit() else w.lower() for w in WORD.findall(text)]
+    return words_of(WORD.finditer(text))
+
+
+def words_of(spots) -> list[str]:
+    return ["#" if m.group().isdigit() else m.group().lower() for m in spots]
 
 
 class Scanner:
@@ -105,16 +111,33 @@ class Scanner:
 
     def scan(self, text: str):
         """``(start, end, rank row)`` of each block with a cue word; start and end are character positions."""
-        at = 0
+        at = covered = 0
         for line in text.split("\n"):
-            if re.search(CUES, line):
+            if at + len(line) > covered and re.search(CUES, line):
                 spots = list(WORD.finditer(line))
                 for first in range(0, max(1, len(spots) - OVERLAP), OVERLAP):
                     part = spots[first:first + BLOCK_WORDS]
                     if part and re.search(CUES, line[part[0].start():part[-1].end()]):
-                        yield at + part[0].start(), at + part[-1].end(), self.judge(["#" if w.group().isdigit() else w.group().lower() for w in part])
+                        start, end, found = at + part[0].start(), at + part[-1].end(), self.judge(words_of(part))
+                        if not found[6] and (wide := self.over_lines(text, start, at + len(line))):
+                            end, found = wide
+                            covered = end
+                        yield start, end, found
             at += len(line) + 1
 
+    def over_lines(self, text: str, start: int, line_end: int):
+        """``(end, rank row)`` of a confirmed wording that begins in a line and ends in a later one, or None."""
+        spots = list(islice(WORD.finditer(text, start), BLOCK_WORDS))
+        if spots[-1].start() < line_end:
+            return None
+        block = words_of(spots)
+        found = self.judge(block)
+        if not found[6]:
+            return None
+        own = next(t for name, k, t, _ in self.templates if (name, k) == found[:2])
+        last = [m for m in SequenceMatcher(None, own, block, autojunk=False).get_matching_blocks() if m.size][-1]
+        return spots[last.b + last.size - 1].end(), found
+
     def judge(self, block: list[str]):
         order = self.ranked(block)
         found = None
@@ -131,7 +154,9 @@ class Scanner:
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict = TEMPLATES) -> DataFrame:
     """One row a candidate block: its place, its best license and how the wording differs; ``confirmed`` if within the tolerance.
 
-    A block is a line, or each stretch of 160 words (every 80) of a longer one, that holds a cue word.  Null and empty texts
+    A block is a line, or each stretch of 160 words (every 80) of a longer one, that holds a cue word; where
+    it is not confirmed alone, the 160 words from its start over the next lines are tried, and a wording
+    confirmed there is the block, with the lines inside it.  Null and empty texts
     and texts without cue words have no rows; the whole text is read; repeated rows each give
     their rows; null ids stay; ties go to the first template; other columns are not read.
     """
