@@ -332,6 +332,17 @@ def test_license_wordings_broken_over_lines(spark):
         assert license_scan.words(texts[r["id"]][r["start"]:r["end"]].replace("*", "").replace("#", "")) == license_scan.words(wordings[r["license"], r["template"]])
 
 
+def test_license_cues_on_later_lines(spark):
+    texts = {"MPL-2.0": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not",
+             "MIT": "Released under the\nMIT License.", "BSD": "# Use of this source code is governed by a BSD-style\n# license that can be found in the LICENSE file.",
+             "Proprietary": "all of it\n// All rights\n// reserved.", "Unlicense": "This is free and unencumbered software released into the public\n * domain."}
+    out = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")).collect()
+    assert sorted((r["id"], r["license"], r["n_missing"], r["confirmed"]) for r in out) == [(i, name, 0, True) for i, name in enumerate(texts)]
+    assert texts["MIT"][:-1] == next(texts["MIT"][r["start"]:r["end"]] for r in out if r["license"] == "MIT")
+    lines = "\n".join(f"x{i}\nReleased under\nthe MIT License." for i in range(200))  # no wording is lost between stretches
+    assert [(lines[a:b], r[0]) for a, b, r in license_scan.Scanner().scan(lines)] == [("Released under\nthe MIT License", "MIT")] * 200
+
+
 def test_line_dedup_gathers_no_list_over_rows_without_an_id(spark):
     rows = [(None, f"shared line number {i % 3}\nown line number {i}") for i in range(60)] + [(1, "shared line number 0"), (1, "own line number 7")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

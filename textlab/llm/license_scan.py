@@ -1,21 +1,24 @@
 """License scans by conditional compression.
 
-Blocks of a text that hold a license cue word (lines, or, where a notice is
-broken over lines, the words from a line on) are compressed with zstandard
-twice: plainly, and with each license template as a raw-content dictionary.
-The templates are ranked by the size reduction; the best ones are then
-aligned word by word, and the first whose wording is there but for a few
-missing words is the block's license.  Numbers may differ from the template.
+Cue words are searched over the whole text, with any blanks and comment marks
+between them.  The stretch of words around a cue, long enough on both sides for
+the longest template, is compressed with zstandard twice: plainly, and with each
+license template as a raw-content dictionary.  The templates are ranked by the
+size reduction and aligned word by word with the stretch; a wording that is
+there but for a few words is confirmed, with its own place.  Numbers may differ
+from the template.
 
 Rows are never shuffled.  Only texts with a cue word leave the JVM.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from difflib import SequenceMatcher
-from itertools import islice
+from array import array
+from bisect import bisect_left, bisect_right
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -56,7 +59,9 @@ TEMPLATES = {
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "Proprietary": ("All rights reserved.", "Unauthorized copying of this file, via any medium, is strictly prohibited."),
 }
-CUES = r"(?i)licen[cs]|copyright|permission is hereby|redistribut|public domain|all rights reserved|creative commons|unauthorized copying|free software"
+CUES = "(?i)" + "|".join(cue.replace(" ", r"[\W_]+") for cue in (
+    "licen[cs]", "copyright", "permission is hereby", "redistribut", "public domain", "all rights reserved", "creative commons",
+    "unauthorized copying", "free software"))
 BLOCK_WORDS, OVERLAP = 160, 80
 LEVEL, TRIED = 9, 6
 MISSING = 0.15
@@ -74,6 +79,44 @@ def words_of(spots) -> list[str]:
     return ["#" if m.group().isdigit() else m.group().lower() for m in spots]
 
 
+def table(own: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Cell (i, j): fewest words missing or added between the first i words of a template and some words that end before j."""
+    out, at = np.zeros((len(own) + 1, len(block) + 1), np.int32), np.arange(len(block) + 1, dtype=np.int32)
+    for i, w in enumerate(own):
+        row = out[i] + 1
+        row[1:] = np.where(block == w, out[i, :-1], row[1:])
+        out[i + 1] = np.minimum.accumulate(row - at) + at
+    return out
+
+
+def traced(cells: np.ndarray, own: np.ndarray, block: np.ndarray, end: int):
+    """``(start, end, missing, added)`` of the alignment that ends before ``end``: first and last matched word, and what differs."""
+    i, j, matched, missing, added = len(own), end, [], [], []
+    while i:
+        if j and own[i - 1] == block[j - 1]:
+            i, j = i - 1, j - 1
+            matched.append(j)
+        elif cells[i, j] == cells[i - 1, j] + 1:
+            i -= 1
+            missing.append(i)
+        else:
+            j -= 1
+            added.append(j)
+    return (matched[-1], matched[0] + 1, missing[::-1], added[::-1]) if matched else (0, 0, missing[::-1], [])
+
+
+def occurrences(own: np.ndarray, block: np.ndarray, limit: float) -> list[tuple]:
+    """The alignments of a template with at most ``limit`` differences that do not overlap, best first."""
+    cells, out = table(own, block), []
+    last = cells[-1]
+    ends = np.flatnonzero((last[1:] <= limit) & (last[1:] <= last[:-1])) + 1  # after others the last word is one more than the wording
+    for end in sorted(ends.tolist(), key=lambda j: (last[j], j)):
+        new = traced(cells, own, block, end)
+        if all(new[1] <= a or z <= new[0] for a, z, _, _ in out):
+            out.append(new)
+    return out
+
+
 class Scanner:
     """Compressors for every template, made once in a worker."""
 
@@ -87,6 +130,14 @@ class Scanner:
                 raw = zstandard.ZstdCompressionDict(" ".join(words(wording)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 raw.precompute_compress(compression_params=params)
                 self.templates.append((name, i, words(wording), zstandard.ZstdCompressor(compression_params=params, dict_data=raw)))
+        self.ids = {w: n for n, w in enumerate(sorted({w for t in self.templates for w in t[2]}))}
+        self.own = [self.numbers(t[2]) for t in self.templates]
+        self.counts = np.array([np.bincount(o, minlength=len(self.ids)) for o in self.own])
+        self.limits = [MISSING * len(o) for o in self.own]
+        self.reach = math.ceil(max((1 + MISSING) * len(o) for o in self.own))
+
+    def numbers(self, block: list[str]) -> np.ndarray:
+        return np.array([self.ids.get(w, -1) for w in block], np.int32)
 
     def ranked(self, block: list[str]) -> list[tuple[float, int]]:
         """(size reduction, template), best first: the bytes that the dictionary saves, as a share of the template's own saving."""
@@ -100,63 +151,88 @@ class Scanner:
     @staticmethod
     def differences(template: list[str], block: list[str]) -> tuple[list[str], list[str]]:
         """Template words that the block lacks, and block words inside the wording that the template lacks."""
-        missing, added = [], []
-        ops = SequenceMatcher(None, template, block, autojunk=False).get_opcodes()
-        for n, (tag, a, b, c, d) in enumerate(ops):
-            if tag in ("delete", "replace"):
-                missing += template[a:b]
-            if tag in ("insert", "replace") and 0 < n < len(ops) - 1:  # what stands around the wording is no difference
-                added += block[c:d]
-        return missing, added
+        ids = {w: n for n, w in enumerate(template)}
+        own, found = (np.array([ids.get(w, -1) for w in x], np.int32) for x in (template, block))
+        cells = table(own, found)
+        _, _, missing, added = traced(cells, own, found, int(cells[-1].argmin()))
+        return [template[i] for i in missing], [block[j] for j in added]
+
+    def row(self, i: int, reduction: float, missing: list[str], added: list[str]):
+        n = len(missing) + len(added)
+        return (*self.templates[i][:2], round(reduction, 6), len(missing), len(added),
+                " ".join([*("-" + w for w in missing), *("+" + w for w in added)]), n <= self.limits[i])
+
+    def wordings(self, block: list[str]):
+        """``(start, end, template, rank row)`` of the confirmed wordings in a stretch; start and end are words of it."""
+        found, out = self.numbers(block), []
+        lacking = np.maximum(self.counts - np.bincount(found[found >= 0], minlength=len(self.ids)), 0).sum(1)
+        if (lacking > self.limits).all():  # a wording lacks these words at least
+            return out
+        for reduction, i in self.ranked(block)[:TRIED]:
+            if lacking[i] <= self.limits[i]:
+                for start, end, missing, added in occurrences(self.own[i], found, self.limits[i]):
+                    row = self.row(i, reduction, [self.templates[i][2][m] for m in missing], [block[j] for j in added])
+                    out.append((start, end, i, row))
+        return out
 
     def scan(self, text: str):
-        """``(start, end, rank row)`` of each block with a cue word; start and end are character positions."""
-        at = covered = 0
-        for line in text.split("\n"):
-            if at + len(line) > covered and re.search(CUES, line):
-                spots = list(WORD.finditer(line))
-                for first in range(0, max(1, len(spots) - OVERLAP), OVERLAP):
-                    part = spots[first:first + BLOCK_WORDS]
-                    if part and re.search(CUES, line[part[0].start():part[-1].end()]):
-                        start, end, found = at + part[0].start(), at + part[-1].end(), self.judge(words_of(part))
-                        if not found[6] and (wide := self.over_lines(text, start, at + len(line))):
-                            end, found = wide
-                            covered = end
-                        yield start, end, found
-            at += len(line) + 1
-
-    def over_lines(self, text: str, start: int, line_end: int):
-        """``(end, rank row)`` of a confirmed wording that begins in a line and ends in a later one, or None."""
-        spots = list(islice(WORD.finditer(text, start), BLOCK_WORDS))
-        if spots[-1].start() < line_end:
-            return None
-        block = words_of(spots)
-        found = self.judge(block)
-        if not found[6]:
-            return None
-        own = next(t for name, k, t, _ in self.templates if (name, k) == found[:2])
-        last = [m for m in SequenceMatcher(None, own, block, autojunk=False).get_matching_blocks() if m.size][-1]
-        return spots[last.b + last.size - 1].end(), found
+        """``(start, end, rank row)`` of each confirmed wording and of each other block with a cue word, by place in characters."""
+        cues = [m.start() for m in re.finditer(CUES, text)]
+        if not cues:
+            return
+        starts, ends = array("q"), array("q")
+        for m in WORD.finditer(text):
+            starts.append(m.start())
+            ends.append(m.end())
+
+        def block(first, last):
+            return ["#" if (w := text[a:b]).isdigit() else w.lower() for a, b in zip(starts[first:last], ends[first:last])]
+
+        at, found, done = sorted({bisect_right(starts, c) - 1 for c in cues}), [], -1
+        for c in at:
+            if c > done:  # all cues up to ``done`` have a whole template's length on both sides
+                first, done = max(0, c - self.reach), c + OVERLAP
+                found += [(first + a, first + z, i, row) for a, z, i, row in self.wordings(block(first, done + self.reach))]
+        kept = []  # by start; a wording that overlaps a longer one goes
+        for a, z, i, row in sorted(found, key=lambda x: (x[0] - x[1], x[3][3] + x[3][4], -len(self.own[x[2]]), x[2], x[0])):
+            n = bisect_left(kept, (a,))
+            if (n == 0 or kept[n - 1][1] <= a) and (n == len(kept) or kept[n][0] >= z):
+                kept.insert(n, (a, z, row))
+        out = [(starts[a], ends[z - 1], row) for a, z, row in kept]
+
+        done = -1
+        for c in at:
+            if c <= done:
+                continue
+            line_end = text.find("\n", starts[c])
+            lo = bisect_left(starts, text.rfind("\n", 0, starts[c]) + 1)
+            hi = len(starts) if line_end < 0 else bisect_left(starts, line_end)
+            done = hi - 1
+            for first in range(lo, max(lo + 1, hi - OVERLAP), OVERLAP):
+                last = min(first + BLOCK_WORDS, hi)
+                n, k = bisect_left(at, first), bisect_left(kept, (last,))
+                if n < len(at) and at[n] < last and (k == 0 or kept[k - 1][1] <= first):
+                    out.append((starts[first], ends[last - 1], self.judge(block(first, last))))
+        yield from sorted(out, key=lambda x: x[:2])
 
     def judge(self, block: list[str]):
+        """The rank row of a block: the confirmed wording with the fewest differences, or else the best-ranked template."""
         order = self.ranked(block)
         found = None
         for reduction, i in order[:TRIED]:
-            name, k, own, _ = self.templates[i]
-            missing, added = self.differences(own, block)
-            row = (name, k, round(reduction, 6), len(missing), len(added),
-                   " ".join([*("-" + w for w in missing), *("+" + w for w in added)]), len(missing) + len(added) <= MISSING * len(own))
+            own = self.templates[i][2]
+            row = self.row(i, reduction, *self.differences(own, block))
             if found is None or row[6] and (not found[6] or (row[3] + row[4], -len(own)) < found[7]):
                 found = (*row, (row[3] + row[4], -len(own)))
         return found[:7]
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict = TEMPLATES) -> DataFrame:
-    """One row a candidate block: its place, its best license and how the wording differs; ``confirmed`` if within the tolerance.
+    """One row a block: its place, its license and how the wording differs; ``confirmed`` if within the tolerance.
 
-    A block is a line, or each stretch of 160 words (every 80) of a longer one, that holds a cue word; where
-    it is not confirmed alone, the 160 words from its start over the next lines are tried, and a wording
-    confirmed there is the block, with the lines inside it.  Null and empty texts
+    A confirmed block is a wording around a cue word, whatever lines it is broken over.  Other blocks are the
+    lines, or each stretch of 160 words (every 80) of a longer one, that hold a cue word and no part of a confirmed
+    wording.  Of wordings that overlap, the longer one is given, then the one that differs less.  Null and empty texts
     and texts without cue words have no rows; the whole text is read; repeated rows each give
     their rows; null ids stay; ties go to the first template; other columns are not read.
     """
