@@ -343,6 +343,24 @@ def test_license_cues_on_later_lines(spark):
     assert [(lines[a:b], r[0]) for a, b, r in license_scan.Scanner().scan(lines)] == [("Released under\nthe MIT License", "MIT")] * 200
 
 
+def test_license_blocks_with_several_notices(spark):
+    alone = {(name, i): w for name, ws in license_scan.TEMPLATES.items() for i, w in enumerate(ws) if (name, i) != ("Apache-2.0", 0)}
+    mit = " ".join(license_scan.TEMPLATES["MIT"][1].replace("charge", "cost").split())
+    wrapped = "\n".join(" * " + " ".join(mit.split(" ")[i:i + 9]) for i in range(0, len(mit.split(" ")), 9))
+    texts = ["Released under the MIT License. All rights reserved.", "Released under the MIT License. Licensed under the Apache License, Version 2.0.",
+             wrapped + "\n\n * All rights reserved.", " ".join(alone.values()), " ".join(f"{w} Of {i}." for i, w in enumerate([*alone.values()] * 2)),
+             "This work is licensed under the GNU General Public License, version 2. " * 3]
+    out = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r["confirmed"] for r in out)
+
+    def found(i):
+        return [(r["license"], r["template"]) for r in sorted(out, key=lambda r: r["block"]) if r["id"] == i]
+
+    assert found(0) == [("MIT", 0), ("Proprietary", 0)] and found(1) == [("MIT", 0), ("Apache-2.0", 0)]
+    assert found(2) == [("MIT", 1), ("Proprietary", 0)] and found(3) == [*alone] and found(4) == [*alone] * 2
+    assert found(5) == [("GPL", 0)] * 3
+
+
 def test_line_dedup_gathers_no_list_over_rows_without_an_id(spark):
     rows = [(None, f"shared line number {i % 3}\nown line number {i}") for i in range(60)] + [(1, "shared line number 0"), (1, "own line number 7")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -63,7 +63,7 @@ CUES = "(?i)" + "|".join(cue.replace(" ", r"[\W_]+") for cue in (
     "licen[cs]", "copyright", "permission is hereby", "redistribut", "public domain", "all rights reserved", "creative commons",
     "unauthorized copying", "free software"))
 BLOCK_WORDS, OVERLAP = 160, 80
-LEVEL, TRIED = 9, 6
+LEVEL = 9
 MISSING = 0.15
 WORD = re.compile(r"[^\W_]+", re.UNICODE)
 RESULT = ("id long, block int, start int, end int, license string, template int, reduction double, "
@@ -162,14 +162,16 @@ class Scanner:
         return (*self.templates[i][:2], round(reduction, 6), len(missing), len(added),
                 " ".join([*("-" + w for w in missing), *("+" + w for w in added)]), n <= self.limits[i])
 
+    def near(self, found: np.ndarray) -> np.ndarray:
+        """Which templates can be confirmed: the words that the block lacks, wherever they stand, are within the tolerance."""
+        return np.maximum(self.counts - np.bincount(found[found >= 0], minlength=len(self.ids)), 0).sum(1) <= self.limits
+
     def wordings(self, block: list[str]):
         """``(start, end, template, rank row)`` of the confirmed wordings in a stretch; start and end are words of it."""
         found, out = self.numbers(block), []
-        lacking = np.maximum(self.counts - np.bincount(found[found >= 0], minlength=len(self.ids)), 0).sum(1)
-        if (lacking > self.limits).all():  # a wording lacks these words at least
-            return out
-        for reduction, i in self.ranked(block)[:TRIED]:
-            if lacking[i] <= self.limits[i]:
+        near = self.near(found)
+        for reduction, i in self.ranked(block) if near.any() else ():
+            if near[i]:
                 for start, end, missing, added in occurrences(self.own[i], found, self.limits[i]):
                     row = self.row(i, reduction, [self.templates[i][2][m] for m in missing], [block[j] for j in added])
                     out.append((start, end, i, row))
@@ -217,9 +219,10 @@ class Scanner:
 
     def judge(self, block: list[str]):
         """The rank row of a block: the confirmed wording with the fewest differences, or else the best-ranked template."""
-        order = self.ranked(block)
-        found = None
-        for reduction, i in order[:TRIED]:
+        found, near = None, self.near(self.numbers(block))
+        for reduction, i in self.ranked(block):
+            if found and not near[i]:
+                continue
             own = self.templates[i][2]
             row = self.row(i, reduction, *self.differences(own, block))
             if found is None or row[6] and (not found[6] or (row[3] + row[4], -len(own)) < found[7]):
