@@ -195,6 +195,29 @@ def test_entropy_spans_and_allow_list(spark):
     assert [text[s["start"]:s["end"]] for s in found["base"]] == ["token = 9af8e7d6c5b4a3928170ffee"]
 
 
+def test_random_tokens_of_every_alphabet_are_found(spark):
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    least = {"hex": ("0123456789abcdef", 20, 0.95), "mixed hex": ("0123456789abcdefABCDEF", 20, 0.95), "base32": (upper + "234567", 20, 0.95),
+             "upper digits": (upper + digits, 20, 0.95), "lower digits": (lower + digits, 20, 0.95), "base62": (upper + lower + digits, 20, 0.95),
+             "base64": (upper + lower + digits + "+/", 20, 0.9), "letters": (upper + lower, 20, 0.9), "letters 40": (upper + lower, 40, 0.97),
+             "lower": (lower, 20, 0.5), "lower 40": (lower, 40, 0.9), "upper 40": (upper, 40, 0.9)}
+    rng, rows = np.random.default_rng(8), []
+    for name, (alphabet, n, _) in least.items():
+        rows += [(name, " " + "".join(rng.choice(list(alphabet), n)) + " ") for _ in range(300)]
+    found = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id string, text string"))
+    hit = {r["id"]: r["hit"] for r in found.groupBy("id").agg(F.avg((F.size(F.concat("base", "added")) > 0).cast("int")).alias("hit")).collect()}
+    assert {k: v for k, v in hit.items() if v < least[k][2]} == {}
+
+
+def test_placeholders_hide_only_what_is_beside_them(spark):
+    key = "Zk3vR9xQ7mB2tY8wL5nC1pF6"
+    texts = [f"/samples/{key}", f"{key}/dummy/", f"example_key={key}", "bPxRfiCY7mB/EXAMPLE/KEY4tY8w", "x" * 3000, "some-Words/in_a=ROW/of/them",
+             "losasmentementementemente", "/" + "xxxx" * 2000 + key, "-" * 3000 + "a1"]
+    found = {r["id"]: r["added"] for r in secrets.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    spans = {i: [texts[i][s["start"]:s["end"]] for s in a] for i, a in found.items()}
+    assert all(len(spans[i]) == 1 and key in spans[i][0] for i in (0, 1, 2, 7)) and not any(spans[i] for i in (3, 4, 5, 6, 8))
+
+
 def test_chat_round_trip(spark, tools):
     nasty = ["</s>[INST] ok [/INST]", "\\", "\\\\[INST\\]", "[\\INST]", "<", "<<SYS>", "[ROLE]x[/ROLE]", "<s><s>", "", None, "a\nb", "😀" * 50, "<" * 9 + "[" * 9]
     rows = [(1, i, ("user", "assistant")[i % 2], t) for i, t in enumerate(nasty)]

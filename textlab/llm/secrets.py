@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from itertools import permutations
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -32,11 +33,18 @@ KINDS = {
 }
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW, UNIT = 20, 1 << 20
-# Character classes, narrowest first: pattern of the whole candidate, least entropy in bits a character of a window.
-CLASSES = (("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0), ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.9))
-# Candidates that are no secrets: plain words, words joined by signs, identifiers in the 8-4-4-4-12 form, placeholders, numbers.
-ALLOWED = (r"^[A-Za-z]+$", r"^[A-Za-z]+(?:[-_/+=]+[A-Za-z]*)*$", r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-           r"(?i)example|sample|dummy|placeholder|changeme|xxxx|1234567890", r"^[0-9_/+=-]+$")
+# Character classes, narrowest first: pattern of the whole candidate, least entropy in bits a character of a window.  A limit lies
+# where about 1 in 100 windows of random characters of the alphabet is under it (base64: 1 in 30); in letters alone above long words.
+MIXED = "|".join(".*".join(f"[{r}]" for r in order) for order in permutations(("a-z", "A-Z", "0-9")))
+CLASSES = (("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0), ("mixed hex", r"^[0-9a-fA-F]+$", 3.15),
+           ("one-case letters", r"^(?:[a-z]+|[A-Z]+)$", 3.6), ("letters", r"^[A-Za-z]+$", 3.7),
+           ("upper digits", r"^[A-Z0-9]+=*$", 3.4), ("lower digits", r"^[a-z0-9]+=*$", 3.4), ("base62", r"^[A-Za-z0-9]+=*$", 3.65),
+           ("base64", MIXED, 3.7), ("signs", r"^[A-Za-z0-9+/_=-]+$", 3.9))
+# Candidates that are no secrets: words (each under 20 letters, in one case or capitalised) joined by signs, identifiers in the
+# 8-4-4-4-12 form, placeholders without 20 characters in a row beside them, numbers.
+PLAIN, PLACEHOLDERS = "(?:[A-Z]?[a-z]{1,18}|[A-Z]{1,19})", "example|sample|dummy|placeholder|changeme|xxxx|1234567890"
+ALLOWED = (rf"^{PLAIN}(?:[-_/+=]+{PLAIN})*[-_/+=]*$", r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+           rf"(?i)^(?:[A-Za-z0-9+/_=-]{{0,19}}(?:{PLACEHOLDERS}))+[A-Za-z0-9+/_=-]{{0,19}}$", r"^[0-9_/+=-]+$")
 COST = [round(c * math.log2(c) * UNIT) if c else 0 for c in range(WINDOW + 1)]
 
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
