@@ -264,6 +264,23 @@ def test_mix_reaches_targets_and_is_the_same_again(edge_docs, empty_docs):
     assert mixing.write_order(mixing.mix_sources(empty_docs)).count() == 0
 
 
+def test_border_block_is_filled_whatever_its_documents(spark, monkeypatch):
+    def texts(seed, sizes):
+        return [(seed * 10_000 + i, "w " * n, f"s{seed}") for i, n in enumerate(sizes)]
+
+    for long in (15_000, 3_000):  # of one block a source, three quarters; the long document stands anywhere in hash order
+        rows = [r for seed in range(6) for r in texts(seed, [10] * 1000 + [long])]
+        rows += texts(9, [100] * ((10_000 + long) // 100))  # takes the rest
+        docs = spark.createDataFrame(rows + rows[:1], "doc_id long, text string, source string")
+        weights = [0.75] * 6 + [2.5]
+        for keys in (mixing.BROADCAST_KEYS, 0):
+            monkeypatch.setattr(mixing, "BROADCAST_KEYS", keys)
+            mix = mixing.mix_sources(docs, tuple(weights), blocks=1)
+            n = mix.names
+            got = mix.rows.groupBy("source").agg(F.first(n["target"]).alias("target"), F.sum(F.col(n["size"]) * F.size(n["draws"])).alias("taken")).collect()
+            assert len(got) == 7 and all(abs(r["taken"] - r["target"]) <= 20 for r in got if r["source"] != "s9")
+
+
 def test_targets_by_hand():
     assert mixing.targets([100, 100], [1, 1]) == [100, 100]
     assert mixing.targets([10, 290, 300], [5, 2, 1]) == pytest.approx([30, 380, 190])  # the first stops at 3 x 10

@@ -32,7 +32,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3.0
 BLOCKS, SHARDS, SEED = 8192, 16, 20240229
 SLICE_WORDS = 16_000_000  # about 100 MB of text
-EXTRAS = 64
+BROADCAST_KEYS = 1_000_000  # some 50 MB; more keys are joined by a merge
 NEAR = 0.002  # share of a target that may be missing before a source is gone through once more
 
 
@@ -88,25 +88,33 @@ DRAWS = "array<struct<epoch:int,shard:int>>"
 
 
 def border_cut(group: pd.DataFrame) -> pd.DataFrame:
-    """Which documents of a source's border block still fit: in key order up to ``upto``, and a few after it.
+    """Which documents of a source's border block are taken: a row with the key up to which all are, and a row for each key after it.
 
-    After the first document that is too long, up to ``EXTRAS`` others that fit follow, then one
-    more that goes over if the sum comes nearer to the target with it.
+    In key order every document that still fits is taken.  If a gap is left, the shortest of the
+    others goes in too and documents from the end go out for it, where the sum comes nearer to the target so.
     """
-    rows = group.groupby("key", as_index=False, sort=True).agg(size=("size", "sum"))
-    left, sizes, keys = float(group["words"].iloc[0]), rows["size"].to_numpy(), rows["key"].to_numpy()
-    n = int(np.searchsorted(np.cumsum(sizes), left, "right"))
-    left -= int(sizes[:n].sum())
-    extras = []
-    for i in np.flatnonzero(sizes[n:] <= left) + n:
-        if 0 < sizes[i] <= left and len(extras) < EXTRAS:
-            extras.append(int(i))
+    rows = group.sort_values("key")
+    left, sizes, keys = float(rows["words"].iloc[0]), rows["size"].to_numpy(), rows["key"].to_numpy()
+    taken = np.cumsum(sizes) <= left
+    left -= int(sizes[taken].sum())
+    for i in np.flatnonzero(~taken & (sizes > 0) & (sizes <= left)):
+        if sizes[i] <= left:
+            taken[i] = True
             left -= int(sizes[i])
-    over = np.setdiff1d(np.arange(n, len(sizes)), extras)
-    if len(over) and (best := over[np.argmin(sizes[over])]) is not None and 0 < sizes[best] < 2 * left:
-        extras.append(int(best))
-    return pd.DataFrame({"i": group["i"].iloc[:1], "upto": [int(keys[n - 1]) if n else None],
-                         "extras": [[int(keys[i]) for i in extras]]}).astype({"upto": "Int64"})
+    over = np.flatnonzero(~taken & (sizes > 0))
+    if len(over) and left > 0:
+        best = over[np.argmin(sizes[over])]
+        excess, out = float(sizes[best] - left), []
+        for i in np.flatnonzero(taken & (sizes > 0) & (sizes <= excess))[::-1]:
+            if sizes[i] <= excess:
+                out.append(i)
+                excess -= int(sizes[i])
+        if excess < left:
+            taken[best], taken[out] = True, False
+    n = len(taken) if taken.all() else int(np.argmin(taken))
+    extras = keys[n:][taken[n:]].tolist()
+    return pd.DataFrame({"i": [rows["i"].iloc[0]] * (1 + len(extras)), "upto": pd.array([int(keys[n - 1]) if n else None] + [None] * len(extras), "Int64"),
+                         "key": pd.array([None, *extras], "Int64")})
 
 
 def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, source_col: str = "source", id_col: str = "doc_id",
@@ -172,14 +180,18 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, source_col: str = "so
             draws.setdefault((i, b), []).append((epoch, shard))
 
     edge = F.broadcast(spark.createDataFrame(borders, "i int, b int, border int, words double"))  # at most one row a source
-    cut = (blocked(sized).join(edge, ["i", "b"]).select("i", "key", "size", "words").groupBy("i")  # about 1/blocks of all rows a group
-           .applyInPandas(border_cut, "i int, upto long, extras array<long>"))
-    edge = edge.join(F.broadcast(stage(cut, "mix_border")), "i").drop("words")  # at most EXTRAS + 1 keys a source
+    cut = (blocked(sized).join(edge, ["i", "b"]).groupBy("i", "words", "key").agg(F.sum("size").alias("size"))
+           .groupBy("i").applyInPandas(border_cut, "i int, upto long, key long"))  # about 1/blocks of all rows a group
+    cut = stage(cut, "mix_border")
+    extras = cut.where(F.col("key").isNotNull()).select("i", "key", F.lit(True).alias("extra"))  # a key is in one block
+    extras = F.broadcast(extras) if extras.count() <= BROADCAST_KEYS else extras.hint("merge")
+    edge = edge.join(F.broadcast(cut.where(F.col("key").isNull()).drop("key")), "i").drop("words")
     table = spark.createDataFrame([(i, b, sorted(d)) for (i, b), d in draws.items()], f"i int, b int, dealt {DRAWS}")
 
     wide = blocked(docs.select(F.struct("*").alias("row"), *given))  # no name in the row can clash
     wide = wide.join(F.broadcast(table), ["i", "b"], "left").join(F.broadcast(edge), ["i", "b"], "left")
-    inside = F.coalesce(F.col("key") <= F.col("upto"), F.lit(False)) | F.array_contains("extras", F.col("key"))
+    wide = wide.join(extras, ["i", "key"], "left")
+    inside = F.coalesce(F.col("key") <= F.col("upto"), F.lit(False)) | F.col("extra").isNotNull()
     taken = F.filter("dealt", lambda d: F.col("border").isNull() | (d["epoch"] != F.col("border")) | inside)
     wide = wide.select("row", "size", "source_size", "target", F.coalesce(taken, F.array().cast(DRAWS)).alias("draws"))
     wide = wide.select(*[F.col(k).alias(name) for k, name in names.items()], "row.*").select(*docs.columns, *names.values())
