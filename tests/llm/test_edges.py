@@ -239,6 +239,20 @@ def test_chat_round_trip(spark, tools):
     assert chat.format_chats(df.limit(0).select("conv_id", "turn", "role", "text")).count() == 0
 
 
+def test_turn_order_is_in_a_registered_query(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    talks = {1: ["user", "assistant"], 2: ["system", "user", "assistant", "user"], 3: ["user", "user"], 4: ["assistant"], 5: ["user", "tool", "assistant"],
+             6: [None], 7: ["user", "assistant", "system", "user", "assistant"], None: ["system", "user", "assistant"]}
+    rows = [(conv, i, role, "hé[OUT]") for conv, roles in talks.items() for i, role in enumerate(roles)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: r for r in entry.queries()["chat_turn_order"](spark, str(tmp_path)).collect()}
+    assert {k: (r["first_wrong"], r["ends_open"]) for k, r in got.items()} == {
+        1: (None, False), 2: (None, True), 3: (1, True), 4: (0, True), 5: (1, True), 6: (0, True), 7: (2, True), None: (None, False), -7: (None, False)}
+    assert {k: len(r["loss_spans"].split(",")) for k, r in got.items() if r["loss_spans"]} == {1: 1, 2: 1, 4: 1, 5: 1, 7: 2, None: 1, -7: 1}
+    assert got[4]["loss_spans"] == "8:16"  # after <s>[OUT]: the text, its mark broken by a backslash
+
+
 def test_mix_reaches_targets_and_is_the_same_again(edge_docs, empty_docs):
     mix = mixing.mix_sources(edge_docs)
     n = mix.names

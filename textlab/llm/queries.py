@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .chat import op10_chat
+from .chat import chat_turn_order, op10_chat
 from .decontam import op5_decontaminate
 from .license_scan import op1_license_scan
 from .linededup import op6_line_dedup
@@ -22,4 +22,4 @@ def pipeline(spark, sf_dir: str):
 
 
 QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mix, op3_warc, op4_quality, op5_decontaminate, op6_line_dedup, op7_topk,
-                                   op8_secrets, op9_simhash, op10_chat, pipeline)}
+                                   op8_secrets, op9_simhash, op10_chat, chat_turn_order, pipeline)}
