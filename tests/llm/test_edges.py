@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -352,6 +353,28 @@ def test_passages_cover_the_text():
     assert np.allclose((x[:1, :256] ** 2).sum(), 1) and x[first[2]].sum() == 0
 
 
+def test_long_texts_are_scored_by_passages_of_64_words(spark):
+    rng, model = np.random.default_rng(3), quality.Model()
+    model.prior = None
+    model.p["w"] *= 40  # sharp attention, so that a short stretch counts
+    words = [f"w{x}" for x in rng.integers(0, 500, 300_000)]
+    words[64 * 900:64 * 903] = ["!!??##"] * 192
+    texts = [" ".join(words), "  " + " ".join(words[50_000:70_000]), "x" * 3_000_000 + " a" * 600_000, "y" * 2_100_000, " " * 1_500_000, "few words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scored, name = quality.score(df, model)
+    got = {r["doc_id"]: r[name] for r in scored.select("doc_id", name).collect()}
+    for i, text in enumerate(texts):
+        own = text.split()
+        x = []  # each passage as a text of its own, with the blanks before the first and after its last word
+        ends = [m.start() for m in re.finditer(r"[^ ]+", text)][64::64]
+        for a, z in zip([0, *ends], [*ends, len(text)]):
+            part = np.frombuffer(text[a:z].encode(), np.uint8)
+            x.append(quality.passages(part, np.array([0, len(part)]))[0])
+        assert len(x) == max(1, -(-len(own) // 64))
+        x = np.concatenate(x)
+        assert got[i] == pytest.approx(float(model.score(x, np.array([0, len(x)]))[0]), abs=2e-5), i
+
+
 def test_license_blocks(spark):
     mit = license_scan.TEMPLATES["MIT"]
     long_line = " ".join(f"word{i}" for i in range(500)) + " Released under the MIT License. " + " ".join(f"more{i}" for i in range(300))

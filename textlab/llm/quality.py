@@ -1,6 +1,6 @@
 """Quality classifier by attention-based multiple-instance learning.
 
-A document is a bag of passages of 64 words (longer ones in texts of over
+A document is a bag of passages of 64 words (in training longer ones in texts of over
 128 passages, so a bag has at most 128 and covers the whole text).  A passage
 is described by the frequencies of its bytes, its mean word length, its size
 and how often a word repeats one shortly before, and encoded by a learned tanh layer.  Gated attention,
@@ -27,6 +27,7 @@ from .common import free_name, pieces, read, split_words, text_buffer, word_hash
 TRAIN_ROWS = 3000
 THRESHOLD = 0.3
 PASSAGE_WORDS, MAX_PASSAGES = 64, 128
+LONG_BYTES = 1 << 20
 LAGS = (1, 2, 3)
 FEATURES, HIDDEN, GATE = 258 + len(LAGS), 24, 12
 EPOCHS, BATCH, RATE, DECAY = 40, 64, 0.01, 1e-4
@@ -35,12 +36,29 @@ NOT_BLANK = np.ones(256, bool)
 NOT_BLANK[[0x20, *range(0x09, 0x0E)]] = False
 
 
-def passages(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(features of each passage, first passage of each text)``; a text without words is one passage."""
+def stretches(buf: np.ndarray, most_bytes: int):
+    """A long text in parts of about ``most_bytes`` that begin with a passage, so that their passages are those of the text."""
+    at, size = 0, most_bytes
+    while at + size < len(buf):
+        start, _, _ = split_words(buf[at:at + size], np.array([0, size]), NOT_BLANK)
+        last = (len(start) - 1) // PASSAGE_WORDS * PASSAGE_WORDS  # the passage that may go on behind the part
+        if last > 0:
+            yield buf[at:at + start[last]]
+            at, size = at + int(start[last]), most_bytes
+        else:
+            size *= 2
+    yield buf[at:]
+
+
+def passages(buf: np.ndarray, offs: np.ndarray, most: int | None = MAX_PASSAGES) -> tuple[np.ndarray, np.ndarray]:
+    """``(features of each passage, first passage of each text)``; a text without words is one passage.
+
+    With ``most``, the passages of a text are longer where it would have more of them.
+    """
     n_docs = len(offs) - 1
     start, end, doc = split_words(buf, offs, NOT_BLANK)
     words = np.bincount(doc, minlength=n_docs)
-    size = np.maximum(PASSAGE_WORDS, -(-words // MAX_PASSAGES))
+    size = np.maximum(PASSAGE_WORDS, -(-words // most)) if most else np.full(n_docs, PASSAGE_WORDS)
     count = np.maximum(1, -(-words // size))
     first = np.concatenate([[0], np.cumsum(count)])
     in_doc = np.arange(len(start)) - np.concatenate([[0], np.cumsum(words)])[doc]
@@ -82,12 +100,16 @@ class Model:
         self.mean, self.scale = np.zeros(FEATURES, np.float32), np.ones(FEATURES, np.float32)
         self.prior: float | None = 0.5
 
-    def forward(self, x, first):
-        p, starts, counts = self.p, first[:-1], np.diff(first)
+    def gated(self, x):
+        p = self.p
         x = np.clip((x - self.mean) * self.scale, -8, 8)
         h = np.tanh(x @ p["W"] + p["b"])
         t, s = np.tanh(h @ p["V"]), 1 / (1 + np.exp(-(h @ p["U"])))
-        e = (t * s) @ p["w"]
+        return x, h, t, s, (t * s) @ p["w"]
+
+    def forward(self, x, first):
+        p, starts, counts = self.p, first[:-1], np.diff(first)
+        x, h, t, s, e = self.gated(x)
         e = np.exp(e - np.repeat(np.maximum.reduceat(e, starts), counts))
         a = e / np.repeat(np.add.reduceat(e, starts), counts)
         z = np.add.reduceat(a[:, None] * h, starts, axis=0)
@@ -98,6 +120,18 @@ class Model:
             return np.full(len(first) - 1, self.prior)
         return self.forward(x, first)[-1].astype(np.float64)
 
+    def score_parts(self, parts) -> np.ndarray:
+        """The score of one text whose passages come in parts; only the attention's sums are held."""
+        if self.prior is not None:
+            return np.full(1, self.prior)
+        top, total, z = -np.inf, 0.0, np.zeros(HIDDEN)
+        for x in parts:
+            _, h, _, _, e = self.gated(x)
+            new = max(top, float(e.max()))
+            a, keep = np.exp(e.astype(np.float64) - new), np.exp(top - new)
+            top, total, z = new, total * keep + a.sum(), z * keep + a @ h
+        return 1 / (1 + np.exp(-np.clip(z / total @ self.p["c"] + self.p["d"], -30, 30)))
+
     def gradient(self, x, first, y) -> dict:
         p, starts, counts = self.p, first[:-1], np.diff(first)
         x, h, t, s, a, z, out = self.forward(x, first)
@@ -178,16 +212,22 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:
     """All rows and columns of ``docs`` plus the score, and the name of that column.
 
-    The score reads the text alone, all of it.  Null and empty texts score as a bag
+    The score reads the text alone, all its passages of 64 words; those of a text of over a megabyte
+    are read in stretches.  Null and empty texts score as a bag
     of one empty passage; equal texts score alike; it is rounded to 6 places.
     """
     name = free_name(docs, "score")
     weights = docs.sparkSession.sparkContext.broadcast(model)  # 7,000 numbers
 
+    def scored(buf, offs):
+        if len(offs) == 2 and len(buf) > LONG_BYTES:
+            return weights.value.score_parts(passages(part, np.array([0, len(part)]), None)[0] for part in stretches(buf, LONG_BYTES))
+        return weights.value.score(*passages(buf, offs, None))
+
     def run(batches):
         for b in batches:
             data, offs = text_buffer(b.column(b.schema.get_field_index(text_col)))
-            out = [weights.value.score(*passages(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])) for i, j in pieces(offs)]
+            out = [scored(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]) for i, j in pieces(offs, LONG_BYTES)]
             out = np.round(np.concatenate(out), 6) if out else np.empty(0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], names=[*b.schema.names, name])
 
