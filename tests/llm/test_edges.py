@@ -38,6 +38,22 @@ def test_decontamination_of_empty_tables(spark, edge_docs, empty_docs):
     assert decontam.decontaminate(empty_docs, bench)[0].count() == 0
 
 
+def test_benchmark_parts_are_bounded(spark, tools):
+    rng = np.random.default_rng(6)
+    items = [(1, "one and the same row of twelve words that comes again and again")] * 500
+    items += [(2, " ".join(f"é{x}" for x in rng.integers(0, 400, 1000)))] + [(i, " ".join(f"w{x}" for x in rng.integers(0, 50, 30))) for i in range(3, 40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for most in (60, 400):
+        sizes = [sum(len(r["text"].split()) for r in p.collect()) for p in decontam.benchmark_parts(bench, "item_id", "text", most)]
+        assert max(sizes) <= most and min(sizes) > 0 and sum(sizes) < 4000
+    long = items[500][1].split()
+    docs = [(i, " ".join(["x", *long[i:i + 10], "y"])) for i in range(0, 991)] + [(1000, items[0][1]), (1001, " ".join(long[:9])), (1002, items[501][1])]
+    out, c = decontam.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), bench, part_words=400)
+    got = out.select("doc_id", c["n_words"], decontam.hit_words(c["spans"]), F.size(c["items"]),
+                     F.sha2(F.array_join(F.array_sort(c["items"]), ","), 256), decontam.hit_words(c["spans"]) > 0)
+    tools.equal([tuple(r) for r in got.collect()], brute.decontaminate(docs, items))
+
+
 def test_windows_of_equal_hashes_are_told_apart(monkeypatch):
     rng, few = np.random.default_rng(5), np.uint64(7)  # seven hashes for all windows
     hashes, at = decontam.gram_hashes, decontam.grams_at

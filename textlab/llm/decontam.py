@@ -10,10 +10,12 @@ it, and these are compared word for word, so hash collisions change nothing.
 An item shorter than a window is one window of its own length; its texts are
 found by the gram hash of that length at every position.
 
-The documents are never shuffled.  The benchmark joins them in parts of about
-``PART_WORDS`` words, each of which is broadcast as sorted arrays of some 50
-bytes a word (that bounds a part whatever the benchmark's size); a larger
-benchmark takes more passes, which add to the spans and items of each row.
+The documents are never shuffled.  The benchmark's distinct rows join them in
+parts of at most ``PART_WORDS`` words, each of which is broadcast as sorted
+arrays of some 50 bytes a word (that bounds a part whatever the benchmark's
+size); a longer item is cut into stretches that share ``window - 1`` words, so
+each of its windows is in one.  A larger benchmark takes more passes, which add
+to the spans and items of each row.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, mix, pieces, split_words, text_buffer, word_hashes
+from .common import free_name, mix, pieces, split_words, stage, text_buffer, text_bytes, word_hashes
 
 WINDOW, GRAM = 10, 5  # so 6 grams a window
 PART_WORDS = 1_000_000
@@ -186,13 +188,53 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def item_stretches(part_words: int, window: int = WINDOW):
+    """Cuts texts of over ``part_words`` words into stretches that share ``window - 1`` words; texts without words go."""
+    most = max(part_words, window)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for item, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+                start, end, _ = split_words(np.frombuffer(text, np.uint8), np.array([0, len(text)]), IS_WORD)
+                if len(start) <= most:
+                    out += [(item, text, len(start))] if len(start) else []
+                    continue
+                for i in range(0, len(start) - window + 1, most - window + 1):
+                    last = min(i + most, len(start))
+                    out.append((item, text[start[i]:end[last - 1]], last - i))
+            items, texts, n = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
+                                             names=["item", "text", "n"])
+
+    return run
+
+
 def benchmark_parts(benchmark: DataFrame, id_col: str, text_col: str, part_words: int = PART_WORDS) -> list[DataFrame]:
-    """The benchmark in parts of about ``part_words`` words (by a hash of the id; an item is never cut)."""
+    """The distinct rows of the benchmark, long ones in stretches, in parts of at most ``part_words`` words (a window at least).
+
+    Rows go to buckets by a hash; buckets are halved until each fits, and filled into parts in turn.
+    """
     rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
-                            F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")))).first()[0] or 0
-    n = max(1, -(-int(total) // part_words))
-    return [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) for i in range(n)]
+                            F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()
+    rows = stage(rows.mapInArrow(item_stretches(part_words), "item string, text string, n long").distinct(), "benchmark")
+    most = max(part_words, WINDOW)
+    buckets = max(1, -(-int(rows.agg(F.sum("n")).first()[0] or 0) // most))
+    while True:
+        bucket = F.pmod(F.xxhash64("item", "text"), F.lit(buckets))
+        sums = sorted(tuple(r) for r in rows.groupBy(bucket.alias("bucket")).agg(F.sum("n")).collect())  # a few rows a part
+        if all(n <= most for _, n in sums) or buckets >= 1 << 40:
+            break
+        buckets *= 2
+    parts, left = [[]], most
+    for i, n in sums:
+        if n > left and parts[-1]:
+            parts.append([])
+            left = most
+        parts[-1].append(i)
+        left -= n
+    rows = rows.withColumn("bucket", bucket)
+    return [rows.where(F.col("bucket").isin(ids)).select("item", "text") for ids in parts]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
