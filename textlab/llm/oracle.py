@@ -1,7 +1,7 @@
 """DuckDB twins of the queries that SQL can express.
 
 Without one: the license scan (zstandard), the mix (a seeded draw), the
-classifier (a fit), SimHash (XXH64) and the pipeline; tests hold these against
+classifier (a fit), SimHash (XXH64), byte-pair encoding and the pipeline; tests hold these against
 brute force, exact sums or held-out accuracy.
 """
 
@@ -135,6 +135,53 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
        CAST({len(INST.begin)} + chars AS BIGINT) AS formatted_chars FROM g"""
 
 
+_LEXICAL = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid,
+                  regexp_extract_all({_lower("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+q AS (SELECT item_id, t, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all({_lower("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+c AS (SELECT count(*) AS docs, CAST(sum(len(ws)) AS BIGINT) AS terms FROM d WHERE len(ws) > 0),
+tf AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ws) AS t FROM d) GROUP BY ALL),
+df AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY t, docs),
+m AS (SELECT rid, doc_id, 75 + (25 * len(ws) * docs) // terms AS m FROM d, c WHERE len(ws) > 0),
+s AS (SELECT item_id, rid, any_value(doc_id) AS doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM q JOIN tf USING (t) JOIN df USING (t) JOIN m USING (rid) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20"""
+
+
+def _merkle() -> str:
+    """Levels one by one: five for a source (a million rows), three for the sources; a group of one node stays as it is."""
+    def field(c):
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def level(nodes, up, fold):
+        return f"""{up}n AS (SELECT g, pos // 16 AS pos, any_value(n) AS n, list(digest ORDER BY pos) AS kids FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {nodes}) GROUP BY g, pos // 16),
+{up} AS (SELECT g, pos, CASE WHEN n = 1 THEN kids[1] ELSE sha256(array_to_string(kids, '')) END AS digest FROM {up}n),
+{up}f AS (SELECT f.* REPLACE (f.pos // 16 AS pos,
+               CASE WHEN n = 1 THEN folded ELSE sha256(array_to_string(kids[1:f.pos % 16] || [folded] || kids[f.pos % 16 + 2:], '')) END AS folded,
+               CASE WHEN n = 1 THEN proof ELSE proof || array_to_string(kids[1:f.pos % 16] || kids[f.pos % 16 + 2:], '') END AS proof)
+         FROM {fold} f JOIN {up}n k ON k.g = f.g AND k.pos = f.pos // 16)"""
+
+    plain = [field(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    other = [*plain[:4], field(_lower("text"))]
+    lower_levels = ",\n".join(level(f"a{i}", f"a{i + 1}", f"a{i}f") for i in range(5))
+    upper_levels = ",\n".join(level(f"b{i}", f"b{i + 1}", f"b{i}f") for i in range(3))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS g, sha256({" || ".join(plain)}) AS leaf, sha256({" || ".join(other)}) AS other,
+                  list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS UBIGINT)) AS code FROM documents),
+e AS (SELECT *, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, code), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]),
+             lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END))) AS crc FROM d),
+a0f AS (SELECT rid, doc_id, g, leaf, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+               CASE WHEN crc % 5 = 0 THEN other ELSE leaf END AS folded, '' AS proof FROM e),
+a0 AS (SELECT g, pos, leaf AS digest FROM a0f),
+{lower_levels},
+b0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS pos, g AS of, digest FROM a5),
+b0f AS (SELECT rid, doc_id, '' AS g, leaf, b0.digest AS subroot, b0.pos, folded, proof FROM a5f JOIN b0 ON a5f.g = of),
+{upper_levels}
+SELECT doc_id, leaf, subroot, b3.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = b3.digest AS verified FROM b3f, b3"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": _WARC,
     "op5_decontaminate": _DECONTAM,
@@ -142,4 +189,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_topk": _TOPK,
     "op8_secrets": _secrets(),
     "op10_chat": _chat(),
+    "op11_lexical_search": _LEXICAL,
+    "op13_merkle": _merkle(),
 }
