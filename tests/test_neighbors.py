@@ -1,30 +1,96 @@
 import numpy as np
+import pytest
 
 from textlab.operators import neighbors
 
+SCHEMA = "vec_id long, label int, embedding array<double>"
 
-def test_knn_matches_brute_force_with_blocks(spark):
+
+def table(spark, vectors, first=0):
+    return spark.createDataFrame([(first + i, int(i % 3), None if v is None else [float(x) for x in v]) for i, v in enumerate(vectors)], SCHEMA)
+
+
+def unit(m):
+    n = np.linalg.norm(m, axis=1)
+    return m / np.where(n > 0, n, 1)[:, None]
+
+
+def want(tr, te, k=5, first=1000):
+    sims = unit(te) @ unit(tr).T
+    out = {}
+    for q in range(len(te)):
+        best = np.argsort(-np.round(sims[q], 9), kind="stable")[:k]
+        out[first + q] = [(int(i), int(i % 3), round(float(sims[q, i]), 9)) for i in best]
+    return out
+
+
+def have(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        out.setdefault(r["query_id"], []).append((r["train_id"], r["train_label"], round(r["sim"], 9)))
+        assert len(out[r["query_id"]]) == r["rank"]
+    return out
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_rows": 16}, {"block_rows": 16, "chunk_rows": 4}, {"block_rows": 1000}])
+def test_knn_equals_brute_force(spark, sizes):
     rng = np.random.default_rng(3)
-    tr = rng.standard_normal((60, 8))
-    te = rng.standard_normal((15, 8))
-    train = spark.createDataFrame([(i, int(i % 3), [float(x) for x in v]) for i, v in enumerate(tr)],
-                                  "vec_id long, label int, embedding array<double>")
-    test = spark.createDataFrame([(100 + i, 0, [float(x) for x in v]) for i, v in enumerate(te)],
-                                 "vec_id long, label int, embedding array<double>")
-    got = neighbors.knn(train, test, k=5, block_rows=16).collect()  # forces 4 x 1 blocks
-    sims = (te / np.linalg.norm(te, axis=1)[:, None]) @ (tr / np.linalg.norm(tr, axis=1)[:, None]).T
-    for q in range(15):
-        want = list(np.argsort(-np.round(sims[q], 9), kind="stable")[:5])
-        have = [r["train_id"] for r in sorted((r for r in got if r["query_id"] == 100 + q), key=lambda r: r["rank"])]
-        assert have == want
-
-
-def test_zero_query_vector_gets_smallest_ids(spark):
-    train = spark.createDataFrame([(i, 0, [1.0, float(i)]) for i in range(10, 20)],
-                                  "vec_id long, label int, embedding array<double>")
-    test = spark.createDataFrame([(1, 0, [0.0, 0.0])], "vec_id long, label int, embedding array<double>")
-    got = sorted(neighbors.knn(train, test).collect(), key=lambda r: r["rank"])
-    assert [r["train_id"] for r in got] == [10, 11, 12, 13, 14] and all(r["sim"] == 0.0 for r in got)
+    tr, te = rng.standard_normal((60, 8)), rng.standard_normal((15, 8))
+    tr[7:12] = tr[3]  # copies, so ties
+    tr[20] = tr[33] = tr[41] = te[4] = 0
+    assert have(neighbors.knn(table(spark, tr), table(spark, te, 1000), **sizes)) == want(tr, te)
+
+
+def clusters(rng, n, centres):
+    return centres[rng.integers(0, len(centres), n)] + 0.02 * rng.standard_normal((n, centres.shape[1]))
+
+
+def test_bounds_prune_most_blocks_and_lose_nothing(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((40, 16))
+    tr, te = clusters(rng, 1200, centres), clusters(rng, 50, centres)
+    stats = {}
+    got = neighbors.knn(table(spark, tr), table(spark, te, 10_000), block_rows=20, chunk_rows=10, stats=stats)
+    assert have(got) == want(tr, te, first=10_000)
+    assert stats["blocks"] >= 60 and stats["pruned"] > 0.8 * 50 * stats["blocks"], stats
+
+
+def test_a_block_that_most_queries_visit_is_shared(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    tr = clusters(rng, 200, rng.standard_normal((4, 6)))
+    te = np.repeat(tr[:2], 30, axis=0)
+    monkeypatch.setattr(neighbors, "HOT_VISITS", 8)
+    monkeypatch.setattr(neighbors, "TILE_ROWS", 4)
+    assert have(neighbors.knn(table(spark, tr), table(spark, te, 1000), block_rows=50, chunk_rows=20)) == want(tr, te)
+
+
+def test_train_rows_do_not_move_when_queries_meet_them(spark):
+    rng = np.random.default_rng(7)
+    tr = neighbors.F
+    rows = table(spark, rng.standard_normal((64, 4))).select(tr.col("vec_id").alias("tid"), tr.col("label").alias("tlabel"), tr.col("embedding").alias("tvec"))
+    index = neighbors.BallIndex(rows, 64, 4, 5, 8, 8)
+    try:
+        tiles = spark.createDataFrame([], neighbors.TILES)
+        plan = index.meet(tiles, {})._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") <= 1, plan
+    finally:
+        index.forget()
+
+
+def test_zero_null_and_empty_sides(spark):
+    rng = np.random.default_rng(8)
+    tr = [*rng.standard_normal((20, 3)), None, None]
+    te = [rng.standard_normal(3), None, np.zeros(3)]
+    for sizes in ({}, {"block_rows": 4}):
+        got = have(neighbors.knn(table(spark, tr), table(spark, te, 1000), **sizes))
+        both = want(np.array(tr[:20]), np.array([te[0], te[2]]))
+        assert got == {1000: both[1000], 1002: both[1001]}
+        assert neighbors.knn(table(spark, []), table(spark, te), **sizes).count() == 0
+        assert neighbors.knn(table(spark, tr), table(spark, []), **sizes).count() == 0
+        few = neighbors.knn(table(spark, tr[:2]), table(spark, te[:1], 1000), **sizes)
+        assert have(few) == want(np.array(tr[:2]), np.array(te[:1]))
+        zeros = neighbors.knn(table(spark, np.zeros((8, 3))), table(spark, te[:1], 1000), **sizes)
+        assert have(zeros) == want(np.zeros((8, 3)), np.array(te[:1]))
 
 
 def test_vote_tie_goes_to_smallest_label(spark):

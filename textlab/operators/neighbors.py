@@ -1,34 +1,53 @@
-"""Exact cosine k-nearest neighbours and the neighbour vote.
+"""Exact cosine k-nearest neighbours over a ball index, and the neighbour vote.
 
-Exact cosine k-NN is brute force by nature (every query meets every train
-row), so the work is cut into blocks instead of row pairs:
+A train side of at most ``BLOCK_BYTES`` is broadcast and met by the queries
+where they lie.  A larger one becomes a :class:`BallIndex`:
 
-* train and query rows are hashed into ``T`` and ``Q`` blocks of about
-  ``BLOCK_BYTES`` each (sizes from two counts and the vector width);
-* each (query block, train block) pair is one ``cogroup`` group: query rows
-  are replicated once per train block and train rows once per query block,
-  so a group holds at most two blocks, never a whole side;
-* in a group numpy multiplies tiles of query rows with the train block, finds
-  each row's k-th similarity by partial selection and sorts only the survivors, so only ``k`` candidates per query and train block leave the task;
-* a final ``row_number() <= k`` per query merges at most ``k*T`` candidates.
+* every row goes to the nearest of at most ``CENTRE_BYTES`` of centres (a seeded
+  draw of the rows), and a ball keeps its reach, the widest angle of a member
+  to its centre.  Balls are cut into blocks of ``BLOCK_BYTES``, whose rows are
+  shuffled once, packed into matrices of ``CHUNK_BYTES`` and kept as a table
+  bucketed by block;
+* angles between unit vectors obey the triangle inequality, so no member of a
+  ball is closer to a query than ``cos(angle to the centre - reach)``.  Queries
+  visit balls in the order of that bound, one in the first round, then 4, 16 and
+  so on, and none whose bound is below their k-th similarity so far;
+* in a round only queries move: those that visit a block are packed into tiles
+  of ``TILE_ROWS`` and joined with the block's chunks in place (the bucketed
+  table needs no exchange), one matrix product a pair.  A block that very many
+  queries visit is met by shares of them, with a copy of its chunks each.
 
 Similarities are rounded to 9 places before ranking and ties go to the
 smaller train id, so the result is deterministic and engine independent.
-Zero vectors have similarity 0 to everything.
+Zero vectors have similarity 0 to everything; rows without a vector take no part.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+from .common import stage
+from .linalg import list_column
+
 K_NEIGHBOURS = 5
 BLOCK_BYTES = 16 << 20  # of doubles; about 32,000 rows at 64 dimensions
+CHUNK_BYTES = 1 << 20
+CENTRE_BYTES = 4 << 20
 TILE_ROWS = 256
+HOT_VISITS = 1 << 16
+PLACES = 9
+# Angles from arccos are right to about the root of the double's precision.
+ANGLE_SLACK = 1e-7
+FOUND = "qid long, tid long, tlabel int, sim double"
+CHUNKS = "block int, tids array<long>, tlabels array<int>, tvecs binary"
+TILES = "block int, share int, qids array<long>, least array<double>, qvecs binary"
 
 
 def _unit_rows(m: np.ndarray) -> np.ndarray:
@@ -37,52 +56,259 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
     return m / safe[:, None]
 
 
+def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """The vectors of a batch as unit rows."""
+    lens, flat = list_column(batch, name, np.float64)
+    return _unit_rows(flat.reshape(len(lens), -1)) if len(flat) else np.zeros((len(lens), 0))
+
+
+def _best_of(sims: np.ndarray, tids: np.ndarray, k: int, least: np.ndarray | None = None):
+    """``(row, column, place)`` of each row's k best by (rounded similarity desc, id asc), none below its ``least``."""
+    keyed = np.round(sims, PLACES)
+    kk = min(k, sims.shape[1])
+    bar = np.partition(keyed, sims.shape[1] - kk, axis=1)[:, sims.shape[1] - kk]
+    bar = bar if least is None else np.maximum(bar, least)
+    r, c = np.nonzero(keyed >= bar[:, None])  # ties included
+    order = np.lexsort((tids[c], -keyed[r, c], r))
+    r, c = r[order], c[order]
+    nth = np.arange(len(r)) - np.searchsorted(r, r)
+    return r[nth < kk], c[nth < kk], nth[nth < kk]
+
+
+def _by_broadcast(train: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """All neighbours where the queries lie; the train side's size has been checked."""
+    rows = train.toArrow().combine_chunks()
+    batch = rows.to_batches()[0]
+    side = train.sparkSession.sparkContext.broadcast(
+        (rows["tid"].to_numpy(), rows["tlabel"].to_numpy(zero_copy_only=False) if not rows["tlabel"].null_count else rows["tlabel"].to_pylist(), _matrix(batch, "tvec")))
+
+    def run(batches):
+        tids, labels, tm = side.value
+        for b in batches:
+            qids, qm = b.column(0).to_numpy(), _matrix(b, "qvec")
+            for a in range(0, len(qids), TILE_ROWS):
+                sims = qm[a:a + TILE_ROWS] @ tm.T
+                r, c, nth = _best_of(sims, tids, k)
+                yield pa.RecordBatch.from_arrays([pa.array(qids[r + a]), pa.array((nth + 1).astype(np.int32)), pa.array(tids[c]),
+                                                  pa.array([labels[i] for i in c.tolist()], pa.int32()), pa.array(sims[r, c])],
+                                                 ["query_id", "rank", "train_id", "train_label", "sim"])
+
+    return queries.mapInArrow(run, "query_id long, rank int, train_id long, train_label int, sim double")
+
+
+class BallIndex:
+    """The train side as a bucketed table of packed blocks, with each ball's centre, reach and blocks."""
+
+    def __init__(self, train: DataFrame, n_rows: int, width: int, k: int, block_rows: int | None = None, chunk_rows: int | None = None):
+        spark = self.spark = train.sparkSession
+        self.k, row_bytes = k, 8 * width
+        block_rows = block_rows or max(1, BLOCK_BYTES // row_bytes)
+        chunk_rows = chunk_rows or max(1, min(block_rows, CHUNK_BYTES // row_bytes))
+        n_centres = max(1, min(math.ceil(n_rows / chunk_rows), CENTRE_BYTES // row_bytes))
+        some = train.where(F.exists("tvec", lambda x: x != 0))
+        drawn = some.orderBy(F.xxhash64("tid", F.lit(42)), "tid").limit(n_centres).select("tvec").toArrow().combine_chunks()
+        self.centres = _matrix(drawn.to_batches()[0], "tvec") if drawn.num_rows else np.zeros((0, width))
+        centres = spark.sparkContext.broadcast(self.centres)
+
+        def assign(batches):
+            for b in batches:
+                m, c = _matrix(b, "tvec"), centres.value
+                ball, angle = np.full(len(m), -1, np.int32), np.zeros(len(m))
+                for a in range(0, len(m), TILE_ROWS):
+                    tile = m[a:a + TILE_ROWS]
+                    if len(c):
+                        sims = tile @ c.T
+                        near = sims.argmax(axis=1)
+                        ball[a:a + TILE_ROWS] = np.where(tile.any(axis=1), near, -1)
+                        angle[a:a + TILE_ROWS] = np.arccos(np.clip(sims[np.arange(len(tile)), near], -1, 1))
+                cells = pa.array([row.tobytes() for row in m], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), cells, pa.array(ball), pa.array(angle)], ["tid", "tlabel", "tvec", "ball", "angle"])
+
+        rows = stage(train.mapInArrow(assign, "tid long, tlabel int, tvec binary, ball int, angle double"), "ball_rows")
+        sizes = {r["ball"]: r for r in rows.groupBy("ball").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("reach")).collect()}  # a row a centre
+        of = [sizes.get(b) for b in range(len(self.centres))]
+        self.reach = np.array([s["reach"] if s else 0.0 for s in of])
+        self.blocks = np.array([math.ceil(s["n"] / block_rows) if s else 0 for s in of], np.int64)
+        self.first = np.cumsum(self.blocks) - self.blocks
+        self.n_blocks = int(self.blocks.sum())
+        self.zeros = rows.where("ball < 0").orderBy("tid").limit(k).select("tid", "tlabel").collect() if -1 in sizes else []
+        self.smallest = rows.orderBy("tid").limit(k).select("tid", "tlabel").collect()
+        self.buckets = max(1, min(self.n_blocks, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+        places = spark.createDataFrame([(b, int(self.first[b]), int(n)) for b, n in enumerate(self.blocks) if n], "ball int, first int, parts int")
+        share = F.pmod(F.xxhash64("tid", F.monotonically_increasing_id()), F.col("parts")).cast("int")
+        placed = rows.join(F.broadcast(places), "ball").select((F.col("first") + share).alias("block"), "tid", "tlabel", "tvec")
+
+        def pack(batches):
+            for block, cols in _runs(batches, chunk_rows):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(_one_list(c) for c in cols[:2]), pa.array([b"".join(cols[2].to_pylist())])],
+                                                 ["block", "tids", "tlabels", "tvecs"])
+
+        self.name = f"ball_index_{uuid.uuid4().hex}"
+        packed = placed.repartition(self.buckets, "block").sortWithinPartitions("block").mapInArrow(pack, CHUNKS)
+        packed.write.bucketBy(self.buckets, "block").format("parquet").option("path", scratch_dir(spark, self.name)).saveAsTable(self.name)
+        self.table = spark.table(self.name)
+
+    def forget(self) -> None:
+        """Drops the table's entry; its files, in shared storage, stay for plans that still read them."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def visits(self, queries: DataFrame, lo: int, hi: int) -> DataFrame:
+        """``(block, qid, least, qvec)`` for the balls that are ``lo``-th to ``hi``-th by bound and may hold a neighbour."""
+        index = self.spark.sparkContext.broadcast((self.centres, self.reach, self.blocks, self.first))
+
+        def run(batches):
+            centres, reach, blocks, first = index.value
+            for b in batches:
+                least = b.column(1).fill_null(-2.0).to_numpy(zero_copy_only=False)
+                m = np.frombuffer(b"".join(b.column(2).to_pylist())).reshape(b.num_rows, -1)
+                for a in range(0, len(m), TILE_ROWS):
+                    angle = np.arccos(np.clip(m[a:a + TILE_ROWS] @ centres.T, -1, 1)) - reach - ANGLE_SLACK
+                    bound = np.cos(np.clip(angle, 0, np.pi))
+                    bound[:, blocks == 0] = -3.0
+                    order = np.argsort(-bound, axis=1, kind="stable")[:, lo:hi]
+                    r, c = np.nonzero(np.take_along_axis(bound, order, 1) >= np.maximum(least[a:a + TILE_ROWS], -2.0)[:, None] - 10.0 ** -PLACES)
+                    ball = order[r, c]
+                    n = blocks[ball]
+                    row = np.repeat(r, n) + a
+                    block = np.repeat(first[ball], n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                    at = pa.array(row)
+                    yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), b.column(0).take(at), pa.array(least[row]), b.column(2).take(at)],
+                                                     ["block", "qid", "least", "qvec"])
+
+        return queries.select("qid", "least", "qvec").mapInArrow(run, "block int, qid long, least double, qvec binary")
+
+    def tiles(self, visits: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+        """Visits packed by block, at most ``TILE_ROWS`` in a row; and the number of shares of blocks that very many visit."""
+        visits = stage(visits, "ball_visits")
+        many = visits.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_VISITS)
+        hot = {r["block"]: math.ceil(r["n"] / HOT_VISITS) for r in many.collect()}  # a row for every HOT_VISITS visits at most
+        share = F.lit(0)
+        if hot:
+            parts = self.spark.createDataFrame(list(hot.items()), "block int, parts int")
+            visits = visits.join(F.broadcast(parts), "block", "left")
+            share = F.pmod(F.xxhash64("qid", F.monotonically_increasing_id()), F.coalesce("parts", F.lit(1))).cast("int")
+        visits = visits.withColumn("share", share).withColumn("key", F.col("block").cast("long") * (1 << 31) + F.col("share"))
+
+        def pack(batches):
+            for key, cols in _runs(batches, TILE_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array([key >> 31], pa.int32()), pa.array([key & (1 << 31) - 1], pa.int32()), *(_one_list(c) for c in cols[:2]),
+                                                  pa.array([b"".join(cols[2].to_pylist())])], ["block", "share", "qids", "least", "qvecs"])
+
+        sorted_rows = visits.select("key", "qid", "least", "qvec").repartition(self.buckets, "key").sortWithinPartitions("key")
+        return stage(sorted_rows.mapInArrow(pack, TILES), "ball_tiles"), hot
+
+    def meet(self, tiles: DataFrame, hot: dict[int, int]) -> DataFrame:
+        """``(qid, tid, tlabel, sim)``: each tile's candidates in each chunk of its block."""
+        pairs = [(tiles.where(~F.col("block").isin([*hot])) if hot else tiles).join(self.table.hint("merge"), "block")]
+        if hot:
+            parts = self.spark.createDataFrame([(b, i) for b, n in hot.items() for i in range(n)], "block int, share int")
+            copies = self.table.where(F.col("block").isin([*hot])).join(F.broadcast(parts), "block")
+            pairs.append(tiles.where(F.col("block").isin([*hot])).join(copies, ["block", "share"]))
+        k = self.k
+
+        def run(batches):
+            for b in batches:
+                for row in b.to_pylist():
+                    tids, labels, qids = np.array(row["tids"]), row["tlabels"], np.array(row["qids"])
+                    tm = np.frombuffer(row["tvecs"]).reshape(len(tids), -1)
+                    sims = np.frombuffer(row["qvecs"]).reshape(len(qids), -1) @ tm.T
+                    r, c, _ = _best_of(sims, tids, k, np.round(np.array(row["least"]), PLACES))
+                    yield pa.RecordBatch.from_arrays([pa.array(qids[r]), pa.array(tids[c]), pa.array([labels[i] for i in c.tolist()], pa.int32()), pa.array(sims[r, c])],
+                                                     ["qid", "tid", "tlabel", "sim"])
+
+        found = [p.select("tids", "tlabels", "tvecs", "qids", "least", "qvecs").mapInArrow(run, FOUND) for p in pairs]
+        return found[0].unionByName(found[1]) if hot else found[0]
+
+    def search(self, queries: DataFrame, stats: dict | None = None) -> DataFrame:
+        """``(qid, tid, tlabel, sim)`` of the k best of every query; ``stats`` gets the blocks visited and pruned."""
+        best, rounds = self._candidates(queries.where("not zero"), self.zeros), 0
+        lo, hi, visited = 0, 1, 0
+        while lo < len(self.centres):
+            kth = best.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= self.k, F.min("sim")).alias("least"))
+            tiles, hot = self.tiles(self.visits(queries.where("not zero").join(kth, "qid", "left"), lo, hi))
+            n = tiles.agg(F.sum(F.size("qids"))).first()[0] or 0
+            if n:
+                found = best.unionByName(self.meet(tiles, hot))
+                best = stage(_first(found, self.k), "ball_best")
+            visited, rounds = visited + n, rounds + 1
+            if not n and lo:
+                break
+            lo, hi = hi, 4 * hi
+        if stats is not None:
+            stats.update(visited=visited, rounds=rounds, blocks=self.n_blocks, pruned=queries.where("not zero").count() * self.n_blocks - visited)
+        return best.unionByName(self._candidates(queries.where("zero"), self.smallest))
+
+    def _candidates(self, queries: DataFrame, rows: list) -> DataFrame:
+        """Every query with each of at most k rows that have similarity 0 to it."""
+        cells = [F.struct(F.lit(r["tid"]).cast("long").alias("tid"), F.lit(r["tlabel"]).cast("int").alias("tlabel")) for r in rows]
+        some = queries.select("qid", F.explode(F.array(*cells)).alias("t")) if cells else queries.limit(0).select("qid", F.struct(
+            F.lit(0).cast("long").alias("tid"), F.lit(0).alias("tlabel")).alias("t"))
+        return some.select("qid", "t.tid", "t.tlabel", F.lit(0.0).alias("sim"))
+
+
+def _first(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("qid").orderBy(F.round("sim", PLACES).desc(), F.col("tid").asc())
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
+
+
+def _one_list(column: pa.Array) -> pa.Array:
+    """A column as the single list of a one-row column."""
+    return pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
+
+
+def _runs(batches, most: int):
+    """``(key, columns after it)`` for stretches of at most ``most`` rows with one key, from batches sorted by their first column."""
+    held, key = [], None
+
+    def out():
+        t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        return key, t.columns[1:]
+
+    for b in batches:
+        keys = b.column(0).to_numpy()
+        cuts = np.flatnonzero(np.diff(keys)) + 1
+        for a, z in zip([0, *cuts], [*cuts, len(keys)]):
+            while a < z:
+                if held and (keys[a] != key or sum(h.num_rows for h in held) >= most):
+                    yield out()
+                    held = []
+                key = int(keys[a])
+                take = min(z - a, most - sum(h.num_rows for h in held))
+                held.append(b.slice(a, take))
+                a += take
+    if held:
+        yield out()
+
+
 def knn(train: DataFrame, queries: DataFrame, k: int = K_NEIGHBOURS, block_rows: int | None = None,
         train_id: str = "vec_id", query_id: str = "vec_id", vec_col: str = "embedding",
-        label_col: str = "label") -> DataFrame:
-    """``(query_id, rank, train_id, train_label, sim)`` for the k most cosine-similar train rows."""
-    n_t, n_q = train.count(), queries.count()
-    if block_rows is None:
-        width = train.select(F.max(F.size(vec_col))).first()[0] or 1
-        block_rows = max(1, BLOCK_BYTES // (8 * max(1, width)))
-    T, Q = max(1, math.ceil(n_t / block_rows)), max(1, math.ceil(n_q / block_rows))
-    tr = train.select(F.col(train_id).alias("tid"), F.col(label_col).cast("int").alias("tlabel"),
-                      F.col(vec_col).alias("tvec"))
-    qu = queries.select(F.col(query_id).alias("qid"), F.col(vec_col).alias("qvec"))
-    tr = (tr.withColumn("tb", F.pmod(F.xxhash64("tid"), F.lit(T)).cast("int"))
-          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(Q - 1)))))
-    qu = (qu.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(Q)).cast("int"))
-          .withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(T - 1)))))
-
-    def block_topk(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(t) == 0:
-            return pd.DataFrame({"qid": [], "tid": [], "tlabel": [], "sim": []})
-        qm = _unit_rows(np.stack(q["qvec"].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
-        tm = _unit_rows(np.stack(t["tvec"].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
-        tids = t["tid"].to_numpy()
-        kk = min(k, len(t))
-        rows, cols, best = [], [], []
-        for a in range(0, len(q), TILE_ROWS):
-            sims = qm[a:a + TILE_ROWS] @ tm.T
-            keyed = np.round(sims, 9)
-            kth = np.partition(keyed, len(t) - kk, axis=1)[:, len(t) - kk]
-            r, c = np.nonzero(keyed >= kth[:, None])  # at least kk a row, ties included
-            order = np.lexsort((tids[c], -keyed[r, c], r))  # by (similarity desc, train id asc) within each query row
-            r, c = r[order], c[order]
-            nth = np.arange(len(r)) - np.searchsorted(r, r)
-            r, c = r[nth < kk], c[nth < kk]
-            rows.append(r + a)
-            cols.append(c)
-            best.append(sims[r, c])
-        rows, cols, best = (np.concatenate(x) for x in (rows, cols, best))
-        return pd.DataFrame({"qid": q["qid"].to_numpy()[rows], "tid": tids[cols],
-                             "tlabel": t["tlabel"].to_numpy()[cols], "sim": best})
-
-    cand = (qu.groupBy("qb", "tb").cogroup(tr.groupBy("qb", "tb"))
-            .applyInPandas(block_topk, "qid long, tid long, tlabel int, sim double"))
-    w = Window.partitionBy("qid").orderBy(F.round("sim", 9).desc(), F.col("tid").asc())
-    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("qid").alias("query_id"), "rank", F.col("tid").alias("train_id"),
+        label_col: str = "label", chunk_rows: int | None = None, stats: dict | None = None) -> DataFrame:
+    """``(query_id, rank, train_id, train_label, sim)`` for the k most cosine-similar train rows.
+
+    ``block_rows`` asks for the index whatever the train side's size, with blocks of that many rows.
+    """
+    tr = train.where(F.col(vec_col).isNotNull()).select(F.col(train_id).cast("long").alias("tid"), F.col(label_col).cast("int").alias("tlabel"),
+                                                        F.col(vec_col).cast("array<double>").alias("tvec"))
+    qu = queries.where(F.col(vec_col).isNotNull()).select(F.col(query_id).cast("long").alias("qid"), F.col(vec_col).cast("array<double>").alias("qvec"))
+    n_rows, width = tr.agg(F.count(F.lit(1)), F.max(F.size("tvec"))).first()
+    if not n_rows or block_rows is None and 8 * n_rows * width <= BLOCK_BYTES:
+        if n_rows:
+            return _by_broadcast(tr, qu, k)
+        return qu.limit(0).select(F.col("qid").alias("query_id"), F.lit(0).alias("rank"), F.lit(0).cast("long").alias("train_id"),
+                                  F.lit(0).alias("train_label"), F.lit(0.0).alias("sim"))
+
+    def packed(batches):
+        for b in batches:
+            m = _matrix(b, "qvec")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([row.tobytes() for row in m], pa.binary()), pa.array(~m.any(axis=1))], ["qid", "qvec", "zero"])
+
+    index = BallIndex(tr, n_rows, width, k, block_rows, chunk_rows)
+    try:
+        top = stage(index.search(stage(qu.mapInArrow(packed, "qid long, qvec binary, zero boolean"), "ball_queries"), stats), "neighbours")
+    finally:
+        index.forget()
+    w = Window.partitionBy("qid").orderBy(F.round("sim", PLACES).desc(), F.col("tid").asc())
+    return top.select(F.col("qid").alias("query_id"), F.row_number().over(w).alias("rank"), F.col("tid").alias("train_id"),
                       F.col("tlabel").alias("train_label"), "sim")
 
 

@@ -263,6 +263,13 @@ def knn_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _knn(spark, sf_dir).select("query_id", "rank", "train_id", "train_label", r6("sim").alias("sim"))
 
 
+def knn_index_neighbors(spark: SparkSession, sf_dir: str, block_rows: int = 256) -> DataFrame:
+    """The same neighbours through the ball index, which ``knn`` takes for train sides that are not broadcast."""
+    v = vector_split(spark, sf_dir)
+    found = neighbors.knn(v.where("split = 'train'"), v.where("split = 'test'"), block_rows=block_rows)
+    return found.select("query_id", "rank", "train_id", "train_label", r6("sim").alias("sim"))
+
+
 def _knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = vector_split(spark, sf_dir)
     pred = neighbors.vote(_knn(spark, sf_dir))
@@ -653,6 +660,7 @@ QUERIES = {
     "first_token_pool": first_token_pool,
     "encode_batches": encode_batches,
     "knn_neighbors": knn_neighbors,
+    "knn_index_neighbors": knn_index_neighbors,
     "knn_predict": knn_predict,
     "confusion_matrix": confusion_matrix,
     "metric_bundle": metric_bundle,

@@ -605,6 +605,7 @@ def oracle_sql() -> dict[str, str]:
         "first_token_pool": FIRST_TOKEN_POOL,
         "encode_batches": ENCODE_BATCHES,
         "knn_neighbors": KNN_NEIGHBORS,
+        "knn_index_neighbors": KNN_NEIGHBORS,
         "knn_predict": KNN_PREDICT,
         "confusion_matrix": CONFUSION_MATRIX,
         "metric_bundle": METRIC_BUNDLE,
