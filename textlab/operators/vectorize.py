@@ -25,10 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ngrams, term_counts
+from . import heavy
 
 MAX_FEATURES = 20000
 MIN_DF = 2
 MAX_DF = "0.95"
+# Corpora that the optimizer takes to be larger are summarised before they are counted.
+SUMMARY_BYTES = 64 << 30
 
 
 def _grams(tokens_col: str, n: int):
@@ -87,19 +90,31 @@ def cap_vocabulary(stats: DataFrame, max_features: int = MAX_FEATURES) -> DataFr
 
 
 def fit_vocabulary(train_docs: DataFrame, tokens_col: str = "tokens", n: int = 1, id_col: str = "doc_id",
-                   min_df: int = MIN_DF, max_df: str = MAX_DF, max_features: int = MAX_FEATURES) -> DataFrame:
+                   min_df: int = MIN_DF, max_df: str = MAX_DF, max_features: int = MAX_FEATURES,
+                   capacity: int | None = None) -> DataFrame:
     """Vocabulary ``(term, term_id, tf, df, n_docs, idf)`` fitted on the given (train) documents only.
 
     ``idf = ln((1+n)/(1+df)) + 1`` (smooth idf) with ``n`` the number of train documents,
-    empty ones included.
+    empty ones included.  A corpus of over ``SUMMARY_BYTES`` (or any, with a ``capacity``) is
+    summarised first, see :mod:`textlab.operators.heavy`; the result is the same.
     """
     n_docs = train_docs.select(F.count(F.lit(1))).scalar()
-    stats = term_statistics(train_docs, tokens_col, n, id_col)
-    vocab = cap_vocabulary(prune_terms(stats, n_docs, min_df, max_df), max_features)
+    stats = None
+    if capacity or _plan_bytes(train_docs) > SUMMARY_BYTES:
+        stats = heavy.top_terms(doc_term_counts(train_docs, tokens_col, n, id_col), lambda t: prune_terms(t, n_docs, min_df, max_df),
+                                max_features, min_df, capacity or heavy.CAPACITY)
+    if stats is None:
+        stats = prune_terms(term_statistics(train_docs, tokens_col, n, id_col), n_docs, min_df, max_df)
+    vocab = cap_vocabulary(stats, max_features)
     return (vocab.withColumn("n_docs", n_docs)
             .withColumn("idf", F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)))
 
 
+def _plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size of a table."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _vocab_hits(docs: DataFrame, vocab: DataFrame, tokens_col: str, n: int, id_col: str,
                 keep: tuple = ()) -> DataFrame:
     """``(doc_id, *keep, term_id, idf, tf)`` for the in-vocabulary terms of each document."""

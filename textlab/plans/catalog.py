@@ -36,6 +36,7 @@ LABEL_NAMES = (
     "Politics & Government",
 )
 SAMPLE_PER_CLASS = 50
+SUMMARY_CAPACITY = 200_000
 UNIFORM_SAMPLE = 2000
 
 
@@ -153,6 +154,21 @@ def vocabulary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorize.fit_vocabulary(train, n=1).select("term", "term_id", "tf", "df")
 
 
+def _summarised(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    train = train_part(reused_split_corpus(spark, sf_dir))
+    return vectorize.fit_vocabulary(train, n=n, capacity=SUMMARY_CAPACITY).select("term", "term_id", "tf", "df")
+
+
+def vocabulary_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unigram vocabulary by heavy-hitter summaries, the way large corpora are counted."""
+    return _summarised(spark, sf_dir, 1)
+
+
+def bigram_vocabulary_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bigram vocabulary by heavy-hitter summaries; refused and counted in full where they prove too little."""
+    return _summarised(spark, sf_dir, 2)
+
+
 def bow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram counts of train and test documents over the train vocabulary."""
     split = reused_split_corpus(spark, sf_dir)
@@ -648,6 +664,8 @@ QUERIES = {
     "stratified_split": stratified_split,
     "term_stats": term_stats,
     "vocabulary_topk": vocabulary_topk,
+    "vocabulary_summaries": vocabulary_summaries,
+    "bigram_vocabulary_summaries": bigram_vocabulary_summaries,
     "bow": bow,
     "tfidf_bigrams": tfidf_bigrams,
     "uniform_sample": uniform_sample,

@@ -205,6 +205,7 @@ FROM voc_st s, voc_ntrain t WHERE s.df >= 2 AND s.df <= 0.95 * t.n
 """
 
 VOCABULARY_TOPK = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + "SELECT term, term_id, tf, df FROM voc"
+BIGRAM_VOCABULARY = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 2)) + "SELECT term, term_id, tf, df FROM voc"
 
 BOW = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
 SELECT g.doc_id, g.split, v.term_id, count(*) AS count
@@ -593,6 +594,8 @@ def oracle_sql() -> dict[str, str]:
         "stratified_split": STRATIFIED_SPLIT,
         "term_stats": TERM_STATS,
         "vocabulary_topk": VOCABULARY_TOPK,
+        "vocabulary_summaries": VOCABULARY_TOPK,
+        "bigram_vocabulary_summaries": BIGRAM_VOCABULARY,
         "bow": BOW,
         "tfidf_bigrams": TFIDF_BIGRAMS,
         "uniform_sample": UNIFORM_SAMPLE,
