@@ -68,3 +68,43 @@ def test_svd_accuracy_at_300_components(spark):
     got = reduce.truncated_svd(df, d, k, n)["singular_values"]
     err = np.abs(got / np.linalg.svd(A, compute_uv=False)[:k] - 1)
     assert err[50] < 1e-3 and err[200] < 2e-2 and err.max() < 6e-2, (err[50], err[200], err.max())
+
+
+def test_svd_residuals_bound_every_component(spark):
+    """The returned residual is that of the eigenvector itself, converged or not; a deficient matrix is completed."""
+    rng = np.random.default_rng(9)
+    n, d, k = 300, 400, 60
+    A = np.where(rng.random((n, d)) < 0.05, rng.integers(1, 6, (n, d)), 0).astype(float)
+    rows = [(i, np.flatnonzero(r).tolist(), r[r > 0].tolist()) for i, r in enumerate(A)]
+    df = spark.createDataFrame(rows, "doc_id long, indices array<int>, values array<double>")
+    G = A.T @ A
+    for passes in (2, 4, 20):
+        out = reduce.truncated_svd(df, d, k, n, passes=passes)
+        V, lam = out["components"], out["singular_values"] ** 2
+        assert np.allclose(V.T @ V, np.eye(k), atol=1e-10)
+        assert np.allclose(np.linalg.norm(G @ V - V * lam, axis=0) / lam[0], out["residuals"], atol=1e-9)
+    assert out["residuals"].max() <= reduce.SVD_TOLERANCE and out["passes"] < 20
+    few = spark.createDataFrame(rows[:5], "doc_id long, indices array<int>, values array<double>")
+    out = reduce.truncated_svd(few, d, 12, n)
+    want = np.linalg.svd(A[:5], compute_uv=False)
+    assert np.allclose(out["singular_values"], [*want, *[0.0] * 7], atol=1e-6) and out["components"].shape == (d, 12)
+    assert np.allclose(out["components"].T @ out["components"], np.eye(12), atol=1e-10)
+    parts = reduce.split_norms(df, V, ["doc_id"]).orderBy("doc_id").collect()
+    assert np.allclose([r["explained"] for r in parts], ((A @ V) ** 2).sum(1)) and np.allclose(
+        [r["rest"] for r in parts], ((A - A @ V @ V.T) ** 2).sum(1))
+
+
+def test_untouched_blocks_are_not_emitted(spark):
+    from textlab.operators.linalg import sum_partials
+
+    df = spark.range(8).repartition(8)
+    size = 1 << 16
+
+    def fold(batches):
+        out = np.zeros(size)
+        for b in batches:
+            out[b["id"].to_numpy() * 5000] += 1
+        return out
+
+    got = sum_partials(df, fold, size, ["id"])
+    assert np.flatnonzero(got).tolist() == [i * 5000 for i in range(8)] and got.sum() == 8

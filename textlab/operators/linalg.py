@@ -2,7 +2,7 @@
 
 Each task reads its rows as Arrow record batches (``mapInArrow``: columnar,
 no per-row Python objects), folds them into one fixed-length partial with
-numpy and emits it in blocks.  The blocks are shuffled by their number and
+numpy and emits its blocks that are not all zero.  The blocks are shuffled by their number and
 summed as they stream in (a reducer holds its blocks once), so the driver receives every number
 of the sum once, however many partitions there were, and never input rows.
 """
@@ -42,10 +42,11 @@ def sum_partials(df: DataFrame, fold, size: int, cols: list[str],
         part = fold(src)
         if part is not None:
             part = np.ascontiguousarray(part, dtype=out_dtype)
-            cells = [part[a:a + block].tobytes() for a in range(0, size, block)]
-            for i in range(0, len(cells), 16):
-                yield pa.RecordBatch.from_arrays([pa.array(range(i, i + len(cells[i:i + 16])), pa.int32()),
-                                                  pa.array(cells[i:i + 16], pa.binary())], ["block", "part"])
+            touched = [i for i in range(-(-size // block)) if part[i * block:(i + 1) * block].any()]
+            for a in range(0, len(touched), 16):
+                some = touched[a:a + 16]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()),
+                                                  pa.array([part[i * block:(i + 1) * block].tobytes() for i in some], pa.binary())], ["block", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}

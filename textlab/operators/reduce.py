@@ -93,16 +93,22 @@ def pca_fit_project(train: DataFrame, others: list[DataFrame], k: int, vec_col:
 
 
 # ---------------------------------------------------------------------------
-# Truncated SVD of a sparse matrix (uncentred), randomized subspace iteration
+# Truncated SVD of a sparse matrix (uncentred), block Krylov iteration
 #
 # A is n x d in packed rows (doc_id, indices, values); d <= the vocabulary cap.
-# Each pass computes Z = A^T (A W) for a broadcast d x l block W: every task
-# folds its rows into a dense d x l partial with numpy and the partials are
-# added block by block on the executors.  Only d x l numbers reach the driver
-# (QR there), never rows of A.
+# A pass computes Z = A^T (A W) for a broadcast d x b block W: every task folds
+# its rows into a d x b partial and emits the column ranges that its rows
+# touched; the partials are added range by range on the executors, so d x b
+# numbers reach the driver, never rows of A.  Each pass adds a block to the
+# Krylov basis; G = A^T A restricted to the basis comes from the Z already
+# computed, and so does the exact residual |G v - lambda v| of each component:
+# no pass is spent on checking, and the iteration ends when all have converged.
 
 SVD_OVERSAMPLES = 10
-SVD_POWER_ITERATIONS = 5
+SVD_PASSES = 6
+SVD_BLOCKS_PER_RANK = 3  # a block has about a third of the wanted components
+SVD_TOLERANCE = 1e-7     # of a component's residual, relative to the largest eigenvalue
+SVD_RESIDUAL = 2e-3      # what every component keeps to when the passes end before all have converged
 SVD_SEED = 42
 # Row blocks of the fold: at most this many rows and (unless one row has more) entries.
 _BLOCK_ROWS = 16
@@ -164,21 +170,19 @@ def _gram_pass(packed: DataFrame, W: np.ndarray) -> np.ndarray:
     return Z.reshape(d, l).astype(np.float64)
 
 
-# A task should read at least this fraction of its partial's bytes; fewer, larger
-# tasks below that (the d x l partial per task is the fixed cost of a pass).
-PARTIAL_BYTES_FRACTION = 0.08
+# Few tasks, so that each reads at least this multiple of its partial's bytes: below the number
+# of cores a small fraction is enough (small inputs still fill the cores), above it the partials
+# must stay small next to the input, whose partitions are then merged without a shuffle.
+PARTIAL_RATIO_FEW, PARTIAL_RATIO_MANY = 0.08, 8
 _ENTRY_BYTES = 12  # int index + double value
 
 
 def _size_for_partials(packed: DataFrame, partial_bytes: int) -> DataFrame:
-    """Coalesce (no shuffle) so each task holds about ``PARTIAL_BYTES_FRACTION`` x its partial in entries.
-
-    Every task of a pass emits one dense d x l partial however few rows it
-    read, so small inputs get few tasks; large inputs keep their partitions.
-    """
+    """Coalesce (no shuffle) so that the d x b partials are small next to the entries, see above."""
     nnz = packed.select(F.sum(F.size("indices"))).first()[0] or 0
-    want = max(1, math.ceil(nnz * _ENTRY_BYTES / (PARTIAL_BYTES_FRACTION * partial_bytes)))
     have, cores = packed.rdd.getNumPartitions(), packed.sparkSession.sparkContext.defaultParallelism
+    few, many = (math.ceil(nnz * _ENTRY_BYTES / (r * partial_bytes)) for r in (PARTIAL_RATIO_FEW, PARTIAL_RATIO_MANY))
+    want = max(1, min(few, cores), many)
     if have < min(want, cores):  # small shuffle partitions were merged below the number of cores
         return packed.repartition(min(want, cores))
     return packed.coalesce(want) if want < have else packed
@@ -190,39 +194,54 @@ def _fix_signs(V: np.ndarray) -> np.ndarray:
     return V * signs
 
 
+def _new_directions(W: np.ndarray, Q: np.ndarray | None) -> np.ndarray:
+    """An orthonormal basis of what ``W`` adds to ``Q``; columns that add nothing are left out."""
+    size = np.linalg.norm(W)
+    for _ in range(2 if Q is not None else 0):  # twice is enough
+        W = W - Q @ (Q.T @ W)
+    U, s, _ = np.linalg.svd(W, full_matrices=False)
+    return U[:, s > 1e-10 * max(size, 1e-300)]
+
+
 def truncated_svd(packed: DataFrame, d: int, k: int, n_rows: int, col_stats: tuple | None = None,
-                  oversamples: int = SVD_OVERSAMPLES, power_iterations: int = SVD_POWER_ITERATIONS,
-                  seed: int = SVD_SEED) -> dict:
+                  oversamples: int = SVD_OVERSAMPLES, passes: int = SVD_PASSES, seed: int = SVD_SEED,
+                  tolerance: float = SVD_TOLERANCE) -> dict:
     """Top-k right singular vectors of the sparse n x d matrix (uncentred, like TruncatedSVD).
 
-    Returns ``{"components": d x k, "singular_values": k, "ratios": k}``; the
-    explained-variance ratios use column means/squares ``col_stats = (sum,
-    sum_sq)`` (length-d arrays) and ``n_rows`` (documents, empty ones included).
+    Returns ``{"components": d x k, "singular_values": k, "residuals": k, "passes", "ratios": k}``; a
+    residual is ``|G v - lambda v| / lambda_1`` with G = A^T A.  The explained-variance ratios use
+    column means/squares ``col_stats = (sum, sum_sq)`` (length-d arrays) and ``n_rows`` (documents,
+    empty ones included). .
     """
     k = max(1, min(k, d, n_rows))
-    l = min(d, k + oversamples)
-    packed = _size_for_partials(packed, d * l * 4).persist()
-    rng = np.random.default_rng(seed)
-    W = np.linalg.qr(rng.standard_normal((d, l)))[0]
-    # power iterations only shape the subspace: float32 halves their traffic;
-    # the Rayleigh-Ritz pass that yields values and vectors runs in float64
-    for _ in range(power_iterations):
-        W = np.linalg.qr(_gram_pass(packed, W.astype(np.float32)))[0]
-    Z = _gram_pass(packed, W)
-    G = W.T @ Z
-    G = (G + G.T) / 2
-    lam, S = np.linalg.eigh(G)
-    order = np.argsort(lam)[::-1][:k]
-    lam = np.clip(lam[order], 0.0, None)
-    V = _fix_signs(W @ S[:, order])
-    out = {"components": V, "singular_values": np.sqrt(lam)}
+    b = min(d, max(16, math.ceil((k + oversamples) / SVD_BLOCKS_PER_RANK)))
+    packed = _size_for_partials(packed, d * b * 8).persist()
+    W = _new_directions(np.random.default_rng(seed).standard_normal((d, b)), None)
+    Q, Z, done = W[:, :0], W[:, :0], 0
+    while W.shape[1] and done < max(passes, math.ceil((k + oversamples) / b)):
+        Q, Z, done = np.hstack([Q, W]), np.hstack([Z, _gram_pass(packed, W)]), done + 1
+        T = Q.T @ Z
+        lam, S = np.linalg.eigh((T + T.T) / 2)
+        order = np.argsort(lam)[::-1][:k]
+        lam, S = np.clip(lam[order], 0.0, None), S[:, order]
+        residuals = np.linalg.norm(Z @ S - (Q @ S) * lam, axis=0) / max(lam[0], 1e-300)
+        if len(lam) == k and residuals.max() <= tolerance:
+            break
+        W = _new_directions(Z[:, -W.shape[1]:], Q)
+    packed.unpersist()
+    V = Q @ S
+    if V.shape[1] < k:  # the rows span fewer dimensions: any completion has the value 0
+        rest = _new_directions(np.random.default_rng(seed + 1).standard_normal((d, k - V.shape[1])), V)
+        V, zeros = np.hstack([V, rest]), np.zeros(rest.shape[1])
+        lam, residuals = np.concatenate([lam, zeros]), np.concatenate([residuals, zeros])
+    V = _fix_signs(V)
+    out = {"components": V, "singular_values": np.sqrt(lam), "residuals": residuals, "passes": done}
     if col_stats is not None:
         s1, s2 = (np.asarray(x, dtype=np.float64) for x in col_stats)
         mu = s1 / n_rows
         total = float((s2 / n_rows - mu * mu).sum())
         proj_var = lam / n_rows - (mu @ V) ** 2
         out["ratios"] = proj_var / total if total > 0 else np.zeros_like(proj_var)
-    packed.unpersist()
     return out
 
 
@@ -236,6 +255,36 @@ def column_stats(long_df: DataFrame, d: int, value_col: str) -> tuple[np.ndarray
     return s1, s2
 
 
+def split_norms(packed: DataFrame, components: np.ndarray, id_cols: list[str]) -> DataFrame:
+    """``(*id_cols, explained, rest)``: squared norms of each sparse row's projection and of what it leaves of the row.
+
+    The rest is taken of the row itself, ``|x|^2 - 2 x.(V y) + |V y|^2`` with y = V^T x, so explained + rest is the
+    row's squared norm only if the components are orthonormal.
+    """
+    import pyarrow as pa
+
+    bv = packed.sparkSession.sparkContext.broadcast(np.ascontiguousarray(components, dtype=np.float64))
+
+    def run(batches):
+        V = bv.value
+        inner = V.T @ V
+        for b in batches:
+            lens, idx = list_column(b, "indices", np.int64)
+            _, val = list_column(b, "values", np.float64)
+            explained, rest = np.zeros(b.num_rows), np.zeros(b.num_rows)
+            for r0, r1, o0, o1 in _row_blocks(lens):
+                if o1 > o0:
+                    cols, B = _dense_block(lens, idx, val, r0, r1, o0, o1, np.float64)
+                    Y = B @ V[cols]
+                    explained[r0:r1] = (Y * Y).sum(axis=1)
+                    rest[r0:r1] = (B * B).sum(axis=1) - 2 * explained[r0:r1] + ((Y @ inner) * Y).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in id_cols), pa.array(explained), pa.array(rest)],
+                                             [*id_cols, "explained", "rest"])
+
+    schema = ", ".join(f"{c} {packed.schema[c].dataType.simpleString()}" for c in id_cols) + ", explained double, rest double"
+    return packed.select(*id_cols, "indices", "values").mapInArrow(run, schema)
+
+
 def project_sparse(packed: DataFrame, components: np.ndarray, id_cols: list[str]) -> DataFrame:
     """X V for packed sparse rows -> ``(*id_cols, features array<double>)``; rows without entries -> zeros."""
     import pyarrow as pa

@@ -458,23 +458,61 @@ def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proj.select(F.col("doc_id").alias("vec_id"), "split", F.round(squares, 4).alias("squared_norm"))
 
 
-SVD_CHECK_TERMS = 40
+def _packed_counts(split: DataFrame, vocab: DataFrame, keys: tuple) -> DataFrame:
+    """``(*keys, indices, values)``: counts of the vocabulary's terms, one sparse row for each combination of ``keys``."""
+    counts = vectorize.bag_of_words(split, vocab, n=1, keep=tuple(k for k in keys if k != "doc_id"))
+    sums = counts.groupBy(*keys, "term_id").agg(F.sum("count").cast("double").alias("v"))
+    entries = F.array_sort(F.collect_list(F.struct("term_id", "v")))  # at most a vocabulary's number of terms
+    return sums.groupBy(*keys).agg(entries.alias("e")).select(*keys, F.col("e.term_id").alias("indices"), F.col("e.v").alias("values"))
+
+
+SVD_CHECK_COMPONENTS = 100
 
 
 def svd_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1 checked exactly: at full rank, over the 40 most frequent terms, projecting keeps each row's norm."""
+    """D1 for every document: what the components explain of its squared norm, plus what they leave, is that norm.
+
+    The rest is the norm of the row less its rebuilt projection, so components that are not orthonormal fail.
+    """
     split = reused_split_corpus(spark, sf_dir)
-    vocab = stage(vectorize.fit_vocabulary(train_part(split), n=1, max_features=SVD_CHECK_TERMS), "vocabulary")
+    vocab = stage(vectorize.fit_vocabulary(train_part(split), n=1), "vocabulary")
     d = vocab.count()
-    counts = vectorize.bag_of_words(split, vocab, n=1, keep=("split",))
-    packed = stage(counts.groupBy("doc_id", "split").agg(F.array_sort(F.collect_list(F.struct(
-        "term_id", F.col("count").cast("double").alias("v")))).alias("e")).select(
-        "doc_id", "split", F.col("e.term_id").alias("indices"), F.col("e.v").alias("values")), "packed")
+    packed = split.select("doc_id", "split").join(_packed_counts(split, vocab, ("doc_id",)), "doc_id", "left")
+    packed = stage(packed.select("doc_id", "split", F.coalesce("indices", F.array().cast("array<int>")).alias("indices"),
+                                 F.coalesce("values", F.array().cast("array<double>")).alias("values")), "packed")
     train = train_part(packed)
-    svd = reduce.truncated_svd(train, d, d, max(d, train.count()))
-    proj = reduce.project_sparse(packed, svd["components"], ["doc_id", "split"])
-    squares = F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)
-    return proj.select("doc_id", "split", F.round(squares, 4).alias("squared_norm"))
+    svd = reduce.truncated_svd(train, d, SVD_CHECK_COMPONENTS, train.count())
+    parts = reduce.split_norms(packed, svd["components"], ["doc_id", "split"])
+    return parts.select("doc_id", "split", F.round(F.col("explained") + F.col("rest"), 3).alias("squared_norm"))
+
+
+def svd_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 checked exactly: sums of the eigenvalues and of their squares and cubes, and how many components converged.
+
+    The rows are the word counts of all train documents by (source, lang) over the real vocabulary, so the
+    spectrum is whole and SQL can take the same sums as traces of the Gram matrix and its powers.
+    """
+    split = reused_split_corpus(spark, sf_dir)
+    vocab = stage(vectorize.fit_vocabulary(train_part(split), n=1), "vocabulary")
+    d = vocab.count()
+    groups = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
+    packed = stage(_packed_counts(train_part(split).join(groups, "doc_id"), vocab, ("source", "label")), "packed")
+    k = packed.count()
+    svd = reduce.truncated_svd(packed, d, k, k)
+    lam = svd["singular_values"] ** 2
+    first = float(lam.sum())
+    converged = int((svd["residuals"] <= reduce.SVD_TOLERANCE).sum())
+    rows = [("components", float(k)), ("converged", float(converged)), ("first", round(first, 2)),
+            ("second", round(float((lam ** 2).sum()) / first ** 2, 9)), ("third", round(float((lam ** 3).sum()) / first ** 3, 9))]
+    return spark.createDataFrame(rows, "moment string, value double")
+
+
+def svd_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every component of the unigram counts' SVD is an eigenvector of the Gram matrix to ``SVD_RESIDUAL``."""
+    from .features import feature_info
+
+    info = feature_info(spark, sf_dir, "BOW_SVD")
+    return spark.createDataFrame([(i, bool(r <= reduce.SVD_RESIDUAL)) for i, r in enumerate(info["residuals"], 1)], "component int, converged boolean")
 
 
 def logreg_expected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -696,6 +734,8 @@ QUERIES = {
     "pca_project": pca_project,
     "pca_norms": pca_norms,
     "svd_norms": svd_norms,
+    "svd_moments": svd_moments,
+    "svd_residuals": svd_residuals,
     "logreg_expected_rows": logreg_expected_rows,
     "variance_sweep": variance_sweep,
     "projection_2d": projection_2d,

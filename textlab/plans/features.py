@@ -77,7 +77,7 @@ def _sparse_svd(spark: SparkSession, sf_dir: str, n: int, weighted: bool) -> tup
     cum = np.cumsum(svd["ratios"]).tolist()
     k = reduce.choose_k(cum, max_k)
     feats = reduce.project_sparse(packed, svd["components"][:, :k], ["doc_id", "split", "label"])
-    info = {"max_k": max_k, "k": k, "cumulative": cum}
+    info = {"max_k": max_k, "k": k, "cumulative": cum, "residuals": svd["residuals"].tolist()}
     return feats, info
 
 
@@ -123,8 +123,9 @@ def feature_set(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The staged feature table for ``name`` (computed and written on first use, its variance curve beside it)."""
     def compute():
         df, info = build_feature_set(spark, sf_dir, name)
-        curve = spark.createDataFrame([(int(info["max_k"]), int(info["k"]), [float(c) for c in info["cumulative"]])],
-                                      "max_k int, k int, cumulative array<double>")
+        curve = spark.createDataFrame([(int(info["max_k"]), int(info["k"]), [float(c) for c in info["cumulative"]],
+                                        [float(r) for r in info.get("residuals", [])])],
+                                      "max_k int, k int, cumulative array<double>, residuals array<double>")
         files.reuse_or_compute(spark, stage_path(spark, sf_dir, f"curve_{name}"), lambda: curve)
         return df
 
@@ -132,6 +133,6 @@ def feature_set(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def feature_info(spark: SparkSession, sf_dir: str, name: str) -> dict:
-    """The variance curve staged with the features: ``max_k``, ``k`` and the cumulative ratios (one row)."""
+    """The variance curve staged with the features: ``max_k``, ``k``, the cumulative ratios and the residuals (one row)."""
     feature_set(spark, sf_dir, name)
     return spark.read.parquet(stage_path(spark, sf_dir, f"curve_{name}")).first().asDict()

@@ -470,11 +470,27 @@ PCA_NORMS = with_ctes(V_CTE) + """
 SELECT vec_id, split, round(sum((x - m) * (x - m)), 4) AS squared_norm FROM el JOIN mu USING (dim) GROUP BY vec_id, split
 """
 
-SVD_NORMS = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1, 40)) + """
-SELECT doc_id, split, round(CAST(sum(n * n) AS DOUBLE), 4) AS squared_norm FROM (
-  SELECT g.doc_id, g.split, v.term_id, count(*) AS n
-  FROM (SELECT doc_id, split, unnest(tokens) AS term FROM split) g JOIN voc v ON g.term = v.term GROUP BY ALL)
-GROUP BY doc_id, split
+SVD_NORMS = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
+, c AS (SELECT g.doc_id, v.term_id, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS term FROM split) g JOIN voc v ON g.term = v.term GROUP BY ALL)
+SELECT doc_id, split, coalesce(CAST(q AS DOUBLE), 0.0) AS squared_norm
+FROM split LEFT JOIN (SELECT doc_id, sum(n * n) AS q FROM c GROUP BY doc_id) USING (doc_id)
+"""
+
+SVD_MOMENTS = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
+, c AS (SELECT coalesce(d.source, '') || ':' || g.label AS grp, v.term_id, CAST(count(*) AS DOUBLE) AS n
+        FROM (SELECT doc_id, label, unnest(tokens) AS term FROM split WHERE split = 'train') g
+        JOIN documents d USING (doc_id) JOIN voc v ON g.term = v.term GROUP BY ALL)
+, g AS (SELECT a.grp AS i, b.grp AS j, sum(a.n * b.n) AS x FROM c a JOIN c b USING (term_id) GROUP BY ALL)
+, g2 AS (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM g a JOIN g b ON a.j = b.i GROUP BY ALL)
+, t AS (SELECT (SELECT sum(x) FROM g WHERE i = j) AS a, (SELECT sum(x * x) FROM g) AS b,
+               (SELECT sum(g.x * g2.x) FROM g JOIN g2 ON g.i = g2.j AND g.j = g2.i) AS c, (SELECT CAST(count(DISTINCT i) AS DOUBLE) FROM g) AS k)
+SELECT 'components' AS moment, k AS value FROM t UNION ALL SELECT 'converged', k FROM t UNION ALL SELECT 'first', round(a, 2) FROM t
+UNION ALL SELECT 'second', round(b / (a * a), 9) FROM t UNION ALL SELECT 'third', round(c / (a * a * a), 9) FROM t
+"""
+
+SVD_RESIDUALS = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
+SELECT CAST(unnest(range(1, 1 + least(300, (SELECT count(*) FROM voc), (SELECT count(*) FROM split WHERE split = 'train')))) AS INTEGER) AS component,
+       true AS converged
 """
 
 LOGREG_EXPECTED_ROWS = with_ctes(V_CTE) + "SELECT label, count(*) AS expected_rows FROM tr GROUP BY label"
@@ -624,6 +640,8 @@ def oracle_sql() -> dict[str, str]:
         "results_export_cells": RESULTS_EXPORT_CELLS,
         "pca_norms": PCA_NORMS,
         "svd_norms": SVD_NORMS,
+        "svd_moments": SVD_MOMENTS,
+        "svd_residuals": SVD_RESIDUALS,
         "logreg_expected_rows": LOGREG_EXPECTED_ROWS,
         "metric_matrix_exact": METRIC_MATRIX_EXACT,
         "best_combination_exact": BEST_COMBINATION_EXACT,
