@@ -73,8 +73,8 @@ def test_pool_window_equals_states_then_pool(spark):
     assert got == want and len(got) == 4
 
 
-def test_plan_shapes_pooling_and_mean_one_shuffle(spark):
-    """Word-vector mean and window pooling each shuffle once, by document (no join back to the documents)."""
+def test_plan_shapes_pooling_and_mean(spark):
+    """With a broadcast word table nothing is shuffled; window pooling by a join shuffles once, by document."""
     wv = spark.createDataFrame([("a", [2.0, 2.0]), ("c", [1.0, -1.0])], "word string, vec array<float>")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
         "doc_id", F.split("text", " ").alias("tokens"))
@@ -83,8 +83,58 @@ def test_plan_shapes_pooling_and_mean_one_shuffle(spark):
         return df._jdf.queryExecution().executedPlan().toString()
 
     for df in (embed.mean_word_vectors(docs, wv), embed.pool_window(docs, wv, 2)):
-        p = plan(df)
-        assert p.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(doc_id" in p
+        assert "Exchange" not in plan(df)
+    p = plan(embed.pool_window(docs, wv, 2, limit=0))
+    assert p.count("Exchange hashpartitioning(doc_id") == 1
+
+
+def _random_corpus(spark, n_docs=300, n_words=400, seed=3):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    vecs = rng.standard_normal((n_words, 7)).astype("float32")
+    docs = [[f"w{x}" for x in rng.zipf(1.3, rng.integers(0, 90)) % (n_words + 50)] for _ in range(n_docs)]
+    docs[5], docs[6] = None, ["unknown"] * 4
+    wv = spark.createDataFrame([(f"w{i}", [float(x) for x in v]) for i, v in enumerate(vecs)], "word string, vec array<float>")
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, tokens array<string>").repartition(3)
+    want = [np.mean([vecs[int(w[1:])] for w in d or [] if w[1:].isdigit() and int(w[1:]) < n_words] or [np.zeros(7)], axis=0, dtype=float) for d in docs]
+    return df, wv, want
+
+
+def test_means_are_the_same_broadcast_or_in_blocks(spark, monkeypatch):
+    import numpy as np
+
+    docs, wv, want = _random_corpus(spark)
+    got = {r["doc_id"]: r["vec"] for r in embed.mean_word_vectors(docs, wv).collect()}
+    assert len(got) == 300 and all(np.allclose(got[i], w, atol=1e-9) for i, w in enumerate(want))
+    for block_bytes, run_rows in ((1 << 20, 1 << 15), (2000, 1 << 15), (2000, 7)):  # one block, many blocks, many short runs
+        monkeypatch.setattr(embed, "BLOCK_BYTES", block_bytes)
+        monkeypatch.setattr(embed, "RUN_ROWS", run_rows)
+        rows = embed.mean_word_vectors(docs, wv, limit=0).collect()
+        assert len(rows) == 300 and all(np.allclose(r["vec"], want[r["doc_id"]], atol=1e-9) for r in rows)
+
+
+def test_blocks_move_runs_and_partial_sums_not_occurrences(spark):
+    docs, wv, _ = _random_corpus(spark)
+    plan = embed.mean_word_vectors(docs, wv, limit=0)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(key" in line]
+    assert len(moved) == 1 and plan.count("MapInArrow") == 2
+
+
+def test_encoder_gathers_by_id(spark):
+    import numpy as np
+
+    docs, wv, _ = _random_corpus(spark)
+    docs = docs.unionByName(spark.createDataFrame([(900, ["w1"] * 500), (901, [])], docs.schema))
+    table = embed.broadcast_words(wv)
+    got = {r["doc_id"]: (r["first"], r["mean"]) for r in embed.encode_documents(docs, lambda: embed.WordVectorEncoder(table)).collect()}
+    empty = spark.createDataFrame([], docs.schema)
+    for limit in (None, 0):
+        for r in embed.pool_window(docs.fillna({}).withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>"))), wv, 7, limit=limit).collect():
+            first, mean = got[r["doc_id"]]
+            assert np.allclose(first, r["first"]) and np.allclose(mean, r["mean"])
+        assert embed.pool_window(empty, wv, 7, limit=limit).count() == 0
+    assert embed.broadcast_words(wv, limit=10) is None
 
 
 def test_first_token_features_vary(spark):

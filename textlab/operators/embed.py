@@ -1,23 +1,31 @@
 """E1-E3, A6-A8, J1, J7, S4-derived vectors: dense document vectors.
 
-* Word-vector mean (E3): every token occurrence joins the word-vector table
-  (J1; repeats weigh more), vectors are averaged per document with the JVM
-  ``Summarizer`` (partial aggregation: a document's tokens are combined
-  map-side), and documents without a known word get a zero vector (J7).
+* Word-vector mean (E3) is a sparse-dense product: the counts of a document's
+  words times their vectors (J1; repeats weigh more).  No vector is copied for
+  an occurrence.  A word table of checked size is broadcast and a task multiplies
+  blocks of documents with the rows of the table they touch, without a shuffle.
+  A larger table is cut into packed blocks by a hash of the word; runs
+  ``(document, word, count)`` meet the block of their words, and one partial sum
+  for each document and block is added up by document.  Documents without a
+  known word get a zero vector (J7).
 * Token-state pooling (E2, A7, A8): given token states ``(doc_id, pos,
   mask, vec)`` from any encoder, the first-token vector and the masked mean
   ``sum(mask*vec) / max(sum(mask), 1e-9)``.  Zero states (padding, unknown
   tokens) may be left out of the state table: they add nothing to the sums.
 * Batch encoding (E1): ``mapInPandas`` with a pluggable encoder factory,
-  loaded once per Python worker, applied in batches of 64 texts.
+  loaded once per Python worker, applied in batches of 64 texts.  The default
+  encoder gathers a batch's states from the broadcast word table by id.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +33,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import PAD_TOKEN, SEP_TOKEN, WINDOW_LENGTH, token_window
 from .common import bounded_broadcast, global_row_number
+from .linalg import one_list, runs
+from .reduce import _row_blocks
+from .vectorize import doc_term_counts
 
 ENCODE_BATCH = 64
 MASK_FLOOR = 1e-9
@@ -77,26 +88,126 @@ def vector_width(word_vectors: DataFrame, vec_col: str = "vec"):
     return word_vectors.select(F.max(F.size(vec_col))).scalar()
 
 
+class WordTable:
+    """Words and their vectors as one matrix; its last row, of zeros, is the vector of unknown words."""
+
+    def __init__(self, words: pa.Array, vectors: np.ndarray):
+        self.words, self.width = words, vectors.shape[1]
+        self.matrix = np.vstack([vectors, np.zeros((1, self.width), vectors.dtype)])
+
+    def ids(self, words: pa.Array) -> np.ndarray:
+        """Row of each word, -1 for unknown ones."""
+        return pc.fill_null(pc.index_in(words.cast(self.words.type), value_set=self.words, skip_nulls=True), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def sums(self, lens: np.ndarray, ids: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+        """The sum of the vectors of each run of ``lens`` ids: small blocks of counts times the rows they touch."""
+        out = np.zeros((len(lens), self.width))
+        for r0, r1, o0, o1 in _row_blocks(lens):
+            if o1 > o0:
+                touched, at = np.unique(ids[o0:o1], return_inverse=True)
+                cell = np.repeat(np.arange(r1 - r0), lens[r0:r1]) * len(touched) + at
+                counts = np.bincount(cell, None if weights is None else weights[o0:o1], (r1 - r0) * len(touched))
+                out[r0:r1] = counts.reshape(r1 - r0, -1) @ self.matrix[touched].astype(np.float64)
+        return out
+
+
+def _table_size(word_vectors: DataFrame) -> tuple[int, int, int]:
+    """``(rows, width, bytes a row)`` of a word table."""
+    n, width = word_vectors.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    return n, width or 0, 64 + 4 * (width or 0)
+
+
+def _as_table(words: pa.Array, vecs: pa.Array, width: int) -> WordTable:
+    return WordTable(words, vecs.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(len(words), width))
+
+
+def broadcast_words(word_vectors: DataFrame, limit: int | None = None):
+    """The word table as a broadcast :class:`WordTable`, or None where it is over ``limit`` bytes (counted first)."""
+    n, width, row_bytes = _table_size(word_vectors)
+    if n * row_bytes > (WORD_TABLE_BROADCAST_BYTES if limit is None else limit):
+        return None
+    rows = word_vectors.select("word", F.col("vec").cast("array<float>").alias("vec")).toArrow().combine_chunks()
+    columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rows.columns]
+    return word_vectors.sparkSession.sparkContext.broadcast(_as_table(*columns, width))
+
+
+def _lists(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, pa.Array]:
+    """``(lengths, flat strings)`` of a list column, null lists as empty."""
+    lists = batch.column(at)
+    return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+
+
+def _vectors(m: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.ravel()))
+
+
 def mean_word_vectors(docs: DataFrame, word_vectors: DataFrame, tokens_col: str = "tokens",
-                      id_col: str = "doc_id") -> DataFrame:
+                      id_col: str = "doc_id", limit: int | None = None) -> DataFrame:
     """``(doc_id, vec array<double>)`` = mean of the vectors of known tokens, else zeros.
 
-    Every token occurrence probes the word table (left broadcast join;
-    repeats weigh more).  A sentinel slot at position 0 keeps one row per
-    document, so a single ``groupBy(doc)`` summing vectors and hits
-    (map-side partials, one per document per task) covers documents
-    without a known word too.  No join back to the documents.
+    ``limit`` bounds the bytes of a word table that is broadcast; beyond it the product is cut into blocks.
     """
-    zero = F.array_repeat(F.lit(0.0), vector_width(word_vectors).cast("int"))
-    slots = F.concat(F.array(F.lit(None).cast("string")), F.col(tokens_col))
-    occ = docs.select(id_col, F.posexplode(slots).alias("pos", "word"))
-    hit = _join_words(occ, word_vectors.select("word", "vec"), "left")
-    kept = hit.where(F.col("vec").isNotNull() | (F.col("pos") == 0)).select(
-        id_col, F.col("vec").isNotNull().cast("long").alias("n"),
-        array_to_vector(F.coalesce(F.transform("vec", lambda x: x.cast("double")), zero)).alias("v"))
-    agg = kept.groupBy(id_col).agg(Summarizer.sum(F.col("v")).alias("s"), F.sum("n").alias("n"))
-    return agg.select(id_col, F.when(F.col("n") > 0, F.transform(vector_to_array("s"), lambda x: x / F.col("n")))
-                      .otherwise(zero).alias("vec"))
+    table = broadcast_words(word_vectors, limit)
+    if table is None:
+        return _mean_by_blocks(docs, word_vectors, tokens_col, id_col)
+
+    def run(batches):
+        words = table.value
+        for b in batches:
+            lens, flat = _lists(b, 1)
+            ids = words.ids(flat)
+            known = np.bincount(np.repeat(np.arange(len(lens)), lens), ids >= 0, len(lens))
+            yield pa.RecordBatch.from_arrays([b.column(0), _vectors(words.sums(lens, ids) / np.maximum(known, 1)[:, None])], [id_col, "vec"])
+
+    return docs.select(id_col, tokens_col).mapInArrow(run, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, vec array<double>")
+
+
+BLOCK_BYTES = 16 << 20
+RUN_ROWS = 1 << 15
+
+
+def _mean_by_blocks(docs: DataFrame, word_vectors: DataFrame, tokens_col: str, id_col: str,
+                    block_bytes: int | None = None) -> DataFrame:
+    """The same product with a word table of any size; a word of very many documents fills many packed runs, spread by a salt."""
+    n, width, row_bytes = _table_size(word_vectors)
+    blocks = max(1, math.ceil(n * row_bytes / (block_bytes or BLOCK_BYTES)))
+    block = F.pmod(F.xxhash64("word"), F.lit(blocks)).cast("int")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    packed = word_vectors.select("word", F.col("vec").cast("array<float>").alias("vec")).groupBy(block.alias("block")).agg(
+        F.collect_list(F.struct("word", "vec")).alias("rows"))  # about BLOCK_BYTES
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counts = doc_term_counts(docs, tokens_col, 1, id_col).select(F.col(id_col).alias("id"), F.col("term").alias("word"), "tf")
+    salt = F.pmod(F.xxhash64("id"), F.lit(max(1, math.ceil(parts / blocks)))).cast("int")
+    entries = counts.withColumn("key", block.cast("long") * (1 << 31) + salt).select("key", "id", "word", F.col("tf").cast("double").alias("tf"))
+
+    def pack(batches):
+        for key, cols in runs(batches, RUN_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array([key >> 31], pa.int32()), *map(one_list, cols)], ["block", "ids", "words", "counts"])
+
+    tiles = (entries.repartition(parts, "key").sortWithinPartitions("key", "id")
+             .mapInArrow(pack, f"block int, ids array<{id_type}>, words array<string>, counts array<double>"))
+
+    def multiply(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                ids, words, counts_, rows = (b.column(c)[i].values for c in range(4))
+                table = _as_table(rows.field("word"), rows.field("vec"), width)
+                at = table.ids(words)
+                keep = np.flatnonzero(at >= 0)
+                if not len(keep):
+                    continue
+                kept = ids.take(pa.array(keep))
+                codes = kept.dictionary_encode().indices.to_numpy()
+                first = np.flatnonzero(np.diff(codes, prepend=-1))  # a document's words are next to each other
+                lens, weights = np.diff([*first, len(keep)]), counts_.to_numpy(zero_copy_only=False)[keep]
+                yield pa.RecordBatch.from_arrays([kept.take(pa.array(first)), pa.array(np.add.reduceat(weights, first)), _vectors(table.sums(lens, at[keep], weights))],
+                                                 [id_col, "n", "v"])
+
+    met = tiles.join(packed, "block").select("ids", "words", "counts", "rows")
+    partial = met.mapInArrow(multiply, f"{id_col} {id_type}, n double, v array<double>")
+    none = docs.select(id_col, F.lit(0.0).alias("n"), F.array_repeat(F.lit(0.0), width).alias("v"))
+    sums = partial.unionByName(none).groupBy(id_col).agg(Summarizer.sum(array_to_vector("v")).alias("s"), F.sum("n").alias("n"))
+    return sums.select(id_col, F.transform(vector_to_array("s"), lambda x: x / F.greatest("n", F.lit(1.0))).alias("vec"))
 
 
 def _looked_up(window) -> Column:
@@ -138,8 +249,34 @@ def pool_token_states(states: DataFrame, masks: DataFrame, dim, id_col: str = "d
 
 
 def pool_window(docs: DataFrame, word_vectors: DataFrame, dim, tokens_col: str = "tokens", id_col: str = "doc_id",
-                length: int = WINDOW_LENGTH) -> DataFrame:
-    """E2/A7/A8 for the default static encoder in one aggregation: ``(doc_id, first, mean)``.
+                length: int = WINDOW_LENGTH, limit: int | None = None) -> DataFrame:
+    """E2/A7/A8 for the default static encoder: ``(doc_id, first, mean)``.
+
+    With a word table that can be broadcast (``limit``, counted) both poolings are
+    sums over the window's words, taken where the document lies; else one aggregation.
+    """
+    table = broadcast_words(word_vectors, limit)
+    if table is None:
+        return _pool_by_join(docs, word_vectors, dim, tokens_col, id_col, length)
+
+    def run(batches):
+        words = table.value
+        sep = words.ids(pa.array([SEP_TOKEN]))[0]
+        for b in batches:
+            lens, flat = _lists(b, 1)
+            ids = words.ids(flat)
+            lead = np.where(lens > 0, np.concatenate([ids, [-1]])[np.minimum(np.cumsum(lens) - lens, len(ids))], sep)  # the leading slot's word
+            first = words.matrix[lead].astype(np.float64)
+            total = words.sums(lens, ids) + first + words.matrix[sep]
+            yield pa.RecordBatch.from_arrays([b.column(0), _vectors(first), _vectors(total / (lens + 2)[:, None])], [id_col, "first", "mean"])
+
+    window = docs.select(id_col, F.slice(tokens_col, 1, length - 2).alias("w"))
+    id_type = docs.schema[id_col].dataType.simpleString()
+    return window.mapInArrow(run, f"{id_col} {id_type}, first array<double>, mean array<double>")
+
+
+def _pool_by_join(docs: DataFrame, word_vectors: DataFrame, dim, tokens_col: str, id_col: str, length: int) -> DataFrame:
+    """The same with a word table of any size.
 
     Same result as :func:`window_token_states` + :func:`pool_token_states`,
     with one shuffle instead of three: every slot row carries its
@@ -180,46 +317,24 @@ def long_vectors(df: DataFrame, id_col: str, vec_col: str, value_col: str = "val
 class WordVectorEncoder:
     """Static encoder used when no model weights are available: token state = word vector.
 
-    ``path`` is a parquet table ``(word, vec)`` in shared storage; each Python
-    worker loads it once (like model weights).
+    ``table`` is a broadcast :class:`WordTable`; a batch's states are one gather by word id.
     """
 
-    _cache: dict = {}
-
-    def __init__(self, path: str, length: int = WINDOW_LENGTH):
-        self.path, self.length = path, length
-
-    def _table(self):
-        if self.path not in WordVectorEncoder._cache:
-            import pyarrow.fs as pafs
-            import pyarrow.parquet as pq
-
-            if "://" in self.path or self.path.startswith("file:"):
-                uri = self.path if "://" in self.path else "file://" + self.path[len("file:"):]
-                fs, where = pafs.FileSystem.from_uri(uri)        # hdfs://, s3://, file:// ...
-            else:
-                fs, where = None, self.path
-            t = pq.read_table(where, columns=["word", "vec"], filesystem=fs).to_pandas()
-            vecs = {w: np.asarray(v, dtype=np.float64) for w, v in zip(t["word"], t["vec"])}
-            dim = len(next(iter(vecs.values()))) if vecs else 0
-            WordVectorEncoder._cache[self.path] = (vecs, dim)
-        return WordVectorEncoder._cache[self.path]
+    def __init__(self, table, length: int = WINDOW_LENGTH):
+        self.table, self.length = table, length
 
     def encode(self, token_lists: list) -> tuple[np.ndarray, np.ndarray]:
         """States ``(batch, length, dim)`` and mask ``(batch, length)`` for a batch of token lists."""
-        vecs, dim = self._table()
-        b, L = len(token_lists), self.length
-        states = np.zeros((b, L, dim))
-        mask = np.zeros((b, L))
-        for i, toks in enumerate(token_lists):
-            content = list(toks[: L - 2])
-            window = (content[:1] or [SEP_TOKEN]) + content + [SEP_TOKEN] + [PAD_TOKEN] * (L - 2 - len(content))
-            mask[i, : len(content) + 2] = 1.0
-            for p, w in enumerate(window):
-                v = vecs.get(w)
-                if v is not None:
-                    states[i, p] = v
-        return states, mask
+        words, most = self.table.value, self.length - 2
+        lens = np.array([min(len(t), most) for t in token_lists], np.int64)
+        content = words.ids(pa.array([w for t in token_lists for w in t[:most]], pa.string()))
+        sep, pad = words.ids(pa.array([SEP_TOKEN, PAD_TOKEN]))
+        slot = np.arange(self.length)
+        window = np.full((len(lens), self.length), pad)
+        window[(slot > 0) & (slot <= lens[:, None])] = content
+        window[np.arange(len(lens)), lens + 1] = sep
+        window[:, 0] = window[:, 1]
+        return words.matrix[window].astype(np.float64), (slot < lens[:, None] + 2).astype(np.float64)
 
 
 def encode_documents(docs: DataFrame, encoder_factory: Callable[[], object], tokens_col: str = "tokens",

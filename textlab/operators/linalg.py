@@ -27,6 +27,35 @@ def list_column(batch: pa.RecordBatch, name: str, dtype) -> tuple[np.ndarray, np
     return lens, flat
 
 
+def one_list(column: pa.Array) -> pa.Array:
+    """A column as the single list of a one-row column."""
+    return pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
+
+
+def runs(batches, most: int):
+    """``(key, columns after it)`` for stretches of at most ``most`` rows with one key, from batches sorted by their first column."""
+    held, key = [], None
+
+    def out():
+        t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        return key, t.columns[1:]
+
+    for b in batches:
+        keys = b.column(0).to_numpy()
+        cuts = np.flatnonzero(np.diff(keys)) + 1
+        for a, z in zip([0, *cuts], [*cuts, len(keys)]):
+            while a < z:
+                if held and (keys[a] != key or sum(h.num_rows for h in held) >= most):
+                    yield out()
+                    held = []
+                key = int(keys[a])
+                take = min(z - a, most - sum(h.num_rows for h in held))
+                held.append(b.slice(a, take))
+                a += take
+    if held:
+        yield out()
+
+
 def sum_partials(df: DataFrame, fold, size: int, cols: list[str],
                  dtype=np.float64, arrow: bool = False) -> np.ndarray:
     """``sum over tasks of fold(batches)``.

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from .common import stage
-from .linalg import list_column
+from .linalg import list_column, one_list, runs
 
 K_NEIGHBOURS = 5
 BLOCK_BYTES = 16 << 20  # of doubles; about 32,000 rows at 64 dimensions
@@ -139,8 +139,8 @@ class BallIndex:
         placed = rows.join(F.broadcast(places), "ball").select((F.col("first") + share).alias("block"), "tid", "tlabel", "tvec")
 
         def pack(batches):
-            for block, cols in _runs(batches, chunk_rows):
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(_one_list(c) for c in cols[:2]), pa.array([b"".join(cols[2].to_pylist())])],
+            for block, cols in runs(batches, chunk_rows):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(one_list(c) for c in cols[:2]), pa.array([b"".join(cols[2].to_pylist())])],
                                                  ["block", "tids", "tlabels", "tvecs"])
 
         self.name = f"ball_index_{uuid.uuid4().hex}"
@@ -190,8 +190,8 @@ class BallIndex:
         visits = visits.withColumn("share", share).withColumn("key", F.col("block").cast("long") * (1 << 31) + F.col("share"))
 
         def pack(batches):
-            for key, cols in _runs(batches, TILE_ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array([key >> 31], pa.int32()), pa.array([key & (1 << 31) - 1], pa.int32()), *(_one_list(c) for c in cols[:2]),
+            for key, cols in runs(batches, TILE_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array([key >> 31], pa.int32()), pa.array([key & (1 << 31) - 1], pa.int32()), *(one_list(c) for c in cols[:2]),
                                                   pa.array([b"".join(cols[2].to_pylist())])], ["block", "share", "qids", "least", "qvecs"])
 
         sorted_rows = visits.select("key", "qid", "least", "qvec").repartition(self.buckets, "key").sortWithinPartitions("key")
@@ -251,35 +251,6 @@ def _first(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
 
 
-def _one_list(column: pa.Array) -> pa.Array:
-    """A column as the single list of a one-row column."""
-    return pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
-
-
-def _runs(batches, most: int):
-    """``(key, columns after it)`` for stretches of at most ``most`` rows with one key, from batches sorted by their first column."""
-    held, key = [], None
-
-    def out():
-        t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        return key, t.columns[1:]
-
-    for b in batches:
-        keys = b.column(0).to_numpy()
-        cuts = np.flatnonzero(np.diff(keys)) + 1
-        for a, z in zip([0, *cuts], [*cuts, len(keys)]):
-            while a < z:
-                if held and (keys[a] != key or sum(h.num_rows for h in held) >= most):
-                    yield out()
-                    held = []
-                key = int(keys[a])
-                take = min(z - a, most - sum(h.num_rows for h in held))
-                held.append(b.slice(a, take))
-                a += take
-    if held:
-        yield out()
-
-
 def knn(train: DataFrame, queries: DataFrame, k: int = K_NEIGHBOURS, block_rows: int | None = None,
         train_id: str = "vec_id", query_id: str = "vec_id", vec_col: str = "embedding",
         label_col: str = "label", chunk_rows: int | None = None, stats: dict | None = None) -> DataFrame:

@@ -620,6 +620,7 @@ def oracle_sql() -> dict[str, str]:
         "length_median": LENGTH_MEDIAN,
         "top_words_by_class": TOP_WORDS_BY_CLASS,
         "word_vector_mean": WORD_VECTOR_MEAN,
+        "word_vector_mean_blocks": WORD_VECTOR_MEAN,
         "masked_mean_pool": MASKED_MEAN_POOL,
         "first_token_pool": FIRST_TOKEN_POOL,
         "encode_batches": ENCODE_BATCHES,
