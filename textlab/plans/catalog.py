@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import embed, metrics, models, neighbors, reduce, report, sampling, vectorize
+from ..operators import embed, logreg, metrics, models, neighbors, reduce, report, sampling, vectorize
 from ..operators.common import r6, stage
 from ..session import scratch_dir
 from ..sources import files
@@ -533,6 +533,16 @@ def logreg_expected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where(F.col("expected_rows") > 0)
 
 
+def logreg_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 checked by optimality: the objective's gradient at the fitted weights, for every weight and intercept.
+
+    It is taken by column sums over the train rows, not by the solver; weights that are not the optimum fail.
+    """
+    train = _vector_features(spark, sf_dir).where("split = 'train'")
+    model = logreg.fit(train)
+    return logreg.gradient(train, model).select("label", "dim", (F.round("gradient", 4) + 0.0).alias("gradient"))
+
+
 def variance_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative explained variance on the 20-point grid, from one fit per feature set."""
     from .features import FEATURE_SETS, feature_info
@@ -745,6 +755,7 @@ QUERIES = {
     "svd_moments": svd_moments,
     "svd_residuals": svd_residuals,
     "logreg_expected_rows": logreg_expected_rows,
+    "logreg_gradient": logreg_gradient,
     "variance_sweep": variance_sweep,
     "projection_2d": projection_2d,
     "logreg_predict": _model_query("LogisticRegression"),

@@ -496,6 +496,11 @@ SELECT CAST(unnest(range(1, 1 + least(300, (SELECT count(*) FROM voc), (SELECT c
 LOGREG_EXPECTED_ROWS = with_ctes(V_CTE) + "SELECT label, count(*) AS expected_rows FROM tr GROUP BY label"
 
 
+LOGREG_GRADIENT = with_ctes(V_CTE) + """
+SELECT label, unnest(range(0, 1 + (SELECT max(len(e)) FROM tr)))::INTEGER AS dim, 0.0::DOUBLE AS gradient FROM (SELECT DISTINCT label FROM tr)
+"""
+
+
 def _exact_models_ctes(p: str) -> str:
     """k-NN and nearest-centroid predictions over ``{p}v(vec_id, label, split, e DOUBLE[])``."""
     return f"""{p}tr AS (SELECT * FROM {p}v WHERE split = 'train'
@@ -644,6 +649,7 @@ def oracle_sql() -> dict[str, str]:
         "svd_moments": SVD_MOMENTS,
         "svd_residuals": SVD_RESIDUALS,
         "logreg_expected_rows": LOGREG_EXPECTED_ROWS,
+        "logreg_gradient": LOGREG_GRADIENT,
         "metric_matrix_exact": METRIC_MATRIX_EXACT,
         "best_combination_exact": BEST_COMBINATION_EXACT,
     }
