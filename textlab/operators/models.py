@@ -12,12 +12,13 @@ from __future__ import annotations
 import time
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kmeans
+
 # The reference's model settings.
 LOGREG_MAX_ITER = 1000
 SVM_MAX_ITER = 2000
@@ -32,6 +33,7 @@ SEED = 42
 # reduced train set (n x <=300 doubles) is not spread over more tasks than its
 # size warrants, while large train sets keep their parallelism.
 FIT_PARTITION_BYTES = 32 << 20
+KMEANS_PARTITION_BYTES = 4 << 20  # a pass multiplies with the centres of all restarts
 
 
 def _vectors(df: DataFrame, features: str = "features") -> DataFrame:
@@ -86,35 +88,17 @@ def train_and_predict(kind: str, train: DataFrame, test: DataFrame, features: st
 
 
 def kmeans_best(train: DataFrame, k: int, features: str = "features", restarts: int = KMEANS_RESTARTS,
-                seed: int = SEED):
-    """M4: k-means|| for ``restarts`` seeds on a persisted set; keep the lowest cost.  Returns (model, seconds).
-
-    Restarts are independent fits.  When the train set has fewer partitions
-    than the cluster has cores, several restarts run at once (driver
-    threads submitting jobs) to fill the idle cores; a large train set
-    runs them one after another.  Ties keep the earliest seed.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
+                seed: int = SEED) -> tuple[dict, float]:
+    """M4: the lowest cost of ``restarts`` fits that advance together; returns (model, seconds of the fit)."""
     n = train.count()
     width = len(train.select(features).first()[0])
-    tr = compact_for_fit(_vectors(train, features).select("_fv"), n, 8 * (width + 1)).persist()
+    tr = compact_for_fit(train.select(features), n, 8 * (width + 1), KMEANS_PARTITION_BYTES).persist()
     tr.count()
-    cores = tr.sparkSession.sparkContext.defaultParallelism
-    concurrent = max(1, min(restarts, cores // max(1, tr.rdd.getNumPartitions())))
-
-    def fit(s):
-        return KMeans(featuresCol="_fv", k=k, seed=s, maxIter=KMEANS_MAX_ITER, tol=KMEANS_TOL,
-                      initMode="k-means||").fit(tr)
-
     t0 = time.time()
-    with ThreadPoolExecutor(max_workers=concurrent) as pool:
-        fitted = list(pool.map(fit, range(seed, seed + restarts)))
-    best = None
-    for m in fitted:
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best, time.time() - t0
+    model = kmeans.fit(tr, k, restarts, seed, KMEANS_MAX_ITER, KMEANS_TOL, features)
+    seconds = time.time() - t0
+    tr.unpersist()
+    return model, seconds
 
 
 def centroid_literal(centers: list) -> Column:

@@ -8,11 +8,12 @@ the matching SQL in :mod:`textlab.plans.oracle`.
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import embed, logreg, metrics, models, neighbors, reduce, report, sampling, vectorize
+from ..operators import embed, kmeans, logreg, metrics, models, neighbors, reduce, report, sampling, vectorize
 from ..operators.common import r6, stage
 from ..session import scratch_dir
 from ..sources import files
@@ -543,6 +544,24 @@ def logreg_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logreg.gradient(train, model).select("label", "dim", (F.round("gradient", 4) + 0.0).alias("gradient"))
 
 
+def kmeans_fixed_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 checked by optimality: each centre is the mean of the rows nearest to it; in cluster -1's row, the kept
+    cost is the sum of squared distances to the nearest centres and the least of all restarts."""
+    train = _vector_features(spark, sf_dir).where("split = 'train'")
+    k = train.select("label").distinct().count()
+    model = kmeans.fit(train, k, tolerance=0.0)
+    centres = models.centroid_literal(model["centres"])
+    squares = lambda x, c: F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, v: a + v)
+    near = train.select("features", models.nearest_centroid(F.col("features"), centres).alias("cluster"))
+    near = stage(near.withColumn("d2", squares("features", F.get(centres, F.col("cluster")))), "nearest")
+    means = near.groupBy("cluster").agg(vector_to_array(Summarizer.mean(array_to_vector("features"))).alias("mean"))
+    moved = squares("mean", F.get(centres, F.col("cluster")))
+    cells = means.select("cluster", (moved < 1e-12).alias("holds"))
+    cost = near.agg(F.sum("d2").alias("cost")).select(F.lit(-1).alias("cluster"), (
+        (F.abs(F.col("cost") - model["cost"]) < 1e-9 * F.col("cost")) & F.lit(model["cost"] == min(model["costs"]))).alias("holds"))
+    return cells.unionByName(cost)
+
+
 def variance_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative explained variance on the 20-point grid, from one fit per feature set."""
     from .features import FEATURE_SETS, feature_info
@@ -756,6 +775,7 @@ QUERIES = {
     "svd_residuals": svd_residuals,
     "logreg_expected_rows": logreg_expected_rows,
     "logreg_gradient": logreg_gradient,
+    "kmeans_fixed_point": kmeans_fixed_point,
     "variance_sweep": variance_sweep,
     "projection_2d": projection_2d,
     "logreg_predict": _model_query("LogisticRegression"),

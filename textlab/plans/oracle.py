@@ -501,6 +501,11 @@ SELECT label, unnest(range(0, 1 + (SELECT max(len(e)) FROM tr)))::INTEGER AS dim
 """
 
 
+KMEANS_FIXED_POINT = with_ctes(V_CTE) + """
+SELECT CAST(unnest(range(-1, (SELECT count(DISTINCT label) FROM tr))) AS INTEGER) AS cluster, true AS holds
+"""
+
+
 def _exact_models_ctes(p: str) -> str:
     """k-NN and nearest-centroid predictions over ``{p}v(vec_id, label, split, e DOUBLE[])``."""
     return f"""{p}tr AS (SELECT * FROM {p}v WHERE split = 'train'
@@ -650,6 +655,7 @@ def oracle_sql() -> dict[str, str]:
         "svd_residuals": SVD_RESIDUALS,
         "logreg_expected_rows": LOGREG_EXPECTED_ROWS,
         "logreg_gradient": LOGREG_GRADIENT,
+        "kmeans_fixed_point": KMEANS_FIXED_POINT,
         "metric_matrix_exact": METRIC_MATRIX_EXACT,
         "best_combination_exact": BEST_COMBINATION_EXACT,
     }
