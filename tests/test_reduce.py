@@ -108,3 +108,16 @@ def test_untouched_blocks_are_not_emitted(spark):
 
     got = sum_partials(df, fold, size, ["id"])
     assert np.flatnonzero(got).tolist() == [i * 5000 for i in range(8)] and got.sum() == 8
+
+
+def test_qr_tree_keeps_small_components(spark):
+    """Variances of 1e-14 of the largest survive the tree, and its depth changes nothing."""
+    rng = np.random.default_rng(4)
+    X = rng.standard_normal((500, 5)) @ np.diag([1e3, 10.0, 1.0, 1e-2, 1e-4])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "doc_id long, features array<double>")
+    want = np.linalg.svd(X - X.mean(0), compute_uv=False) ** 2 / 499
+    for parts in (1, 4, 40):  # 40 partitions take two levels
+        model = reduce.pca_fit(df.repartition(parts))
+        assert np.allclose(model["variances"], want, rtol=1e-6) and model["components"].shape == (5, 5)
+    few = reduce.pca_fit(df.limit(3))
+    assert few["variances"].shape == (3,) and few["variances"][2] < 1e-6

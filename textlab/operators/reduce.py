@@ -13,8 +13,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.feature import PCA, StandardScaler
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -65,31 +64,93 @@ def axis_variance_ratios(df: DataFrame, vec_col: str = "embedding", threshold: f
 
 
 # ---------------------------------------------------------------------------
-# PCA with a centred projection
+# PCA with a centred projection, by a tall-skinny QR tree
+#
+# A task folds its centred rows into a triangular factor of at most d rows, block by
+# block; factors are stacked and factored again, QR_FAN at a time, until one is left.
+# No d x d product of the rows is formed, so small components keep their digits.
+
+QR_FAN = 16
+QR_BLOCK_ROWS = 1024
+
+
+def _triangle(rows: np.ndarray) -> np.ndarray:
+    return np.linalg.qr(rows, mode="r") if len(rows) else rows
+
+
+def _factors(d: int):
+    """Stacks and factors packed triangles that arrive in one task."""
+    def run(batches):
+        held = np.zeros((0, d))
+        for b in batches:
+            for cell in b.column(0):
+                held = _triangle(np.vstack([held, np.frombuffer(cell.as_buffer()).reshape(-1, d)]))
+        if len(held):
+            yield pa.RecordBatch.from_arrays([pa.array([held.tobytes()], pa.binary()), pa.array([0])], ["r", "n"])
+
+    return run
+
+
+def tall_skinny_qr(rows: DataFrame, mean: np.ndarray, vec_col: str = "features") -> np.ndarray:
+    """The triangular factor (at most d x d) of the rows less ``mean``; the driver gets it alone."""
+    d = len(mean)
+
+    def leaf(batches):
+        held = np.zeros((0, d))
+        for b in batches:
+            _, flat = list_column(b, vec_col, np.float64)
+            X = flat.reshape(-1, d)
+            for a in range(0, len(X), QR_BLOCK_ROWS):
+                held = _triangle(np.vstack([held, X[a:a + QR_BLOCK_ROWS] - mean]))
+        if len(held):
+            yield pa.RecordBatch.from_arrays([pa.array([held.tobytes()], pa.binary()), pa.array([0])], ["r", "n"])
+
+    schema, n = "r binary, n long", rows.rdd.getNumPartitions()
+    tree = rows.select(vec_col).mapInArrow(leaf, schema)
+    while n > QR_FAN:  # each task of the next level takes QR_FAN factors
+        n = math.ceil(n / QR_FAN)
+        tree = tree.repartition(n).mapInArrow(_factors(d), schema)
+    held = tree.repartition(1).mapInArrow(_factors(d), schema).first()
+    return np.frombuffer(held["r"]).reshape(-1, d) if held else np.zeros((0, d))
+
+
+def pca_fit(train: DataFrame, vec_col: str = "features") -> dict:
+    """``{"mean", "components" d x m, "variances" m, "n"}`` of all components, largest first, signs fixed."""
+    n, mean = train.agg(F.count(F.lit(1)), Summarizer.mean(array_to_vector(vec_col))).first()
+    mean = np.asarray(mean.toArray())
+    _, sing, Vt = np.linalg.svd(tall_skinny_qr(train, mean, vec_col), full_matrices=False)
+    return {"mean": mean, "components": _fix_signs(Vt.T), "variances": sing ** 2 / max(n - 1, 1), "n": n}
+
+
+def pca_project(df: DataFrame, model: dict, k: int, vec_col: str = "features") -> DataFrame:
+    """``df`` with the centred projection on the first k components in place of its vectors."""
+    sent = df.sparkSession.sparkContext.broadcast((model["mean"], np.ascontiguousarray(model["components"][:, :k])))
+    schema = df.withColumn(vec_col, F.array().cast("array<double>")).schema
+    names = df.columns
+
+    def run(batches):
+        mean, V = sent.value
+        for b in batches:
+            _, flat = list_column(b, vec_col, np.float64)
+            Y = (flat.reshape(b.num_rows, -1) - mean) @ V if b.num_rows else np.zeros((0, V.shape[1]))
+            cells = pa.ListArray.from_arrays(pa.array(np.arange(len(Y) + 1, dtype=np.int32) * V.shape[1]), pa.array(Y.ravel()))
+            yield pa.RecordBatch.from_arrays([cells if c == vec_col else b.column(i) for i, c in enumerate(names)], names)
+
+    return df.mapInArrow(run, schema)
+
 
 def pca_fit_project(train: DataFrame, others: list[DataFrame], k: int, vec_col: str = "features",
                     id_col: str = "doc_id"):
     """Fit centred PCA on ``train`` only; project train and each frame in ``others``.
 
     Returns ``(projected_train, [projected...], ratios list)``; projections
-    have ``features array<double>`` of width k.  Components get a fixed sign:
-    the largest-magnitude loading of each is positive.
+    have ``features array<double>`` of width k (fewer where the train rows are
+    fewer).  Components get a fixed sign: the largest-magnitude loading of each is positive.
     """
-    tv = train.withColumn("_v", array_to_vector(vec_col))
-    scaler = StandardScaler(inputCol="_v", outputCol="_c", withMean=True, withStd=False).fit(tv)
-    model = PCA(k=k, inputCol="_c", outputCol="_p").fit(scaler.transform(tv))
-    pc = model.pc.toArray()
-    signs = np.sign(pc[np.abs(pc).argmax(axis=0), np.arange(pc.shape[1])])
-    signs[signs == 0] = 1.0
-    ratios = [float(x) for x in model.explainedVariance.toArray()]
-
-    def project(df: DataFrame) -> DataFrame:
-        p = model.transform(scaler.transform(df.withColumn("_v", array_to_vector(vec_col))))
-        arr = vector_to_array("_p")
-        sgn = F.array(*[F.lit(float(s)) for s in signs])
-        return p.withColumn(vec_col, F.zip_with(arr, sgn, lambda a, b: a * b)).drop("_v", "_c", "_p")
-
-    return project(train), [project(o) for o in others], ratios
+    model = pca_fit(train, vec_col)
+    total = float(model["variances"].sum())
+    ratios = [float(v) / total if total > 0 else 0.0 for v in model["variances"][:k]]
+    return pca_project(train, model, k, vec_col), [pca_project(o, model, k, vec_col) for o in others], ratios
 
 
 # ---------------------------------------------------------------------------
@@ -261,8 +322,6 @@ def split_norms(packed: DataFrame, components: np.ndarray, id_cols: list[str]) -
     The rest is taken of the row itself, ``|x|^2 - 2 x.(V y) + |V y|^2`` with y = V^T x, so explained + rest is the
     row's squared norm only if the components are orthonormal.
     """
-    import pyarrow as pa
-
     bv = packed.sparkSession.sparkContext.broadcast(np.ascontiguousarray(components, dtype=np.float64))
 
     def run(batches):
@@ -287,8 +346,6 @@ def split_norms(packed: DataFrame, components: np.ndarray, id_cols: list[str]) -
 
 def project_sparse(packed: DataFrame, components: np.ndarray, id_cols: list[str]) -> DataFrame:
     """X V for packed sparse rows -> ``(*id_cols, features array<double>)``; rows without entries -> zeros."""
-    import pyarrow as pa
-
     spark = packed.sparkSession
     bv = spark.sparkContext.broadcast(np.ascontiguousarray(components, dtype=np.float64))
     k = components.shape[1]

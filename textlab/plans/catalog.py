@@ -7,6 +7,7 @@ the matching SQL in :mod:`textlab.plans.oracle`.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -466,6 +467,23 @@ def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proj.select(F.col("doc_id").alias("vec_id"), "split", F.round(squares, 4).alias("squared_norm"))
 
 
+def pca_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 checked exactly: sums of the eigenvalues, their squares and cubes; at the chosen k, the projection's
+    covariance has nothing off its diagonal and the eigenvalues on it."""
+    f = _vector_features(spark, sf_dir).where("split = 'train'")
+    model = reduce.pca_fit(f)
+    lam = model["variances"]
+    total = float(lam.sum())
+    k = reduce.choose_k((np.cumsum(lam) / total).tolist(), min(reduce.MAX_DENSE_COMPONENTS, len(lam)))
+    sums = reduce.pca_project(f, model, k).select(F.posexplode("features").alias("i", "x"), "features").select("i", "x", F.posexplode("features").alias("j", "y"))
+    cells = sums.groupBy("i", "j").agg((F.sum(F.col("x") * F.col("y")) / (model["n"] - 1)).alias("c")).collect()  # k x k
+    off = max((abs(r["c"]) for r in cells if r["i"] != r["j"]), default=0.0) / total
+    on = max(abs(r["c"] - lam[r["i"]]) for r in cells if r["i"] == r["j"]) / total
+    rows = [("first", round(total, 6)), ("second", round(float((lam ** 2).sum()) / total ** 2, 9)), ("third", round(float((lam ** 3).sum()) / total ** 3, 9)),
+            ("off_diagonal", round(off, 9)), ("on_diagonal", round(on, 9))]
+    return spark.createDataFrame([(m, float(v)) for m, v in rows], "moment string, value double")
+
+
 def _packed_counts(split: DataFrame, vocab: DataFrame, keys: tuple) -> DataFrame:
     """``(*keys, indices, values)``: counts of the vocabulary's terms, one sparse row for each combination of ``keys``."""
     counts = vectorize.bag_of_words(split, vocab, n=1, keep=tuple(k for k in keys if k != "doc_id"))
@@ -512,7 +530,7 @@ def svd_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     converged = int((svd["residuals"] <= reduce.SVD_TOLERANCE).sum())
     rows = [("components", float(k)), ("converged", float(converged)), ("first", round(first, 2)),
             ("second", round(float((lam ** 2).sum()) / first ** 2, 9)), ("third", round(float((lam ** 3).sum()) / first ** 3, 9))]
-    return spark.createDataFrame(rows, "moment string, value double")
+    return spark.createDataFrame([(m, float(v)) for m, v in rows], "moment string, value double")
 
 
 def svd_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -770,6 +788,7 @@ QUERIES = {
     "svd_project": svd_project,
     "pca_project": pca_project,
     "pca_norms": pca_norms,
+    "pca_moments": pca_moments,
     "svd_norms": svd_norms,
     "svd_moments": svd_moments,
     "svd_residuals": svd_residuals,

@@ -470,6 +470,17 @@ PCA_NORMS = with_ctes(V_CTE) + """
 SELECT vec_id, split, round(sum((x - m) * (x - m)), 4) AS squared_norm FROM el JOIN mu USING (dim) GROUP BY vec_id, split
 """
 
+PCA_MOMENTS = with_ctes(V_CTE) + """
+, el AS (SELECT vec_id, generate_subscripts(e, 1) AS dim, unnest(e) AS x FROM tr)
+, mu AS (SELECT dim, avg(x) AS m FROM el GROUP BY dim)
+, ce AS (SELECT vec_id, dim, x - m AS x FROM el JOIN mu USING (dim))
+, c AS (SELECT a.dim AS i, b.dim AS j, sum(a.x * b.x) / ((SELECT count(*) FROM tr) - 1) AS x FROM ce a JOIN ce b USING (vec_id) GROUP BY ALL)
+, c2 AS (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM c a JOIN c b ON a.j = b.i GROUP BY ALL)
+, t AS (SELECT (SELECT sum(x) FROM c WHERE i = j) AS a, (SELECT sum(x * x) FROM c) AS b, (SELECT sum(c.x * c2.x) FROM c JOIN c2 ON c.i = c2.j AND c.j = c2.i) AS d)
+SELECT 'first' AS moment, round(a, 6) AS value FROM t UNION ALL SELECT 'second', round(b / (a * a), 9) FROM t UNION ALL SELECT 'third', round(d / (a * a * a), 9) FROM t
+UNION ALL SELECT 'off_diagonal', 0.0::DOUBLE UNION ALL SELECT 'on_diagonal', 0.0::DOUBLE
+"""
+
 SVD_NORMS = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
 , c AS (SELECT g.doc_id, v.term_id, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS term FROM split) g JOIN voc v ON g.term = v.term GROUP BY ALL)
 SELECT doc_id, split, coalesce(CAST(q AS DOUBLE), 0.0) AS squared_norm
@@ -650,6 +661,7 @@ def oracle_sql() -> dict[str, str]:
         "results_export": RESULTS_EXPORT,
         "results_export_cells": RESULTS_EXPORT_CELLS,
         "pca_norms": PCA_NORMS,
+        "pca_moments": PCA_MOMENTS,
         "svd_norms": SVD_NORMS,
         "svd_moments": SVD_MOMENTS,
         "svd_residuals": SVD_RESIDUALS,
