@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.common import global_row_number
 from .common import free_name, read, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -88,33 +89,51 @@ DRAWS = "array<struct<epoch:int,shard:int>>"
 
 
 def border_cut(group: pd.DataFrame) -> pd.DataFrame:
-    """Which documents of a source's border block are taken: a row with the key up to which all are, and a row for each key after it.
+    """Which documents of a source's border block are taken: a row with the key up to which all are, and a row for each
+    key after it of which any are, with the number of its copies that are taken.
 
-    In key order every document that still fits is taken.  If a gap is left, the shortest of the
-    others goes in too and documents from the end go out for it, where the sum comes nearer to the target so.
+    In key order every document that still fits is taken, copies of a row one by one.  If a gap is left, the shortest
+    of the others goes in too and documents from the end go out for it, where the sum comes nearer to the target so.
     """
     rows = group.sort_values("key")
-    left, sizes, keys = float(rows["words"].iloc[0]), rows["size"].to_numpy(), rows["key"].to_numpy()
-    taken = np.cumsum(sizes) <= left
-    left -= int(sizes[taken].sum())
-    for i in np.flatnonzero(~taken & (sizes > 0) & (sizes <= left)):
+    left, sizes, many, keys = float(rows["words"].iloc[0]), rows["size"].to_numpy(), rows["n"].to_numpy(), rows["key"].to_numpy()
+    taken = np.where(np.cumsum(sizes * many) <= left, many, 0)
+    left -= int((sizes * taken).sum())
+    for i in np.flatnonzero((taken == 0) & (sizes > 0) & (sizes <= left)):
         if sizes[i] <= left:
-            taken[i] = True
-            left -= int(sizes[i])
-    over = np.flatnonzero(~taken & (sizes > 0))
+            taken[i] = min(many[i], int(left // sizes[i]))
+            left -= int(sizes[i] * taken[i])
+    over = np.flatnonzero((taken < many) & (sizes > 0))
     if len(over) and left > 0:
         best = over[np.argmin(sizes[over])]
-        excess, out = float(sizes[best] - left), []
-        for i in np.flatnonzero(taken & (sizes > 0) & (sizes <= excess))[::-1]:
+        excess, out = float(sizes[best] - left), {}
+        for i in np.flatnonzero((taken > 0) & (sizes > 0) & (sizes <= excess))[::-1]:
             if sizes[i] <= excess:
-                out.append(i)
-                excess -= int(sizes[i])
+                out[i] = min(int(taken[i]), int(excess // sizes[i]))
+                excess -= int(sizes[i] * out[i])
         if excess < left:
-            taken[best], taken[out] = True, False
-    n = len(taken) if taken.all() else int(np.argmin(taken))
-    extras = keys[n:][taken[n:]].tolist()
-    return pd.DataFrame({"i": [rows["i"].iloc[0]] * (1 + len(extras)), "upto": pd.array([int(keys[n - 1]) if n else None] + [None] * len(extras), "Int64"),
-                         "key": pd.array([None, *extras], "Int64")})
+            taken[best] += 1
+            for i, n in out.items():
+                taken[i] -= n
+    full = taken == many
+    n = len(full) if full.all() else int(np.argmin(full))
+    later = n + np.flatnonzero(taken[n:] > 0)
+    return pd.DataFrame({"i": [rows["i"].iloc[0]] * (1 + len(later)), "upto": pd.array([int(keys[n - 1]) if n else None] + [None] * len(later), "Int64"),
+                         "key": pd.array([None, *keys[later].tolist()], "Int64"), "copies": pd.array([None, *taken[later].tolist()], "Int64"),
+                         "whole": [True, *full[later].tolist()]})
+
+
+def _some_copies(rows: DataFrame) -> DataFrame:
+    """Rows of keys that are taken in part, with ``extra`` on as many of each key as ``copies`` says.
+
+    They are numbered by a global sort, so that copies of one row, were they a third of all, are spread;
+    written first, so that their order is the same for a task that is run again.
+    """
+    at, rows = free_name(rows, "place"), stage(rows, "mix_copies")
+    numbered = global_row_number(rows.withColumn(at, F.monotonically_increasing_id()), ["i", "key", at], "nth")
+    first = numbered.groupBy("i", "key").agg(F.min("nth").alias("first"))  # one row a key that is taken in part
+    return (numbered.join(first, ["i", "key"]).withColumn("extra", F.col("nth") - F.col("first") < F.col("copies"))
+            .select(*rows.columns, "extra"))
 
 
 def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, source_col: str = "source", id_col: str = "doc_id",
@@ -126,7 +145,7 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, source_col: str = "so
     row, at most ceil(most) of them.  New columns get underscores where their names are taken.
     Sources in code point order, null last, take the weights in turn.  Null and empty
     texts have size 0, and a source of such rows alone has target 0.  Rows that repeat an
-    id and its text are taken together.  An empty table gives no rows.  Other columns pass
+    id and its text are taken one by one where the target ends among them.  An empty table gives no rows.  Other columns pass
     through.  Reruns with the same seed agree.
     """
     spark = docs.sparkSession
@@ -180,40 +199,47 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, source_col: str = "so
             draws.setdefault((i, b), []).append((epoch, shard))
 
     edge = F.broadcast(spark.createDataFrame(borders, "i int, b int, border int, words double"))  # at most one row a source
-    cut = (blocked(sized).join(edge, ["i", "b"]).groupBy("i", "words", "key").agg(F.sum("size").alias("size"))
-           .groupBy("i").applyInPandas(border_cut, "i int, upto long, key long"))  # about 1/blocks of all rows a group
+    cut = (blocked(sized).join(edge, ["i", "b"]).groupBy("i", "words", "key").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
+           .groupBy("i").applyInPandas(border_cut, "i int, upto long, key long, copies long, whole boolean"))  # about 1/blocks of all keys a group
     cut = stage(cut, "mix_border")
-    extras = cut.where(F.col("key").isNotNull()).select("i", "key", F.lit(True).alias("extra"))  # a key is in one block
+    extras = cut.where(F.col("key").isNotNull()).select("i", "key", "copies", "whole")  # a key is in one block
+    parted = not extras.where("not whole").isEmpty()
     extras = F.broadcast(extras) if extras.count() <= BROADCAST_KEYS else extras.hint("merge")
-    edge = edge.join(F.broadcast(cut.where(F.col("key").isNull()).drop("key")), "i").drop("words")
+    edge = edge.join(F.broadcast(cut.where(F.col("key").isNull()).select("i", "upto")), "i").drop("words")
     table = spark.createDataFrame([(i, b, sorted(d)) for (i, b), d in draws.items()], f"i int, b int, dealt {DRAWS}")
 
     wide = blocked(docs.select(F.struct("*").alias("row"), *given))  # no name in the row can clash
     wide = wide.join(F.broadcast(table), ["i", "b"], "left").join(F.broadcast(edge), ["i", "b"], "left")
     wide = wide.join(extras, ["i", "key"], "left")
-    inside = F.coalesce(F.col("key") <= F.col("upto"), F.lit(False)) | F.col("extra").isNotNull()
+    if parted:
+        some = F.coalesce(~F.col("whole"), F.lit(False))
+        wide = wide.where(~some).withColumn("extra", F.col("whole")).unionByName(_some_copies(wide.where(some)))
+    else:
+        wide = wide.withColumn("extra", F.col("whole"))
+    inside = F.coalesce(F.col("key") <= F.col("upto"), F.lit(False)) | F.coalesce("extra", F.lit(False))
     taken = F.filter("dealt", lambda d: F.col("border").isNull() | (d["epoch"] != F.col("border")) | inside)
     wide = wide.select("row", "size", "source_size", "target", F.coalesce(taken, F.array().cast(DRAWS)).alias("draws"))
     wide = wide.select(*[F.col(k).alias(name) for k, name in names.items()], "row.*").select(*docs.columns, *names.values())
     return Mix(wide, names, round(sum(goal)), shards, seed)
 
 
-def write_order(mix: Mix, id_col: str = "doc_id", slice_words: int = SLICE_WORDS) -> DataFrame:
+def write_order(mix: Mix, id_col: str = "doc_id", text_col: str = "text", slice_words: int = SLICE_WORDS) -> DataFrame:
     """One row for each draw, moved to its shard and shuffled there, plus ``epoch``, ``shard`` and ``slice``.
 
     A shard is dealt by hash into slices of about ``slice_words`` words, one task each, and
     shuffled inside; slice after slice is a random order of the shard, whatever its size.
+    Rows without an id are dealt by their text, so only copies of one row share a slice.
     """
     slices = max(1, math.ceil(mix.words / mix.shards / slice_words))
     df = mix.rows
     names = {k: free_name(df, k) for k in ("epoch", "shard", "slice")}
-    draw = free_name(df, "draw")
+    draw, same = free_name(df, "draw"), free_name(df, "same")
     out = df.withColumn(draw, F.explode(mix.names["draws"])).drop(mix.names["draws"])
     out = out.withColumns({names["epoch"]: F.col(draw)["epoch"], names["shard"]: F.col(draw)["shard"]}).drop(draw)
-    order = F.xxhash64(F.lit(mix.seed), F.col(names["epoch"]), F.col(id_col).cast("string"))
-    out = out.withColumn(names["slice"], F.pmod(order, F.lit(slices)).cast("int"))
+    order = F.xxhash64(F.lit(mix.seed), F.col(names["epoch"]), F.col(id_col).cast("string"), F.col(text_col))
+    out = out.withColumn(same, order).withColumn(names["slice"], F.pmod(F.col(same), F.lit(slices)).cast("int"))
     place = F.col(names["shard"]) * slices + F.col(names["slice"])
-    return out.repartitionById(mix.shards * slices, place).sortWithinPartitions(names["shard"], names["slice"], F.xxhash64(order))
+    return out.repartitionById(mix.shards * slices, place).sortWithinPartitions(names["shard"], names["slice"], F.xxhash64(same)).drop(same)
 
 
 def op2_mix(spark, sf_dir: str) -> DataFrame:
