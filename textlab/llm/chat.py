@@ -4,8 +4,10 @@ A template names, for each role, the strings before and after its text and
 whether its text is learned; other roles are written with their name.  The
 control strings of the template are escaped inside texts and role names, so
 no text can pass for a turn and the formatted string reads back exactly.  A
-finite-state machine over the roles finds the first turn out of order; the
-conversation is formatted all the same and carries that position.
+finite-state machine walks the turns: each transition moves its state by the
+role and emits the turn's segments with their loss flags, and the walk tells the
+first turn out of order and whether it ends open.  A conversation out of order
+is formatted all the same and carries that position.
 """
 
 from __future__ import annotations
@@ -52,6 +54,7 @@ class Template:
 
 
 INST = Template()
+STRETCH = 64
 
 
 def escape(text: Column, t: Template) -> Column:
@@ -97,14 +100,25 @@ def format_chats(rows: DataFrame, template: Template = INST, id_col: str = "conv
         return out
 
     table = F.create_map(*[F.lit(v) for s, nexts in template.order.items() for r, n in nexts.items() for v in (f"{s}>{r}", n)])
+    kind = "array<struct<text:string,loss:boolean>>"
+
+    def machine(state, n, out):
+        return F.struct(state.alias("state"), n.alias("n"), out.alias("out"))
 
     def move(s, x):
+        """One turn: the next state, the number of turns in order so far, and the turn's segments."""
         now = F.when(s["state"] != "wrong", F.element_at(table, F.concat(s["state"], F.lit(">"), x["role"])))
-        return F.struct(F.coalesce(now, F.lit("wrong")).alias("state"), F.when(now.isNotNull(), s["n"] + 1).otherwise(s["n"]).alias("n"))
+        return machine(F.coalesce(now, F.lit("wrong")), F.when(now.isNotNull(), s["n"] + 1).otherwise(s["n"]), F.concat(s["out"], pieces_of(x).cast(kind)))
+
+    def stretch(s, turns):
+        """``STRETCH`` turns with a list of their own, which is then one entry of the conversation's list: no list grows turn by turn."""
+        walked = F.aggregate(turns, machine(s["state"], s["n"], F.array().cast(kind)), move)
+        return F.get(F.transform(F.array(walked), lambda w: machine(w["state"], w["n"], F.concat(s["out"], F.array(w["out"])))), F.lit(0))
 
-    walked = F.aggregate("turns", F.struct(F.lit("start").alias("state"), F.lit(0).alias("n")), move)
-    begin = F.array(piece(F.lit(template.begin)))
-    chats = chats.select("id", F.concat(begin, F.flatten(F.transform("turns", pieces_of))).alias("segments"), walked.alias("walked"))
+    begin = F.array(piece(F.lit(template.begin))).cast(kind)
+    parts = F.transform(F.sequence(F.lit(0), (F.size("turns") - 1).cast("int"), F.lit(STRETCH)), lambda i: F.slice("turns", i + 1, STRETCH))
+    walked = F.aggregate(parts, machine(F.lit("start"), F.lit(0), F.array(begin)), stretch)
+    chats = chats.select("id", walked.alias("walked")).select("id", F.flatten("walked.out").alias("segments"), "walked")
     spot = "array<struct<start:int,end:int>>"
 
     def place(s, x):
@@ -151,16 +165,20 @@ def _chats(spark, sf_dir: str) -> DataFrame:
 
 
 def op10_chat(spark, sf_dir: str) -> DataFrame:
-    """``op10``: all conversations and the planted one, formatted and read back."""
-    chats = _chats(spark, sf_dir).select("id", "formatted", "segments")
+    """``op10``: all conversations and the planted one, formatted and read back; the machine's verdict and the learned spans."""
+    chats = _chats(spark, sf_dir)
     back = chats.select("id", F.length("formatted").cast("long").alias("formatted_chars"), parse_chat(F.col("formatted")).alias("turns"),
-                        learned(F.col("segments")).alias("loss"))
+                        learned(F.col("segments")).alias("loss"), "first_wrong", "ends_open", "loss_spans")
     said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return back.select(F.col("id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
-                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+                       F.col("first_wrong").cast("long"), "ends_open", _joined_spans().alias("loss_spans"))
+
+
+def _joined_spans() -> Column:
+    return F.array_join(F.transform("loss_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
 
 
 def chat_turn_order(spark, sf_dir: str) -> DataFrame:
-    """The rest of ``op10``, whose columns its SQL fixes: the first turn out of order, whether the end is open, the learned spans."""
-    spans = F.array_join(F.transform("loss_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
-    return _chats(spark, sf_dir).select(F.col("id").alias("conv_id"), F.col("first_wrong").cast("long"), "ends_open", spans.alias("loss_spans"))
+    """The machine's part of ``op10`` alone: the first turn out of order, whether the end is open, the learned spans."""
+    return _chats(spark, sf_dir).select(F.col("id").alias("conv_id"), F.col("first_wrong").cast("long"), "ends_open", _joined_spans().alias("loss_spans"))

@@ -122,17 +122,24 @@ def _chat() -> str:
         return out
 
     around = " ".join(f"WHEN '{n}' THEN {len(r.before) + len(r.after)}" for n, r in INST.roles.items())
+    before = " ".join(f"WHEN '{n}' THEN {len(r.before)}" for n, r in INST.roles.items())
     learned = ", ".join(_q(n) for n, r in INST.roles.items() if r.loss)
     return f"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-s AS (SELECT *, CASE role {around} ELSE {sum(map(len, INST.other))} + length({escaped("role")}) END + length({escaped("text")}) AS chars FROM c),
+s AS (SELECT *, length({escaped("text")}) AS body, CASE role {around} ELSE {sum(map(len, INST.other))} + length({escaped("role")}) END + length({escaped("text")}) AS chars,
+             CASE role {before} ELSE 0 END AS lead, row_number() OVER w - 1 AS n, lag(role) OVER w AS last, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC, text DESC) AS back
+      FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+t AS (SELECT *, {len(INST.begin)} + CAST(sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS BIGINT) - chars + lead AS spot,
+             CASE WHEN n = 0 THEN role IN ('system', 'user') WHEN last = 'system' THEN role = 'user' WHEN last = 'user' THEN role = 'assistant'
+                  WHEN last = 'assistant' THEN role = 'user' ELSE false END AS in_order FROM s),
 g AS (SELECT conv_id, count(*) AS n_turns,
-             string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
-             coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role IN ({learned})), '') AS loss,
-             sum(chars) AS chars FROM s GROUP BY conv_id)
+             string_agg(role || chr(10) || text || chr(10), '' ORDER BY n) AS said,
+             coalesce(string_agg(text, '' ORDER BY n) FILTER (role IN ({learned})), '') AS loss,
+             sum(chars) AS chars, min(n) FILTER (NOT in_order) AS first_wrong, min(role) FILTER (back = 1) AS end_role,
+             coalesce(string_agg(spot || ':' || (spot + body), ',' ORDER BY n) FILTER (role IN ({learned})), '') AS loss_spans FROM t GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
-       CAST({len(INST.begin)} + chars AS BIGINT) AS formatted_chars FROM g"""
+       CAST({len(INST.begin)} + chars AS BIGINT) AS formatted_chars, first_wrong, first_wrong IS NOT NULL OR end_role <> 'assistant' AS ends_open, loss_spans FROM g"""
 
 
 _LEXICAL = rf"""
@@ -189,6 +196,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_topk": _TOPK,
     "op8_secrets": _secrets(),
     "op10_chat": _chat(),
+    "chat_turn_order": f"SELECT conv_id, first_wrong, ends_open, loss_spans FROM ({_chat()})",
     "op11_lexical_search": _LEXICAL,
     "op13_merkle": _merkle(),
 }
