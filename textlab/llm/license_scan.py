@@ -4,9 +4,9 @@ Cue words are searched over the whole text, with any blanks and comment marks
 between them.  The stretch of words around a cue, long enough on both sides for
 the longest template, is compressed with zstandard twice: plainly, and with each
 license template as a raw-content dictionary.  The templates are ranked by the
-size reduction and aligned word by word with the stretch; a wording that is
-there but for a few words is confirmed, with its own place.  Numbers may differ
-from the template.
+size reduction; down the ranking, as long as there is a reduction, each is aligned
+word by word with the stretch, and a wording that is there but for a few words is
+confirmed, with its own place.  Numbers may differ from the template.
 
 Rows are never shuffled.  Only texts with a cue word leave the JVM.
 """
@@ -167,10 +167,16 @@ class Scanner:
         return np.maximum(self.counts - np.bincount(found[found >= 0], minlength=len(self.ids)), 0).sum(1) <= self.limits
 
     def wordings(self, block: list[str]):
-        """``(start, end, template, rank row)`` of the confirmed wordings in a stretch; start and end are words of it."""
+        """``(start, end, template, rank row)`` of the confirmed wordings in a stretch; start and end are words of it.
+
+        The ranking decides which templates are tried: down from the largest size reduction, as long as there is any.
+        Of these, one with too many words that the stretch lacks altogether is known to fail and is not aligned.
+        """
         found, out = self.numbers(block), []
         near = self.near(found)
-        for reduction, i in self.ranked(block) if near.any() else ():
+        for reduction, i in self.ranked(block):
+            if reduction <= 0:
+                break
             if near[i]:
                 for start, end, missing, added in occurrences(self.own[i], found, self.limits[i]):
                     row = self.row(i, reduction, [self.templates[i][2][m] for m in missing], [block[j] for j in added])
