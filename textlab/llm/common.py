@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.common import stage  # noqa: F401  (re-exported)
@@ -35,6 +35,29 @@ def text_key(text_col: str):
     return F.xxhash64(F.lit(7), F.coalesce(F.col(text_col), F.lit("")))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def walk(items: Column, state: Column, step, kind: str, stretch: int = 256) -> tuple[Column, Column]:
+    """Fold an array with ``step((s, out), x)`` and give ``(s, all that was put out)``.
+
+    Lists are copied when they grow, so each stretch of items has a list of its own, which is then one
+    entry of a list of lists: the work is in proportion to the items.
+    """
+    def part(a, own):
+        walked = F.aggregate(own, F.struct(a["s"].alias("s"), F.array().cast(f"array<{kind}>").alias("out")), step)
+        return let(walked, lambda w: F.struct(w["s"].alias("s"), F.concat(a["out"], F.array(w["out"])).alias("out")))
+
+    def whole(v):
+        parts = F.transform(F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)), F.lit(stretch)), lambda i: F.slice(v, i + 1, stretch))
+        return F.aggregate(parts, F.struct(state.alias("s"), F.array().cast(f"array<array<{kind}>>").alias("out")), part)
+
+    done = let(items, whole)
+    return done["s"], F.flatten(done["out"])
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The values of a string column as UTF-8 bytes; null is empty."""
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()

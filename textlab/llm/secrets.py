@@ -23,7 +23,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import let, read, walk
 
 # The base kinds in their order, with the group and length that a match needs.
 KINDS = {
@@ -32,7 +32,7 @@ KINDS = {
     "hex": (r"[0-9a-f]{32,}", 0, 32),  # a run of [0-9a-f]+ under 32 fails, and no part of it is longer
 }
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-WINDOW, UNIT = 20, 1 << 20
+WINDOW, UNIT, STRETCH = 20, 1 << 20, 1024
 # Character classes, narrowest first: pattern of the whole candidate, least entropy in bits a character of a window.  A limit lies
 # where about 1 in 100 windows of random characters of the alphabet is under it (base64: 1 in 30); in letters alone above long words.
 MIXED = "|".join(".*".join(f"[{r}]" for r in order) for order in permutations(("a-z", "A-Z", "0-9")))
@@ -60,48 +60,56 @@ def located(text: Column, pattern: str, group: int, least: int, kind: str, rank:
     whole, part = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, group))
     sizes = F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"), F.transform(whole, F.length).alias("m"),
                          F.transform(part, F.length).alias("g"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
     def step(s, x):
-        begin = s["at"] + x["gap"]
+        begin = s["s"] + x["gap"]
         end = begin + F.coalesce(x["m"], F.lit(0))
         span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"))
-        return F.struct(end.alias("at"), F.when(x["g"] >= least, F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"))
+        return F.struct(end.alias("s"), F.when(x["g"] >= least, F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"))
 
-    found = F.aggregate(sizes, start, step, lambda s: s["out"])
+    _, found = walk(sizes, F.lit(0), step, SPAN)
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
-def _put(a: Column, i: Column, by: int) -> Column:
-    """The array with its i-th element (from 1) changed by ``by``."""
-    return F.concat(F.slice(a, F.lit(1), i - 1), F.array(F.element_at(a, i) + by), F.slice(a, i + 1, F.lit(128)))
+# Counts of the 128 characters, PACKED to a long, of BITS bits each; a window's counts fit.
+PACKED, BITS = 12, 5
+LONGS = -(-128 // PACKED)
+
+
+def _shift(a: Column, c: Column, name: str = "shiftright") -> Column:
+    return F.call_function(name, a, (F.pmod(c, F.lit(PACKED)) * BITS).cast("int"))
+
+
+def _count(n: Column, c: Column) -> Column:
+    """The count of the character with code ``c``."""
+    return _shift(F.get(n, F.floor(c / PACKED).cast("int")), c).bitwiseAND((1 << BITS) - 1).cast("int")
+
+
+def _put(n: Column, c: Column, by: int) -> Column:
+    """The counts with that of the character with code ``c`` changed by ``by``."""
+    i = F.floor(c / PACKED).cast("int")
+    return F.concat(F.slice(n, F.lit(1), i), F.array(F.get(n, i) + _shift(F.lit(1).cast("long"), c, "shiftleft") * by), F.slice(n, i + 2, F.lit(LONGS)))
 
 
 def hot_runs(candidate: Column, limit: Column, window: int = WINDOW) -> Column:
     """Runs ``(start, end)`` of the candidate's characters that lie in a window at or under the entropy limit.
 
-    One pass: the state holds the counts of the window's characters (slot = ASCII code + 1),
-    the entropy sum, and the run that is open.
+    One pass: the state holds the counts of the window's characters, the entropy sum and the run
+    that is open.  The candidate is read in stretches that hand this state and their last window on.
     """
-    codes = F.transform(F.split(candidate, ""), F.ascii)
     cost = F.array(*[F.lit(c).cast("long") for c in COST])
     run = "struct<start:int,end:int>"
-    state = F.struct(F.lit(0).alias("i"), F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0).cast("long").alias("sum"),
-                     F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.array().cast(f"array<{run}>").alias("out"))
-    gone = F.concat(F.array_repeat(F.lit(None).cast("int"), window), F.slice(codes, F.lit(1), F.greatest(F.size(codes) - window, F.lit(0))))
-    pairs = F.arrays_zip(codes.alias("new"), gone.alias("old"))  # the character that enters, the one that leaves
-
-    def at(n, c):
-        return F.element_at(n, c + 1)
 
     def step(s, x):
-        # two steps, each a let-binding by a one-element transform: first the old character leaves, then the new one enters
-        left = F.when(x["old"].isNull(), F.struct(s["n"].alias("n"), s["sum"].alias("sum"))).otherwise(F.struct(
-            _put(s["n"], x["old"] + 1, -1).alias("n"),
-            (s["sum"] - F.get(cost, at(s["n"], x["old"])) + F.get(cost, at(s["n"], x["old"]) - 1)).alias("sum")))
-        entered = F.transform(F.array(left), lambda m: F.struct(
-            _put(m["n"], x["new"] + 1, 1).alias("n"),
-            (m["sum"] - F.get(cost, at(m["n"], x["new"])) + F.get(cost, at(m["n"], x["new"]) + 1)).alias("sum")))
+        # two steps, each a let-binding: first the old character leaves, then the new one enters
+        def leave(c):
+            return F.struct(_put(s["n"], x["old"], -1).alias("n"), (s["sum"] - F.get(cost, c) + F.get(cost, c - 1)).alias("sum"))
+
+        def enter(m):
+            c = _count(m["n"], x["new"])
+            return F.struct(_put(m["n"], x["new"], 1).alias("n"), (m["sum"] - F.get(cost, c) + F.get(cost, c + 1)).alias("sum"))
+
+        left = F.when(x["old"].isNull(), F.struct(s["n"].alias("n"), s["sum"].alias("sum"))).otherwise(leave(_count(s["n"], x["old"])))
 
         def close(m):
             begin, end = s["i"] + 1 - window, s["i"] + 1
@@ -113,13 +121,29 @@ def hot_runs(candidate: Column, limit: Column, window: int = WINDOW) -> Column:
                             F.when(hot, end).otherwise(s["end"]).alias("end"),
                             F.when(hot & ~joins & (s["start"] >= 0), F.concat(s["out"], F.array(old))).otherwise(s["out"]).alias("out"))
 
-        return F.element_at(F.transform(entered, close), 1)
+        return let(let(left, enter), close)
+
+    def kept(s):
+        return [s[c].alias(c) for c in ("i", "n", "sum", "start", "end")]
+
+    def stretch(s, piece):
+        def read_on(codes):
+            both = F.concat(s["tail"], codes)  # the character that enters, the one that leaves
+            pairs = F.arrays_zip(codes.alias("new"), F.slice(both, F.lit(1), F.size(codes)).alias("old"))
+            walked = F.aggregate(pairs, F.struct(*kept(s), F.array().cast(f"array<{run}>").alias("out")), step)
+            return let(walked, lambda w: F.struct(*kept(w), F.slice(both, -window, window).alias("tail"), F.concat(s["out"], F.array(w["out"])).alias("out")))
+
+        return let(F.transform(F.split(piece, ""), F.ascii), read_on)
+
+    state = F.struct(F.lit(0).alias("i"), F.array_repeat(F.lit(0).cast("long"), LONGS).alias("n"), F.lit(0).cast("long").alias("sum"),
+                     F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.array_repeat(F.lit(None).cast("int"), window).alias("tail"),
+                     F.array().cast(f"array<array<{run}>>").alias("out"))
 
     def finish(s):
         last = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        return F.when(s["start"] >= 0, F.concat(s["out"], F.array(last))).otherwise(s["out"])
+        return F.concat(F.flatten(s["out"]), F.when(s["start"] >= 0, F.array(last)).otherwise(F.array().cast(f"array<{run}>")))
 
-    return F.aggregate(pairs, state, step, finish)
+    return F.aggregate(F.regexp_extract_all(candidate, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0)), state, stretch, finish)
 
 
 def entropy_spans(text: Column, base: Column) -> Column:
@@ -127,7 +151,7 @@ def entropy_spans(text: Column, base: Column) -> Column:
     found = located(text, CANDIDATE, 0, 20, "entropy", len(KINDS))
 
     # each step is an array of its own, so a word is cut and classed once
-    words = F.transform(found, lambda x: F.struct(x.alias("at"), F.substr(text, x["start"] + 1, x["end"] - x["start"]).alias("word")))
+    words = F.arrays_zip(found.alias("at"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("word"))
     words = F.filter(words, lambda x: ~reduce(or_, [x["word"].rlike(p) for p in ALLOWED]))
 
     def limited(x):
@@ -142,7 +166,19 @@ def entropy_spans(text: Column, base: Column) -> Column:
             (at["start"] + r["start"]).alias("start"), at["rank"].alias("rank"), (at["start"] + r["end"]).alias("end"), at["kind"].alias("kind")))
 
     added = F.flatten(F.transform(F.transform(words, limited), runs))
-    return F.filter(added, lambda a: ~F.exists(base, lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"])))
+
+    # both in one order, base spans first: an added span lies in a base span if one that began before reaches its end
+    def tagged(spans, tag):
+        return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(tag).alias("tag"), x["end"].alias("end"), x["rank"].alias("rank"), x["kind"].alias("kind")))
+
+    def step(s, x):
+        span = F.struct(*(x[c].alias(c) for c in ("start", "rank", "end", "kind")))
+        outside = (x["tag"] == 1) & (s["s"] < x["end"])
+        return F.struct(F.when(x["tag"] == 0, F.greatest(s["s"], x["end"])).otherwise(s["s"]).alias("s"),
+                        F.when(outside, F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"))
+
+    _, outside = walk(F.array_sort(F.concat(tagged(base, 0), tagged(added, 1))), F.lit(-1), step, SPAN)
+    return outside
 
 
 def joined(spans: Column) -> Column:
