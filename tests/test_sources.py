@@ -97,3 +97,17 @@ def test_input_checks_raise(spark):
         tables.check_input(docs, "lang", ["de", "en", "es", "xx"])
     with pytest.raises(ValueError):
         tables.check_input(docs, "lang", range(10))
+
+
+def test_missing_inputs_fail_at_once_with_their_names(spark, tmp_path):
+    import pytest
+
+    from textlab.plans import catalog, features
+    from textlab.sources.files import require_inputs
+
+    spark.range(3).write.parquet(f"{tmp_path}/documents.parquet")
+    require_inputs(spark, [f"{tmp_path}/documents.parquet"])
+    with pytest.raises(FileNotFoundError, match="embeddings.parquet"):
+        features.feature_set(spark, str(tmp_path), "BOW_SVD")
+    with pytest.raises(FileNotFoundError, match="documents.parquet"):
+        catalog.bow(spark, f"{tmp_path}/elsewhere")

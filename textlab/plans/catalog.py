@@ -381,17 +381,29 @@ def feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("vec_id", "split", "label", F.posexplode("features").alias("dim", "value"))
 
 
-def vectorizer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fitted unigram vocabulary (with idf) persisted as a table and as an ML model, reloaded."""
+def _reloaded_vectorizer(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """The vocabulary of n-grams fitted on train, written as a table and as an ML model, and both read again."""
     train = train_part(reused_split_corpus(spark, sf_dir))
-    vocab = vectorize.fit_vocabulary(train, n=1)
-    root = scratch_dir(spark, "vectorizer")
+    vocab = vectorize.fit_vocabulary(train, n=n)
+    root = scratch_dir(spark, f"vectorizer_{n}")
     files.write_table(vocab, f"{root}/vocabulary")
     back = files.read_table_at(spark, f"{root}/vocabulary")
     files.save_count_vectorizer(back, f"{root}/count_vectorizer")
     # the reloaded model's terms (at most 20,000) must be the table's, id by id: others would lose their row here
     terms = spark.createDataFrame(list(enumerate(files.load_count_vectorizer(f"{root}/count_vectorizer"))), "term_id int, term string")
-    return back.join(terms, ["term", "term_id"]).select("term", "term_id", "tf", "df", r6("idf").alias("idf"))
+    return back.join(terms, ["term", "term_id"])
+
+
+def vectorizer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted unigram vocabulary (with idf) persisted as a table and as an ML model, reloaded."""
+    return _reloaded_vectorizer(spark, sf_dir, 1).select("term", "term_id", "tf", "df", r6("idf").alias("idf"))
+
+
+def tfidf_vectorizer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bigram TF-IDF vectorizer persisted and reloaded, then used: the weights of all documents."""
+    back = stage(_reloaded_vectorizer(spark, sf_dir, 2), "reloaded_vocabulary")
+    weights = vectorize.tfidf(reused_split_corpus(spark, sf_dir), back, n=2, keep=("split",))
+    return weights.select("doc_id", "split", "term_id", r6("weight").alias("weight"))
 
 
 def _centroid_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -783,6 +795,7 @@ QUERIES = {
     "word_vector_file": word_vector_file,
     "feature_store_roundtrip": feature_store_roundtrip,
     "vectorizer_roundtrip": vectorizer_roundtrip,
+    "tfidf_vectorizer_roundtrip": tfidf_vectorizer_roundtrip,
     "results_export": results_export,
     "results_export_cells": results_export_cells,
     "svd_project": svd_project,

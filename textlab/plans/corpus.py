@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_tokens
 from ..operators.common import stage
 from ..operators.sampling import stratified_split
-from ..sources.tables import read_table
+from ..sources.tables import read_table, table_path
 
 CLASS_COLUMN = "lang"
 
@@ -33,9 +33,10 @@ def split_corpus(spark: SparkSession, sf_dir: str, label_col: str = CLASS_COLUMN
 
 def reused_split_corpus(spark: SparkSession, sf_dir: str, label_col: str = CLASS_COLUMN) -> DataFrame:
     """:func:`split_corpus` written once per input folder and class column, then read back."""
-    from ..sources.files import reuse_or_compute
+    from ..sources.files import require_inputs, reuse_or_compute
     from .features import stage_path
 
+    require_inputs(spark, [table_path(sf_dir, "documents")])
     path = stage_path(spark, sf_dir, f"split_corpus_{label_col}")
     return reuse_or_compute(spark, path, lambda: split_corpus(spark, sf_dir, label_col))
 

@@ -20,6 +20,7 @@ from ..operators import embed, reduce, vectorize
 from ..operators.common import bounded_broadcast, join_on_groups
 from ..session import checkpoint_root
 from ..sources import files
+from ..sources.tables import table_path
 from .corpus import fixture_word_vectors, reused_split_corpus, train_part
 
 FEATURE_SETS = ("BOW_SVD", "TFIDF_SVD", "FIRST_PCA", "MEAN_PCA", "WORDVEC_PCA")
@@ -121,6 +122,8 @@ def build_feature_set(spark: SparkSession, sf_dir: str, name: str) -> tuple[Data
 
 def feature_set(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The staged feature table for ``name`` (computed and written on first use, its variance curve beside it)."""
+    files.require_inputs(spark, [table_path(sf_dir, t) for t in ("documents", "embeddings")])
+
     def compute():
         df, info = build_feature_set(spark, sf_dir, name)
         curve = spark.createDataFrame([(int(info["max_k"]), int(info["k"]), [float(c) for c in info["cumulative"]],

@@ -635,6 +635,7 @@ def oracle_sql() -> dict[str, str]:
         "bigram_vocabulary_summaries": BIGRAM_VOCABULARY,
         "bow": BOW,
         "tfidf_bigrams": TFIDF_BIGRAMS,
+        "tfidf_vectorizer_roundtrip": TFIDF_BIGRAMS,
         "uniform_sample": UNIFORM_SAMPLE,
         "uniform_sample_cut": UNIFORM_SAMPLE_CUT,
         "length_histogram": LENGTH_HISTOGRAM,

@@ -140,6 +140,18 @@ def stage_exists(spark: SparkSession, path: str) -> bool:
     return bool(marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker))
 
 
+def require_inputs(spark: SparkSession, paths: list[str]) -> None:
+    """Raise at once, before any job, with the names of the inputs that do not exist (on any Hadoop file system)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    missing = []
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        if not at.getFileSystem(conf).exists(at):
+            missing.append(path)
+    if missing:
+        raise FileNotFoundError("missing input: " + ", ".join(missing))
+
+
 def reuse_or_compute(spark: SparkSession, path: str, compute, partition_by: tuple = ()) -> DataFrame:
     """Read the stage at ``path`` when it was written completely before, else compute, write, read.
 
