@@ -111,3 +111,15 @@ def test_missing_inputs_fail_at_once_with_their_names(spark, tmp_path):
         features.feature_set(spark, str(tmp_path), "BOW_SVD")
     with pytest.raises(FileNotFoundError, match="documents.parquet"):
         catalog.bow(spark, f"{tmp_path}/elsewhere")
+
+
+def test_bucketed_stores_join_without_an_exchange(spark, tmp_path):
+    from conftest import SF_SMALL
+    from textlab.plans import catalog
+
+    joined = catalog.feature_store(spark, SF_SMALL, f"{tmp_path}/store")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2, plan
+    again = catalog.feature_store(spark, SF_SMALL, f"{tmp_path}/store")  # reopened from its files
+    assert again.count() == joined.count() == spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").count()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("store_")]

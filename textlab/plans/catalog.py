@@ -12,6 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..operators import embed, kmeans, logreg, metrics, models, neighbors, reduce, report, sampling, vectorize
@@ -368,16 +369,26 @@ def word_vector_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         "word", "dim", F.col("_v").cast("double").alias("value"))
 
 
-def feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features (partitioned by split) and labels stored apart, reused, re-joined on the id."""
+FEATURE_STORE = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("split", T.StringType()),
+                              T.StructField("features", T.ArrayType(T.DoubleType()))])
+LABEL_STORE = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("label", T.IntegerType())])
+
+
+def feature_store(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Features and labels in stores of their own, bucketed by id, and joined where they lie."""
     v = vector_split(spark, sf_dir)
-    root = scratch_dir(spark, "feature_store")
-    feats = files.reuse_or_compute(spark, f"{root}/features", lambda: v.select(
-        "vec_id", "split", F.transform("embedding", lambda x: x.cast("double")).alias("features")), ("split",))
-    labels = files.reuse_or_compute(spark, f"{root}/labels", lambda: v.select("vec_id", "label"))
-    # second call finds the completed stage and reads it instead of recomputing
-    feats = files.reuse_or_compute(spark, f"{root}/features", lambda: None, ("split",))
-    joined = feats.join(labels, "vec_id")
+    buckets = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    feats = lambda: v.select("vec_id", "split", F.col("embedding").alias("features"))
+    files.reuse_bucketed(spark, f"{root}/features", feats, FEATURE_STORE, "vec_id", buckets)
+    labels = files.reuse_bucketed(spark, f"{root}/labels", lambda: v.select("vec_id", "label"), LABEL_STORE, "vec_id", buckets)
+    # the second call finds the completed store and reads it instead of recomputing
+    feats = files.reuse_bucketed(spark, f"{root}/features", lambda: None, FEATURE_STORE, "vec_id", buckets)
+    return feats.join(labels.hint("merge"), "vec_id")
+
+
+def feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features and labels stored apart, reused, re-joined on the id."""
+    joined = feature_store(spark, sf_dir, scratch_dir(spark, "feature_store"))
     return joined.select("vec_id", "split", "label", F.posexplode("features").alias("dim", "value"))
 
 

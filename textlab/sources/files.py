@@ -170,6 +170,34 @@ def reuse_or_compute(spark: SparkSession, path: str, compute, partition_by: tupl
     return spark.read.parquet(path)
 
 
+def open_bucketed(spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+    """A table written by :func:`reuse_bucketed`, with its buckets known to the optimizer.
+
+    The catalog entry is only needed to resolve the table, and goes again; the files stay.
+    """
+    name = f"store_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    try:
+        return spark.table(name).select("*")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def reuse_bucketed(spark: SparkSession, path: str, compute, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+    """The store at ``path``, written once, bucketed and sorted by ``key``.
+
+    Stores with the same key type and number of buckets join on the key without an exchange:
+    the shuffle by key is paid once, when the store is written.
+    """
+    if not stage_exists(spark, path):
+        name = f"store_{uuid.uuid4().hex}"
+        rows = compute().select(*(F.col(f.name).cast(f.dataType) for f in schema.fields))
+        rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")
+    return open_bucketed(spark, path, schema, key, buckets)
+
+
 def input_fingerprint(spark: SparkSession, folder: str) -> str:
     """Digest of (path, length, modification time) of all Parquet files under a folder, on any Hadoop file system."""
     jvm = spark.sparkContext._jvm
