@@ -78,7 +78,7 @@ def test_stages_of_edge_tables(spark, edge_docs, empty_docs, tmp_path):
         assert rows.count() >= 0
 
 
-QUERIES = ["op3_warc", "op5_decontaminate", "op6_line_dedup", "op7_topk", "op8_secrets", "op10_chat"]
+QUERIES = ["op3_warc", "op5_decontaminate", "op6_line_dedup", "op7_topk", "op8_secrets", "op10_chat", "chat_turn_order", "op11_lexical_search", "op13_merkle"]
 
 
 @pytest.fixture(scope="module")
@@ -95,5 +95,5 @@ def test_registry():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert len(corpus_pipeline.STAGES) == 5
