@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..operators import embed, kmeans, logreg, metrics, models, neighbors, reduce, report, sampling, vectorize
+from ..operators import embed, kmeans, logreg, metrics, models, neighbors, quantiles, reduce, report, sampling, vectorize
 from ..operators.common import r6, stage
 from ..session import scratch_dir
 from ..sources import files
@@ -350,6 +350,14 @@ def variance_ratio_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce.axis_variance_ratios(read_table(spark, sf_dir, "embeddings"))
 
 
+def component_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A16 on numeric columns: the exact quartiles of every vector component, by selection over refined histograms."""
+    cells = read_table(spark, sf_dir, "embeddings").select(F.posexplode("embedding").alias("dim", "x"))
+    found = quantiles.exact_quantiles(cells, "dim", "x")  # a row a component
+    rows = [(int(g), *(round(float(v), 6) for v in q)) for g, q in found.items()]
+    return spark.createDataFrame(rows, "dim int, q25 double, q50 double, q75 double")
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: documents through CSV (quotes, newlines, header) and back with a declared schema."""
     docs = read_table(spark, sf_dir, "documents", spread=False).select("doc_id", "text", "lang")
@@ -787,6 +795,7 @@ QUERIES = {
     "uniform_sample_cut": uniform_sample_cut,
     "length_histogram": length_histogram,
     "length_median": length_median,
+    "component_quantiles": component_quantiles,
     "top_words_by_class": top_words_by_class,
     "word_vector_mean": word_vector_mean,
     "word_vector_mean_blocks": word_vector_mean_blocks,

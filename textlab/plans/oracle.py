@@ -417,6 +417,11 @@ SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN 'test' ELSE 'train' END AS split, l
 FROM embeddings
 """
 
+COMPONENT_QUANTILES = """
+WITH c AS (SELECT generate_subscripts(embedding, 1)::INTEGER - 1 AS dim, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+SELECT dim, round(quantile_cont(x, 0.25), 6) AS q25, round(quantile_cont(x, 0.5), 6) AS q50, round(quantile_cont(x, 0.75), 6) AS q75 FROM c GROUP BY dim
+"""
+
 VECTORIZER_ROUNDTRIP = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
 SELECT term, term_id, tf, df, round(idf, 6) AS idf FROM voc
 """
@@ -659,6 +664,7 @@ def oracle_sql() -> dict[str, str]:
         "word_vector_file": WORD_VECTOR_FILE,
         "feature_store_roundtrip": FEATURE_STORE_ROUNDTRIP,
         "vectorizer_roundtrip": VECTORIZER_ROUNDTRIP,
+        "component_quantiles": COMPONENT_QUANTILES,
         "results_export": RESULTS_EXPORT,
         "results_export_cells": RESULTS_EXPORT_CELLS,
         "pca_norms": PCA_NORMS,
