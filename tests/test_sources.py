@@ -123,3 +123,33 @@ def test_bucketed_stores_join_without_an_exchange(spark, tmp_path):
     again = catalog.feature_store(spark, SF_SMALL, f"{tmp_path}/store")  # reopened from its files
     assert again.count() == joined.count() == spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").count()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("store_")]
+
+
+def test_an_added_file_alone_is_scanned(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from textlab.plans import catalog
+
+    folder = tmp_path / "documents.parquet"
+    folder.mkdir()
+
+    def write(name, texts, first):
+        pq.write_table(pa.table({"doc_id": range(first, first + len(texts)), "text": texts, "lang": ["en"] * len(texts), "source": ["s"] * len(texts),
+                                 "n_chars": [len(t) for t in texts]}), folder / name)
+
+    def run():
+        scanned = []
+        rows = catalog.incremental_counts(spark, str(tmp_path), str(tmp_path / "stage"), scanned)
+        return {r["term"]: (r["tf"], r["df"]) for r in rows.collect()}, sorted(f.rsplit("/", 1)[1] for f in scanned)
+
+    write("a.parquet", ["apple apple pear", "pear"], 0)
+    write("b c.parquet", ["apple plum"], 10)
+    assert run() == ({"apple": (3, 2), "pear": (2, 2), "plum": (1, 1)}, ["a.parquet", "b%20c.parquet"])
+    assert run()[1] == []
+    write("d.parquet", ["plum plum"], 20)
+    assert run() == ({"apple": (3, 2), "pear": (2, 2), "plum": (3, 2)}, ["d.parquet"])
+    write("a.parquet", ["cherry cherry cherry cherry"], 0)  # changed
+    assert run() == ({"apple": (1, 1), "cherry": (4, 1), "plum": (3, 2)}, ["a.parquet"])
+    (folder / "d.parquet").unlink()
+    assert run() == ({"apple": (1, 1), "cherry": (4, 1), "plum": (1, 1)}, [])

@@ -19,7 +19,7 @@ from ..operators import embed, kmeans, logreg, metrics, models, neighbors, quant
 from ..operators.common import r6, stage
 from ..session import scratch_dir
 from ..sources import files
-from ..sources.tables import SCHEMAS, read_table
+from ..sources.tables import SCHEMAS, read_table, table_path
 from .corpus import (CLASS_COLUMN, cleaned_corpus, fixture_word_vectors, reused_split_corpus, tokens_once, train_part,
                      vector_split)
 
@@ -157,6 +157,27 @@ def vocabulary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorize.fit_vocabulary(train, n=1).select("term", "term_id", "tf", "df")
 
 
+def incremental_counts(spark: SparkSession, sf_dir: str, path: str, scanned: list | None = None) -> DataFrame:
+    """``(term, tf, df)`` over all documents from counts staged for each input file, which add up.
+
+    ``scanned`` gets the files that were read because they were new or had changed.
+    """
+    def counts(rows: DataFrame) -> DataFrame:
+        if scanned is not None:
+            scanned.extend(rows.inputFiles())
+        docs = rows.select("input", "doc_id", tx.clean_tokens("text").alias("tokens"))
+        return vectorize.doc_term_counts(docs, "tokens", 1, "doc_id", ("input",)).groupBy("input", "term").agg(
+            F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+
+    parts = files.incremental_stage(spark, table_path(sf_dir, "documents"), path, counts, SCHEMAS["documents"])
+    return parts.groupBy("term").agg(F.sum("tf").cast("long").alias("tf"), F.sum("df").cast("long").alias("df"))
+
+
+def incremental_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term statistics of all documents by way of the stage that is kept for each input file."""
+    return incremental_counts(spark, sf_dir, scratch_dir(spark, "term_counts"))
+
+
 def _summarised(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     train = train_part(reused_split_corpus(spark, sf_dir))
     return vectorize.fit_vocabulary(train, n=n, capacity=SUMMARY_CAPACITY).select("term", "term_id", "tf", "df")
@@ -788,6 +809,7 @@ QUERIES = {
     "term_stats": term_stats,
     "vocabulary_topk": vocabulary_topk,
     "vocabulary_summaries": vocabulary_summaries,
+    "incremental_term_counts": incremental_term_counts,
     "bigram_vocabulary_summaries": bigram_vocabulary_summaries,
     "bow": bow,
     "tfidf_bigrams": tfidf_bigrams,

@@ -205,6 +205,9 @@ FROM voc_st s, voc_ntrain t WHERE s.df >= 2 AND s.df <= 0.95 * t.n
 """
 
 VOCABULARY_TOPK = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + "SELECT term, term_id, tf, df FROM voc"
+INCREMENTAL_TERM_COUNTS = with_ctes(CORPUS_CTE, SPLIT_CTE) + """
+SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(tokens) AS term FROM split) GROUP BY term
+"""
 BIGRAM_VOCABULARY = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 2)) + "SELECT term, term_id, tf, df FROM voc"
 
 BOW = with_ctes(CORPUS_CTE, SPLIT_CTE, vocab_cte("voc", 1)) + """
@@ -637,6 +640,7 @@ def oracle_sql() -> dict[str, str]:
         "term_stats": TERM_STATS,
         "vocabulary_topk": VOCABULARY_TOPK,
         "vocabulary_summaries": VOCABULARY_TOPK,
+        "incremental_term_counts": INCREMENTAL_TERM_COUNTS,
         "bigram_vocabulary_summaries": BIGRAM_VOCABULARY,
         "bow": BOW,
         "tfidf_bigrams": TFIDF_BIGRAMS,

@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,6 +198,62 @@ def reuse_bucketed(spark: SparkSession, path: str, compute, schema: T.StructType
     return open_bucketed(spark, path, schema, key, buckets)
 
 
+INPUT_KEY = "input"
+
+
+def _input_keys(spark: SparkSession, folder: str) -> dict[str, str]:
+    """``{key: path}`` of the Parquet files under ``folder``; the key changes with path, length or modification time."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    found, files = {}, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    while files.hasNext():
+        f = files.next()
+        if f.getPath().getName().endswith(".parquet"):
+            place = "/" + f.getPath().toUri().getRawPath().lstrip("/")
+            found[hashlib.md5(f"{place}:{f.getLen()}:{f.getModificationTime()}".encode()).hexdigest()] = f.getPath().toString()
+    return found
+
+
+def _key_column() -> Column:
+    """The same key, of the file that a row comes from."""
+    place = F.concat(F.lit("/"), F.ltrim(F.parse_url(F.col("_metadata.file_path"), F.lit("PATH")), F.lit("/")))
+    return F.md5(F.concat_ws(":", place, F.col("_metadata.file_size").cast("string"),
+                             F.unix_millis("_metadata.file_modification_time").cast("string")))
+
+
+def incremental_stage(spark: SparkSession, folder: str, path: str, compute, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of ``compute`` over the files under ``folder``, of which only new or changed ones are read.
+
+    ``compute`` gets the rows of those files with a column ``input`` and returns rows with it.  They are written
+    in one job, in a folder for each input, and published by a row of the manifest (input, file, part); parts of
+    files that changed or went are not read any more.
+    """
+    keys, manifest = _input_keys(spark, folder), f"{path.rstrip('/')}/manifest"
+    read = spark.read if schema is None else spark.read.schema(schema)
+    known = spark.read.schema("input string, file string, part string").json(manifest) if _exists(spark, manifest) else None
+    done = {r["input"]: r["part"] for r in known.collect()} if known is not None else {}  # a row an input file
+    new = {k: f for k, f in keys.items() if k not in done}
+    if new:
+        part = f"{path.rstrip('/')}/parts/{uuid.uuid4().hex}"
+        rows = read.parquet(*new.values()).select("*", _key_column().alias(INPUT_KEY))
+        compute(rows).write.partitionBy(INPUT_KEY).parquet(part)
+        spark.createDataFrame([(k, f, part) for k, f in new.items()], "input string, file string, part string").coalesce(1).write.mode("append").json(manifest)
+        done |= dict.fromkeys(new, part)
+    live = spark.createDataFrame([(k,) for k in keys], "input string")  # one row an input file
+    out = None
+    for part in sorted({done[k] for k in keys}):
+        rows = spark.read.parquet(part)
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise FileNotFoundError(f"missing input: no Parquet files in {folder}")
+    return out.join(F.broadcast(live), INPUT_KEY, "left_semi")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at))
+
+
 def input_fingerprint(spark: SparkSession, folder: str) -> str:
     """Digest of (path, length, modification time) of all Parquet files under a folder, on any Hadoop file system."""
     jvm = spark.sparkContext._jvm
