@@ -30,6 +30,7 @@ from .common import free_name, mix, pieces, split_words, stage, text_buffer, tex
 
 WINDOW, GRAM = 10, 5  # so 6 grams a window
 PART_WORDS = 1_000_000
+SCANS = 4
 
 # Words: A-Z (lower-cased), a-z, digits and every byte of a non-ASCII character.
 IS_WORD = np.zeros(256, bool)
@@ -251,7 +252,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     names = {k: free_name(docs, k) for k in ("n_words", "spans", "items")}
     out = docs.withColumns({names["n_words"]: F.lit(0).cast("long"), names["spans"]: F.array().cast(SPANS),
                             names["items"]: F.array().cast("array<string>")})
-    for rows in benchmark_parts(benchmark, item_id, item_text, part_words):
+    for n, rows in enumerate(benchmark_parts(benchmark, item_id, item_text, part_words)):
+        if n and n % SCANS == 0:  # each scan is a Python worker and a part in its memory: a task has at most SCANS of them
+            out = stage(out, "decontam_scans")
         part = spark.sparkContext.broadcast(Part([(r["item"], r["text"].encode()) for r in rows.toLocalIterator()]))
         out = out.mapInArrow(_scanner(part, text_col, names), out.schema)
     return out, names
