@@ -6,9 +6,14 @@ are joined to it.  The payloads move once, to meet these decisions by page,
 and are written with fresh headers: a ``response`` record with the payload,
 or a ``revisit`` record that refers to the response and has none.
 
-Archives are written by Spark's own committed writer (gzip text whose line
-separator is the last CRLF of a record), so a lost task leaves no broken
-archive, and are read back record by record, by Content-Length.
+An archive is a ``.warc.gz`` file with one gzip member a record, so that records
+can be read by offset: a ``warcinfo`` record, the pages' records, and a closing
+``metadata`` record with their number.  Tasks compress and pack records by bytes;
+Spark's committed text writer puts each packed archive into a file of its own, so
+a lost task leaves no broken archive.  A gzip member ends with its length in four
+bytes, little end first, and the closing record is short: the archive's last byte
+is zero, and the writer adds it as the line's end.  Archives are read back record
+by record, by Content-Length, and checked against their closing record.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ import base64
 import gzip
 import hashlib
 import io
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +32,8 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from .common import read, stage
 
-RECORDS_PER_FILE = 4000  # an archive is read back by one task: some 80 MB of gzip for pages of 100 KB
+ARCHIVE_BYTES = 32 << 20  # an archive is closed when its members pass this; a task holds one archive at a time
+READ_BYTES = 16 << 20  # payloads handed on at a time when they are read back
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
@@ -68,7 +75,7 @@ def resolve(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_b
 
 
 def record(date: str) -> Column:
-    """The whole record but its last CRLF."""
+    """The whole record."""
     def line(name, value):
         return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), F.regexp_replace(value, "[\r\n]+", " "), F.lit(CRLF))).otherwise("")
 
@@ -89,22 +96,71 @@ def record(date: str) -> Column:
         line("WARC-Refers-To-Date", F.when(revisit, F.lit(date))),
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", F.octet_length(block).cast("string")),
-        F.lit(CRLF), block, F.lit(CRLF))
+        F.lit(CRLF), block, F.lit(CRLF * 2))
+
+
+def note(kind: str, ident: str, date: str, fields: dict, **head: str) -> bytes:
+    """A ``warcinfo`` or ``metadata`` record."""
+    block = "".join(f"{k}: {v}{CRLF}" for k, v in fields.items())
+    lines = {"WARC-Type": kind, "WARC-Record-ID": ident, "WARC-Date": date, **head,
+             "Content-Type": "application/warc-fields", "Content-Length": len(block.encode())}
+    return "".join([f"WARC/1.1{CRLF}", *(f"{k}: {v}{CRLF}" for k, v in lines.items()), CRLF, block, CRLF * 2]).encode()
+
+
+def close_archive(members: list[bytes], date: str) -> bytes:
+    """The archive of these members without its last byte, which is zero."""
+    digest = hashlib.md5(b"".join(hashlib.md5(m).digest() for m in members)).digest()
+    info, last = (f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(digest + name).digest())}>" for name in (b"warcinfo", b"metadata"))
+    first = note("warcinfo", info, date, {"software": "textlab", "format": "WARC File Format 1.1"})
+    end = note("metadata", last, date, {"records": len(members)}, **{"WARC-Refers-To": info})
+    out = b"".join([gzip.compress(first, mtime=0), *members, gzip.compress(end, mtime=0)])
+    assert out[-1] == 0
+    return out[:-1]
+
+
+def packer(date: str, archive_bytes: int):
+    """Compresses each record to a gzip member; rows are archives of about ``archive_bytes``, or of one longer record."""
+    def run(batches):
+        members, size = [], 0
+        for b in batches:
+            for value in b.column(0):
+                members.append(gzip.compress(value.as_buffer(), compresslevel=6, mtime=0))
+                size += len(members[-1])
+                if size >= archive_bytes:
+                    archive, members, size = close_archive(members, date), [], 0
+                    yield pa.RecordBatch.from_arrays([pa.array([archive], pa.binary())], names=["archive"])
+        if members:
+            yield pa.RecordBatch.from_arrays([pa.array([close_archive(members, date)], pa.binary())], names=["archive"])
+
+    return run
+
+
+def name_archives(spark: SparkSession, path: str) -> None:
+    """Give written archives their ``.warc.gz`` names: one rename a file; may be run again."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(folder):
+        name = f.getPath().getName()
+        if name.endswith(".txt"):
+            fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(folder, name.removesuffix(".txt") + ".warc.gz"))
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-               min_bytes: int = 0, date: str = DATE) -> None:
-    """Write one record a row as gzip WARC archives under ``path``.
+               min_bytes: int = 0, date: str = DATE, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write one record a row as ``.warc.gz`` archives of about ``archive_bytes`` under ``path``, a member a record.
 
     Of records with equal payloads of at least ``min_bytes`` bytes the one with the
     largest page id is the response (of rows that repeat id and payload, the one with the largest
     url); the others revisit it.  Null payloads are empty; null ids are smaller than all ids and get no
-    WARC-Page-ID line; null urls get no target line.  An empty table writes empty
-    archives.  Other columns are not read.
+    WARC-Page-ID line; null urls get no target line.  An empty table writes an empty
+    file.  A record has the 2 GB of one Spark value at most.  Other columns are not read.
     """
     out = resolve(pages, id_col, url_col, payload_col, min_bytes)
-    (out.select(record(date).alias("value")).write
-     .options(lineSep=CRLF, compression="gzip", maxRecordsPerFile=RECORDS_PER_FILE).text(path))
+    archives = out.select(record(date).cast("binary").alias("record")).mapInArrow(packer(date, archive_bytes), "archive binary")
+    (archives.select(F.col("archive").cast("string").alias("value")).write
+     .options(lineSep="\0", compression="none", maxRecordsPerFile=1).text(path))
+    name_archives(pages.sparkSession, path)
 
 
 def records(stream):
@@ -130,7 +186,10 @@ READ = ("record_id string, record_type string, page_id long, url string, refers_
 
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """One row for each record of the archives in ``path``, gzip or plain; a response's digest is taken from its payload."""
+    """One row for each record of the archives in ``path``, gzip or plain; a response's digest is taken from its payload.
+
+    Notes (``warcinfo`` and ``metadata``) give no row; a number of records in the last of them must be that of the archive.
+    """
     def run(batches):
         for b in batches:
             for content in b.column(0):
@@ -138,20 +197,29 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
                 stream = io.BufferedReader(pa.BufferReader(raw))
                 if raw.size > 1 and raw[:2].to_pybytes() == b"\x1f\x8b":
                     stream = gzip.GzipFile(fileobj=stream)
-                rows = []
+                rows, held, n = [], 0, 0
                 for head, block in records(stream):
                     body, kind = block.partition(b"\r\n\r\n")[2], head["warc-type"]
+                    if kind in ("warcinfo", "metadata"):
+                        told = block.removeprefix(b"records:").strip()
+                        if block.startswith(b"records:") and int(told) != n:
+                            raise ValueError(f"the archive tells of {int(told)} records and holds {n}")
+                        continue
                     full = kind == "response"
                     digest = base64.b32encode(hashlib.sha1(body).digest()).decode() if full else \
                         head.get("warc-payload-digest", "").removeprefix("sha1:")
                     page = head.get("warc-page-id")
                     rows.append((head["warc-record-id"], kind, int(page) if page else None, head.get("warc-target-uri"),
                                  head.get("warc-refers-to"), digest, len(body) if full else None, body if full and payloads else None))
-                    if len(rows) == 1000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-                        rows = []
+                    n, held = n + 1, held + (len(body) if payloads else 0)
+                    if len(rows) == 1000 or held >= READ_BYTES:
+                        yield table(rows)
+                        rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+                    yield table(rows)
+
+    def table(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     names = [c.split()[0] for c in READ.split(", ")]
     types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
