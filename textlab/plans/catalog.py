@@ -791,6 +791,25 @@ def best_combination_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.best_combination(_exact_experiments(spark, sf_dir))
 
 
+def knn_full_width(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 and D2 as a cell of the grid, exactly: a PCA of full width turns the centred vectors without changing their angles."""
+    from .experiments import classify
+
+    f = _vector_features(spark, sf_dir)
+    width = f.select(F.max(F.size("features"))).first()[0] or 1
+    _, (proj,), _ = reduce.pca_fit_project(f.where("split = 'train'"), [f], width, "features")
+    pred, _ = classify("KNN", stage(proj.select("doc_id", "split", "label", "features"), "full_width"))
+    return pred.withColumnRenamed("doc_id", "vec_id")
+
+
+def time_ranking_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 on a results table with many ties: mean lengths (in steps of 10) of the documents of each source and language."""
+    docs = read_table(spark, sf_dir, "documents")
+    cells = docs.groupBy(F.coalesce("source", F.lit("-")).alias("feature_set"), F.coalesce("lang", F.lit("-")).alias("model")).agg(
+        F.expr("cast(coalesce(sum(n_chars), 0) div (10 * count(*)) as double)").alias("value"))
+    return report.train_time_ranking(cells.withColumn("metric", F.lit("train_time")))
+
+
 QUERIES = {
     "top_terms_by_class": top_terms_by_class,
     "scan_corpus": scan_corpus,
@@ -865,4 +884,6 @@ QUERIES = {
     "stream_clean_text": stream_clean_text,
     "metric_matrix_exact": metric_matrix_exact,
     "best_combination_exact": best_combination_exact,
+    "knn_full_width": knn_full_width,
+    "time_ranking_exact": time_ranking_exact,
 }

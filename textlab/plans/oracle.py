@@ -478,6 +478,24 @@ PCA_NORMS = with_ctes(V_CTE) + """
 SELECT vec_id, split, round(sum((x - m) * (x - m)), 4) AS squared_norm FROM el JOIN mu USING (dim) GROUP BY vec_id, split
 """
 
+CENTRED_CTE = V_CTE.split(", tr AS")[0].replace("v AS", "v0 AS") + """, el AS (SELECT vec_id, generate_subscripts(e, 1) AS dim, unnest(e) AS x FROM v0)
+, mu AS (SELECT dim, avg(x) AS m FROM el JOIN v0 USING (vec_id) WHERE split = 'train' GROUP BY dim)
+, ce AS (SELECT vec_id, list(x - m ORDER BY dim) AS e FROM el JOIN mu USING (dim) GROUP BY vec_id)
+, v AS (SELECT vec_id, v0.label, ce.e, v0.split FROM v0 JOIN ce USING (vec_id))
+, tr AS (SELECT * FROM v WHERE split = 'train'), te AS (SELECT * FROM v WHERE split = 'test')"""
+
+KNN_FULL_WIDTH = with_ctes(CENTRED_CTE, KNN_CTE) + "SELECT query_id AS vec_id, true_label, pred_label FROM pred"
+
+TIME_RANKING_EXACT = """
+WITH t AS (
+  SELECT coalesce(source, '-') AS feature_set, coalesce(lang, '-') AS model,
+         CAST(CAST(coalesce(sum(n_chars), 0) AS BIGINT) // (10 * count(*)) AS DOUBLE) AS train_time
+  FROM documents GROUP BY ALL)
+SELECT *, model || chr(10) || feature_set AS label,
+       CAST(row_number() OVER (ORDER BY train_time DESC, model || chr(10) || feature_set DESC) AS INTEGER) AS position
+FROM t
+"""
+
 PCA_MOMENTS = with_ctes(V_CTE) + """
 , el AS (SELECT vec_id, generate_subscripts(e, 1) AS dim, unnest(e) AS x FROM tr)
 , mu AS (SELECT dim, avg(x) AS m FROM el GROUP BY dim)
@@ -681,4 +699,6 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_fixed_point": KMEANS_FIXED_POINT,
         "metric_matrix_exact": METRIC_MATRIX_EXACT,
         "best_combination_exact": BEST_COMBINATION_EXACT,
+        "knn_full_width": KNN_FULL_WIDTH,
+        "time_ranking_exact": TIME_RANKING_EXACT,
     }

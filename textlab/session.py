@@ -24,6 +24,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.scheduler.mode", "FAIR")  # independent fits overlap
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
