@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..operators import embed, kmeans, logreg, metrics, models, neighbors, quantiles, reduce, report, sampling, vectorize
+from ..operators import embed, kmeans, logreg, metrics, models, neighbors, quantiles, reduce, report, sampling, svm, vectorize
 from ..operators.common import r6, stage
 from ..session import scratch_dir
 from ..sources import files
@@ -614,6 +614,13 @@ def logreg_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logreg.gradient(train, model).select("label", "dim", (F.round("gradient", 4) + 0.0).alias("gradient"))
 
 
+def svm_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 checked by optimality: the squared-hinge objective's gradient at every weight and intercept of a fit run to its end."""
+    train = _vector_features(spark, sf_dir).where("split = 'train'")
+    model = svm.fit_squared_hinge(train, models.C_PENALTY, models.SVM_MAX_ITER, tol=1e-12)
+    return svm.gradient(train, model, models.C_PENALTY).select("label", "dim", (F.round("gradient", 4) + 0.0).alias("gradient"))
+
+
 def kmeans_fixed_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4 checked by optimality: each centre is the mean of the rows nearest to it; in cluster -1's row, the kept
     cost is the sum of squared distances to the nearest centres and the least of all restarts."""
@@ -868,6 +875,7 @@ QUERIES = {
     "svd_residuals": svd_residuals,
     "logreg_expected_rows": logreg_expected_rows,
     "logreg_gradient": logreg_gradient,
+    "svm_gradient": svm_gradient,
     "kmeans_fixed_point": kmeans_fixed_point,
     "variance_sweep": variance_sweep,
     "projection_2d": projection_2d,
