@@ -27,6 +27,7 @@ from .common import read, stage
 K, SCALE, DIVISOR = 10, 1024, 100
 BLOCK, BINS, SLACK = 4096, 512, 4
 EXACT = float(1 << 53)
+LIMIT = float(1 << 61)  # of a score, and of a component that takes part in one
 TILE = 1024
 
 
@@ -42,11 +43,19 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return pc.list_flatten(column).to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-def scores(queries: np.ndarray, tile: np.ndarray) -> np.ndarray:
-    """Integer inner products; doubles where all partial sums are exact in them, else 64-bit integers."""
+def scores(queries: np.ndarray, tile: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Integer inner products; doubles where all partial sums are exact in them, else 64-bit integers.
+
+    Raises where a score with an ``other`` row, or a component in it, is not below ``LIMIT``.
+    """
     most = np.abs(queries).max(initial=0) * np.abs(tile).max(initial=0) * max(1, queries.shape[1])
     if most < EXACT:
         return (queries @ tile.T).astype(np.int64)
+    size = lambda x: (np.abs(x) >= LIMIT).astype(float)
+    used = lambda x: (x != 0).astype(float)
+    beyond = (np.abs(queries @ tile.T) >= LIMIT) | (size(queries) @ used(tile).T + used(queries) @ size(tile).T > 0)
+    if (beyond & other).any():
+        raise ValueError("a score does not lie within 2**61: scale the vectors down")
     return queries.astype(np.int64) @ tile.astype(np.int64).T
 
 
@@ -59,7 +68,8 @@ def tiles(batches, qid, qvec):
         if len(ids):
             x = matrix(b.column(1), qvec.shape[1])
             for a in range(0, len(ids), TILE):
-                yield ids[a:a + TILE], scores(qvec, x[a:a + TILE]), qid[:, None] != ids[None, a:a + TILE]
+                other = qid[:, None] != ids[None, a:a + TILE]
+                yield ids[a:a + TILE], scores(qvec, x[a:a + TILE], other), other
 
 
 def _count(block, k: int):
@@ -143,7 +153,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vec_
     ``is_query`` is a condition on ``id``.  Null ids, null vectors and vectors with null or non-finite
     components take no part; a query meets the vectors of its own width.  Every query
     row is answered; rows that carry its id are its own, and rows that repeat another id
-    each count.  Scores must lie within 2**61.  A query without candidates has no rows.  Other columns are not read.
+    each count.  A score beyond 2**61 raises.  A query without candidates has no rows.  Other columns are not read.
     """
     rows = stage(usable(vectors, id_col, vec_col), "topk_vectors")
     width, norm = F.size("vec").alias("width"), F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
