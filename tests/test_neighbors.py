@@ -96,3 +96,29 @@ def test_zero_null_and_empty_sides(spark):
 def test_vote_tie_goes_to_smallest_label(spark):
     nn = spark.createDataFrame([(1, 3), (1, 3), (1, 1), (1, 1), (1, 2)], "query_id long, train_label int")
     assert neighbors.vote(nn).first()["pred_label"] == 1
+
+
+def test_a_query_moves_once_to_a_bin_however_many_blocks_it_visits(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(neighbors, "MAX_BINS", 3)
+    tr, te = rng.standard_normal((400, 24)), rng.standard_normal((30, 24))  # bounds prune next to nothing here
+    seen, stats, meet = [], {}, neighbors.BallIndex.meet
+
+    def counted(index, tiles, *more):
+        seen.append((index.n_blocks, tiles.count()))
+        return meet(index, tiles, *more)
+
+    monkeypatch.setattr(neighbors.BallIndex, "meet", counted)
+    assert have(neighbors.knn(table(spark, tr), table(spark, te, 1000), block_rows=8, stats=stats)) == want(tr, te)
+    assert stats["blocks"] >= 50 and stats["visited"] > 20 * 30
+    assert sum(n for _, n in seen) <= 30 * (3 + 3), seen
+
+
+def test_a_tile_holds_few_numbers_whatever_the_sides(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    monkeypatch.setattr(neighbors, "COLUMNS", 7)
+    monkeypatch.setattr(neighbors, "TILE_ROWS", 4)
+    tr, te = rng.standard_normal((90, 5)), rng.standard_normal((20, 5))
+    tr[5:30] = tr[4]  # ties over several products
+    for sizes in ({}, {"block_rows": 40}):
+        assert have(neighbors.knn(table(spark, tr), table(spark, np.vstack([te, tr[4:6]]), 1000), **sizes)) == want(tr, np.vstack([te, tr[4:6]]))
