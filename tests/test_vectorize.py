@@ -56,3 +56,14 @@ def test_plan_shapes_bow_no_shuffle_tfidf_one(spark):
     tfidf_plan = plan(vectorize.tfidf(docs, vocab, n=1))
     assert tfidf_plan.count("Exchange hashpartitioning") == 1
     assert "Exchange hashpartitioning(doc_id" in tfidf_plan
+
+
+def test_counts_are_taken_by_a_table_of_codes_not_by_lambdas(spark):
+    d = spark.createDataFrame([(1, "x", ["b", "a", "b", "a b"]), (1, "x", ["b"]), (2, "y", []), (3, None, None), (4, "z", ["c", "b", "a"])],
+                              "doc_id long, label string, tokens array<string>")
+    one = vectorize.doc_term_counts(d, keep=("label",))
+    assert "transform(" not in one._jdf.queryExecution().executedPlan().toString().lower() and "MapInArrow" in one._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, one.collect())) == [(1, "x", "a", 1), (1, "x", "a b", 1), (1, "x", "b", 1), (1, "x", "b", 2), (4, "z", "a", 1), (4, "z", "b", 1), (4, "z", "c", 1)]
+    two = vectorize.doc_term_counts(d, n=2, id_col=None)
+    assert sorted(map(tuple, two.collect())) == [("a b", 1), ("b a", 1), ("b a", 1), ("b a b", 1), ("c b", 1)]
+    assert sorted(map(tuple, vectorize.doc_term_counts(d, n=3).collect())) == [(1, "a b a b", 1), (1, "b a b", 1), (4, "c b a", 1)]

@@ -82,8 +82,8 @@ WS = whitespace_class_body()
 URL_PATTERN = f"http[^{WS}]+"
 NON_LETTER_PATTERN = f"[^a-z{WS}]"
 WS_RUN_PATTERN = f"[{WS}]+"
-# Spark side: every whitespace code point is first mapped to a plain space with
-# ``translate`` (a per-character table lookup), so the regexes only need ' '.
+# Whitespace tokens of a raw text: every whitespace code point is first mapped to a plain
+# space with ``translate`` (a per-character table lookup), so the split only needs ' '.
 WS_CHARS = "".join(chr(cp) for lo, hi in _whitespace_ranges() for cp in range(lo, hi + 1))
 
 
@@ -108,11 +108,10 @@ def normalize_text(text) -> Column:
     return F.regexp_replace(t, NON_LETTER_PATTERN, "")
 
 
-def _normalize_spaced(text) -> Column:
-    """P4-P6 for tokenising: as :func:`normalize_text` with every whitespace character turned into ' '."""
-    t = F.lower(spaces(text))
-    t = F.regexp_replace(t, "http[^ ]+", "")
-    return F.regexp_replace(t, "[^a-z ]", "")
+def _letter_words(text) -> Column:
+    """P4-P7 for tokenising: the words of :func:`normalize_text`, which holds letters and whitespace alone."""
+    # no pass over every character to find the spaces: whatever is no letter by now is one
+    return F.split(normalize_text(text), "[^a-z]+")
 
 
 def whitespace_tokens(text) -> Column:
@@ -144,7 +143,7 @@ def drop_stop_words(tokens, stop_words=STOP_WORDS_EN, min_length: int = MIN_TOKE
 
 def clean_tokens(text, stop_words=STOP_WORDS_EN) -> Column:
     """P4-P8 (X1): the cleaned token array of a raw text column."""
-    return drop_stop_words(split_contractions(whitespace_tokens(_normalize_spaced(text))), stop_words)
+    return drop_stop_words(split_contractions(_letter_words(text)), stop_words)
 
 
 def clean_text(text, stop_words=STOP_WORDS_EN) -> Column:

@@ -5,9 +5,9 @@ Long form ``(doc_id, term_id, value)`` is the queryable sparse matrix;
 for linear algebra.
 
 Plan shape (checked with ``explain``): a document is one row, so its
-term frequencies are counted inside the row (:func:`term_counts`: sort and
-run-length encode the grams) and only distinct ``(doc, term, tf)`` rows are
-exploded.  They are filtered against the vocabulary by a broadcast hash
+term frequencies are counted where it lies (Arrow batches: the grams are encoded
+by a hash table and cells of document and code counted) and only distinct
+``(doc, term, tf)`` rows leave it.  They are filtered against the vocabulary by a broadcast hash
 join (the vocabulary is capped at ``max_features`` rows, a proven bound).
 Bag-of-words therefore needs no shuffle at all; TF-IDF shuffles once, by
 document, for the L2 norm.  Term statistics aggregate by term only, with
@@ -21,10 +21,14 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import ngrams, term_counts
+from ..functions.text import ngrams
 from . import heavy
 
 MAX_FEATURES = 20000
@@ -46,7 +50,7 @@ def doc_terms(docs: DataFrame, tokens_col: str = "tokens", n: int = 1, id_col: s
 
 def doc_term_counts(docs: DataFrame, tokens_col: str = "tokens", n: int = 1, id_col: str = "doc_id",
                     keep: tuple = ()) -> DataFrame:
-    """A4 (before the vocabulary): ``(doc_id, *keep, term, tf)``, counted in-row (no shuffle).
+    """A4 (before the vocabulary): ``(doc_id, *keep, term, tf)``, counted row by row (no shuffle).
 
     ``id_col=None`` leaves the document id out.
 
@@ -54,11 +58,44 @@ def doc_term_counts(docs: DataFrame, tokens_col: str = "tokens", n: int = 1, id_
     join back to the documents is needed later.
     """
     cols = [c for c in (id_col, *keep) if c]
-    runs = term_counts(docs, _grams(tokens_col, n), cols, "_runs")
-    # explode_outer + filter: a plain explode lets the optimizer infer size(_runs) > 0 and push it
-    # below the projections, inlining the sort into the per-element lambdas (quadratic per row)
-    return (runs.select(*cols, F.explode_outer("_runs").alias("_t")).where(F.col("_t").isNotNull())
-            .select(*cols, F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf")))
+
+    def run(batches):
+        for b in batches:
+            for a, z in _token_slices(b.column(len(cols))):
+                row, grams = _flat_grams(b.column(len(cols)).slice(a, z - a), n)
+                codes = grams.dictionary_encode()
+                cells = row * max(1, len(codes.dictionary)) + codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                cells, counts = np.unique(cells, return_counts=True)
+                at, code = np.divmod(cells, max(1, len(codes.dictionary)))
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(at + a)) for i in range(len(cols))), codes.dictionary.take(pa.array(code)), pa.array(counts, pa.int64())],
+                                                 [*cols, "term", "tf"])
+
+    schema = T.StructType([*(docs.schema[c] for c in cols), T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())])
+    return docs.select(*cols, tokens_col).mapInArrow(run, schema)
+
+
+SLICE_TOKENS = 1 << 18
+
+
+def _token_slices(lists: pa.Array):
+    """Row ranges of a list column of about ``SLICE_TOKENS`` items (one row may have more)."""
+    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(ends):
+        z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + SLICE_TOKENS, side="right")))
+        yield a, z
+        a = z
+
+
+def _flat_grams(lists: pa.Array, n: int) -> tuple[np.ndarray, pa.Array]:
+    """``(row, n-gram)`` of every n-gram of a list column's rows, as :func:`~textlab.functions.text.ngrams` has them."""
+    lens, flat = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+    row = np.repeat(np.arange(len(lens)), lens)
+    if n == 1 or len(flat) < n:
+        return (row, flat) if n == 1 else (row[:0], flat.slice(0, 0))
+    own = np.flatnonzero(row[:len(row) - n + 1] == row[n - 1:])  # not over the end of a row
+    grams = pc.binary_join_element_wise(*(flat.slice(i, len(flat) - n + 1) for i in range(n)), " ")
+    return row[own], grams.take(pa.array(own))
 
 
 def term_statistics(train_docs: DataFrame, tokens_col: str = "tokens", n: int = 1,
