@@ -143,3 +143,34 @@ def test_first_token_features_vary(spark):
 
     values = {r["value"] for r in catalog.first_token_pool(spark, SF_SMALL).where("dim = 0").collect()}
     assert len(values) > 10
+
+
+def test_shares_of_a_block_grow_with_the_documents(spark, monkeypatch):
+    """No task meets all the documents' words of a block: the exchange deals them to shares."""
+    docs, wv, want = _random_corpus(spark)
+    monkeypatch.setattr(embed, "RUN_ROWS", 500)
+    seen = []
+    frame = type(docs)
+    repartition = frame.repartition
+
+    def noted(self, n, *cols):
+        out = repartition(self, n, *cols)
+        if cols == ("key",):
+            seen.append([r["count"] for r in out.groupBy("key").count().collect()])
+        return out
+
+    monkeypatch.setattr(frame, "repartition", noted)
+    rows = embed.mean_word_vectors(docs, wv, limit=0).collect()
+    assert len(seen) == 1 and len(seen[0]) > 10 and max(seen[0]) < 1500, seen
+    assert all(abs(x - y) < 1e-9 for r in rows for x, y in zip(r["vec"], want[r["doc_id"]]))
+
+
+def test_long_batches_are_cut_by_tokens(spark, monkeypatch):
+    from textlab.operators import vectorize
+
+    docs, wv, want = _random_corpus(spark)
+    cut = [z - a for a, z in vectorize._token_slices(embed.pa.array([["a"] * 5, None, ["b"] * (vectorize.SLICE_TOKENS + 1), [], ["c"]]))]
+    assert cut == [2, 1, 2]
+    monkeypatch.setattr(vectorize, "SLICE_TOKENS", 20)
+    got = {r["doc_id"]: r["vec"] for r in embed.mean_word_vectors(docs, wv).collect()}
+    assert len(got) == 300 and all(abs(x - y) < 1e-9 for i, v in got.items() for x, y in zip(v, want[i]))

@@ -4,9 +4,9 @@
   words times their vectors (J1; repeats weigh more).  No vector is copied for
   an occurrence.  A word table of checked size is broadcast and a task multiplies
   blocks of documents with the rows of the table they touch, without a shuffle.
-  A larger table is cut into packed blocks by a hash of the word; runs
-  ``(document, word, count)`` meet the block of their words, and one partial sum
-  for each document and block is added up by document.  Documents without a
+  A larger table is cut into blocks by a hash of the word; shares of the runs
+  ``(document, word, count)`` meet a copy of the block of their words, and one partial
+  sum for each document and block is added up by document.  Documents without a
   known word get a zero vector (J7).
 * Token-state pooling (E2, A7, A8): given token states ``(doc_id, pos,
   mask, vec)`` from any encoder, the first-token vector and the masked mean
@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import PAD_TOKEN, SEP_TOKEN, WINDOW_LENGTH, token_window
 from .common import bounded_broadcast, global_row_number
-from .linalg import one_list, runs
+from .linalg import list_column
 from .reduce import _row_blocks
-from .vectorize import doc_term_counts
+from .vectorize import _token_slices, doc_term_counts
 
 ENCODE_BATCH = 64
 MASK_FLOOR = 1e-9
@@ -137,6 +137,13 @@ def _lists(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, pa.Array]:
     return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
 
 
+def _slices(batches, at: int):
+    """The batches in pieces of bounded numbers of tokens, however many rows Spark puts into one."""
+    for b in batches:
+        for a, z in _token_slices(b.column(at)):
+            yield b.slice(a, z - a)
+
+
 def _vectors(m: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.ravel()))
 
@@ -153,7 +160,7 @@ def mean_word_vectors(docs: DataFrame, word_vectors: DataFrame, tokens_col: str
 
     def run(batches):
         words = table.value
-        for b in batches:
+        for b in _slices(batches, 1):
             lens, flat = _lists(b, 1)
             ids = words.ids(flat)
             known = np.bincount(np.repeat(np.arange(len(lens)), lens), ids >= 0, len(lens))
@@ -163,51 +170,54 @@ def mean_word_vectors(docs: DataFrame, word_vectors: DataFrame, tokens_col: str
 
 
 BLOCK_BYTES = 16 << 20
-RUN_ROWS = 1 << 15
+RUN_ROWS = 1 << 20
 
 
 def _mean_by_blocks(docs: DataFrame, word_vectors: DataFrame, tokens_col: str, id_col: str,
                     block_bytes: int | None = None) -> DataFrame:
-    """The same product with a word table of any size; a word of very many documents fills many packed runs, spread by a salt."""
+    """The same product with a word table of any size: shares of the documents' words meet a copy of their block.
+
+    The shares of a block grow in number with the documents, so that a group holds about ``RUN_ROWS`` runs and one block.
+    """
     n, width, row_bytes = _table_size(word_vectors)
     blocks = max(1, math.ceil(n * row_bytes / (block_bytes or BLOCK_BYTES)))
     block = F.pmod(F.xxhash64("word"), F.lit(blocks)).cast("int")
     id_type = docs.schema[id_col].dataType.simpleString()
-    packed = word_vectors.select("word", F.col("vec").cast("array<float>").alias("vec")).groupBy(block.alias("block")).agg(
-        F.collect_list(F.struct("word", "vec")).alias("rows"))  # about BLOCK_BYTES
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    counts = doc_term_counts(docs, tokens_col, 1, id_col).select(F.col(id_col).alias("id"), F.col("term").alias("word"), "tf")
-    salt = F.pmod(F.xxhash64("id"), F.lit(max(1, math.ceil(parts / blocks)))).cast("int")
-    entries = counts.withColumn("key", block.cast("long") * (1 << 31) + salt).select("key", "id", "word", F.col("tf").cast("double").alias("tf"))
-
-    def pack(batches):
-        for key, cols in runs(batches, RUN_ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array([key >> 31], pa.int32()), *map(one_list, cols)], ["block", "ids", "words", "counts"])
-
-    tiles = (entries.repartition(parts, "key").sortWithinPartitions("key", "id")
-             .mapInArrow(pack, f"block int, ids array<{id_type}>, words array<string>, counts array<double>"))
-
-    def multiply(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                ids, words, counts_, rows = (b.column(c)[i].values for c in range(4))
-                table = _as_table(rows.field("word"), rows.field("vec"), width)
-                at = table.ids(words)
-                keep = np.flatnonzero(at >= 0)
-                if not len(keep):
-                    continue
-                kept = ids.take(pa.array(keep))
-                codes = kept.dictionary_encode().indices.to_numpy()
-                first = np.flatnonzero(np.diff(codes, prepend=-1))  # a document's words are next to each other
-                lens, weights = np.diff([*first, len(keep)]), counts_.to_numpy(zero_copy_only=False)[keep]
-                yield pa.RecordBatch.from_arrays([kept.take(pa.array(first)), pa.array(np.add.reduceat(weights, first)), _vectors(table.sums(lens, at[keep], weights))],
-                                                 [id_col, "n", "v"])
-
-    met = tiles.join(packed, "block").select("ids", "words", "counts", "rows")
-    partial = met.mapInArrow(multiply, f"{id_col} {id_type}, n double, v array<double>")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    tokens = docs.select(F.sum(F.size(tokens_col))).first()[0] or 0  # a document has no more runs
+    shares = max(1, math.ceil(max(cores / blocks, tokens / RUN_ROWS / blocks)))
+    parts = min(2 * blocks * shares, max(4 * cores, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    counts = doc_term_counts(docs, tokens_col, 1, id_col).select(F.col(id_col).alias("id"), F.col("term").alias("word"), F.col("tf").cast("double").alias("tf"))
+    share = F.pmod(F.xxhash64("id"), F.lit(shares))
+    entries = counts.withColumn("key", block.cast("long") * (1 << 31) + share).repartition(parts, "key")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long")))
+    copies = word_vectors.select("word", F.col("vec").cast("array<float>").alias("vec"), block.cast("long").alias("block"), every.alias("share"))
+    copies = copies.select("word", "vec", (F.col("block") * (1 << 31) + F.col("share")).alias("place")).repartition(parts, "place")
+
+    def multiply(runs_: pa.Table, rows: pa.Table) -> pa.Table:
+        out = []
+        if runs_.num_rows and rows.num_rows:
+            table = _as_table(rows["word"].combine_chunks(), rows["vec"].combine_chunks(), width)
+            at = table.ids(runs_["word"].combine_chunks())
+            codes = pc.fill_null(runs_["id"].combine_chunks().dictionary_encode().indices, -1).to_numpy().astype(np.int64)
+            order = np.argsort(codes, kind="stable")
+            order = order[at[order] >= 0]
+            first = np.flatnonzero(np.diff(codes[order], prepend=-2))
+            lens, weights = np.diff([*first, len(order)]), runs_["tf"].to_numpy()[order]
+            if len(first):
+                out = [pa.table({id_col: runs_["id"].take(pa.array(order[first])), "n": np.add.reduceat(weights, first), "v": _vectors(table.sums(lens, at[order], weights))})]
+        return out[0] if out else pa.schema([(id_col, runs_.schema.field("id").type), ("n", pa.float64()), ("v", pa.list_(pa.float64()))]).empty_table()
+
+    partial = entries.groupBy("key").cogroup(copies.groupBy("place")).applyInArrow(multiply, f"{id_col} {id_type}, n double, v array<double>")
     none = docs.select(id_col, F.lit(0.0).alias("n"), F.array_repeat(F.lit(0.0), width).alias("v"))
     sums = partial.unionByName(none).groupBy(id_col).agg(Summarizer.sum(array_to_vector("v")).alias("s"), F.sum("n").alias("n"))
-    return sums.select(id_col, F.transform(vector_to_array("s"), lambda x: x / F.greatest("n", F.lit(1.0))).alias("vec"))
+
+    def means(batches):
+        for b in batches:
+            _, flat = list_column(b, "s", np.float64)
+            yield pa.RecordBatch.from_arrays([b.column(0), _vectors(flat.reshape(b.num_rows, width) / np.maximum(b.column(2).to_numpy(), 1.0)[:, None])], [id_col, "vec"])
+
+    return sums.select(id_col, vector_to_array("s").alias("s"), "n").mapInArrow(means, f"{id_col} {id_type}, vec array<double>")
 
 
 def _looked_up(window) -> Column:
@@ -262,7 +272,7 @@ def pool_window(docs: DataFrame, word_vectors: DataFrame, dim, tokens_col: str =
     def run(batches):
         words = table.value
         sep = words.ids(pa.array([SEP_TOKEN]))[0]
-        for b in batches:
+        for b in _slices(batches, 1):
             lens, flat = _lists(b, 1)
             ids = words.ids(flat)
             lead = np.where(lens > 0, np.concatenate([ids, [-1]])[np.minimum(np.cumsum(lens) - lens, len(ids))], sep)  # the leading slot's word
