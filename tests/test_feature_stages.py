@@ -9,3 +9,26 @@ def test_a_feature_set_leaves_nothing_large_in_memory(spark, tmp_path):
         # lookups with a row a class may stay
         assert sum(i.memSize() + i.diskSize() for i in stored()) < 20_000, name
         spark.catalog.clearCache()
+
+
+def test_the_split_corpus_is_written_once(spark, tmp_path, monkeypatch):
+    from textlab.plans import corpus, features
+
+    written = []
+    monkeypatch.setattr(corpus, "stage", lambda df, name="stage": written.append(name) or df)
+    monkeypatch.setattr(features, "stage_path", lambda spark, sf_dir, name: str(tmp_path / name))
+    assert corpus.reused_split_corpus(spark, "/root/testdata/sf0.001").count() == 200
+    assert not written  # the stage that is reused is the only copy
+
+
+def test_a_fit_holds_one_copy_of_its_rows_in_memory(spark):
+    from textlab.operators import models
+
+    seen = []
+
+    class Estimator:
+        def fit(self, train):
+            seen.append(train.storageLevel)
+
+    models.fit_timed(Estimator(), spark.range(10))
+    assert seen[0].useDisk and not seen[0].useMemory

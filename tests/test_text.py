@@ -68,3 +68,17 @@ def test_term_counts_run_length(spark):
         got = tx.term_counts(df, "x", [], "r").first()["r"]
         assert [(r["term"], r["tf"]) for r in got] == sorted(Counter(toks).items())
     assert tx.term_counts(spark.createDataFrame([(None,)], "x array<string>"), "x", [], "r").first()["r"] == []
+
+
+def test_every_character_is_kept_or_deleted_as_by_the_published_pattern(spark):
+    points = [*range(1, 0x2100), *range(0x2FF0, 0x3010), 0xFEFF, 0x1F600]
+    rows = [(p, f"a{chr(p)}b {chr(p)}") for p in points]
+    got = {r["p"]: r["t"] for r in spark.createDataFrame(rows, "p int, x string").select("p", tx.normalize_text("x").alias("t")).collect()}
+    low = spark.createDataFrame(rows, "p int, x string").select("p", F.lower("x").alias("t")).collect()
+    assert got == {r["p"]: "".join(c for c in r["t"] if "a" <= c <= "z" or c.isspace()) for r in low}
+
+
+def test_letters_are_passed_over_before_the_long_class(spark):
+    # the class of all whitespace ranges, tried on every letter, took five sixths of the cleaning
+    plan = spark.createDataFrame([("x",)], "x string").select(tx.normalize_text("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "(?![a-z ])" in plan
