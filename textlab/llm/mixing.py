@@ -93,7 +93,8 @@ def border_cut(group: pd.DataFrame) -> pd.DataFrame:
     key after it of which any are, with the number of its copies that are taken.
 
     In key order every document that still fits is taken, copies of a row one by one.  If a gap is left, the shortest
-    of the others goes in too and documents from the end go out for it, where the sum comes nearer to the target so.
+    of the others goes in too and documents from the end go out for it, where the sum comes nearer to the target so
+    and passes it by no more than the shortest of all.
     """
     rows = group.sort_values("key")
     left, sizes, many, keys = float(rows["words"].iloc[0]), rows["size"].to_numpy(), rows["n"].to_numpy(), rows["key"].to_numpy()
@@ -111,7 +112,7 @@ def border_cut(group: pd.DataFrame) -> pd.DataFrame:
             if sizes[i] <= excess:
                 out[i] = min(int(taken[i]), int(excess // sizes[i]))
                 excess -= int(sizes[i] * out[i])
-        if excess < left:
+        if excess < left and excess <= sizes[sizes > 0].min():
             taken[best] += 1
             for i, n in out.items():
                 taken[i] -= n
