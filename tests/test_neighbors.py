@@ -122,3 +122,31 @@ def test_a_tile_holds_few_numbers_whatever_the_sides(spark, monkeypatch):
     tr[5:30] = tr[4]  # ties over several products
     for sizes in ({}, {"block_rows": 40}):
         assert have(neighbors.knn(table(spark, tr), table(spark, np.vstack([te, tr[4:6]]), 1000), **sizes)) == want(tr, np.vstack([te, tr[4:6]]))
+
+
+def test_vectors_are_read_where_they_lie_and_copied_once(spark):
+    rng = np.random.default_rng(11)
+    m = rng.standard_normal((50, 6))
+    cells = neighbors.pa.array([row.tobytes() for row in m], neighbors.pa.binary())
+    some = neighbors._rows(cells.slice(7, 30), 6)
+    assert (some == m[7:37]).all() and some.base is not None and not some.flags["OWNDATA"]
+    assert np.shares_memory(some, neighbors._rows(cells, 6))  # no copy of the cells
+    order = rng.permutation(50)
+    column = neighbors.pa.chunked_array([cells.slice(0, 13), cells.slice(13, 0), cells.slice(13)])
+    assert (neighbors._placed_rows(column, order, 6) == m[order]).all()
+
+
+def test_bins_and_shares_stay_below_their_bytes(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    for name, value in {"MAX_BINS": 2, "MAX_SHARES": 2, "HOT_VISITS": 4, "TILE_ROWS": 4, "SLICE_ROWS": 7, "BIN_BYTES": 1000, "MOST_BYTES": 1600}.items():
+        monkeypatch.setattr(neighbors, name, value)
+    tr, te = rng.standard_normal((400, 5)), rng.standard_normal((120, 5))  # 16,000 and 4,800 bytes of vectors
+    seen, meet = [], neighbors.BallIndex.meet
+
+    def counted(index, tiles, hot, *more):
+        seen.append((index.n_bins, max([1, *hot.values()])))
+        return meet(index, tiles, hot, *more)
+
+    monkeypatch.setattr(neighbors.BallIndex, "meet", counted)
+    assert have(neighbors.knn(table(spark, tr), table(spark, te, 1000), block_rows=8)) == want(tr, te)
+    assert all(bins >= 10 for bins, _ in seen) and max(shares for _, shares in seen) > 2, seen
