@@ -174,3 +174,15 @@ def test_long_batches_are_cut_by_tokens(spark, monkeypatch):
     monkeypatch.setattr(vectorize, "SLICE_TOKENS", 20)
     got = {r["doc_id"]: r["vec"] for r in embed.mean_word_vectors(docs, wv).collect()}
     assert len(got) == 300 and all(abs(x - y) < 1e-9 for i, v in got.items() for x, y in zip(v, want[i]))
+
+
+def test_rounds_of_documents_give_the_same_means(spark, monkeypatch):
+    docs = spark.createDataFrame([(i % 9 or None, [f"w{(i * j) % 13}" for j in range(i % 7)]) for i in range(40)], "doc_id long, tokens array<string>")
+    words = spark.createDataFrame([(f"w{i}", [float(i), 1.0 / (i + 1), -1.0]) for i in range(10)], "word string, vec array<float>")
+    at_once = embed.mean_word_vectors(docs, words, limit=0)
+    rounds, one = [], embed._mean_of_round
+    monkeypatch.setattr(embed, "ROUND_TOKENS", 30)
+    monkeypatch.setattr(embed, "_mean_of_round", lambda some, *a: rounds.append(some.count()) or one(some, *a))
+    rows = lambda df: sorted((r["doc_id"] or -1, [round(x, 12) for x in r["vec"]]) for r in df.collect())
+    assert rows(embed.mean_word_vectors(docs, words, limit=0)) == rows(at_once)
+    assert len(rounds) > 2 and sum(rounds) == 40

@@ -150,3 +150,49 @@ def test_bins_and_shares_stay_below_their_bytes(spark, monkeypatch):
     monkeypatch.setattr(neighbors.BallIndex, "meet", counted)
     assert have(neighbors.knn(table(spark, tr), table(spark, te, 1000), block_rows=8)) == want(tr, te)
     assert all(bins >= 10 for bins, _ in seen) and max(shares for _, shares in seen) > 2, seen
+
+
+def left_in(spark):
+    """The folders of stages and of indexes under the checkpoint root."""
+    from pathlib import Path
+
+    from textlab.session import checkpoint_root
+
+    root = Path(checkpoint_root(spark).removeprefix("file:")) / "textlab"
+    return {p.name for p in root.glob("*") if p.name.startswith(("ball_", "neighbours", "knn_train"))}
+
+
+def test_rounds_bound_what_moves_at_a_time_and_leave_nothing_behind(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    for name, value in {"HOT_VISITS": 16, "TILE_ROWS": 8, "ROUND_BYTES": 1, "MAX_BINS": 16}.items():
+        monkeypatch.setattr(neighbors, name, value)
+    tr, te = rng.standard_normal((300, 6)), rng.standard_normal((60, 6))  # 14,400 and 2,880 bytes of vectors
+    tr[9:14] = tr[2]  # ties over rounds
+    seen, meet, before = [], neighbors.BallIndex.meet, left_in(spark)
+
+    def counted(index, tiles, hot, rest, bins):
+        rows = {r["bin"]: r["count"] for r in tiles.groupBy("bin").count().collect()}
+        assert rows.keys() <= set(bins)
+        seen.append((rest, bins, 48 * sum(rows.values()) + 48 * sum(n * index.bin_rows[b] for b, n in hot.items())))
+        return meet(index, tiles, hot, rest, bins)
+
+    monkeypatch.setattr(neighbors.BallIndex, "meet", counted)
+    assert have(neighbors.knn(table(spark, tr), table(spark, te, 1000), block_rows=8)) == want(tr, te)
+    rest = [bins for r, bins, _ in seen if r]
+    assert len(rest) > 1 and len({b for bins in rest for b in bins}) == sum(map(len, rest))  # each bin in one round
+    assert all(moved <= 2 * (14_400 + 2_880) or len(bins) == 1 for _, bins, moved in seen), seen
+    left = left_in(spark) - before
+    assert len(left) == 1 and left.pop().startswith("neighbours"), left
+
+
+def test_a_spent_train_stage_goes_with_the_index_built(spark):
+    from textlab.operators.common import stage
+
+    rng = np.random.default_rng(14)
+    tr, te = rng.standard_normal((40, 4)), rng.standard_normal((9, 4))
+    for sizes in ({}, {"block_rows": 8}):
+        before = left_in(spark)
+        train = stage(table(spark, tr), "knn_train")
+        assert any(x.startswith("knn_train") for x in left_in(spark) - before)
+        assert have(neighbors.knn(train, table(spark, te, 1000), spent=True, **sizes)) == want(tr, te)
+        assert not any(x.startswith("knn_train") for x in left_in(spark) - before)
